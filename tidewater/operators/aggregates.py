@@ -76,7 +76,7 @@ def province_stats(order_wide: DataFrame, size: str = "10 seconds", ts: str = "c
 def keyword_stats(words: DataFrame, size: str = "10 seconds", rt: str = "rt",
                   source: str = "search") -> DataFrame:
     """A4: occurrences per word and tumbling window (SQL form in
-    ``plans/pipelines.py``)."""
+    ``plans/q_misc.py``)."""
     agg = words.groupBy(F.window(F.col(rt), size).alias("window"), "word").agg(F.count("*").alias("ct"))
     return agg.select(F.col("word").alias("keyword"), "ct", F.lit(source).alias("source"),
                       *window_text())

@@ -210,11 +210,11 @@ def visitor_stats_11s(spark, sf):
     return A.visitor_stats(visitor_measures(None, None, FX.page_log(spark, sf)), "11 seconds")
 
 
-# --------------------------------------------------------------- pipeline E1
+# -------------------------------------------------------------------- E1
 PIPE_PAGE = "SELECT * FROM page_log WHERE k <> 0 AND start IS NULL"
 
 
-def _pipeline_visitor_sql() -> str:
+def _e2e_visitor_sql() -> str:
     fixed = """
 SELECT * REPLACE (CASE WHEN is_new = '1' AND seq <> min(CASE WHEN is_new = '1' THEN seq END) OVER (PARTITION BY mid)
                   THEN '0' ELSE is_new END AS is_new)
@@ -233,8 +233,8 @@ UNION ALL SELECT vc, ch, ar, is_new, 0, 1, CASE WHEN {ENTRY} THEN 1 ELSE 0 END,
     return V(f", fixed AS ({fixed}), pages AS ({pages}), uv AS ({uv}), uj AS ({uj})\n{body}", "page_log")
 
 
-@register("pipeline_visitor", _pipeline_visitor_sql())
-def pipeline_visitor(spark, sf):
+@register("e2e_visitor", _e2e_visitor_sql())
+def e2e_visitor(spark, sf):
     """Raw lines -> dirty split -> flag repair -> {UV, bounce, PV} -> visitor stats."""
     good, _dirty = L.split_dirty(FX.raw_log_lines(spark, sf), PAGE_LOG, keep=("seq",))
     fixed = L.fix_is_new(good)

@@ -259,14 +259,14 @@ def province_stats(spark, sf):
     return A.province_stats(_enriched(spark, sf), "1 day")
 
 
-@register("pipeline_product", V("SELECT * FROM product_stats_enriched", "product_stats_enriched"))
-def pipeline_product(spark, sf):
+@register("e2e_product", V("SELECT * FROM product_stats_enriched", "product_stats_enriched"))
+def e2e_product(spark, sf):
     """Details x orders -> payments x order wide -> seven-way measures ->
     product stats per day -> sku/spu/category/trademark names."""
     return product_stats_enriched(spark, sf)
 
 
-@register("pipeline_province", V("SELECT * FROM province_stats", "province_stats"))
-def pipeline_province(spark, sf):
+@register("e2e_province", V("SELECT * FROM province_stats", "province_stats"))
+def e2e_province(spark, sf):
     """Order x detail -> six dimension lookups -> province stats per day."""
     return A.province_stats(_enriched(spark, sf), "1 day")
