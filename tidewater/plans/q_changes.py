@@ -1 +1,211 @@
-"""placeholder"""
+"""Change-capture keys: S3-S6, P2, P6, P7, K1-K6."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators.routing import route, split_routes
+from ..session import scratch_path
+from ..sources import sinks as K
+from ..sources.changes import apply_changelog, drop_deletes, normalize_changes, read_changes, to_retract
+from . import fixtures as FX
+from .catalog import register
+from .oracle_views import view
+from .oracle_views import with_views as V
+
+FIELDS = ("id", "value", "k")
+
+
+def _norm(spark, sf):
+    return normalize_changes(FX.change_records(spark, sf))
+
+
+def _flat(df, side="after", keep=("seq",)):
+    return df.select(*keep, *[F.col(side)[f].alias(f) for f in FIELDS])
+
+
+@register("cdc_envelope", V("""
+SELECT database, table_name, type, before_id, before_value, before_k, after_id, after_value, after_k, seq
+FROM changes""", "changes"))
+def cdc_envelope(spark, sf):
+    """S3: dotted topic -> database/table, maps ({} when null), lower-case op,
+    create -> insert."""
+    n = _norm(spark, sf)
+    return n.select("database", "table_name", "type",
+                    *[F.col("before")[f].alias(f"before_{f}") for f in FIELDS],
+                    *[F.col("after")[f].alias(f"after_{f}") for f in FIELDS], "seq")
+
+
+@register("cdc_scan", V("""
+SELECT seq, table_name, type FROM changes WHERE database = 'gmall' AND table_name IN ('view', 'click')""",
+                       "changes"))
+def cdc_scan(spark, sf):
+    """Database / table allow-list, latest-offset startup."""
+    d = read_changes(_norm(spark, sf), databases=["gmall"], tables=["gmall.view", "click"],
+                     startup="latest")
+    return d.select("seq", "table_name", "type")
+
+
+@register("cdc_no_delete", V("SELECT seq, table_name, type FROM changes WHERE type <> 'delete'", "changes"))
+def cdc_no_delete(spark, sf):
+    """P2."""
+    return drop_deletes(_norm(spark, sf)).select("seq", "table_name", "type")
+
+
+@register("cdc_current_table", V("""
+SELECT table_name, after_id AS id, after_value AS value, after_k AS k, seq FROM (
+  SELECT *, row_number() OVER (PARTITION BY table_name, coalesce(after_id, before_id) ORDER BY seq DESC) AS rn
+  FROM changes) WHERE rn = 1 AND type <> 'delete'""", "changes"))
+def cdc_current_table(spark, sf):
+    """Changelog -> current table keyed by the row's ``id``."""
+    cur = apply_changelog(_norm(spark, sf), ["id"])
+    return _flat(cur, keep=("table_name", "seq"))
+
+
+@register("cdc_retract", V("""
+SELECT table_name, seq, false AS is_add, before_id AS id, before_value AS value, before_k AS k
+FROM changes WHERE type IN ('update', 'delete')
+UNION ALL
+SELECT table_name, seq, true, after_id, after_value, after_k FROM changes WHERE type IN ('insert', 'update')""",
+                           "changes"))
+def cdc_retract(spark, sf):
+    """(is_add, row) retract rows; an update gives two rows."""
+    r = to_retract(_norm(spark, sf))
+    return r.select("table_name", "seq", "is_add", *[F.col("row")[f].alias(f) for f in FIELDS])
+
+
+view("routed", """
+SELECT c.*, t.sink_type, t.sink_table, t.sink_columns,
+       CASE WHEN list_contains(string_split(t.sink_columns, ','), 'id') THEN after_id END AS r_id,
+       CASE WHEN list_contains(string_split(t.sink_columns, ','), 'value') THEN after_value END AS r_value,
+       CASE WHEN list_contains(string_split(t.sink_columns, ','), 'k') THEN after_k END AS r_k
+FROM changes c JOIN table_process t ON c.table_name = t.source_table AND c.type = t.operate_type""",
+     ("changes", "table_process"))
+
+
+def _routed(spark, sf):
+    return route(_norm(spark, sf), FX.table_process(spark))
+
+
+@register("route_columns", V("""
+SELECT seq, sink_type, sink_table,
+       array_to_string(list_sort(list_filter(['id', 'value', 'k'], lambda x: list_contains(string_split(sink_columns, ','), x))), ',') AS kept
+FROM routed""", "routed"))
+def route_columns(spark, sf):
+    """Config column whitelist applied to ``after``."""
+    r = _routed(spark, sf)
+    return r.select("seq", "sink_type", "sink_table",
+                    F.array_join(F.array_sort(F.map_keys("after")), ",").alias("kept"))
+
+
+ROUTE_SQL = "SELECT seq, sink_table, r_id AS id, r_value AS value, r_k AS k FROM routed WHERE sink_type = '{}'"
+
+
+@register("route_fact", V(ROUTE_SQL.format("kafka"), "routed"))
+def route_fact(spark, sf):
+    """Fact (kafka) output of config routing."""
+    fact, _ = split_routes(_routed(spark, sf))
+    return _flat(fact, keep=("seq", "sink_table"))
+
+
+@register("route_dim", V(ROUTE_SQL.format("hbase"), "routed"))
+def route_dim(spark, sf):
+    """Dimension (hbase) output of config routing."""
+    _, dim = split_routes(_routed(spark, sf))
+    return _flat(dim, keep=("seq", "sink_table"))
+
+
+AFTER_SCHEMA = "seq long, sink_table string, after map<string,string>"
+
+
+@register("sink_lines", V(ROUTE_SQL.format("kafka"), "routed"))
+def sink_lines(spark, sf):
+    """K1 + F8: fact rows as JSON lines to a topic folder, read back."""
+    fact, _ = split_routes(_routed(spark, sf))
+    path = scratch_path(spark, "dwd_fact")
+    K.write_lines(fact.select("seq", "sink_table", "after"), path)
+    back = spark.read.text(path).select(F.from_json("value", AFTER_SCHEMA).alias("r")).select("r.*")
+    return _flat(back, keep=("seq", "sink_table"))
+
+
+@register("sink_routed", V("""
+SELECT sink_table, r_id AS id, array_to_string(list_sort(list_filter(['id', 'value', 'k'],
+       lambda x: list_contains(string_split(sink_columns, ','), x))), ',') AS kept
+FROM routed WHERE sink_type = 'kafka'""", "routed"))
+def sink_routed(spark, sf):
+    """K2: each fact row to the topic named by its sink table, read back."""
+    fact, _ = split_routes(_routed(spark, sf))
+    path = scratch_path(spark, "routed")
+    K.write_routed(fact.select("sink_table", F.to_json("after").alias("value")), path)
+    back = spark.read.parquet(path)
+    m = F.from_json("value", "map<string,string>")
+    return back.select("sink_table", m["id"].alias("id"),
+                       F.array_join(F.array_sort(F.map_keys(m)), ",").alias("kept"))
+
+
+@register("sink_once", V(ROUTE_SQL.format("hbase"), "routed"))
+def sink_once(spark, sf):
+    """K3: the same batch written twice under one batch id keeps one copy."""
+    _, dim = split_routes(_routed(spark, sf))
+    rows = _flat(dim, keep=("seq", "sink_table"))
+    path = scratch_path(spark, "once")
+    K.write_once(rows, path, batch_id=7)
+    K.write_once(rows, path, batch_id=7)
+    return spark.read.parquet(path).drop("batch_id")
+
+
+@register("sink_columns", V("SELECT seq, sink_table, r_id AS id, r_k AS k FROM routed WHERE sink_type = 'kafka'",
+                            "routed"))
+def sink_columns(spark, sf):
+    """K4: relational sink with a transient (excluded) column, read back."""
+    fact, _ = split_routes(_routed(spark, sf))
+    path = scratch_path(spark, "table")
+    K.write_table(_flat(fact, keep=("seq", "sink_table")), path, exclude=["value"], batchsize=500)
+    return spark.read.parquet(path)
+
+
+SPLIT_TS = 1705363200000  # 2024-01-16 00:00:00 UTC: the two upsert batches
+
+
+@register("dim_upsert", V("""
+SELECT sink_table, id, k, seq FROM (
+  SELECT sink_table, r_id AS id, r_k AS k, seq,
+         row_number() OVER (PARTITION BY sink_table, r_id ORDER BY seq DESC) AS rn
+  FROM routed WHERE sink_type = 'hbase') WHERE rn = 1""", "routed"))
+def dim_upsert(spark, sf):
+    """K5: dimension rows upserted in two batches (before / after a date);
+    the newest row per (table, id) wins."""
+    _, dim = split_routes(_routed(spark, sf))
+    rows = dim.select("sink_table", F.col("after")["id"].alias("id"), F.col("after")["k"].alias("k"),
+                      "seq", "ts_ms")
+    target = scratch_path(spark, "dim")
+    K.upsert_dim(rows.where(F.col("ts_ms") < SPLIT_TS).drop("ts_ms"), target, ["sink_table", "id"], "seq")
+    K.upsert_dim(rows.where(F.col("ts_ms") >= SPLIT_TS).drop("ts_ms"), target, ["sink_table", "id"], "seq")
+    return K.read_snapshot(spark, target)
+
+
+@register("ensure_table", V("""
+SELECT sink_table, r_id AS id, r_value AS value, r_k AS k FROM routed WHERE sink_type IN ('kafka', 'hbase')""",
+                            "routed"))
+def ensure_table(spark, sf):
+    """K6: create each configured sink table (all-string columns, pk id) and
+    load the routed rows into it; read the tables back."""
+    routed = _routed(spark, sf).where(F.col("sink_type").isin("kafka", "hbase"))
+    cfg = (FX.table_process(spark).where(F.col("sink_type").isin("kafka", "hbase"))
+           .groupBy("sink_table").agg(F.array_join(F.array_sort(F.array_distinct(F.flatten(
+               F.collect_list(F.split("sink_columns", ","))))), ",").alias("cols"),
+               F.first("sink_pk").alias("pk")))
+    base = scratch_path(spark, "tables")
+    db = "tw_" + base.rstrip("/").rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{base}'")
+    out = None
+    for row in cfg.collect():  # configuration rows: a handful
+        name = K.ensure_table(spark, row["sink_table"], row["cols"], f"{base}/{row['sink_table']}",
+                              row["pk"], database=db)
+        cols = [c.name for c in spark.table(name).schema.fields]
+        rows = routed.where(F.col("sink_table") == row["sink_table"]) \
+                     .select(*[F.col("after")[c].alias(c) for c in cols])
+        rows.write.insertInto(name)
+        back = spark.table(name).withColumn("sink_table", F.lit(row["sink_table"]))
+        out = back if out is None else out.unionByName(back, allowMissingColumns=True)
+    return out.select("sink_table", "id", "value", "k")
