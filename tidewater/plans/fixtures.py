@@ -428,6 +428,7 @@ def bus_raw(spark, sf_dir) -> DataFrame:
                      F.concat(F.lit(" S"), (F.col("l_partkey") % 5).cast("string"), F.lit("公交站 ")))\
                .otherwise(F.concat(F.lit("S"), (F.col("l_partkey") % 5).cast("string")))
     return b.select(
+        (F.col("l_suppkey") * 10_000_000 + F.col("l_partkey") * 10 + F.col("l_linenumber")).alias("id"),
         city.alias("city"),
         F.concat(F.lit("["), F.col("l_linenumber").cast("string"), F.lit("路]")).alias("line_name"),
         F.concat(F.col("l_linenumber").cast("string"), F.lit("路")).alias("bus_name"),
@@ -442,22 +443,26 @@ def bus_raw(spark, sf_dir) -> DataFrame:
 
 
 def gazetteer(spark, sf_dir) -> DataFrame:
-    """Address -> coordinates table, one entry per (city, street).
+    """Address -> coordinates table, ten entries per nation (city).
 
-    Streets 0-2 are spelled ``C07S1``; streets 3-4 only as ``C07市S3`` so the
-    second-spelling fallback is exercised.  Nation 0 has lon 0 (no fix).
+    Streets 0-2 are spelled ``C07S1``, streets 3-4 only ``C07市S3`` (so the
+    second-spelling fallback is exercised); bus stops ``C07市S1公交站``.
+    Nation 0 has lon 0 (no fix).
     """
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     g = (n.join(r, n.n_regionkey == r.r_regionkey, "left")
-          .withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(4)))))
+          .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(9))))
+          .withColumn("s", F.col("i") % 5))
     city = F.concat(F.lit("C"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
     street = F.concat(F.lit("S"), F.col("s").cast("string"))
-    addr = F.when(F.col("s") < 3, F.concat(city, street)).otherwise(F.concat(city, F.lit("市"), street))
+    addr = (F.when(F.col("i") >= 5, F.concat(city, F.lit("市"), street, F.lit("公交站")))
+             .when(F.col("s") < 3, F.concat(city, street))
+             .otherwise(F.concat(city, F.lit("市"), street)))
     return g.select(addr.alias("address"),
                     (F.col("n_nationkey") * 3.5).alias("lon"),
-                    (F.lit(20.0) + F.col("s")).alias("lat"),
+                    (F.lit(20.0) + F.col("i")).alias("lat"),
                     F.col("r_name").alias("province"),
-                    (F.lit(100000) + F.col("n_nationkey") * 100 + F.col("s")).cast("string").alias("adcode"),
+                    (F.lit(100000) + F.col("n_nationkey") * 100 + F.col("i")).cast("string").alias("adcode"),
                     F.concat(F.lit("D"), F.col("s")).alias("district"),
-                    F.concat(F.lit("T"), F.col("s")).alias("town"))
+                    F.concat(F.lit("T"), F.col("i")).alias("town"))

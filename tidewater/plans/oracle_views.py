@@ -228,7 +228,8 @@ FROM (SELECT *, CASE p_partkey % 7 WHEN 0 THEN '5A' WHEN 1 THEN '4A' WHEN 2 THEN
                   WHEN 3 THEN '2A' WHEN 4 THEN '1A' ELSE '' END AS tag FROM part) p""")
 
 view("bus_raw", """
-SELECT 'C' || lpad(CAST(s_nationkey % 25 AS VARCHAR), 2, '0') AS city,
+SELECT l_suppkey * 10000000 + l_partkey * 10 + l_linenumber AS id,
+  'C' || lpad(CAST(s_nationkey % 25 AS VARCHAR), 2, '0') AS city,
   '[' || l_linenumber || '路]' AS line_name, l_linenumber || '路' AS bus_name,
   CASE WHEN l_partkey % 2 = 0 THEN 'up' ELSE 'down' END AS forward,
   CASE WHEN l_partkey % 3 = 0 THEN ' S' || (l_partkey % 5) || '公交站 ' ELSE 'S' || (l_partkey % 5) END AS station_name,
@@ -239,11 +240,12 @@ FROM (SELECT DISTINCT l_suppkey, l_linenumber, l_partkey FROM lineitem) li
 JOIN supplier ON l_suppkey = s_suppkey""")
 
 view("gazetteer", """
-SELECT CASE WHEN s < 3 THEN 'C' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') || 'S' || s
-            ELSE 'C' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') || '市' || 'S' || s END AS address,
-       n_nationkey * 3.5 AS lon, 20.0 + s AS lat, r_name AS province,
-       CAST(100000 + n_nationkey * 100 + s AS VARCHAR) AS adcode, 'D' || s AS district, 'T' || s AS town
-FROM nation LEFT JOIN region ON n_regionkey = r_regionkey, range(5) t(s)""")
+SELECT CASE WHEN i >= 5 THEN 'C' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') || '市' || 'S' || (i % 5) || '公交站'
+            WHEN i % 5 < 3 THEN 'C' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') || 'S' || (i % 5)
+            ELSE 'C' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') || '市' || 'S' || (i % 5) END AS address,
+       CAST(n_nationkey * 3.5 AS DOUBLE) AS lon, CAST(20.0 + i AS DOUBLE) AS lat, r_name AS province,
+       CAST(100000 + n_nationkey * 100 + i AS VARCHAR) AS adcode, 'D' || (i % 5) AS district, 'T' || i AS town
+FROM nation LEFT JOIN region ON n_regionkey = r_regionkey, range(10) t(i)""")
 
 
 def with_views(sql: str, *names: str) -> str:
@@ -257,5 +259,7 @@ def with_views(sql: str, *names: str) -> str:
 
     for n in names:
         add(n)
+    if not order:
+        return sql
     ctes = ",\n".join(f"{n} AS ({VIEWS[n]}\n)" for n in order)
     return f"WITH {ctes}\n{sql}"

@@ -113,7 +113,7 @@ MONITOR = "area_id || '_' || road_id || '_' || monitor_id"
 
 view("avg_speed", f"""
 SELECT ws AS start, ws + {DAY} AS "end", {MONITOR} AS monitor_id,
-       ((2 * sum(CAST(round(speed * 100) AS BIGINT)) + count(*)) // (2 * count(*))) / 100.0 AS avg_speed,
+       ((2 * sum(CAST(round(speed * 100) AS BIGINT)) + count(*)) // (2 * count(*))) / CAST(100 AS DOUBLE) AS avg_speed,
        count(*) AS car_count
 FROM {_slide_src("car_info", DAY, SLIDE)} GROUP BY ws, {MONITOR}""", ("car_info",))
 
