@@ -18,16 +18,19 @@ def split_dirty(lines: DataFrame, schema: T.StructType = PAGE_LOG, value_col: st
     good: the parsed record columns (plus ``keep`` passthrough columns);
     dirty: the raw line of every unparsable input, in column ``value``.
     PERMISSIVE parsing marks bad lines in ``_corrupt_record`` instead of
-    failing, which works unchanged on a stream.
+    failing, which works unchanged on a stream.  Each line is parsed once:
+    the keep/drop test runs inside a one-element array that is then inlined,
+    so the optimizer cannot copy the parser into a pushed-down filter.
     """
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-    parsed = lines.select(*keep, F.col(value_col).alias("_line"),
-                          F.from_json(F.col(value_col), with_corrupt,
-                                      {"mode": "PERMISSIVE",
-                                       "columnNameOfCorruptRecord": CORRUPT}).alias("_rec"))
-    bad = F.col("_rec").isNull() | F.col(f"_rec.{CORRUPT}").isNotNull()
-    good = parsed.where(~bad).select(*keep, *[F.col(f"_rec.{f.name}") for f in schema.fields])
-    dirty = parsed.where(bad).select(*keep, F.col("_line").alias("value"))
+    rec = F.from_json(F.col(value_col), with_corrupt,
+                      {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    row = F.struct(*[F.col(k) for k in keep], F.col(value_col).alias("_line"), rec.alias("_rec"))
+    bad = lambda r: r["_rec"].isNull() | r["_rec"][CORRUPT].isNotNull()
+    good = (lines.select(F.inline(F.filter(F.array(row), lambda r: ~bad(r))))
+                 .select(*keep, *[F.col(f"_rec.{f.name}") for f in schema.fields]))
+    dirty = (lines.select(F.inline(F.filter(F.array(row), bad)))
+                  .select(*keep, F.col("_line").alias("value")))
     return good, dirty
 
 

@@ -9,7 +9,7 @@ from ..operators import logs as L
 from ..operators import patterns as W
 from ..operators.measures import visitor_measures
 from ..schemas import PAGE_LOG, PAGE_VIEW_MAPS
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources.lines import read_json_table, read_lines
 from . import fixtures as FX
 from .catalog import register
@@ -237,6 +237,8 @@ UNION ALL SELECT vc, ch, ar, is_new, 0, 1, CASE WHEN {ENTRY} THEN 1 ELSE 0 END,
 def e2e_visitor(spark, sf):
     """Raw lines -> dirty split -> flag repair -> {UV, bounce, PV} -> visitor stats."""
     good, _dirty = L.split_dirty(FX.raw_log_lines(spark, sf), PAGE_LOG, keep=("seq",))
-    fixed = L.fix_is_new(good)
-    _start, pages = L.split_logs(fixed)
+    _start, pages = L.split_logs(L.fix_is_new(good))
+    # DWD hand-off: the cleaned page log is written once and read by the
+    # three DWM branches (unique visits, bounces, page views)
+    pages = materialize(pages, "dwd_page_log")
     return A.visitor_stats(visitor_measures(W.unique_visits(pages), W.bounces(pages, H12), pages), DAY)

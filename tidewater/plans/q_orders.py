@@ -9,6 +9,7 @@ from ..operators import orders as O
 from ..operators.joins import age_years, interval_join, lookup
 from ..operators.measures import clicks_and_displays, product_measures
 from . import fixtures as FX
+from ..session import materialize
 from .catalog import register
 from .oracle_views import view
 from .oracle_views import with_views as V
@@ -138,10 +139,11 @@ def _payment_wide(spark, sf):
     return O.payment_wide(FX.payment_info(spark, sf), _wide(spark, sf), PAY_LO, PAY_HI)
 
 
-def _product_union(spark, sf):
+def _product_union(spark, sf, wide=None):
+    wide = _wide(spark, sf) if wide is None else wide
+    payments = O.payment_wide(FX.payment_info(spark, sf), wide, PAY_LO, PAY_HI)
     return product_measures(FX.page_log(spark, sf), FX.favor_info(spark, sf), FX.cart_info(spark, sf),
-                            _wide(spark, sf), _payment_wide(spark, sf), FX.refund_info(spark, sf),
-                            FX.comment_info(spark, sf))
+                            wide, payments, FX.refund_info(spark, sf), FX.comment_info(spark, sf))
 
 
 def _product_stats(spark, sf):
@@ -262,8 +264,12 @@ def province_stats(spark, sf):
 @register("e2e_product", V("SELECT * FROM product_stats_enriched", "product_stats_enriched"))
 def e2e_product(spark, sf):
     """Details x orders -> payments x order wide -> seven-way measures ->
-    product stats per day -> sku/spu/category/trademark names."""
-    return product_stats_enriched(spark, sf)
+    product stats per day -> sku/spu/category/trademark names.  The order
+    wide table (DWM layer) is written once and read by both consumers."""
+    wide = materialize(_wide(spark, sf), "dwm_order_wide")
+    stats = A.product_stats(_product_union(spark, sf, wide), "1 day")
+    return O.enrich_product(stats, FX.dim_sku_info(spark, sf), FX.dim_spu_info(spark, sf),
+                            FX.dim_base_category3(spark, sf), FX.dim_base_trademark(spark, sf))
 
 
 @register("e2e_province", V("SELECT * FROM province_stats", "province_stats"))

@@ -85,3 +85,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder (never reused)."""
     base = shared_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a parquet table under the shared folder and read it
+    back: a stage hand-off (like a topic between the reference's jobs) that
+    cuts lineage, is read by every later branch instead of recomputing, and
+    survives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -46,8 +46,11 @@ def read_json_table(lines: DataFrame, schema: T.StructType, time_expr: Column |
 
     Unparsable lines are skipped (every declared field null).
     """
-    parsed = lines.select(F.from_json(F.col(value_col), schema).alias("_r")).select("_r.*")
-    parsed = parsed.where(F.greatest(*[F.col(f.name).isNotNull() for f in schema.fields]))
+    rec = F.from_json(F.col(value_col), schema)
+    # parse once: test inside a one-element array, then inline (a filter on
+    # the parsed fields would be pushed below the parser and copy it)
+    present = lambda r: F.greatest(*[r[f.name].isNotNull() for f in schema.fields])
+    parsed = lines.select(F.inline(F.filter(F.array(rec), present)))
     if time_expr is not None:
         parsed = parsed.withColumn(time_col, time_expr)
         if delay:
