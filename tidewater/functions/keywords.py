@@ -42,11 +42,14 @@ def split_words(df: DataFrame, text: str, out: str = "word", keep: tuple[str, ..
     if dictionary is None:
         return words
     runs = df.select(*keep, F.explode(F.regexp_extract_all(F.col(text), F.lit(CJK_RUN), 0)).alias("_run"))
+
+    def gram_at(n: int):
+        return lambda i: F.substring(F.col("_run"), i, F.lit(n))
+
     grams = []
     for n in range(2, max_len + 1):
         starts = F.sequence(F.lit(1), F.length("_run") - n + 1)
-        grams.append(F.when(F.length("_run") >= n,
-                            F.transform(starts, lambda i, n=n: F.substring(F.col("_run"), i, n)))
+        grams.append(F.when(F.length("_run") >= n, F.transform(starts, gram_at(n)))
                       .otherwise(F.array().cast("array<string>")))
     cand = runs.select(*keep, F.explode(F.flatten(F.array(*grams))).alias(out))
     vocab = broadcast_if_small(dictionary.select(F.col(dict_col).alias(out)).distinct())

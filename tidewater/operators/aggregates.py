@@ -38,10 +38,17 @@ def distinct_count(c: str, streaming: bool) -> Column:
     return F.size(F.collect_set(c)) if streaming else F.countDistinct(c)
 
 
-def visitor_stats(measures: DataFrame, size: str = "10 seconds", ts: str = "ts") -> DataFrame:
+def _time(ts: str, event_col: str | None) -> Column:
+    """The window's time column: a watermarked event-time column on streams,
+    else epoch millis converted on the fly."""
+    return F.col(event_col) if event_col else event_time(ts)
+
+
+def visitor_stats(measures: DataFrame, size: str = "10 seconds", ts: str = "ts",
+                  event_col: str | None = None) -> DataFrame:
     """A1: sums of the visitor measures per tumbling window and
     (vc, ch, ar, is_new)."""
-    agg = (measures.groupBy(F.window(event_time(ts), size).alias("window"), *VISITOR_KEYS)
+    agg = (measures.groupBy(F.window(_time(ts, event_col), size).alias("window"), *VISITOR_KEYS)
                    .agg(*[F.sum(m).cast("long").alias(m) for m in VISITOR_MEASURES]))
     return agg.select(*window_text(), *VISITOR_KEYS, *VISITOR_MEASURES)
 
@@ -51,7 +58,7 @@ ID_KINDS = (("order_id", "order_ct"), ("paid_order_id", "paid_order_ct"),
 
 
 def product_stats(measures: DataFrame, size: str = "10 seconds", ts: str = "ts",
-                  streaming: bool = False) -> DataFrame:
+                  streaming: bool = False, event_col: str | None = None) -> DataFrame:
     """A2: per sku and tumbling window: sums of counts and amounts, distinct
     order / paid order / refund order counts.
 
@@ -61,7 +68,7 @@ def product_stats(measures: DataFrame, size: str = "10 seconds", ts: str = "ts",
     level-1 groups per kind.  Both levels combine map-side and no row is
     expanded (three COUNT DISTINCTs would make Catalyst copy every row 4x).
     """
-    w = F.window(event_time(ts), size).alias("window")
+    w = F.window(_time(ts, event_col), size).alias("window")
     if streaming:
         aggs = [F.sum(c).cast("long").alias(c) for c in PRODUCT_COUNTS]
         aggs += [F.sum(c).cast("decimal(18,2)").alias(c) for c in PRODUCT_AMOUNTS]
@@ -91,9 +98,9 @@ PROVINCE_COLS = ("province_id", "province_name", "province_area_code", "province
 
 
 def province_stats(order_wide: DataFrame, size: str = "10 seconds", ts: str = "create_ts",
-                   streaming: bool = False) -> DataFrame:
+                   streaming: bool = False, event_col: str | None = None) -> DataFrame:
     """A3: distinct orders and summed split amount per province and window."""
-    agg = (order_wide.groupBy(F.window(event_time(ts), size).alias("window"), *PROVINCE_COLS)
+    agg = (order_wide.groupBy(F.window(_time(ts, event_col), size).alias("window"), *PROVINCE_COLS)
                      .agg(distinct_count("order_id", streaming).cast("long").alias("order_count"),
                           F.sum("split_total_amount").cast("decimal(18,2)").alias("order_amount")))
     return agg.select(*window_text(), *PROVINCE_COLS, "order_count", "order_amount")

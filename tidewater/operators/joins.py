@@ -21,7 +21,8 @@ DEFAULT_BROADCAST_BYTES = 64 << 20
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan (what auto-broadcast uses)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(v) if isinstance(v, int) else int(v.toString())
     except Exception:
         return None
 

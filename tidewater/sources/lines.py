@@ -65,8 +65,8 @@ def parse_car_lines(lines: DataFrame, value_col: str = "value", keep: tuple[str,
     trimmed, speed as double (null when not numeric)."""
     parts = F.split(F.col(value_col), "\t")
     names = [f.name for f in CAR_INFO.fields]
-    cols = [F.trim(parts.getItem(i)).alias(n) for i, n in enumerate(names[:-1])]
-    speed = F.expr(f"try_cast(trim(split({value_col}, '\\t')[6]) AS DOUBLE)").alias("speed")
+    cols = [F.trim(F.get(parts, i)).alias(n) for i, n in enumerate(names[:-1])]
+    speed = F.trim(F.get(parts, len(names) - 1)).try_cast("double").alias("speed")
     return lines.select(*keep, *cols, speed)
 
 
