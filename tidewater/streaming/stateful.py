@@ -33,15 +33,20 @@ def _concat(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
 
 # ------------------------------------------------------------------- W1
 class FirstVisitPerDay(StatefulProcessor):
-    """First entry row per device and calendar day (UTC).  Seen days are
-    kept in a map state whose entries expire ``ttl_ms`` after their write
-    (processing time), like the reference's 24 h state TTL."""
+    """First entry row per device and calendar day (UTC).
 
-    def __init__(self, ttl_ms: int = DAY_MS):
-        self.ttl_ms = ttl_ms
+    Seen days live in a map state; an event-time timer drops a day once the
+    watermark is ``retain_ms`` past its end (the reference keeps the marker
+    24 h after writing it).  Event time rather than a processing-time TTL
+    makes re-runs deterministic and lets an ``availableNow`` run finish.
+    """
+
+    def __init__(self, retain_ms: int = DAY_MS):
+        self.retain = int(retain_ms)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getMapState("seen_days", "day long", "seen boolean", ttlDurationMs=self.ttl_ms)
+        self.handle = handle
+        self.seen = handle.getMapState("seen_days", "day long", "seen boolean")
 
     def handleInputRows(self, key, rows, timerValues: TimerValues):
         pdf = _concat(rows).sort_values(["ts", "seq"], kind="stable")
@@ -51,19 +56,26 @@ class FirstVisitPerDay(StatefulProcessor):
             fresh = not self.seen.containsKey((int(day),))
             if fresh:
                 self.seen.updateValue((int(day),), (True,))
+                self.handle.registerTimer((int(day) + 1) * DAY_MS + self.retain)
             keep.append(fresh)
         yield pdf.loc[keep].drop(columns="_day")
 
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
+        day = (expiredTimerInfo.getExpiryTimeInMs() - self.retain) // DAY_MS - 1
+        self.seen.removeKey((int(day),))
+        yield pd.DataFrame()
+
     def close(self) -> None:
         pass
 
 
-def unique_visits_stream(entries: DataFrame, key: str = "mid", ttl_ms: int = DAY_MS) -> DataFrame:
+def unique_visits_stream(entries: DataFrame, key: str = "mid", retain_ms: int = DAY_MS) -> DataFrame:
     """W1 stream form.  ``entries``: flat entry-page rows with ``ts`` (millis)
-    and ``seq``; output has the same columns."""
+    and ``seq`` plus a watermarked event-time column; output has the input
+    columns."""
     return entries.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=FirstVisitPerDay(ttl_ms), outputStructType=entries.schema,
-        outputMode="Append", timeMode="ProcessingTime")
+        statefulProcessor=FirstVisitPerDay(retain_ms), outputStructType=entries.schema,
+        outputMode="Append", timeMode="EventTime")
 
 
 # ------------------------------------------------------------------- W2
