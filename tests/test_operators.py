@@ -258,8 +258,12 @@ def test_upsert_and_write_once_are_idempotent(spark, tmp_dir):
     a = spark.createDataFrame([("k1", "v1", 1), ("k2", "v2", 2)], "k string, v string, seq long")
     b = spark.createDataFrame([("k1", "v3", 3), ("k2", "old", 0)], "k string, v string, seq long")
     K.upsert_dim(a, tmp_dir + "/dim", ["k"], "seq")
-    assert K.upsert_dim(b, tmp_dir + "/dim", ["k"], "seq") == 2
+    K.upsert_dim(b, tmp_dir + "/dim", ["k"], "seq")
+    K.upsert_dim(b, tmp_dir + "/dim", ["k"], "seq")          # replayed batch: no change
     assert rows(K.read_snapshot(spark, tmp_dir + "/dim"), "k", "v") == [("k1", "v3"), ("k2", "v2")]
+    c = spark.createDataFrame([("k3", "v4", 5)], "k string, v string, seq long")
+    assert K.upsert_dim(c, tmp_dir + "/dim", ["k"], "seq") == 1   # one bucket rewritten
+    assert K.read_snapshot(spark, tmp_dir + "/dim").count() == 3
     K.write_once(a, tmp_dir + "/once", 1)
     K.write_once(a, tmp_dir + "/once", 1)
     K.write_once(b, tmp_dir + "/once", 2)
