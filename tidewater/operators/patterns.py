@@ -92,4 +92,5 @@ def top_monitors(bands: DataFrame, n: int = 5, ascending: bool = True,
     sort = [F.col(c).asc() if ascending else F.col(c).desc() for c in order]
     w = Window.partitionBy(*window_cols, *partition_by).orderBy(*sort, F.col(tie_break).asc())
     return (bands.withColumn("rank", F.row_number().over(w))
-                 .where(F.col("rank") <= n))
+                 .where(F.col("rank") <= n)
+                 .withColumn("rank", F.col("rank").cast("long")))
