@@ -204,3 +204,57 @@ def test_top_n_per_batch(spark, tmp_dir):
     out = spark.read.parquet(target).drop("batch_id")
     batch = W.top_monitors(A.speed_bands(cars, "1 day", "6 hours"), 5, window_cols=("stt", "edt"))
     assert rows(out) == rows(batch)
+
+
+def test_unique_visits_ttl_form(spark, tmp_dir, flat_pages):
+    """The processing-time TTL form, one trigger over all input."""
+    entries = flat_pages.where("entry").drop("entry", "is_new")
+    src = f"{tmp_dir}/uvttl"
+    entries.coalesce(1).write.parquet(src)
+    q = (ST.unique_visits_stream_ttl(spark.readStream.schema(entries.schema).parquet(src)).writeStream
+         .format("memory").queryName("uv_ttl").outputMode("append")
+         .option("checkpointLocation", f"{tmp_dir}/uvttl_ckpt").trigger(processingTime="1 second").start())
+    try:
+        import time
+        deadline = time.time() + 120
+        while time.time() < deadline and spark.table("uv_ttl").count() == 0:
+            time.sleep(1)
+        time.sleep(2)
+    finally:
+        q.stop()
+    out = spark.table("uv_ttl")
+    batch = W.unique_visits(entries, key="mid", last_page=F.lit(None))
+    assert rows(out, "seq") == rows(batch, "seq")
+
+
+def test_new_listings_per_batch(spark, tmp_dir):
+    from tidewater.operators import listings as LS
+    hotels = LS.clean_hotel(FX.hotel_raw(spark, SF_DIR)).select("id", "city", "hotel_name", "dedup_key")
+    # second slice repeats the keys of the first one: they must be skipped
+    src = f"{tmp_dir}/hotels"
+    hotels.where("id < 100").coalesce(1).write.mode("append").parquet(src)
+    hotels.coalesce(1).write.mode("append").parquet(src)
+    target = f"{tmp_dir}/listings"
+    finish(SF.start(stream_of(spark, hotels, src), f"{tmp_dir}/listings_ckpt",
+                    SF.new_listings_per_batch(target)))
+    out = spark.read.parquet(f"{target}/rows")
+    assert rows(out, "id") == rows(LS.dedup_listings(hotels), "id")
+    assert out.groupBy("batch_id").count().count() == 2
+
+
+def test_match_or_timeout_rejects_far_pairs(spark, tmp_dir):
+    """Both rows read before the timer fires, but further apart than
+    ``wait``: not a match."""
+    base = 1_700_000_000_000
+    v = spark.createDataFrame([("a", base, 1)], "car_id string, ts long, seq long")
+    p = spark.createDataFrame([("a", base + 97_000, 2)], "car_id string, ts long, seq long")
+    for df, name in ((v, "v"), (p, "p")):
+        df.coalesce(1).write.parquet(f"{tmp_dir}/{name}")
+        df.limit(1).withColumn("ts", F.lit(FAR)).withColumn("car_id", F.lit("zz")) \
+            .coalesce(1).write.mode("append").parquet(f"{tmp_dir}/{name}")
+    sv = spark.readStream.schema(v.schema).parquet(f"{tmp_dir}/v").withColumn("et", F.timestamp_millis("ts"))
+    sp = spark.readStream.schema(p.schema).parquet(f"{tmp_dir}/p").withColumn("et", F.timestamp_millis("ts"))
+    out = run_to_table(spark, ST.match_or_timeout_stream(sv, sp, "car_id", "et", 5_000, "0 seconds"),
+                       tmp_dir, "far")
+    got = rows(out.where("car_id = 'a'"), "status")
+    assert ("matched",) not in got

@@ -86,20 +86,35 @@ def upsert_per_batch(target: str, keys: Sequence[str], seq: str) -> Callable[[Da
     return handle
 
 
-def new_listings_per_batch(target: str, key: str = "dedup_key") -> Callable[[DataFrame, int], None]:
-    """U4 stream form: rows whose key an earlier batch already wrote are
-    skipped; the first row per key within the batch survives."""
-    from ..operators.listings import dedup_listings, new_listings
+def new_listings_per_batch(target: str, key: str = "dedup_key", buckets: int = 16,
+                           order: Sequence[str] = ("id",)) -> Callable[[DataFrame, int], None]:
+    """U4 stream form: the first row per key within the batch survives and
+    rows whose key an earlier batch already wrote are skipped.  Written keys
+    are kept in a hash-bucketed key table; a batch reads only the buckets its
+    keys fall into, so the check costs what the batch costs."""
+    from ..operators.listings import dedup_listings
+
+    keys_dir = f"{target}/_keys"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = dedup_listings(batch, key)
+        fresh = dedup_listings(batch, key, order).withColumn(
+            K.BUCKET, F.pmod(F.hash(F.col(key)), F.lit(buckets)))
+        touched = [r[0] for r in fresh.select(K.BUCKET).distinct().collect()]  # <= buckets ints
         try:
-            prev = spark.read.parquet(target).where(F.col("batch_id") != batch_id)
-            fresh = new_listings(fresh, prev, key)
-        except Exception:  # first batch: nothing written yet
+            seen = (spark.read.parquet(keys_dir).where(F.col(K.BUCKET).isin(touched))
+                         .where(F.col("batch_id") != batch_id).select(key).distinct())
+            fresh = fresh.join(seen, key, "left_anti")
+        except Exception:  # first batch: no key table yet
             pass
-        K.write_once(fresh, target, batch_id)
+        K.write_once(fresh.drop(K.BUCKET), f"{target}/rows", batch_id)
+        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        try:  # a replayed batch overwrites its own key partitions
+            (fresh.select(key, K.BUCKET).withColumn("batch_id", F.lit(int(batch_id)))
+                  .write.mode("overwrite").partitionBy(K.BUCKET, "batch_id").parquet(keys_dir))
+        finally:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
     return handle
 
 

@@ -78,6 +78,42 @@ def unique_visits_stream(entries: DataFrame, key: str = "mid", retain_ms: int =
         outputMode="Append", timeMode="EventTime")
 
 
+class FirstVisitPerDayTTL(StatefulProcessor):
+    """W1 as the reference writes it: the seen-day marker is a value state
+    with a 24 h processing-time TTL, refreshed on write, compared with the
+    row's day.  For continuous (processing-time) triggers; under
+    ``availableNow`` the TTL keeps scheduling empty batches."""
+
+    def __init__(self, ttl_ms: int = DAY_MS):
+        self.ttl = int(ttl_ms)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last_day", "day long", ttlDurationMs=self.ttl)
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        pdf = _concat(rows).sort_values(["ts", "seq"], kind="stable")
+        last = self.last.get()[0] if self.last.exists() else None
+        keep = []
+        for day in (pdf["ts"] // DAY_MS).tolist():
+            fresh = last is None or int(day) != last
+            if fresh:
+                last = int(day)
+            keep.append(fresh)
+        if last is not None:
+            self.last.update((last,))
+        yield pdf.loc[keep]
+
+    def close(self) -> None:
+        pass
+
+
+def unique_visits_stream_ttl(entries: DataFrame, key: str = "mid", ttl_ms: int = DAY_MS) -> DataFrame:
+    """W1 stream form with the processing-time state TTL."""
+    return entries.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=FirstVisitPerDayTTL(ttl_ms), outputStructType=entries.schema,
+        outputMode="Append", timeMode="ProcessingTime")
+
+
 # ------------------------------------------------------------------- W2
 class NewFlagRepair(StatefulProcessor):
     """Only the first row flagged '1' of a device keeps the flag."""
