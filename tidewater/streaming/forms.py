@@ -86,35 +86,51 @@ def upsert_per_batch(target: str, keys: Sequence[str], seq: str) -> Callable[[Da
     return handle
 
 
-def new_listings_per_batch(target: str, key: str = "dedup_key", buckets: int = 16,
-                           order: Sequence[str] = ("id",)) -> Callable[[DataFrame, int], None]:
-    """U4 stream form: the first row per key within the batch survives and
-    rows whose key an earlier batch already wrote are skipped.  Written keys
-    are kept in a hash-bucketed key table; a batch reads only the buckets its
-    keys fall into, so the check costs what the batch costs."""
+def unseen_rows(batch: DataFrame, keys_dir: str, batch_id: int, key: str = "dedup_key",
+                order: Sequence[str] = ("id",), buckets: int = 16) -> DataFrame:
+    """U4 stream form, check: the first row per key within the batch, minus
+    keys that earlier batches recorded (``record_keys``).  Keys live in a
+    hash-bucketed table; only the buckets this batch's keys fall into are
+    read, so the check costs what the batch costs."""
     from ..operators.listings import dedup_listings
 
-    keys_dir = f"{target}/_keys"
+    fresh = dedup_listings(batch, key, order).withColumn(K.BUCKET, F.pmod(F.hash(F.col(key)), F.lit(buckets)))
+    touched = [r[0] for r in fresh.select(K.BUCKET).distinct().collect()]  # <= buckets ints
+    try:
+        seen = (batch.sparkSession.read.parquet(keys_dir).where(F.col(K.BUCKET).isin(touched))
+                     .where(F.col("batch_id") != batch_id).select(key).distinct())
+        fresh = fresh.join(seen, key, "left_anti")
+    except Exception:  # first batch: no key table yet
+        pass
+    return fresh.drop(K.BUCKET)
+
+
+def record_keys(rows: DataFrame, keys_dir: str, batch_id: int, key: str = "dedup_key",
+                buckets: int = 16) -> None:
+    """U4 stream form, commit: remember this batch's keys (a replayed batch
+    overwrites its own key partitions)."""
+    spark = rows.sparkSession
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        (rows.select(key).withColumn(K.BUCKET, F.pmod(F.hash(F.col(key)), F.lit(buckets)))
+             .withColumn("batch_id", F.lit(int(batch_id)))
+             .write.mode("overwrite").partitionBy(K.BUCKET, "batch_id").parquet(keys_dir))
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+
 
+def new_listings_per_batch(target: str, key: str = "dedup_key", buckets: int = 16,
+                           order: Sequence[str] = ("id",)) -> Callable[[DataFrame, int], None]:
+    """U4 stream form: ``foreachBatch`` handler writing the rows whose key no
+    earlier batch wrote (first row per key within the batch)."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = dedup_listings(batch, key, order).withColumn(
-            K.BUCKET, F.pmod(F.hash(F.col(key)), F.lit(buckets)))
-        touched = [r[0] for r in fresh.select(K.BUCKET).distinct().collect()]  # <= buckets ints
+        fresh = unseen_rows(batch, f"{target}/_keys", batch_id, key, order, buckets).persist()
         try:
-            seen = (spark.read.parquet(keys_dir).where(F.col(K.BUCKET).isin(touched))
-                         .where(F.col("batch_id") != batch_id).select(key).distinct())
-            fresh = fresh.join(seen, key, "left_anti")
-        except Exception:  # first batch: no key table yet
-            pass
-        K.write_once(fresh.drop(K.BUCKET), f"{target}/rows", batch_id)
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:  # a replayed batch overwrites its own key partitions
-            (fresh.select(key, K.BUCKET).withColumn("batch_id", F.lit(int(batch_id)))
-                  .write.mode("overwrite").partitionBy(K.BUCKET, "batch_id").parquet(keys_dir))
+            K.write_once(fresh, f"{target}/rows", batch_id)
+            record_keys(fresh, f"{target}/_keys", batch_id, key, buckets)
         finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+            fresh.unpersist()
     return handle
 
 

@@ -150,6 +150,7 @@ class _Buffered(StatefulProcessor):
 
     state_schema = ""
     columns: tuple[str, ...] = ()
+    with_payload = False
 
     def __init__(self, within_ms: int):
         self.within = int(within_ms)
@@ -194,10 +195,16 @@ class _Buffered(StatefulProcessor):
 
 class BounceDetector(_Buffered):
     """Entry rows whose next row is an entry less than ``within`` later
-    (matched) or that have no next row within it (timeout)."""
+    (matched) or that have no next row within it (timeout).  An optional
+    ``payload`` text (e.g. the record as JSON) is carried to the output."""
 
-    state_schema = "ts long, seq long, entry boolean, page_id string"
-    columns = ("ts", "seq", "entry", "page_id")
+    state_schema = "ts long, seq long, entry boolean, page_id string, payload string"
+    columns = ("ts", "seq", "entry", "page_id", "payload")
+
+    def _run(self, key, new, wm):
+        if new is not None and "payload" not in new.columns:
+            new = new.assign(payload=None)
+        yield from super()._run(key, new, wm)
 
     def decide(self, key, buf: pd.DataFrame, decided) -> pd.DataFrame:
         nts = buf["ts"].shift(-1)
@@ -207,18 +214,24 @@ class BounceDetector(_Buffered):
         timeout = ~close
         keep = decided & buf["entry"].astype(bool) & (matched | timeout)
         k = key[0] if isinstance(key, tuple) else key
-        return pd.DataFrame({"mid": k, "ts": buf.loc[keep, "ts"], "seq": buf.loc[keep, "seq"],
-                             "page_id": buf.loc[keep, "page_id"],
-                             "kind": matched[keep].map({True: "matched", False: "timeout"})})
+        out = pd.DataFrame({"mid": k, "ts": buf.loc[keep, "ts"], "seq": buf.loc[keep, "seq"],
+                            "page_id": buf.loc[keep, "page_id"],
+                            "kind": matched[keep].map({True: "matched", False: "timeout"})})
+        if self.with_payload:
+            out["payload"] = buf.loc[keep, "payload"]
+        return out
 
 
-def bounces_stream(pages: DataFrame, within_ms: int = 10_000, key: str = "mid") -> DataFrame:
+def bounces_stream(pages: DataFrame, within_ms: int = 10_000, key: str = "mid",
+                   payload: bool = False) -> DataFrame:
     """W3 stream form.  ``pages``: flat rows ``mid, ts (millis), seq,
-    page_id, entry`` with a watermark on an event-time column."""
+    page_id, entry`` (and ``payload`` text when ``payload``) with a watermark
+    on an event-time column."""
+    proc = BounceDetector(within_ms)
+    proc.with_payload = payload
+    schema = "mid string, ts long, seq long, page_id string, kind string" + (", payload string" if payload else "")
     return pages.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=BounceDetector(within_ms),
-        outputStructType="mid string, ts long, seq long, page_id string, kind string",
-        outputMode="Append", timeMode="EventTime")
+        statefulProcessor=proc, outputStructType=schema, outputMode="Append", timeMode="EventTime")
 
 
 class ThreeStepDetector(_Buffered):
