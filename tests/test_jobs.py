@@ -137,3 +137,87 @@ def test_keyword_job(spark, tmp_dir):
     load_all()
     want = QUERIES["e2e_keyword"](spark, SF_DIR)
     assert rows(spark.read.parquet(f"{tmp_dir}/kw")) == rows(want, "source", "stt", "edt", "keyword", "ct")
+
+
+def _dims(spark):
+    return {"user": FX.dim_user_info(spark, SF_DIR), "province": FX.dim_base_province(spark, SF_DIR),
+            "sku": FX.dim_sku_info(spark, SF_DIR), "spu": FX.dim_spu_info(spark, SF_DIR),
+            "trademark": FX.dim_base_trademark(spark, SF_DIR), "category": FX.dim_base_category3(spark, SF_DIR)}
+
+
+def test_order_payment_province_chain(spark, tmp_dir):
+    from tidewater.operators import orders as O
+    orders, details, pays = (FX.order_info(spark, SF_DIR), FX.order_detail(spark, SF_DIR),
+                             FX.payment_info(spark, SF_DIR))
+    for df, n in ((orders, "orders"), (details, "details"), (pays, "pays")):
+        df.coalesce(1).write.parquet(f"{tmp_dir}/{n}")
+    lo, hi = -20 * DAY, 20 * DAY
+    finish(JB.order_wide(spark, JB.Topic(f"{tmp_dir}/orders", orders.schema),
+                         JB.Topic(f"{tmp_dir}/details", details.schema), _dims(spark),
+                         JB.Topic(f"{tmp_dir}/wide"), f"{tmp_dir}/ck_wide", lo, hi))
+    wide = spark.read.parquet(f"{tmp_dir}/wide")
+    want = O.enrich_order(O.order_wide(orders, details, lo, hi), *_dims(spark).values())
+    assert rows(wide, "detail_id", "order_id", "province_name", "tm_name") == \
+        rows(want, "detail_id", "order_id", "province_name", "tm_name")
+    finish(JB.payment_wide(spark, JB.Topic(f"{tmp_dir}/pays", pays.schema), JB.Topic(f"{tmp_dir}/wide", wide.schema),
+                           JB.Topic(f"{tmp_dir}/paywide"), f"{tmp_dir}/ck_pay", -15 * DAY, 5 * DAY))
+    got = spark.read.parquet(f"{tmp_dir}/paywide")
+    want_p = O.payment_wide(pays, O.order_wide(orders, details, lo, hi), -15 * DAY, 5 * DAY)
+    assert rows(got, "payment_id", "detail_id", "user_id") == rows(want_p, "payment_id", "detail_id", "user_id")
+    finish(JB.province_stats(spark, JB.Topic(f"{tmp_dir}/wide", wide.schema), JB.Topic(f"{tmp_dir}/prov"),
+                             f"{tmp_dir}/ck_prov", size="1 day", delay="36500 days"))
+    assert spark.read.parquet(f"{tmp_dir}/prov").count() == 0   # windows close only with later data
+
+
+def test_traffic_jobs(spark, tmp_dir):
+    cars_df = FX.car_info(spark, SF_DIR)
+    FX.car_lines(spark, SF_DIR).select("value").coalesce(1).write.text(f"{tmp_dir}/cars")
+    far = "00\t00\t0000\t00000\t2100-01-01 00:00:00\tzz\t1.0"
+    for _ in range(2):   # the second sentinel batch fires the timers the first one's watermark expired
+        spark.createDataFrame([(far,)], "value string").coalesce(1).write.mode("append").text(f"{tmp_dir}/cars")
+    src = JB.Topic(f"{tmp_dir}/cars", fmt="text", max_files_per_trigger=1)
+    limits = FX.speed_limit(spark, SF_DIR)
+    cars = cars_df.withColumn("ts", F.to_timestamp("action_time")).withColumn("ts_ms", F.unix_millis("ts"))
+
+    finish(JB.danger_drive(spark, src, limits, JB.Topic(f"{tmp_dir}/danger"), f"{tmp_dir}/ck_d",
+                           within_ms=72 * 3_600_000, delay="0 seconds"))
+    want = W.danger_drive(J.with_speed_limit(cars, limits), 72 * 3_600_000)
+    assert rows(spark.read.parquet(f"{tmp_dir}/danger"), "car_id", "time_1") == rows(want, "car_id", "time_1")
+
+    finish(JB.repeat_plates(spark, src, JB.Topic(f"{tmp_dir}/plates"), f"{tmp_dir}/ck_p", within_ms=3_600_000))
+    plates = spark.read.parquet(f"{tmp_dir}/plates").where("car_id <> 'zz'")   # sentinels repeat
+    assert plates.count() == W.repeat_plates(cars, 3_600_000).count()
+
+    finish(JB.avg_speed(spark, src, JB.Topic(f"{tmp_dir}/avg"), f"{tmp_dir}/ck_a", "1 day", "6 hours"))
+    assert rows(spark.read.parquet(f"{tmp_dir}/avg")) == rows(A.avg_speed(cars, "1 day", "6 hours"))
+
+    finish(JB.car_count(spark, src, JB.Topic(f"{tmp_dir}/cnt"), f"{tmp_dir}/ck_c", "1 hour"))
+    assert rows(spark.read.parquet(f"{tmp_dir}/cnt")) == rows(A.car_count(cars, "1 hour"))
+
+    finish(JB.top_monitors(spark, src, JB.Topic(f"{tmp_dir}/top"), f"{tmp_dir}/ck_t", 5, "1 day", "6 hours"))
+    want_t = W.top_monitors(A.speed_bands(cars, "1 day", "6 hours"), 5, window_cols=("stt", "edt"))
+    assert rows(spark.read.parquet(f"{tmp_dir}/top").drop("batch_id")) == rows(want_t)
+
+
+def test_police_jobs(spark, tmp_dir):
+    v, p = FX.violation(spark, SF_DIR), FX.police(spark, SF_DIR)
+    v.select(F.concat_ws(",", "car_id", "violation", "create_time", "description")).coalesce(1) \
+        .write.text(f"{tmp_dir}/v")
+    p.select(F.concat_ws(",", "police_id", "car_id", "action_time", "status")).coalesce(1).write.text(f"{tmp_dir}/p")
+    for n, line in (("v", "zz,x,2100-01-01 00:00:00,x"), ("p", "pz,zz,2100-01-01 00:00:00,x")):
+        for _ in range(2):
+            spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(f"{tmp_dir}/{n}")
+    tv = JB.Topic(f"{tmp_dir}/v", fmt="text", max_files_per_trigger=1)
+    tp = JB.Topic(f"{tmp_dir}/p", fmt="text", max_files_per_trigger=1)
+    six = 6 * 3_600_000
+    finish(JB.police_dispatch(spark, tv, tp, JB.Topic(f"{tmp_dir}/disp"), f"{tmp_dir}/ck_disp", six, "0 seconds"))
+    vt = v.withColumn("ts", F.unix_millis(F.to_timestamp("create_time")))
+    pt = p.withColumn("ts", F.unix_millis(F.to_timestamp("action_time")))
+    want = J.interval_join(vt.select("car_id", "create_time", F.col("ts").alias("vt")),
+                           pt.select("car_id", "action_time", F.col("ts").alias("pt")),
+                           ["car_id"], "vt", "pt", -six, six)
+    got = spark.read.parquet(f"{tmp_dir}/disp").where("car_id <> 'zz'")
+    assert rows(got, "car_id", "create_time", "action_time") == rows(want, "car_id", "create_time", "action_time")
+    finish(JB.police_connect(spark, tv, tp, JB.Topic(f"{tmp_dir}/conn"), f"{tmp_dir}/ck_conn", six, "0 seconds"))
+    statuses = {r[0] for r in spark.read.parquet(f"{tmp_dir}/conn").select("status").distinct().collect()}
+    assert "matched" in statuses and statuses <= {"matched", "left_only", "right_only"}

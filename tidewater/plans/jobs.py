@@ -93,6 +93,14 @@ def _trigger(t):
     return t or {"availableNow": True}
 
 
+def with_seq(df: DataFrame, value: str = "value") -> DataFrame:
+    """The arrival sequence: the source's ``seq`` (Kafka offset, or a column of
+    the topic) when present; otherwise a deterministic hash of the line, which
+    only breaks ties inside a micro-batch (batches themselves arrive in
+    order)."""
+    return df if "seq" in df.columns else df.withColumn("seq", F.xxhash64(F.col(value)))
+
+
 # ------------------------------------------------------------------ ODS / DWD
 def ods_changes(spark, raw: Topic, out: Topic, checkpoint: str, trigger=None) -> StreamingQuery:
     """ODS: capture records -> normalised change envelopes."""
@@ -103,9 +111,7 @@ def log_split(spark, raw: Topic, start: Topic, page: Topic, display: Topic, dirt
               checkpoint: str, trigger=None) -> list[StreamingQuery]:
     """DWD behaviour log: parse (dirty lines to their own topic), repair the
     new-visitor flag per device, split start / page / display records."""
-    lines = raw.read(spark)
-    if "seq" not in lines.columns:
-        lines = lines.withColumn("seq", F.monotonically_increasing_id())
+    lines = with_seq(raw.read(spark))
     good, bad = L.split_dirty(lines, PAGE_LOG, keep=("seq",))
     q_dirty = dirty.write(bad, f"{checkpoint}/dirty", trigger)
     flat = good.withColumn("mid", F.col("common.mid")).withColumn("is_new", F.col("common.is_new"))
@@ -144,7 +150,8 @@ def _flat_pages(pages: DataFrame) -> DataFrame:
 def unique_visit(spark, page: Topic, out: Topic, checkpoint: str, delay: str = "0 seconds",
                  trigger=None) -> StreamingQuery:
     """DWM unique visits: first entry page per device and day."""
-    p = SF.watermarked(_flat_pages(page.read(spark)).where(L.is_entry()), "ts", delay, "et")
+    # watermark on the whole page stream (before the entry filter), as at the source
+    p = SF.watermarked(_flat_pages(page.read(spark)), "ts", delay, "et").where(L.is_entry())
     uv = ST.unique_visits_stream(p).drop("mid", "et")
     return out.write(uv, checkpoint, trigger)
 
@@ -254,9 +261,17 @@ def keyword_stats(spark, page_lines: Topic, out: Topic, checkpoint: str, size: s
 
 # -------------------------------------------------------------------- traffic
 def _cars(spark, lines: Topic) -> DataFrame:
-    c = parse_car_lines(lines.read(spark))
+    """Parsed car passages with event time.  Without a source sequence the
+    arrival order inside a micro-batch is taken as the passage time (ties
+    broken by a hash of the line)."""
+    raw = lines.read(spark)
+    has_seq = "seq" in raw.columns
+    if not has_seq:
+        raw = raw.withColumn("_h", F.pmod(F.xxhash64("value"), F.lit(1000)))
+    c = parse_car_lines(raw, keep=("seq",) if has_seq else ("_h",))
     t = F.to_timestamp("action_time", "yyyy-MM-dd HH:mm:ss")
-    return c.withColumn("ts", t).withColumn("ts_ms", F.unix_millis(t))
+    c = c.withColumn("ts", t).withColumn("ts_ms", F.unix_millis(t))
+    return c if has_seq else c.withColumn("seq", F.col("ts_ms") * 1000 + F.col("_h")).drop("_h")
 
 
 def overspeed(spark, lines: Topic, limits: PolledTable, out: Topic, checkpoint: str,
@@ -270,19 +285,17 @@ def overspeed(spark, lines: Topic, limits: PolledTable, out: Topic, checkpoint:
 def danger_drive(spark, lines: Topic, limits: DataFrame, out: Topic, checkpoint: str,
                  within_ms: int = 10_000, delay: str = "5 seconds", trigger=None) -> StreamingQuery:
     """Three overspeed passages of one car within ``within_ms``."""
-    over = (with_speed_limit(_cars(spark, lines), limits)
+    cars = _cars(spark, lines).withColumn("et", F.col("ts")).withWatermark("et", delay)  # at the source
+    over = (with_speed_limit(cars, limits)
             .where(F.col("speed") > F.col("limit_speed") * 1.2)
-            .select("car_id", F.col("ts_ms").alias("ts"), F.monotonically_increasing_id().alias("seq"),
-                    "action_time", F.col("ts").alias("et"))
-            .withWatermark("et", delay))
+            .select("car_id", F.col("ts_ms").alias("ts"), "seq", "action_time", "et"))
     return out.write(ST.danger_drive_stream(over, within_ms), checkpoint, trigger)
 
 
 def repeat_plates(spark, lines: Topic, out: Topic, checkpoint: str, within_ms: int = 10_000,
                   trigger=None) -> StreamingQuery:
     """Duplicate plates: passages within ``within_ms`` of the plate's latest."""
-    c = _cars(spark, lines).select("car_id", F.col("ts_ms").alias("ts"),
-                                   F.monotonically_increasing_id().alias("seq"), "action_time")
+    c = _cars(spark, lines).select("car_id", F.col("ts_ms").alias("ts"), "seq", "action_time")
     return out.write(ST.repeat_plates_stream(c, within_ms), checkpoint, trigger)
 
 
@@ -314,7 +327,7 @@ def top_monitors(spark, lines: Topic, out: Topic, checkpoint: str, n: int = 5,
 
 def _violations(spark, lines: Topic, names: tuple[str, ...], time_col: str, delay: str) -> DataFrame:
     parts = F.split("value", ",")
-    d = lines.read(spark).select(*[F.get(parts, i).alias(n) for i, n in enumerate(names)])
+    d = with_seq(lines.read(spark)).select("seq", *[F.get(parts, i).alias(n) for i, n in enumerate(names)])
     t = F.to_timestamp(F.col(time_col), "yyyy-MM-dd HH:mm:ss")
     return d.withColumn("et", t).withColumn("ts", F.unix_millis(t)).withWatermark("et", delay)
 
@@ -338,9 +351,8 @@ def police_connect(spark, violations: Topic, police: Topic, out: Topic, checkpoi
                    wait_ms: int = 5_000, delay: str = "3 seconds", trigger=None) -> StreamingQuery:
     """Match-or-timeout of violations and dispatches per car (timers)."""
     v = _violations(spark, violations, ("car_id", "violation", "create_time", "description"),
-                    "create_time", delay).withColumn("seq", F.monotonically_increasing_id())
-    p = _violations(spark, police, ("police_id", "car_id", "action_time", "status"), "action_time",
-                    delay).withColumn("seq", F.monotonically_increasing_id())
+                    "create_time", delay)
+    p = _violations(spark, police, ("police_id", "car_id", "action_time", "status"), "action_time", delay)
     return out.write(ST.match_or_timeout_stream(v, p, "car_id", "et", wait_ms, delay), checkpoint, trigger)
 
 
