@@ -353,7 +353,7 @@ def police_connect(spark, violations: Topic, police: Topic, out: Topic, checkpoi
     v = _violations(spark, violations, ("car_id", "violation", "create_time", "description"),
                     "create_time", delay)
     p = _violations(spark, police, ("police_id", "car_id", "action_time", "status"), "action_time", delay)
-    return out.write(ST.match_or_timeout_stream(v, p, "car_id", "et", wait_ms, delay), checkpoint, trigger)
+    return out.write(ST.match_or_timeout_stream(v, p, "car_id", "et", wait_ms, None), checkpoint, trigger)
 
 
 # ------------------------------------------------------------------- listings

@@ -351,13 +351,15 @@ class MatchOrTimeout(StatefulProcessor):
 
 
 def match_or_timeout_stream(left: DataFrame, right: DataFrame, key: str, event_col: str,
-                            wait_ms: int, delay: str = "3 seconds") -> DataFrame:
+                            wait_ms: int, delay: str | None = "3 seconds") -> DataFrame:
     """J9 stream form: ``left`` / ``right`` have ``key, ts (millis), seq`` and
-    an event-time column; both are watermarked, unioned and keyed."""
+    an event-time column; they are unioned, watermarked (``delay``; pass None
+    when the inputs already carry watermarks) and keyed."""
     cols = [key, "ts", "seq", event_col]
     u = (left.select(*cols, F.lit("L").alias("side"))
-             .unionByName(right.select(*cols, F.lit("R").alias("side")))
-             .withWatermark(event_col, delay))
+             .unionByName(right.select(*cols, F.lit("R").alias("side"))))
+    if delay:
+        u = u.withWatermark(event_col, delay)
     return u.groupBy(key).transformWithStateInPandas(
         statefulProcessor=MatchOrTimeout(wait_ms),
         outputStructType="car_id string, l_id long, r_id long, l_ts long, r_ts long, status string",
