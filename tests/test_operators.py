@@ -327,3 +327,48 @@ def test_age(spark):
     r = spark.createDataFrame([("2000-01-01", "2020-12-31")], "b string, d string") \
         .select(J.age_years(F.col("b"), F.to_date("d"))).first()[0]
     assert r == 7670 // 365   # 365-day years (D2): 21
+
+
+def test_match_or_timeout_random_matches_brute_force(spark):
+    rnd = random.Random(13)
+    l = [(rnd.choice("abc"), i, rnd.randint(0, 2_000)) for i in range(150)]
+    r = [(rnd.choice("abcd"), 1000 + i, rnd.randint(0, 2_000)) for i in range(150)]
+    ldf = spark.createDataFrame(l, "car string, seq long, ts long")
+    rdf = spark.createDataFrame(r, "car string, seq long, ts long")
+    got = rows(J.match_or_timeout(ldf, rdf, "car", "ts", "ts", 37), "car", "l_id", "r_id", "status")
+    pairs = [(a, i, j, "matched") for a, i, x in l for b, j, y in r if a == b and abs(x - y) <= 37]
+    lm = {p[1] for p in pairs}
+    rm = {p[2] for p in pairs}
+    want = pairs + [(a, i, None, "left_only") for a, i, _ in l if i not in lm] \
+        + [(b, None, j, "right_only") for b, j, _ in r if j not in rm]
+    assert got == sorted(want, key=_key)
+
+
+def _max_partition_share(df, col):
+    """Largest share of rows in one task of the stage that computes ``col``
+    (the count uses ``col`` so the operator cannot be pruned away)."""
+    counts = [r[1] for r in df.withColumn("_p", F.spark_partition_id())
+              .groupBy("_p").agg(F.count(F.col(col))).collect()]
+    return max(counts) / sum(counts)
+
+
+def test_hot_key_is_spread_over_tasks(spark):
+    """A key holding 60 % of the rows must not land in one task."""
+    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rnd = random.Random(1)
+        data = [("hot" if rnd.random() < 0.6 else f"k{rnd.randint(0, 50)}", rnd.randint(0, 10_000_000), i)
+                for i in range(20_000)]
+        df = spark.createDataFrame(data, "k string, ts long, seq long")
+        naive = df.withColumn("n", F.lead("ts").over(Window.partitionBy("k").orderBy("ts", "seq")))
+        assert _max_partition_share(naive, "n") > 0.55            # the plain window: one task
+        chunked = S.with_following(df, ["k"], "ts", "seq", horizon=10_000, fields=["ts"], chunk=100_000)
+        assert _max_partition_share(chunked, "next1_ts") < 0.3
+        prior = S.with_prior_max(df, ["k"], "seq", "ts", chunk_rows=1_000)
+        assert _max_partition_share(prior, "prior_max") < 0.3
+        other = spark.createDataFrame([(k, ts) for k, ts, _ in data[:5000]], "k string, rt long")
+        j = J.interval_join(df.hint("shuffle_merge"), other, ["k"], "ts", "rt", -1000, 1000)
+        assert _max_partition_share(j, "rt") < 0.3
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)

@@ -122,23 +122,39 @@ def match_or_timeout(left: DataFrame, right: DataFrame, key: str, left_ts: str,
     """J9 (batch form): full outer match within ``±wait`` on ``key``.
 
     Returns ``key, l_id, r_id, l_ts, r_ts, status`` with status ``matched``,
-    ``left_only`` (no counterpart within wait) or ``right_only``.  Built from a
-    bucketed interval join plus two anti joins on row ids, so no row of a hot
-    key is compared with rows outside its time neighbourhood.
+    ``left_only`` (no counterpart within wait) or ``right_only``.
+
+    One full outer join on (key, time bucket): each right row sits in one
+    bucket, each left row is copied to the (at most two) buckets its range
+    touches.  A right row without a partner in its bucket has none at all; a
+    left row is unmatched when every one of its copies is, which a small
+    aggregate over the unmatched copies decides.  The join runs once and no
+    row of a hot key meets rows outside its time neighbourhood.
     """
-    l = left.select(F.col(key).alias("_k"), F.col(left_id).alias("l_id"), F.col(left_ts).alias("l_ts"))
-    r = right.select(F.col(key).alias("_k"), F.col(right_id).alias("r_id"), F.col(right_ts).alias("r_ts"))
-    pairs = interval_join(l, r, ["_k"], "l_ts", "r_ts", -wait, wait)
-    matched = pairs.select("_k", "l_id", "r_id", "l_ts", "r_ts", F.lit("matched").alias("status"))
-    lonly = (l.join(pairs.select("l_id").distinct(), "l_id", "left_anti")
-              .select("_k", "l_id", F.lit(None).cast(r.schema["r_id"].dataType).alias("r_id"), "l_ts",
-                      F.lit(None).cast(r.schema["r_ts"].dataType).alias("r_ts"),
-                      F.lit("left_only").alias("status")))
-    ronly = (r.join(pairs.select("r_id").distinct(), "r_id", "left_anti")
-              .select("_k", F.lit(None).cast(l.schema["l_id"].dataType).alias("l_id"), "r_id",
-                      F.lit(None).cast(l.schema["l_ts"].dataType).alias("l_ts"), "r_ts",
-                      F.lit("right_only").alias("status")))
-    return matched.unionByName(lonly).unionByName(ronly).withColumnRenamed("_k", key)
+    width = max(2 * int(wait), 1)
+    lo_b = F.floor((F.col("l_ts") - wait) / width).cast("long")
+    hi_b = F.floor((F.col("l_ts") + wait) / width).cast("long")
+    l = (left.select(F.col(key).alias("_k"), F.col(left_id).alias("l_id"), F.col(left_ts).alias("l_ts"))
+             .withColumn("_n", hi_b - lo_b + 1)
+             .withColumn("_b", F.explode(F.sequence(lo_b, hi_b))).alias("_l"))
+    r = (right.select(F.col(key).alias("_k"), F.col(right_id).alias("r_id"), F.col(right_ts).alias("r_ts"))
+              .withColumn("_b", F.floor(F.col("r_ts") / width).cast("long")).alias("_r"))
+    cond = ((F.col("_l._k") == F.col("_r._k")) & (F.col("_l._b") == F.col("_r._b"))
+            & (F.col("_r.r_ts") >= F.col("_l.l_ts") - wait) & (F.col("_r.r_ts") <= F.col("_l.l_ts") + wait))
+    j = l.join(r, cond, "full_outer").select(
+        F.coalesce(F.col("_l._k"), F.col("_r._k")).alias("_k"), "l_id", "r_id", "l_ts", "r_ts", "_n")
+    matched = j.where(F.col("l_id").isNotNull() & F.col("r_id").isNotNull()) \
+               .withColumn("status", F.lit("matched"))
+    right_only = j.where(F.col("l_id").isNull()).withColumn("status", F.lit("right_only"))
+    left_only = (j.where(F.col("r_id").isNull())
+                  .groupBy("_k", "l_id", "l_ts", "_n").agg(F.count("*").alias("_miss"))
+                  .where(F.col("_miss") == F.col("_n"))
+                  .select("_k", "l_id", F.lit(None).cast(r.schema["r_id"].dataType).alias("r_id"), "l_ts",
+                          F.lit(None).cast(r.schema["r_ts"].dataType).alias("r_ts"),
+                          F.lit("left_only").alias("status")))
+    cols = ["_k", "l_id", "r_id", "l_ts", "r_ts", "status"]
+    return (matched.select(*cols).unionByName(right_only.select(*cols)).unionByName(left_only)
+                   .withColumnRenamed("_k", key))
 
 
 GEO_FIELDS = ("lon", "lat", "province", "adcode", "district", "town")

@@ -47,15 +47,21 @@ APPRAISE_GOOD = "1201"  # fixed value: code table, "good" appraisal
 
 def clicks_and_displays(page_df: DataFrame) -> DataFrame:
     """P10 (page part): a click per ``good_detail`` page on a sku item and a
-    display per displayed sku item; page records only."""
-    clicks = (page_df.where((F.col("page.page_id") == "good_detail") & (F.col("page.item_type") == "sku_id"))
-                     .select(F.col("page.item").cast("long").alias("sku_id"),
-                             F.lit(1).cast("long").alias("click_ct"), "ts"))
-    displays = (page_df.select("ts", F.explode("displays").alias("_d"))
-                       .where(F.col("_d.item_type") == "sku_id")
-                       .select(F.col("_d.item").cast("long").alias("sku_id"),
-                               F.lit(1).cast("long").alias("display_ct"), "ts"))
-    return clicks.unionByName(displays, allowMissingColumns=True)
+    display per displayed sku item; page records only.  One pass: each page
+    row becomes an array of measure rows (its click, its sku displays) that
+    is exploded."""
+    one = lambda c: F.lit(c).cast("long")
+    zero_or_null = F.lit(None).cast("long")
+    click = F.when((F.col("page.page_id") == "good_detail") & (F.col("page.item_type") == "sku_id"),
+                   F.array(F.struct(F.col("page.item").cast("long").alias("sku_id"),
+                                    one(1).alias("click_ct"), zero_or_null.alias("display_ct"))))
+    shown = F.transform(F.filter(F.coalesce(F.col("displays"), F.array()), lambda d: d["item_type"] == "sku_id"),
+                        lambda d: F.struct(d["item"].cast("long").alias("sku_id"), zero_or_null.alias("click_ct"),
+                                           one(1).alias("display_ct")))
+    empty = F.array().cast("array<struct<sku_id:bigint,click_ct:bigint,display_ct:bigint>>")
+    events = F.concat(F.coalesce(click, empty), shown)
+    return page_df.select("ts", F.explode(events).alias("_m")).select("_m.sku_id", "_m.click_ct",
+                                                                      "_m.display_ct", "ts")
 
 
 def product_measures(page_df: DataFrame, favor: DataFrame, cart: DataFrame, order_wide: DataFrame,
