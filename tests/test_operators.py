@@ -372,3 +372,11 @@ def test_hot_key_is_spread_over_tasks(spark):
         assert _max_partition_share(j, "rt") < 0.3
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
+
+
+def test_sizing_conf():
+    from tidewater.session import sizing_conf
+    c = sizing_conf(100 << 40, executors=1000, cores_per_executor=4)   # 100 TB
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert int(c["spark.sql.files.maxPartitionBytes"]) == 256 << 20
+    assert int(sizing_conf(1 << 30, executors=10)["spark.sql.shuffle.partitions"]) == 80

@@ -31,13 +31,40 @@ SCALE_CONF = {
 }
 
 
+def sizing_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
+                target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of input.
+
+    Scan splits of ``target_partition_bytes`` keep a task's working set well
+    inside executor memory; the initial shuffle partition count is sized so a
+    shuffle of the whole input lands near the same size per partition (never
+    fewer than two waves of the cluster's cores), and AQE coalesces the many
+    small partitions of selective stages back to the advisory size.
+    """
+    slots = max(1, executors * cores_per_executor)
+    parts = max(2 * slots, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+    }
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "tidewater", extra: dict | None = None) -> SparkSession:
+                  app_name: str = "tidewater", extra: dict | None = None,
+                  event_log_dir: str | None = None) -> SparkSession:
+    """A session with the scale settings.  ``event_log_dir`` writes Spark's
+    event log (stage and task times) to that folder."""
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "8g"))
+    if event_log_dir:
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                          .config("spark.eventLog.dir", event_log_dir))
     for k, v in {**SCALE_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
