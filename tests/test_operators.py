@@ -380,3 +380,24 @@ def test_sizing_conf():
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert int(c["spark.sql.files.maxPartitionBytes"]) == 256 << 20
     assert int(sizing_conf(1 << 30, executors=10)["spark.sql.shuffle.partitions"]) == 80
+
+
+def test_top_monitors_options(spark):
+    """Descending order and per-area ranking are options."""
+    bands = spark.createDataFrame(
+        [("w", "e", a, f"m{i}", i, 0, 0, 0) for a in ("x", "y") for i in range(4)],
+        "stt string, edt string, area_id string, monitor_id string, high_speed_count long, "
+        "middle_speed_count long, normal_speed_count long, low_speed_count long")
+    top = W.top_monitors(bands, 1, ascending=False, partition_by=["area_id"], window_cols=("stt", "edt"))
+    assert rows(top, "area_id", "monitor_id") == [("x", "m3"), ("y", "m3")]
+
+
+def test_route_read_as_insert(spark):
+    """Snapshot rows (type read) take the insert route only on request."""
+    ch = spark.createDataFrame([("t", "read", {"id": "1"}, 1)],
+                               "table_name string, type string, after map<string,string>, seq long")
+    cfg = spark.createDataFrame([("t", "insert", "kafka", "dwd_t", "id", "id", None)],
+                                "source_table string, operate_type string, sink_type string, sink_table string, "
+                                "sink_columns string, sink_pk string, sink_extend string")
+    assert route(ch, cfg).count() == 0
+    assert route(ch, cfg, read_as_insert=True).count() == 1

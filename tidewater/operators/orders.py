@@ -72,9 +72,11 @@ def payment_wide(payment: DataFrame, wide: DataFrame, lo: int = -15 * 60_000,
     w = wide.withColumnRenamed("create_time", "order_create_time")
     j = interval_join(p, w, ["order_id"], "payment_create_ts", "create_ts", lo, hi)
     keep = [c for c in w.columns if c not in ("order_id", "user_id", "total_amount")]
+    # The split freight fee is part of the wide row but never filled
     return j.select("payment_id", "order_id", F.col("_tw_pay_user").alias("user_id"),
                     F.col("_tw_pay_total").alias("total_amount"), "subject", "payment_type",
-                    "callback_time", "payment_create_time", "payment_create_ts", *keep)
+                    "callback_time", "payment_create_time", "payment_create_ts", *keep,
+                    F.lit(None).cast("decimal(18,2)").alias("split_feight_fee"))
 
 
 def enrich_product(stats: DataFrame, sku: DataFrame, spu: DataFrame, category: DataFrame,

@@ -205,7 +205,8 @@ def payment_wide(spark, payments: Topic, wide: Topic, out: Topic, checkpoint: st
                               F.col("pay_user_id").alias("user_id"),
                               F.col("pay_total_amount").alias("total_amount"), "subject", "payment_type",
                               "callback_time", "payment_create_time", "payment_create_ts",
-                              F.col("create_time").alias("order_create_time"), *keep),
+                              F.col("create_time").alias("order_create_time"), *keep,
+                              F.lit(None).cast("decimal(18,2)").alias("split_feight_fee")),
                      checkpoint, trigger)
 
 

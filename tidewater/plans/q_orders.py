@@ -56,10 +56,12 @@ SELECT p.id AS payment_id, p.order_id, p.user_id, p.total_amount, p.subject, p.p
        w.detail_id, {", ".join("w." + c for c in DETAIL)}, w.province_id, w.order_status,
        w.activity_reduce_amount, w.coupon_reduce_amount, w.original_total_amount, w.feight_fee,
        w.expire_time, w.create_time AS order_create_time, w.operate_time, w.create_date,
-       w.create_hour, w.create_ts
-FROM payment_info p JOIN order_wide w
+       w.create_hour, w.create_ts, w.user_gender, w.user_age, w.province_name, w.province_area_code,
+       w.province_iso_code, w.province_3166_2_code, w.spu_id, w.tm_id, w.category3_id, w.spu_name,
+       w.tm_name, w.category3_name, CAST(NULL AS DECIMAL(18,2)) AS split_feight_fee
+FROM payment_info p JOIN order_wide_enriched w
   ON w.order_id = p.order_id AND w.create_ts BETWEEN p.create_ts + ({PAY_LO}) AND p.create_ts + ({PAY_HI})""",
-     ("payment_info", "order_wide"))
+     ("payment_info", "order_wide_enriched"))
 
 PRODUCT_ZERO = dict(display_ct="0::BIGINT", click_ct="0::BIGINT", favor_ct="0::BIGINT",
                     cart_ct="0::BIGINT", order_sku_num="0::BIGINT", comment_ct="0::BIGINT",
@@ -135,12 +137,13 @@ def _enriched(spark, sf):
                           FX.dim_base_trademark(spark, sf), FX.dim_base_category3(spark, sf))
 
 
-def _payment_wide(spark, sf):
-    return O.payment_wide(FX.payment_info(spark, sf), _wide(spark, sf), PAY_LO, PAY_HI)
+def _payment_wide(spark, sf, wide=None):
+    wide = _enriched(spark, sf) if wide is None else wide
+    return O.payment_wide(FX.payment_info(spark, sf), wide, PAY_LO, PAY_HI)
 
 
 def _product_union(spark, sf, wide=None):
-    wide = _wide(spark, sf) if wide is None else wide
+    wide = _enriched(spark, sf) if wide is None else wide
     payments = O.payment_wide(FX.payment_info(spark, sf), wide, PAY_LO, PAY_HI)
     return product_measures(FX.page_log(spark, sf), FX.favor_info(spark, sf), FX.cart_info(spark, sf),
                             wide, payments, FX.refund_info(spark, sf), FX.comment_info(spark, sf))
@@ -222,7 +225,7 @@ def order_wide_enriched(spark, sf):
 
 @register("payment_wide", V("SELECT * FROM payment_wide", "payment_wide"))
 def payment_wide(spark, sf):
-    """J2 + P13: payment x order wide, order time in [pay - 15 d, pay + 5 d]."""
+    """J2 + P13: payment x (enriched) order wide, order time in [pay - 15 d, pay + 5 d]."""
     return _payment_wide(spark, sf)
 
 
@@ -264,9 +267,9 @@ def province_stats(spark, sf):
 @register("e2e_product", V("SELECT * FROM product_stats_enriched", "product_stats_enriched"))
 def e2e_product(spark, sf):
     """Details x orders -> payments x order wide -> seven-way measures ->
-    product stats per day -> sku/spu/category/trademark names.  The order
-    wide table (DWM layer) is written once and read by both consumers."""
-    wide = materialize(_wide(spark, sf), "dwm_order_wide")
+    product stats per day -> sku/spu/category/trademark names.  The enriched
+    order wide table (DWM layer) is written once and read by both consumers."""
+    wide = materialize(_enriched(spark, sf), "dwm_order_wide")
     stats = A.product_stats(_product_union(spark, sf, wide), "1 day")
     return O.enrich_product(stats, FX.dim_sku_info(spark, sf), FX.dim_spu_info(spark, sf),
                             FX.dim_base_category3(spark, sf), FX.dim_base_trademark(spark, sf))
