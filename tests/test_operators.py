@@ -401,3 +401,15 @@ def test_route_read_as_insert(spark):
                                 "sink_columns string, sink_pk string, sink_extend string")
     assert route(ch, cfg).count() == 0
     assert route(ch, cfg, read_as_insert=True).count() == 1
+
+
+def test_with_previous_matches_lag(spark):
+    rnd = random.Random(9)
+    data = [(rnd.randint(0, 3), i, rnd.randint(0, 99)) for i in range(300)]
+    df = spark.createDataFrame(data, "k int, seq long, v int")
+    got = {r["seq"]: r["prev_v"] for r in S.with_previous(df, ["k"], "seq", ["v"], chunk_rows=11).collect()}
+    last, want = {}, {}
+    for k, seq, v in data:
+        want[seq] = last.get(k)
+        last[k] = v
+    assert got == want

@@ -15,6 +15,8 @@ scans), and repair the chunk boundaries exactly:
   comes from a per-(key, chunk) pre-aggregate (one row per chunk, map-side
   combined) scanned per key and joined back on (key, chunk), which reuses the
   window's partitioning.
+* ``with_previous`` – ``lag`` however far back: the previous sequence number
+  is a prior max, the previous row's fields an equi-join on that number.
 """
 
 from __future__ import annotations
@@ -79,6 +81,20 @@ def with_prior_max(df: DataFrame, keys: Sequence[str], seq: str, value: str,
                   .drop("_tw_in", "_tw_carry", _CHUNK))
 
 
+def with_previous(df: DataFrame, keys: Sequence[str], seq: str, fields: Sequence[str],
+                  prefix: str = "prev_", chunk_rows: int = 1 << 20) -> DataFrame:
+    """``lag``: the fields of the previous row (by ``seq``, a unique sequence)
+    of the same key, however far back it is.
+
+    The previous sequence number is the running max of ``seq`` over earlier
+    rows (``with_prior_max``, chunked); the previous row's fields come from an
+    equi-join on that unique number, so no key is gathered into one task.
+    """
+    d = with_prior_max(df, keys, seq, seq, out="_tw_prev", chunk_rows=chunk_rows)
+    prev = df.select(F.col(seq).alias("_tw_prev"), *[F.col(f).alias(f"{prefix}{f}") for f in fields])
+    return d.join(prev, "_tw_prev", "left").drop("_tw_prev")
+
+
 def first_per_group(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str]) -> DataFrame:
     """The first row of each group by ``order`` as a plain aggregate
     (``min_by``): partial aggregation runs map-side, so a hot group is reduced

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.sequence import with_previous
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
@@ -313,8 +315,9 @@ def change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lit("value"), F.round(F.col("value") * 100).cast("long").cast("string"),
                        F.lit("k"), F.col("k").cast("string"))
     op = F.when(F.col("k") < 10, "DELETE").when(F.col("k") < 40, "CREATE").otherwise("UPDATE")
-    from pyspark.sql import Window
-    prev = F.lag(row).over(Window.partitionBy("event_type", "user_id").orderBy("event_id"))
+    # before-image: the previous row of the same (table, id), by source sequence
+    e = with_previous(e.withColumn("_row", row), ["event_type", "user_id"], "event_id", ["_row"])
+    prev = F.col("prev__row")
     return e.select(
         F.concat(F.lit("binlog.gmall."), F.col("event_type")).alias("topic"),
         op.alias("op"),
