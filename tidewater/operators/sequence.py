@@ -72,6 +72,7 @@ def with_prior_max(df: DataFrame, keys: Sequence[str], seq: str, value: str,
     w_in = (Window.partitionBy(*keys, _CHUNK).orderBy(F.col(seq))
                   .rowsBetween(Window.unboundedPreceding, -1))
     inner = base.withColumn("_tw_in", F.max(value).over(w_in))
+    # the per-chunk pre-aggregate reads only the key, sequence and value columns
     per_chunk = base.groupBy(*keys, _CHUNK).agg(F.max(value).alias("_tw_cmax"))
     w_c = (Window.partitionBy(*keys).orderBy(_CHUNK)
                  .rowsBetween(Window.unboundedPreceding, -1))
