@@ -18,19 +18,19 @@ from ..operators.joins import broadcast_if_small
 LATIN_RUN = "[A-Za-z0-9]+"
 CJK_CHAR = "[一-鿿]"
 CJK_RUN = "[一-鿿]{2,}"
+WORD = f"{LATIN_RUN}|{CJK_CHAR}"   # one pass finds both kinds
 
 
 def word_array(text: Column | str) -> Column:
-    """Array of the Latin runs (lower-cased) and single CJK characters."""
+    """Array of the Latin runs and single CJK characters, lower-cased (a
+    no-op on CJK), from one regex pass."""
     t = F.col(text) if isinstance(text, str) else text
-    latin = F.transform(F.regexp_extract_all(t, F.lit(LATIN_RUN), 0), lambda w: F.lower(w))
-    return F.concat(latin, F.regexp_extract_all(t, F.lit(CJK_CHAR), 0))
+    return F.transform(F.regexp_extract_all(t, F.lit(WORD), 0), lambda w: F.lower(w))
 
 
 def split_words_sql(col: str) -> str:
     """The same array as a Spark SQL expression (for LATERAL VIEW explode)."""
-    return (f"concat(transform(regexp_extract_all({col}, '{LATIN_RUN}', 0), w -> lower(w)), "
-            f"regexp_extract_all({col}, '{CJK_CHAR}', 0))")
+    return f"transform(regexp_extract_all({col}, '{WORD}', 0), w -> lower(w))"
 
 
 def split_words(df: DataFrame, text: str, out: str = "word", keep: tuple[str, ...] | None = None,
