@@ -413,3 +413,40 @@ def test_with_previous_matches_lag(spark):
         want[seq] = last.get(k)
         last[k] = v
     assert got == want
+
+
+def test_with_following_property(spark):
+    """Any chunk width >= horizon gives the exact next rows within the horizon."""
+    from hypothesis import given, settings, strategies as st
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 3_000)), min_size=1, max_size=60),
+           st.integers(1, 200), st.integers(1, 5))
+    def check(rows_in, horizon, factor):
+        data = [(k, ts, i) for i, (k, ts) in enumerate(rows_in)]
+        df = spark.createDataFrame(data, "k int, ts long, seq long")
+        out = S.with_following(df, ["k"], "ts", "seq", horizon=horizon, fields=["ts"], chunk=horizon * factor)
+        got = {r["seq"]: (r["next1_ts"] if r["next1_ts"] is not None and r["next1_ts"] - r["ts"] < horizon
+                          else None) for r in out.collect()}
+        assert got == _naive_next(data, horizon)
+
+    check()
+
+
+def test_read_changes_initial_snapshot(spark):
+    from tidewater.sources.changes import read_changes
+    ch = spark.createDataFrame([("db", "t", "insert", {"id": "2"}, 5), ("db2", "t", "insert", {"id": "3"}, 6)],
+                               "database string, table_name string, type string, after map<string,string>, seq long")
+    snap = spark.createDataFrame([("db", "t", {"id": "1"}, 0)],
+                                 "database string, table_name string, after map<string,string>, seq long")
+    init = read_changes(ch, databases=["db"], startup="initial", snapshot=snap)
+    assert rows(init, "type", "seq") == [("insert", 5), ("read", 0)]
+    assert rows(read_changes(ch, tables=["db.t"], startup="latest"), "seq") == [(5,)]
+
+
+def test_avg_speed_processing_time_variant(spark):
+    cars = spark.createDataFrame([("a", "r", "m", 10.0), ("a", "r", "m", 20.0)],
+                                 "area_id string, road_id string, monitor_id string, speed double") \
+        .withColumn("ts", F.current_timestamp())
+    out = A.avg_speed(cars, "5 minutes", "1 minute", processing_time=True).collect()
+    assert len(out) == 5 and {r.avg_speed for r in out} == {15.0}
