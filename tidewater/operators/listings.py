@@ -64,14 +64,14 @@ def clean_hotel(raw: DataFrame) -> DataFrame:
 def clean_sight(raw: DataFrame) -> DataFrame:
     """Rank class from the name, name without the rank tag, review count
     and score, original rank text kept as ``rank_info``, punctuation-free
-    address; ``dedup_key`` = Flink_city_name_address."""
+    address; ``dedup_key`` = sight_city_name_address."""
     d = (raw.withColumn("rank_info", F.col("rank_class"))
             .withColumn("rank_class", T.rank_class("name"))
             .withColumn("name", T.name_without_rank("name"))
             .withColumn("comment_count", T.review_count("comment_count"))
             .withColumn("comment_score", T.review_score("comment_score"))
             .withColumn("clean_address", T.strip_punctuation(T.sight_address("city", "address")))
-            .withColumn("dedup_key", F.concat_ws("_", F.lit("Flink"), "city", "name", "clean_address"))
+            .withColumn("dedup_key", F.concat_ws("_", F.lit("sight"), "city", "name", "clean_address"))
             .withColumn("geo_fallback", F.concat(F.col("city"), F.lit(T.CITY), F.col("clean_address"))))
     return _blank_geo(d)
 

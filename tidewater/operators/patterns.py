@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from .logs import is_entry
 from .sequence import first_per_group, with_following, with_prior_max
 
+# fixed values: the violation labels the reference writes
+DANGEROUS_DRIVING = "危险驾驶"
+CLONED_PLATE = "套牌车辆"
+
 
 def unique_visits(page_df: DataFrame, key: str = "common.mid", ts: str = "ts",
                   seq: str = "seq", last_page: str = "page.last_page_id") -> DataFrame:
@@ -59,7 +63,7 @@ def danger_drive(cars: DataFrame, within_ms: int = 10_000, key: str = "car_id",
     times = [F.col("action_time")] + [F.col(f"next{i}_action_time") for i in range(1, n)]
     return hit.select(
         F.col(key).alias("car_id"),
-        F.lit("危险驾驶").alias("violation"),
+        F.lit(DANGEROUS_DRIVING).alias("violation"),
         F.col("action_time").alias("create_time"),
         *[t.alias(f"time_{i + 1}") for i, t in enumerate(times)],
     )
@@ -72,7 +76,7 @@ def repeat_plates(cars: DataFrame, within_ms: int = 10_000, key: str = "car_id",
     d = with_prior_max(cars, [key], seq, ts, out="_prev", chunk_rows=chunk_rows)
     hit = d.where(F.col("_prev").isNotNull() & (F.abs(F.col(ts) - F.col("_prev")) <= within_ms))
     prev_txt = F.date_format(F.timestamp_millis(F.col("_prev")), "yyyy-MM-dd HH:mm:ss")
-    return hit.select(F.col(key).alias("car_id"), F.lit("套牌车辆").alias("violation"),
+    return hit.select(F.col(key).alias("car_id"), F.lit(CLONED_PLATE).alias("violation"),
                       F.col("action_time").alias("create_time"),
                       prev_txt.alias("previous_time"), F.col(seq).alias("seq"))
 

@@ -319,7 +319,7 @@ def change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = with_previous(e.withColumn("_row", row), ["event_type", "user_id"], "event_id", ["_row"])
     prev = F.col("prev__row")
     return e.select(
-        F.concat(F.lit("binlog.gmall."), F.col("event_type")).alias("topic"),
+        F.concat(F.lit("binlog.shop."), F.col("event_type")).alias("topic"),
         op.alias("op"),
         F.when(op == "CREATE", F.lit(None)).otherwise(prev).alias("before"),
         F.when(op == "DELETE", F.lit(None)).otherwise(row).alias("after"),

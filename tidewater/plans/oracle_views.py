@@ -159,9 +159,9 @@ FROM lineitem WHERE l_returnflag = 'R'""")
 
 # change envelopes, flattened: after_* / before_* hold the map values
 view("changes", """
-SELECT 'binlog.gmall.' || event_type AS topic,
+SELECT 'binlog.shop.' || event_type AS topic,
        CASE WHEN k < 10 THEN 'DELETE' WHEN k < 40 THEN 'CREATE' ELSE 'UPDATE' END AS op,
-       'gmall' AS database, event_type AS table_name,
+       'shop' AS database, event_type AS table_name,
        CASE WHEN k < 10 THEN 'delete' WHEN k < 40 THEN 'insert' ELSE 'update' END AS type,
        CASE WHEN k < 40 AND k >= 10 THEN NULL ELSE lag(CAST(user_id AS VARCHAR)) OVER w END AS before_id,
        CASE WHEN k < 40 AND k >= 10 THEN NULL ELSE lag(CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR)) OVER w END AS before_value,

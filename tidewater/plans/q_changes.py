@@ -37,11 +37,11 @@ def cdc_envelope(spark, sf):
 
 
 @register("cdc_scan", V("""
-SELECT seq, table_name, type FROM changes WHERE database = 'gmall' AND table_name IN ('view', 'click')""",
+SELECT seq, table_name, type FROM changes WHERE database = 'shop' AND table_name IN ('view', 'click')""",
                        "changes"))
 def cdc_scan(spark, sf):
     """Database / table allow-list, latest-offset startup."""
-    d = read_changes(_norm(spark, sf), databases=["gmall"], tables=["gmall.view", "click"],
+    d = read_changes(_norm(spark, sf), databases=["shop"], tables=["shop.view", "click"],
                      startup="latest")
     return d.select("seq", "table_name", "type")
 

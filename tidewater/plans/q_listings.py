@@ -171,7 +171,7 @@ SELECT id, city, hotel_name, hotel_type, {sql_hotel_score('score')} AS score,
 FROM hotel_raw""", ("hotel_raw",))
 
 view("sight_clean", f"""
-SELECT *, 'Flink_' || city || '_' || name || '_' || clean_address AS dedup_key,
+SELECT *, 'sight_' || city || '_' || name || '_' || clean_address AS dedup_key,
        city || '市' || clean_address AS geo_fallback
 FROM (SELECT id, city, {sql_name_without_rank('name')} AS name, {sql_rank_class('name')} AS rank_class,
              heat_score, {sql_review_score('comment_score')} AS comment_score,
