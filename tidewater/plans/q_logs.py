@@ -100,16 +100,16 @@ def src_json_table(spark, sf):
 SELECT seq, mid, page_id, item, CAST(n_displays AS BIGINT) AS n_displays, ts
 FROM page_log WHERE k <> 0""", "page_log"))
 def fn_json(spark, sf):
-    """field, nested field and array access on the JSON text."""
+    """field, nested field and array access on the JSON text; each line
+    is parsed once against the fields it needs."""
     lines = FX.raw_log_lines(spark, sf).where(~F.col("value").startswith("not json"))
-    j = F.col("value")
-    return lines.select(
-        "seq",
-        F.get_json_object(j, "$.common.mid").alias("mid"),
-        F.get_json_object(j, "$.page.page_id").alias("page_id"),
-        F.get_json_object(j, "$.page.item").alias("item"),
-        F.coalesce(F.json_array_length(F.get_json_object(j, "$.displays")), F.lit(0)).cast("long").alias("n_displays"),
-        F.get_json_object(j, "$.ts").cast("long").alias("ts"))
+    need = ("common struct<mid string>, page struct<page_id string, item string>, "
+            "displays array<string>, ts long")
+    r = lines.select("seq", F.from_json("value", need).alias("r"))
+    return r.select("seq", F.col("r.common.mid").alias("mid"), F.col("r.page.page_id").alias("page_id"),
+                    F.col("r.page.item").alias("item"),
+                    F.coalesce(F.size("r.displays"), F.lit(0)).cast("long").alias("n_displays"),
+                    F.col("r.ts").alias("ts"))
 
 
 # ------------------------------------------------------------- device history

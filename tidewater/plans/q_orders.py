@@ -143,7 +143,8 @@ def _payment_wide(spark, sf, wide=None):
 
 
 def _product_union(spark, sf, wide=None):
-    wide = _enriched(spark, sf) if wide is None else wide
+    # the enriched order wide table feeds two branches: hand it off once
+    wide = materialize(_enriched(spark, sf), "dwm_order_wide") if wide is None else wide
     payments = O.payment_wide(FX.payment_info(spark, sf), wide, PAY_LO, PAY_HI)
     return product_measures(FX.page_log(spark, sf), FX.favor_info(spark, sf), FX.cart_info(spark, sf),
                             wide, payments, FX.refund_info(spark, sf), FX.comment_info(spark, sf))
