@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.routing import route, split_routes
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import sinks as K
 from ..sources.changes import apply_changelog, drop_deletes, normalize_changes, read_changes, to_retract
 from . import fixtures as FX
@@ -190,7 +190,9 @@ SELECT sink_table, r_id AS id, r_value AS value, r_k AS k FROM routed WHERE sink
 def ensure_table(spark, sf):
     """K6: create each configured sink table (all-string columns, pk id) and
     load the routed rows into it; read the tables back."""
-    routed = _routed(spark, sf).where(F.col("sink_type").isin("kafka", "hbase"))
+    # routed once, then loaded table by table
+    routed = materialize(_routed(spark, sf).where(F.col("sink_type").isin("kafka", "hbase"))
+                         .select("sink_table", "after"), "routed")
     cfg = (FX.table_process(spark).where(F.col("sink_type").isin("kafka", "hbase"))
            .groupBy("sink_table").agg(F.array_join(F.array_sort(F.array_distinct(F.flatten(
                F.collect_list(F.split("sink_columns", ","))))), ",").alias("cols"),
