@@ -450,3 +450,16 @@ def test_avg_speed_processing_time_variant(spark):
         .withColumn("ts", F.current_timestamp())
     out = A.avg_speed(cars, "5 minutes", "1 minute", processing_time=True).collect()
     assert len(out) == 5 and {r.avg_speed for r in out} == {15.0}
+
+
+def test_polled_table_reloads_after_ttl(spark):
+    from tidewater.sources.config import PolledTable
+    now = [0.0]
+    t = PolledTable(lambda s: s.range(3), ttl=10, clock=lambda: now[0])
+    assert t.get(spark).count() == 3 and t.loads == 1
+    now[0] = 5
+    t.get(spark)
+    assert t.loads == 1          # within the TTL: the loaded copy
+    now[0] = 10
+    t.get(spark)
+    assert t.loads == 2          # expired: re-read

@@ -24,19 +24,30 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 
 class PolledTable:
-    """A table re-loaded by ``loader(spark)`` when older than ``ttl`` seconds."""
+    """A table re-loaded by ``loader(spark)`` when older than ``ttl`` seconds.
+
+    A load is materialised (cached on the executors and counted), so the
+    micro-batches in between join the loaded copy instead of re-reading the
+    source; the previous copy is released on reload.  Meant for small
+    configuration tables (the joins that use it check its size before
+    broadcasting)."""
 
     def __init__(self, loader: Callable[[SparkSession], DataFrame], ttl: float = 30 * 60,
                  clock: Callable[[], float] = time.monotonic):
         self.loader, self.ttl, self.clock = loader, ttl, clock
         self._df: DataFrame | None = None
         self._at = float("-inf")
+        self.loads = 0
 
     def get(self, spark: SparkSession) -> DataFrame:
         now = self.clock()
         if self._df is None or now - self._at >= self.ttl:
-            self._df = self.loader(spark)
-            self._at = now
+            fresh = self.loader(spark).cache()
+            fresh.count()
+            if self._df is not None:
+                self._df.unpersist()
+            self._df, self._at = fresh, now
+            self.loads += 1
         return self._df
 
 
