@@ -49,8 +49,10 @@ def main() -> None:
         keys = [k for k in os.environ["BENCH_KEYS"].split(",") if k]
     else:
         keys = list(HEADLINE)
+    # BENCH_EVENT_LOG=<folder> keeps Spark's event log (stage / task times)
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(cpus, 8),
-                          extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "16g")})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "16g")},
+                          event_log_dir=os.environ.get("BENCH_EVENT_LOG"))
     # warm-up: JIT and class loading, every measured query once on the
     # smallest data set (steady-state throughput is what is compared)
     warm = os.path.join(os.path.dirname(sf_dir), "sf0.001")

@@ -258,3 +258,15 @@ def test_match_or_timeout_rejects_far_pairs(spark, tmp_dir):
                        tmp_dir, "far")
     got = rows(out.where("car_id = 'a'"), "status")
     assert ("matched",) not in got
+
+
+def test_changelog_per_batch_equals_batch(spark, tmp_dir):
+    from tidewater.sources.changes import apply_changelog, normalize_changes
+    changes = normalize_changes(FX.change_records(spark, SF_DIR))
+    src = f"{tmp_dir}/changes"
+    write_slices(changes, src, "seq", [0, 300, 600, 10_000_000])
+    target = f"{tmp_dir}/current"
+    finish(SF.start(stream_of(spark, changes, src), f"{tmp_dir}/cl_ckpt", SF.changelog_per_batch(target, ["id"])))
+    cur = SF.current_table(spark, target)
+    want = apply_changelog(changes, ["id"])
+    assert rows(cur, "table_name", "seq") == rows(want, "table_name", "seq")
