@@ -463,3 +463,13 @@ def test_polled_table_reloads_after_ttl(spark):
     now[0] = 10
     t.get(spark)
     assert t.loads == 2          # expired: re-read
+
+
+def test_scans_push_filters_and_prune_columns(spark):
+    from tidewater.plans.catalog import QUERIES, load_all
+    load_all()
+    sf = "/root/testdata/sf0.001"
+    plan = QUERIES["payment_wide"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(o_orderstatus,P)" in plan                  # filter reaches the parquet scan
+    plan = QUERIES["order_times"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan   # 2 of 6 columns
