@@ -53,6 +53,8 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str | tuple[st
     all left columns, then the right columns (right copies of same-named keys
     dropped).
     """
+    if lo > hi:
+        raise ValueError(f"empty interval: lo={lo} > hi={hi}")
     width = int(bucket or max(hi - lo, 1))
     pairs = _pairs(on)
     lt, rt = F.col(f"_l.{left_ts}"), F.col(f"_r.{right_ts}")
