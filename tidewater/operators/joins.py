@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_BYTES = 64 << 20
+BROADCAST_CONF = "spark.tidewater.broadcastMaxBytes"   # session override of the limit
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -27,10 +28,18 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+def broadcast_limit(df: DataFrame, max_bytes: int | None = None) -> int:
+    if max_bytes is not None:
+        return int(max_bytes)
+    return int(df.sparkSession.conf.get(BROADCAST_CONF, str(DEFAULT_BROADCAST_BYTES)))
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """Hint a broadcast only when the optimizer's size estimate is within
-    ``max_bytes``; otherwise leave the join to the planner (shuffle join,
-    AQE re-planning from runtime statistics)."""
+    ``max_bytes`` (default: session setting ``spark.tidewater.broadcastMaxBytes``,
+    64 MB); otherwise leave the join to the planner (shuffle join, AQE
+    re-planning from runtime statistics)."""
+    max_bytes = broadcast_limit(df, max_bytes)
     size = estimated_bytes(df)
     return F.broadcast(df) if size is not None and size <= max_bytes else df
 
@@ -81,7 +90,7 @@ def _and(conds: list[Column]) -> Column:
 
 
 def lookup(df: DataFrame, dim: DataFrame, key: str, columns: Sequence[str] | dict[str, str],
-           dim_key: str = "id", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+           dim_key: str = "id", max_broadcast_bytes: int | None = None) -> DataFrame:
     """Left lookup of dimension attributes by id; rows without a
     dimension row keep null attributes.  ``columns`` maps dim column -> output
     name (or is a list of dim columns kept under their own names)."""
@@ -98,7 +107,7 @@ def age_years(birthday: Column, ref_date: Column) -> Column:
 
 def with_speed_limit(cars: DataFrame, limits: DataFrame, default: float = 60.0,
                      keys: Sequence[str] = ("area_id", "road_id", "monitor_id"),
-                     max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                     max_broadcast_bytes: int | None = None) -> DataFrame:
     """Attach the limit of the car's (area, road, monitor), ``default``
     when none is configured; every row is kept.  When the limit table has
     several rows for a key, the last one read wins in the reference; here the
@@ -164,7 +173,7 @@ GEO_FIELDS = ("lon", "lat", "province", "adcode", "district", "town")
 
 def geocode(df: DataFrame, gazetteer: DataFrame, key: Column | str, fallback: Column | str,
             address_col: str = "address", fields: Sequence[str] = GEO_FIELDS,
-            max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+            max_broadcast_bytes: int | None = None) -> DataFrame:
     """Look the cleaned address up in a gazetteer table; when it is not
     found (or has no fix, lon 0), try the second spelling.  Found rows get
     coordinates and admin fields; others keep nulls."""

@@ -43,19 +43,30 @@ def merge_wide(df: DataFrame, first: str, second: str, columns: Sequence[str],
                        for c in columns])
 
 
+def sku_dimension(sku: DataFrame, spu: DataFrame, trademark: DataFrame,
+                  category: DataFrame) -> DataFrame:
+    """The sku dimension with its spu / trademark / category names resolved
+    on the dimension side (D3: through the sku's ids), so a fact table is
+    joined once on ``sku_id`` instead of four times."""
+    d = sku.select(F.col("id"), "sku_name", "sku_price", "spu_id", "tm_id", "category3_id")
+    d = lookup(d, spu, "spu_id", {"spu_name": "spu_name"})
+    d = lookup(d, trademark, "tm_id", {"tm_name": "tm_name"})
+    return lookup(d, category, "category3_id", {"name": "category3_name"})
+
+
 def enrich_order(wide: DataFrame, user: DataFrame, province: DataFrame, sku: DataFrame,
                  spu: DataFrame, trademark: DataFrame, category: DataFrame) -> DataFrame:
     """Six dimension lookups; spu / trademark / category use the ids found
-    in the sku row.  Age: whole 365-day years at the order date (D2)."""
+    in the sku row (resolved on the sku dimension first, so the order rows are
+    joined three times, not six).  Age: whole 365-day years at the order date
+    (D2)."""
     w = lookup(wide, user, "user_id", {"gender": "user_gender", "birthday": "_tw_birthday"})
     w = w.withColumn("user_age", age_years(F.col("_tw_birthday"), F.to_date("create_date"))).drop("_tw_birthday")
     w = lookup(w, province, "province_id", {"name": "province_name", "area_code": "province_area_code",
                                             "iso_code": "province_iso_code",
                                             "iso_3166_2": "province_3166_2_code"})
-    w = lookup(w, sku, "sku_id", {"spu_id": "spu_id", "tm_id": "tm_id", "category3_id": "category3_id"})
-    w = lookup(w, spu, "spu_id", {"spu_name": "spu_name"})
-    w = lookup(w, trademark, "tm_id", {"tm_name": "tm_name"})
-    return lookup(w, category, "category3_id", {"name": "category3_name"})
+    return lookup(w, sku_dimension(sku, spu, trademark, category), "sku_id",
+                  ["spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name"])
 
 
 def payment_wide(payment: DataFrame, wide: DataFrame, lo: int = -15 * 60_000,
@@ -82,10 +93,7 @@ def payment_wide(payment: DataFrame, wide: DataFrame, lo: int = -15 * 60_000,
 def enrich_product(stats: DataFrame, sku: DataFrame, spu: DataFrame, category: DataFrame,
                    trademark: DataFrame) -> DataFrame:
     """After aggregation, sku -> spu -> category -> trademark (D3: the spu
-    is found through the sku's spu id)."""
-    s = lookup(stats, sku, "sku_id", {"sku_name": "sku_name", "sku_price": "sku_price",
-                                      "spu_id": "spu_id", "tm_id": "tm_id",
-                                      "category3_id": "category3_id"})
-    s = lookup(s, spu, "spu_id", {"spu_name": "spu_name"})
-    s = lookup(s, category, "category3_id", {"name": "category3_name"})
-    return lookup(s, trademark, "tm_id", {"tm_name": "tm_name"})
+    is found through the sku's spu id); one join of the stats on ``sku_id``."""
+    return lookup(stats, sku_dimension(sku, spu, trademark, category), "sku_id",
+                  ["sku_name", "sku_price", "spu_id", "tm_id", "category3_id", "spu_name",
+                   "category3_name", "tm_name"])
