@@ -164,9 +164,16 @@ def test_order_payment_province_chain(spark, tmp_dir):
     got = spark.read.parquet(f"{tmp_dir}/paywide")
     want_p = O.payment_wide(pays, O.order_wide(orders, details, lo, hi), -15 * DAY, 5 * DAY)
     assert rows(got, "payment_id", "detail_id", "user_id") == rows(want_p, "payment_id", "detail_id", "user_id")
-    finish(JB.province_stats(spark, JB.Topic(f"{tmp_dir}/wide", wide.schema), JB.Topic(f"{tmp_dir}/prov"),
-                             f"{tmp_dir}/ck_prov", size="1 day", delay="36500 days"))
-    assert spark.read.parquet(f"{tmp_dir}/prov").count() == 0   # windows close only with later data
+    # province stats over the wide rows plus two sentinel batches far in the future
+    w2 = f"{tmp_dir}/wide2"
+    wide.coalesce(1).write.parquet(w2)
+    sentinel = wide.limit(1).withColumn("create_ts", F.lit(FAR)).withColumn("province_id", F.lit(-1).cast("long"))
+    for _ in range(2):
+        sentinel.coalesce(1).write.mode("append").parquet(w2)
+    finish(JB.province_stats(spark, JB.Topic(w2, wide.schema, max_files_per_trigger=1), JB.Topic(f"{tmp_dir}/prov"),
+                             f"{tmp_dir}/ck_prov", size="1 day", delay="3650 days"))
+    got = spark.read.parquet(f"{tmp_dir}/prov").where("province_id <> -1")
+    assert rows(got) == rows(A.province_stats(wide, "1 day"))
 
 
 def test_traffic_jobs(spark, tmp_dir):
@@ -221,3 +228,32 @@ def test_police_jobs(spark, tmp_dir):
     finish(JB.police_connect(spark, tv, tp, JB.Topic(f"{tmp_dir}/conn"), f"{tmp_dir}/ck_conn", six, "0 seconds"))
     statuses = {r[0] for r in spark.read.parquet(f"{tmp_dir}/conn").select("status").distinct().collect()}
     assert "matched" in statuses and statuses <= {"matched", "left_only", "right_only"}
+
+
+def test_product_stats_job(spark, tmp_dir):
+    from tidewater.operators import orders as O
+    from tidewater.operators.measures import product_measures
+    d = _dims(spark)
+    wide = O.enrich_order(O.order_wide(FX.order_info(spark, SF_DIR), FX.order_detail(spark, SF_DIR),
+                                       -20 * DAY, 20 * DAY), *d.values())
+    pays = O.payment_wide(FX.payment_info(spark, SF_DIR), wide, -15 * DAY, 5 * DAY)
+    inputs = {"page": FX.page_log(spark, SF_DIR), "favor": FX.favor_info(spark, SF_DIR),
+              "cart": FX.cart_info(spark, SF_DIR), "wide": wide, "pays": pays,
+              "refund": FX.refund_info(spark, SF_DIR), "comment": FX.comment_info(spark, SF_DIR)}
+    topics = {}
+    for n, df in inputs.items():
+        df.coalesce(1).write.parquet(f"{tmp_dir}/{n}")
+        topics[n] = JB.Topic(f"{tmp_dir}/{n}", df.schema, max_files_per_trigger=1)
+    far = inputs["favor"].limit(1).withColumn("create_time", F.lit(str(FAR))).withColumn("sku_id", F.lit(-1).cast("long"))
+    for _ in range(2):   # the second sentinel batch emits the windows the first one closed
+        far.coalesce(1).write.mode("append").parquet(f"{tmp_dir}/favor")
+    out = JB.Topic(f"{tmp_dir}/pstats")
+    finish(JB.product_stats(spark, topics["page"], topics["favor"], topics["cart"], topics["wide"],
+                            topics["pays"], topics["refund"], topics["comment"], d, out,
+                            f"{tmp_dir}/ck_ps", size="1 day", delay="3650 days"))
+    got = spark.read.parquet(f"{tmp_dir}/pstats").drop("batch_id").where("sku_id <> -1")
+    want = O.enrich_product(A.product_stats(product_measures(*inputs.values()), "1 day"),
+                            d["sku"], d["spu"], d["category"], d["trademark"])
+    assert got.count() > 0
+    assert rows(got, "stt", "sku_id", "order_ct", "paid_order_ct", "refund_order_ct", "click_ct", "tm_name") == \
+        rows(want, "stt", "sku_id", "order_ct", "paid_order_ct", "refund_order_ct", "click_ct", "tm_name")
