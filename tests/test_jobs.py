@@ -256,3 +256,13 @@ def test_product_stats_job(spark, tmp_dir):
     assert got.count() > 0
     assert rows(got, "stt", "sku_id", "order_ct", "paid_order_ct", "refund_order_ct", "click_ct", "tm_name") == \
         rows(want, "stt", "sku_id", "order_ct", "paid_order_ct", "refund_order_ct", "click_ct", "tm_name")
+
+
+def test_ods_changes_job(spark, tmp_dir):
+    raw = FX.change_records(spark, SF_DIR)
+    raw.coalesce(1).write.parquet(f"{tmp_dir}/raw_changes")
+    finish(JB.ods_changes(spark, JB.Topic(f"{tmp_dir}/raw_changes", raw.schema), JB.Topic(f"{tmp_dir}/ods"),
+                          f"{tmp_dir}/ck_ods"))
+    got = spark.read.parquet(f"{tmp_dir}/ods")
+    want = normalize_changes(raw)
+    assert rows(got, "seq", "database", "table_name", "type") == rows(want, "seq", "database", "table_name", "type")
