@@ -49,14 +49,9 @@ def write_routed(df: DataFrame, target: str, topic_col: str = "sink_table",
 def write_once(df: DataFrame, target: str, batch_id: int) -> None:
     """K3: exactly-once per batch: the batch's rows replace the
     ``batch_id=<n>`` partition, so a replayed batch overwrites itself."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (df.withColumn("batch_id", F.lit(int(batch_id)))
-           .write.mode("overwrite").partitionBy("batch_id").parquet(target))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (df.withColumn("batch_id", F.lit(int(batch_id)))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("batch_id").parquet(target))
 
 
 def write_table(df: DataFrame, target: str, exclude: Sequence[str] = (), batchsize: int = 1000,
@@ -111,12 +106,8 @@ def upsert_dim(batch: DataFrame, target: str, keys: Sequence[str], seq: str,
     latest = (both.repartition(F.col(BUCKET)).groupBy(BUCKET, *keys)
                   .agg(F.max_by(row, F.col(seq)).alias("_r"))
                   .select(BUCKET, *keys, "_r.*"))
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        latest.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    latest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(BUCKET).parquet(target)
     return len(touched)
 
 

@@ -109,15 +109,10 @@ def record_keys(rows: DataFrame, keys_dir: str, batch_id: int, key: str = "dedup
                 buckets: int = 16) -> None:
     """U4 stream form, commit: remember this batch's keys (a replayed batch
     overwrites its own key partitions)."""
-    spark = rows.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (rows.select(key).withColumn(K.BUCKET, F.pmod(F.hash(F.col(key)), F.lit(buckets)))
-             .withColumn("batch_id", F.lit(int(batch_id)))
-             .write.mode("overwrite").partitionBy(K.BUCKET, "batch_id").parquet(keys_dir))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (rows.select(key).withColumn(K.BUCKET, F.pmod(F.hash(F.col(key)), F.lit(buckets)))
+         .withColumn("batch_id", F.lit(int(batch_id)))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(K.BUCKET, "batch_id").parquet(keys_dir))
 
 
 def new_listings_per_batch(target: str, key: str = "dedup_key", buckets: int = 16,
