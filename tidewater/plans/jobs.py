@@ -50,7 +50,13 @@ from ..streaming import stateful as ST
 class Topic:
     """A hand-off between jobs: Kafka topic ``name`` (JSON values) when
     ``kafka_servers`` is set, else a parquet folder ``name`` (or a text folder
-    with ``fmt='text'`` for raw lines)."""
+    with ``fmt='text'`` for raw lines).
+
+    File topics are exactly-once (file sink commit log, batch-id partitions);
+    the Kafka sink is at-least-once, so consumers of Kafka topics rely on the
+    keyed, idempotent operators downstream (upserts, first-per-key).  A Kafka
+    source's ``seq`` is the partition offset: it orders the rows of one
+    partition, i.e. of one key when producers key by it."""
 
     name: str
     schema: T.StructType | None = None
