@@ -29,10 +29,10 @@ ENTRY = "(last_page_id IS NULL OR length(last_page_id) = 0)"
 
 @register("page_entries", V(f"SELECT seq, mid, page_id, last_page_id FROM page_log WHERE {ENTRY}", "page_log"))
 def page_entries(spark, sf):
-    p = FX.page_log(spark, sf)
-    return p.where(L.is_entry()).select("seq", F.col("common.mid").alias("mid"),
-                                        F.col("page.page_id").alias("page_id"),
-                                        F.col("page.last_page_id").alias("last_page_id"))
+    p = FX.page_log(spark, sf).select("seq", F.col("common.mid").alias("mid"),
+                                      F.col("page.page_id").alias("page_id"),
+                                      F.col("page.last_page_id").alias("last_page_id"))
+    return p.where(L.is_entry("last_page_id"))
 
 
 # ------------------------------------------------------------------ raw lines
