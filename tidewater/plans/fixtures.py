@@ -43,32 +43,37 @@ def _events_k(spark, sf_dir) -> DataFrame:
 
 # ---------------------------------------------------------------- behaviour log
 def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested page/start log record per event (JSON log shape)."""
+    """Nested page/start log record per event (JSON log shape).
+
+    The fields are computed flat first and the structs assembled from plain
+    column references, so Catalyst can prune through them: a query that
+    needs two fields reads only the columns behind those two.
+    """
     e = _events_k(spark, sf_dir)
     item_type = F.when(F.col("k") % 2 == 0, "sku_id").otherwise("other")
     display = F.struct(F.col("k").cast("string").alias("item"), item_type.alias("item_type"))
-    return e.select(
-        F.struct(
-            F.concat(F.lit("m"), F.col("user_id")).alias("mid"),
-            F.concat(F.lit("v"), F.col("user_id") % 3).alias("vc"),
-            F.concat(F.lit("c"), F.col("user_id") % 5).alias("ch"),
-            F.concat(F.lit("a"), F.col("user_id") % 7).alias("ar"),
-            F.when(F.col("k") % 3 == 0, "1").otherwise("0").alias("is_new"),
-        ).alias("common"),
-        F.struct(
-            F.when(F.col("event_type") == "view", "good_detail").otherwise(F.col("event_type")).alias("page_id"),
-            F.when(F.col("event_type") == "click", "")
-             .when(F.col("event_type") == "error", "search")
-             .when(F.col("event_type") == "purchase", "home").alias("last_page_id"),
-            F.col("k").cast("string").alias("item"),
-            item_type.alias("item_type"),
-            F.round(F.col("value") * 1000).cast("long").alias("during_time"),
-        ).alias("page"),
+    flat = e.select(
+        F.concat(F.lit("m"), F.col("user_id")).alias("mid"),
+        F.concat(F.lit("v"), F.col("user_id") % 3).alias("vc"),
+        F.concat(F.lit("c"), F.col("user_id") % 5).alias("ch"),
+        F.concat(F.lit("a"), F.col("user_id") % 7).alias("ar"),
+        F.when(F.col("k") % 3 == 0, "1").otherwise("0").alias("is_new"),
+        F.when(F.col("event_type") == "view", "good_detail").otherwise(F.col("event_type")).alias("page_id"),
+        F.when(F.col("event_type") == "click", "")
+         .when(F.col("event_type") == "error", "search")
+         .when(F.col("event_type") == "purchase", "home").alias("last_page_id"),
+        F.col("k").cast("string").alias("item"),
+        item_type.alias("item_type"),
+        F.round(F.col("value") * 1000).cast("long").alias("during_time"),
         F.array_repeat(display, (F.col("k") % 3).cast("int")).alias("displays"),
         F.when((F.col("event_type") == "signup") & (F.col("k") % 2 == 1), "boot").alias("start"),
         _millis("ts").alias("ts"),
         F.col("event_id").alias("seq"),
     )
+    return flat.select(
+        F.struct("mid", "vc", "ch", "ar", "is_new").alias("common"),
+        F.struct("page_id", "last_page_id", "item", "item_type", "during_time").alias("page"),
+        "displays", "start", "ts", "seq")
 
 
 def _json_str(c: Column) -> Column:
