@@ -214,16 +214,16 @@ def test_unique_visits_ttl_form(spark, tmp_dir, flat_pages):
     q = (ST.unique_visits_stream_ttl(spark.readStream.schema(entries.schema).parquet(src)).writeStream
          .format("memory").queryName("uv_ttl").outputMode("append")
          .option("checkpointLocation", f"{tmp_dir}/uvttl_ckpt").trigger(processingTime="1 second").start())
+    batch = W.unique_visits(entries, key="mid", last_page=F.lit(None))
+    expected = batch.count()
     try:
         import time
-        deadline = time.time() + 120
-        while time.time() < deadline and spark.table("uv_ttl").count() == 0:
+        deadline = time.time() + 180
+        while time.time() < deadline and spark.table("uv_ttl").count() < expected:
             time.sleep(1)
-        time.sleep(2)
     finally:
         q.stop()
     out = spark.table("uv_ttl")
-    batch = W.unique_visits(entries, key="mid", last_page=F.lit(None))
     assert rows(out, "seq") == rows(batch, "seq")
 
 
