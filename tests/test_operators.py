@@ -473,3 +473,16 @@ def test_scans_push_filters_and_prune_columns(spark):
     assert "EqualTo(o_orderstatus,P)" in plan                  # filter reaches the parquet scan
     plan = QUERIES["order_times"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan   # 2 of 6 columns
+
+
+def test_approx_distinct_options(spark):
+    from tidewater.plans import fixtures as FX
+    w = FX.order_info(spark, "/root/testdata/sf0.001").select(
+        F.col("id").alias("order_id"), (F.col("province_id")).alias("province_id"), "create_ts",
+        F.lit("p").alias("province_name"), F.lit("a").alias("province_area_code"),
+        F.lit("i").alias("province_iso_code"), F.lit("c").alias("province_3166_2_code"),
+        F.lit(1).cast("decimal(18,2)").alias("split_total_amount"))
+    exact = {r.stt + str(r.province_id): r.order_count for r in A.province_stats(w, "30 days").collect()}
+    approx = {r.stt + str(r.province_id): r.order_count for r in A.province_stats(w, "30 days", approx=True).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - exact[k]) <= max(2, 0.05 * exact[k]) for k in exact)

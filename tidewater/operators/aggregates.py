@@ -34,7 +34,12 @@ def window_millis(w: str = "window") -> list[Column]:
             F.unix_millis(F.col(f"{w}.end")).alias("end")]
 
 
-def distinct_count(c: str, streaming: bool) -> Column:
+def distinct_count(c: str, streaming: bool, approx: bool = False, rsd: float = 0.01) -> Column:
+    """Exact distinct count (batch), its streaming form (``size(collect_set)``:
+    state grows with the ids of a group) or HyperLogLog++ (fixed-size sketch
+    state, relative error ``rsd``)."""
+    if approx:
+        return F.approx_count_distinct(c, rsd)
     return F.size(F.collect_set(c)) if streaming else F.countDistinct(c)
 
 
@@ -58,7 +63,8 @@ ID_KINDS = (("order_id", "order_ct"), ("paid_order_id", "paid_order_ct"),
 
 
 def product_stats(measures: DataFrame, size: str = "10 seconds", ts: str = "ts",
-                  streaming: bool = False, event_col: str | None = None) -> DataFrame:
+                  streaming: bool = False, event_col: str | None = None,
+                  approx: bool = False) -> DataFrame:
     """A2: per sku and tumbling window: sums of counts and amounts, distinct
     order / paid order / refund order counts.
 
@@ -69,10 +75,10 @@ def product_stats(measures: DataFrame, size: str = "10 seconds", ts: str = "ts",
     expanded (three COUNT DISTINCTs would make Catalyst copy every row 4x).
     """
     w = F.window(_time(ts, event_col), size).alias("window")
-    if streaming:
+    if streaming or approx:
         aggs = [F.sum(c).cast("long").alias(c) for c in PRODUCT_COUNTS]
         aggs += [F.sum(c).cast("decimal(18,2)").alias(c) for c in PRODUCT_AMOUNTS]
-        aggs += [distinct_count(i, True).cast("long").alias(o) for i, o in ID_KINDS]
+        aggs += [distinct_count(i, True, approx).cast("long").alias(o) for i, o in ID_KINDS]
         agg = measures.groupBy(w, "sku_id").agg(*aggs)
     else:
         tags = F.filter(F.array(*[F.when(F.col(i).isNotNull(),
@@ -98,10 +104,11 @@ PROVINCE_COLS = ("province_id", "province_name", "province_area_code", "province
 
 
 def province_stats(order_wide: DataFrame, size: str = "10 seconds", ts: str = "create_ts",
-                   streaming: bool = False, event_col: str | None = None) -> DataFrame:
+                   streaming: bool = False, event_col: str | None = None,
+                   approx: bool = False) -> DataFrame:
     """A3: distinct orders and summed split amount per province and window."""
     agg = (order_wide.groupBy(F.window(_time(ts, event_col), size).alias("window"), *PROVINCE_COLS)
-                     .agg(distinct_count("order_id", streaming).cast("long").alias("order_count"),
+                     .agg(distinct_count("order_id", streaming, approx).cast("long").alias("order_count"),
                           F.sum("split_total_amount").cast("decimal(18,2)").alias("order_amount")))
     return agg.select(*window_text(), *PROVINCE_COLS, "order_count", "order_amount")
 
@@ -139,8 +146,7 @@ def car_count(cars: DataFrame, size: str = "1 minute", ts: str = "ts", approx: b
               streaming: bool = False, rsd: float = 0.01) -> DataFrame:
     """Distinct cars per area and tumbling window (exact, or HyperLogLog++
     with relative error ``rsd``)."""
-    cnt = (F.approx_count_distinct("car_id", rsd) if approx
-           else distinct_count("car_id", streaming))
+    cnt = distinct_count("car_id", streaming, approx, rsd)
     agg = (cars.groupBy(F.window(F.col(ts), size).alias("window"), "area_id")
                .agg(cnt.cast("long").alias("car_count")))
     return agg.select(*window_text(), "area_id", "car_count")

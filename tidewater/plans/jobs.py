@@ -228,12 +228,14 @@ def visitor_stats(spark, uv: Topic, uj: Topic, page: Topic, out: Topic, checkpoi
 def product_stats(spark, page: Topic, favor: Topic, cart: Topic, wide: Topic, payments: Topic,
                   refund: Topic, comment: Topic, dims: dict[str, DataFrame], out: Topic,
                   checkpoint: str, size: str = "10 seconds", delay: str = "2 seconds",
-                  trigger=None) -> StreamingQuery:
+                  trigger=None, approx: bool = False) -> StreamingQuery:
     """DWS product table: seven measure streams, tumbling window per sku,
-    dimension names added per closed window."""
+    dimension names added per closed window.  ``approx`` keeps HyperLogLog
+    sketches instead of id sets in the window state."""
     m = product_measures(page.read(spark), favor.read(spark), cart.read(spark), wide.read(spark),
                          payments.read(spark), refund.read(spark), comment.read(spark))
-    stats = A.product_stats(SF.watermarked(m, "ts", delay, "et"), size, streaming=True, event_col="et")
+    stats = A.product_stats(SF.watermarked(m, "ts", delay, "et"), size, streaming=True, event_col="et",
+                            approx=approx)
 
     def enrich(batch: DataFrame, batch_id: int) -> None:
         out.write_batch(O.enrich_product(batch, dims["sku"], dims["spu"], dims["category"],
@@ -242,10 +244,11 @@ def product_stats(spark, page: Topic, favor: Topic, cart: Topic, wide: Topic, pa
 
 
 def province_stats(spark, wide: Topic, out: Topic, checkpoint: str, size: str = "10 seconds",
-                   delay: str = "1 second", trigger=None) -> StreamingQuery:
-    """DWS province table from the order wide stream."""
+                   delay: str = "1 second", trigger=None, approx: bool = False) -> StreamingQuery:
+    """DWS province table from the order wide stream (``approx``: sketch state)."""
     w = SF.watermarked(wide.read(spark), "create_ts", delay, "et")
-    return out.write(A.province_stats(w, size, streaming=True, event_col="et"), checkpoint, trigger)
+    return out.write(A.province_stats(w, size, streaming=True, event_col="et", approx=approx),
+                     checkpoint, trigger)
 
 
 def keyword_stats(spark, page_lines: Topic, out: Topic, checkpoint: str, size: str = "10 seconds",
