@@ -9,6 +9,7 @@ tests) do we create one of our own.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -94,8 +95,10 @@ def ensure_scale_conf(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and written tables.
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset
-    (tests, local runs) a fresh local folder is created and registered.
+    Reads ``spark.checkpoint.dir`` from the session.  Where it is unset, a
+    fresh local folder is created and registered, but only under a ``local``
+    master (tests, single-machine runs): on a cluster each executor would
+    write to its own disk, so that is refused.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -103,6 +106,8 @@ def shared_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tidewater-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
