@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bit_sliced, codeword_language, line_frequency, mixture, perspectives, substring_units
+from . import (bit_sliced, codeword_language, complement_packing, line_frequency, mixture, perspectives,
+               substring_units, warc_index)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +131,23 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_ecoc_language")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codeword_language.identify(table(spark, sf_dir, "documents"))
+
+
+@register("op1_warc_index", r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
+o AS (SELECT h, min(page_id) AS owner FROM p GROUP BY h)
+SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(p.h, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::BIGINT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = owner THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> owner THEN owner END AS refers_to
+FROM p JOIN o ON p.h = o.h""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, index = warc_index.archive(table(spark, sf_dir, "pages"), min_bytes=0)
+    return warc_index.read(index, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op5_complement_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return complement_packing.pack(table(spark, sf_dir, "documents"))
