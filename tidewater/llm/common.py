@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize, scratch_path, shared_dir  # noqa: F401  (re-exported)
+from ..session import scratch_path
 
 #: Word separators: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = " \t\n\x0b\x0c\r"
@@ -26,6 +26,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def materialize(df: DataFrame, name: str, path: bool = False):
+    """``df`` written as a table in the shared folder and read back, which cuts
+    lineage; with ``path`` also where it lies, for ``discard``."""
+    folder = scratch_path(df.sparkSession, name)
+    df.write.parquet(folder)
+    out = df.sparkSession.read.schema(df.schema).parquet(folder)
+    return (out, folder) if path else out
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Delete a written table that nothing reads any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def let(value: Column, body) -> Column:
     """``body(v)`` with ``v`` bound to ``value``, which is evaluated once a row."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

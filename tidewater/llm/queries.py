@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (bit_sliced, codeword_language, complement_packing, line_frequency, mixture, perspectives,
-               substring_units, warc_index)
+               substring_units, suffix_dedup, warc_index)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +151,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_complement_packing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return complement_packing.pack(table(spark, sf_dir, "documents"))
+
+
+@register("op2_suffix_array_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), suffix_dedup.LENGTH, keep="none")
+    return out.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
