@@ -98,27 +98,25 @@ def draw(doc_id: Column, seed: int = SEED) -> Column:
     return F.pmod(F.xxhash64(doc_id, F.lit(seed)), F.lit(1 << 53)).cast("double") / float(1 << 53)
 
 
-def mix(docs: DataFrame, dims: dict[str, Column] | None = None, targets: dict[str, dict[str, float]] | None = None,
-        temper: float = TEMPER, budget: float = BUDGET, seed: int = SEED,
-        max_values: dict[str, int] | None = None) -> DataFrame:
-    """Per row of ``docs``: doc_id, its cell, tokens, calibrated ``weight``
-    (share of its cell in the mixture), ``probability`` and ``kept``.
-
-    ``targets`` gives target shares by dimension and value; a dimension
-    without any gets its own shares to the power ``temper``.
-    """
-    dims, bound = dims or dimensions(), {**MAX_VALUES, **(max_values or {})}
-    d = docs.select(F.col("doc_id"), tokens(F.col("text")).alias("n_tokens"),
-                    *[c.alias(f"d_{k}") for k, c in dims.items()])
+def _plan(docs: DataFrame, dims: dict[str, Column], targets: dict[str, dict[str, float]], temper: float,
+          budget: float, max_values: dict[str, int]) -> tuple[dict[str, Column], DataFrame]:
+    """The label of every dimension, and (labels, weight, probability) of every cell."""
+    d = docs.select(tokens(F.col("text")).alias("n_tokens"), *[c.alias(f"d_{k}") for k, c in dims.items()])
     listed = {}
     for k in dims:
-        top = (d.where(F.col(f"d_{k}").isNotNull()).groupBy(f"d_{k}").agg(F.sum("n_tokens").alias("n"))
-               .orderBy(F.desc("n"), f"d_{k}").limit(bound.get(k, 32)).collect()) if not (targets or {}).get(k) else None
-        listed[k] = sorted((targets or {})[k]) if top is None else [r[0] for r in top]
-        if len(listed[k]) > bound.get(k, 32):
-            raise ValueError(f"more than {bound.get(k, 32)} targets for {k}")
-    labelled = d.select("doc_id", "n_tokens", *[_label(F.col(f"d_{k}"), listed[k]).alias(k) for k in dims])
-    cells = labelled.groupBy(*dims).agg(F.sum("n_tokens").alias("n")).collect()
+        most = max_values.get(k, 32)
+        if targets.get(k):
+            listed[k] = sorted(targets[k])
+            if len(listed[k]) > most:
+                raise ValueError(f"more than {most} targets for {k}")
+        else:
+            top = (d.where(F.col(f"d_{k}").isNotNull()).groupBy(f"d_{k}").agg(F.sum("n_tokens").alias("n"))
+                   .orderBy(F.desc("n"), f"d_{k}").limit(most).collect())
+            listed[k] = [r[0] for r in top]
+    labels = {k: _label(c, listed[k]) for k, c in dims.items()}
+    # at most the product of the bounds, whatever the corpus
+    cells = (d.select("n_tokens", *[_label(F.col(f"d_{k}"), listed[k]).alias(k) for k in dims])
+             .groupBy(*dims).agg(F.sum("n_tokens").alias("n")).collect())
     values = {k: sorted({r[k] for r in cells}) for k in dims}
     size = np.zeros([len(values[k]) for k in dims])
     for r in cells:
@@ -128,7 +126,7 @@ def mix(docs: DataFrame, dims: dict[str, Column] | None = None, targets: dict[st
         aim = []
         for axis, k in enumerate(dims):
             margin = size.sum(axis=tuple(j for j in range(size.ndim) if j != axis))
-            given = (targets or {}).get(k)
+            given = targets.get(k)
             t = (np.array([given.get(v[1:], 0.0) if v[0] == "=" else 0.0 for v in values[k]]) * (margin > 0)
                  if given else np.where(margin > 0, (margin / margin.sum()) ** temper, 0.0))
             if not t.sum():
@@ -139,7 +137,32 @@ def mix(docs: DataFrame, dims: dict[str, Column] | None = None, targets: dict[st
     rows = [(*at, float(weight[i]), float(rate[i])) for at, i in zip(
         product(*values.values()), product(*[range(len(v)) for v in values.values()])) if cells]
     schema = ", ".join([*(f"`{k}` string" for k in dims), "weight double", "probability double"])
-    table = docs.sparkSession.createDataFrame(rows, schema)
-    return labelled.join(F.broadcast(table), list(dims)).withColumn(
+    return labels, docs.sparkSession.createDataFrame(rows, schema)
+
+
+def mix(docs: DataFrame, dims: dict[str, Column] | None = None, targets: dict[str, dict[str, float]] | None = None,
+        temper: float = TEMPER, budget: float = BUDGET, seed: int = SEED,
+        max_values: dict[str, int] | None = None) -> DataFrame:
+    """Per row of ``docs``: doc_id, its cell, tokens, calibrated ``weight``
+    (share of its cell in the mixture), ``probability`` and ``kept``.
+
+    ``targets`` gives target shares by dimension and value; a dimension
+    without any gets its own shares to the power ``temper``.
+    """
+    dims = dims or dimensions()
+    labels, cells = _plan(docs, dims, targets or {}, temper, budget, {**MAX_VALUES, **(max_values or {})})
+    labelled = docs.select("doc_id", tokens(F.col("text")).alias("n_tokens"), *[c.alias(k) for k, c in labels.items()])
+    return labelled.join(F.broadcast(cells), list(dims)).withColumn(
         "kept", draw(F.col("doc_id"), seed) < F.col("probability")).select(
         "doc_id", *dims, "n_tokens", "weight", "probability", "kept")
+
+
+def sample(docs: DataFrame, dims: dict[str, Column] | None = None, targets: dict[str, dict[str, float]] | None = None,
+           temper: float = TEMPER, budget: float = BUDGET, seed: int = SEED) -> DataFrame:
+    """The rows of ``docs`` that ``mix`` keeps, all columns as they are."""
+    dims = dims or dimensions()
+    labels, cells = _plan(docs, dims, targets or {}, temper, budget, MAX_VALUES)
+    side = cells.withColumnsRenamed({k: f"__{k}" for k in dims}).withColumnRenamed("probability", "__p").drop("weight")
+    marked = docs.withColumns({f"__{k}": c for k, c in labels.items()})
+    return (marked.join(F.broadcast(side), [f"__{k}" for k in dims])
+            .where(draw(F.col("doc_id"), seed) < F.col("__p")).select(*docs.columns))

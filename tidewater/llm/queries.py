@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bit_sliced, codeword_language, complement_packing, line_frequency, mixture, perspectives,
-               substring_units, suffix_dedup, warc_index)
+from . import (bit_sliced, codeword_language, complement_packing, line_frequency, mixture, parity_join,
+               perspectives, substring_units, suffix_dedup, warc_index)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
         F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op8_parity_sketch_join")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = parity_join.near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=85)
+    return out.select("doc_id", "n_shingles", "component_id")

@@ -263,42 +263,68 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep: str = "none", gr
         spread_windows(rows.where("many"), length, first))
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key(F.col("text")).alias("th"),
+                       F.coalesce("text", F.lit("")).alias("text"))
+
+
+def _span_lists(docs: DataFrame, length: int, keep: str, gram: int) -> DataFrame:
+    """(doc_id, th, spans): the removed spans of every text that has some."""
+    return (repeated_spans(_named(docs), length, keep, gram).groupBy("doc_id", "th")
+            .agg(F.collect_list(F.struct("start", "end")).alias("spans")))
+
+
+def _merged(spans: pa.Scalar) -> list[tuple[int, int]]:
+    """Maximal runs of a list of overlapping spans."""
+    if not spans.is_valid:
+        return []
+    start, end = (spans.values.field(x).to_numpy() for x in ("start", "end"))
+    order = np.argsort(start, kind="stable")
+    start, end = start[order], np.maximum.accumulate(end[order])
+    head = np.flatnonzero(np.concatenate([[True], start[1:] > end[:-1]]))
+    return list(zip(start[head].tolist(), end[np.concatenate([head[1:], [len(start)]]) - 1].tolist()))
+
+
+def _without(body: bytes, spans: list[tuple[int, int]]) -> bytes:
+    bounds = [0, *(x for span in spans for x in span), len(body)]
+    return b"".join(body[s:e] for s, e in zip(bounds[::2], bounds[1::2]))
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", gram: int = GRAM) -> DataFrame:
     """Per row of ``docs``: doc_id, th, n_bytes, ``spans`` (maximal removed
     runs, start and end in bytes) and ``kept`` (the other bytes)."""
-    d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key(F.col("text")).alias("th"),
-                    F.coalesce("text", F.lit("")).alias("text"))
-    spans = (repeated_spans(d, length, keep, gram).groupBy("doc_id", "th")
-             .agg(F.collect_list(F.struct("start", "end")).alias("spans")))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sizes, merged, kept = [], [], []
-            found = b.column("spans")
-            for text, i in zip(b.column("text").cast(pa.large_binary()), range(b.num_rows)):
-                body = text.as_py()
-                out, parts, at = [], [], 0
-                if found[i].is_valid:
-                    flat = found[i].values
-                    start, end = flat.field("start").to_numpy(), flat.field("end").to_numpy()
-                    order = np.argsort(start, kind="stable")
-                    start, end = start[order], np.maximum.accumulate(end[order])
-                    head = np.flatnonzero(np.concatenate([[True], start[1:] > end[:-1]]))
-                    tail = np.concatenate([head[1:], [len(start)]]) - 1
-                    out = list(zip(start[head].tolist(), end[tail].tolist()))
-                for s, e in out:
-                    parts.append(body[at:s])
-                    at = e
-                parts.append(body[at:])
+            for text, found in zip(b.column("text").cast(pa.large_binary()), b.column("spans")):
+                body, spans = text.as_py(), _merged(found)
                 sizes.append(len(body))
-                merged.append([{"start": s, "end": e} for s, e in out])
-                kept.append(b"".join(parts))
+                merged.append([{"start": s, "end": e} for s, e in spans])
+                kept.append(_without(body, spans))
             yield pa.record_batch([b.column("doc_id"), b.column("th"), pa.array(sizes, pa.int64()),
                                    pa.array(merged, SPAN_LIST), pa.array(kept, pa.binary())],
                                   names=["doc_id", "th", "n_bytes", "spans", "kept"])
 
-    return attach(d, spans, "doc_id", "th").mapInArrow(
+    return attach(_named(docs), _span_lists(docs, length, keep, gram), "doc_id", "th").mapInArrow(
         run, "doc_id bigint, th bigint, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary")
 
 
+def strip_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "first", gram: int = GRAM) -> DataFrame:
+    """``docs`` with the repeats cut from ``text``, all other columns as they
+    are; a character that a cut splits goes, a null text stays null."""
+    spans = _span_lists(docs, length, keep, gram).withColumnsRenamed({"th": "__th", "spans": "__spans"})
+    d = attach(docs.withColumn("__th", text_key(F.col("text"))), spans, "doc_id", "__th").drop("__th")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [text.as_py() if not found.is_valid else
+                     _without(text.as_py().encode(), _merged(found)).decode("utf-8", "ignore")
+                     for text, found in zip(b.column("text"), b.column("__spans"))]
+            rest = b.drop_columns(["__spans"])
+            at = rest.schema.get_field_index("text")
+            yield rest.set_column(at, rest.schema.field(at), pa.array(texts, rest.schema.field(at).type))
+
+    return d.mapInArrow(run, docs.schema)
+
+
 SPAN_LIST = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
