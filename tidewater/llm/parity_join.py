@@ -215,7 +215,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def pivot_pairs(shared: DataFrame) -> DataFrame:
     """(x, y): every node with the pivot, the node of smallest rank in a part, that it shares most parts with."""
-    pivot = shared.groupBy("value").agg(F.min_by("node", "rank").alias("pivot"))
+    pivot = materialize(shared.groupBy("value").agg(F.min_by("node", "rank").alias("pivot")), "pivots")
     count = (shared.join(pivot, "value").where("node <> pivot").groupBy("node", "pivot")
              .agg(F.count("*").alias("c")))
     return count.groupBy("node").agg(F.max_by("pivot", "c").alias("y")).select(F.col("node").alias("x"), "y")
@@ -225,8 +225,9 @@ def cross_pairs(shared: DataFrame, info: DataFrame, labels: DataFrame, percent:
     """(x, y): nodes of different components that share a part and whose sketches allow a link."""
     rows = materialize(shared.join(labels.select("node", "label"), "node", "left").select(
         "value", "node", F.coalesce("label", "node").alias("label")), "labelled-values")
-    mixed = (rows.groupBy("value").agg(F.min("label").alias("a"), F.max("label").alias("z"), F.count("*").alias("c"))
-             .where("a <> z").select("value", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")))
+    mixed = materialize(rows.groupBy("value").agg(
+        F.min("label").alias("a"), F.max("label").alias("z"), F.count("*").alias("c"))
+        .where("a <> z").select("value", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")), "mixed-values")
     rows = rows.join(mixed, "value").join(info.select("node", "size", "sketch"), "node")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

@@ -230,8 +230,8 @@ def spread_windows(rows: DataFrame, length: int, first: bool) -> DataFrame:
     each = materialize(rows.mapInArrow(
         run, "hk bigint, name bigint, doc_id bigint, th bigint, start int, settled boolean"), "windows")
     place = F.struct("doc_id", "th", "start")
-    cls = (each.groupBy("hk", "name").agg(F.min(place).alias("low"), F.max(place).alias("high"))
-           .where("low != high").select("hk", "name", "low"))
+    cls = materialize(each.groupBy("hk", "name").agg(F.min(place).alias("low"), F.max(place).alias("high"))
+                      .where("low != high").select("hk", "name", "low"), "window-classes")
     hit = each.where(~F.col("settled")).join(cls, ["hk", "name"])
     if first:
         hit = hit.where(~place.eqNullSafe(F.col("low")))
@@ -244,12 +244,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep: str = "none", gr
     found = anchor_rows(docs.where(F.octet_length("text") >= length), length, gram)
     twins = docs.groupBy("doc_id", "th").agg(F.count("*").alias("c")).where("c > 1").limit(1).count()
     every, folder = materialize(found.distinct() if twins else found, "anchors", path=True)
-    often = every.groupBy("hk").agg(F.count("*").alias("c")).where("c > 1").select("hk")
+    # small sides are written first: a join of two stored tables can be split where a gram is hot
+    often = materialize(every.groupBy("hk").agg(F.count("*").alias("c")).where("c > 1").select("hk"), "often")
     multi = materialize(every.join(often, "hk", "left_semi"), "repeated-anchors")
     discard(docs.sparkSession, folder)
     classes = multi.groupBy("hk", "hf").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_doc"))
     grams = classes.groupBy("hk").agg(F.count("*").alias("contexts"))
-    each = multi.join(classes.join(grams, "hk"), ["hk", "hf"])
+    each = multi.join(materialize(classes.join(grams, "hk"), "classes"), ["hk", "hf"])
     is_first = F.col("doc_id").eqNullSafe(F.col("first_doc")) & ~F.col("again")
     each = materialize(each.select(
         "hk", "doc_id", "th", "a", "back", "n", is_first.alias("rep"),

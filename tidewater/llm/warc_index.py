@@ -106,7 +106,7 @@ def with_owner(pages: DataFrame, page_id: str, url: str, payload: str, min_bytes
     body = F.coalesce(F.encode(F.col(payload), "UTF-8"), F.lit(b""))
     d = pages.select(F.col(page_id).cast("bigint").alias("page_id"), F.col(url).alias("url"), body.alias("payload"))
     d = d.withColumn("sha1", F.sha1("payload")).withColumn("key", F.coalesce(F.col("page_id").cast("string"), F.lit("")))
-    owner = d.groupBy("sha1").agg(F.min("page_id").alias("owner"))
+    owner = materialize(d.groupBy("sha1").agg(F.min("page_id").alias("owner")), "payload-owners")
     ids = d.groupBy("sha1", "key").agg(F.lit(1).alias("one")).drop("one").join(owner, "sha1")
     nth = F.row_number().over(Window.partitionBy("key", "sha1").orderBy("url"))
     d = d.join(ids.hint("merge"), ["key", "sha1"]).withColumn("nth", nth)
