@@ -30,8 +30,8 @@ for the contexts of representatives and for the result.
 
 Defined cases: null texts are empty, texts shorter than ``length`` keep
 everything; matches never cross documents; positions are ordered by (doc_id,
-text digest, offset), null ids first; rows that repeat (doc_id, text) are one
-document given twice; of different texts under one id none counts as earlier.
+text digest, offset), null ids last; rows that repeat (doc_id, text) are one
+document given twice.
 """
 
 from __future__ import annotations
@@ -162,7 +162,7 @@ def neighbours(b: pa.RecordBatch, length: int, first: bool) -> Iterator[tuple]:
     null = ids.is_null().to_numpy(zero_copy_only=False)
     doc = ids.fill_null(0).to_numpy()
     hk, th = b.column("hk").to_numpy(), b.column("th").to_numpy()
-    order = np.lexsort((start, th[row], doc[row], ~null[row], name, hk[row]))
+    order = np.lexsort((start, th[row], doc[row], null[row], name, hk[row]))
     r, s, w = row[order], start[order], name[order]
     same = (w[1:] == w[:-1]) & (hk[r][1:] == hk[r][:-1])
     place = (s[1:] != s[:-1]) | (th[r][1:] != th[r][:-1]) | (doc[r][1:] != doc[r][:-1]) | (null[r][1:] != null[r][:-1])
@@ -229,7 +229,7 @@ def spread_windows(rows: DataFrame, length: int, first: bool) -> DataFrame:
 
     each = materialize(rows.mapInArrow(
         run, "hk bigint, name bigint, doc_id bigint, th bigint, start int, settled boolean"), "windows")
-    place = F.struct("doc_id", "th", "start")
+    place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "th", "start")
     cls = materialize(each.groupBy("hk", "name").agg(F.min(place).alias("low"), F.max(place).alias("high"))
                       .where("low != high").select("hk", "name", "low"), "window-classes")
     hit = each.where(~F.col("settled")).join(cls, ["hk", "name"])
@@ -242,16 +242,22 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep: str = "none", gr
     """SPANS (overlapping) that ``keep`` removes, from (doc_id, th, text)."""
     first = keep == "first"
     found = anchor_rows(docs.where(F.octet_length("text") >= length), length, gram)
-    twins = docs.groupBy("doc_id", "th").agg(F.count("*").alias("c")).where("c > 1").limit(1).count()
+    ids = docs.groupBy("doc_id", "th").agg(F.count("*").alias("c")).groupBy("doc_id").agg(
+        F.max("c").alias("twins"), F.count("*").alias("texts"))
+    ids = ids.agg(F.max("twins").alias("twins"), F.max("texts").alias("texts"),
+                  F.max(F.col("doc_id").isNull()).alias("null")).collect()[0]
+    twins, plain = (ids["twins"] or 0) > 1, (ids["texts"] or 0) <= 1 and not ids["null"]
     every, folder = materialize(found.distinct() if twins else found, "anchors", path=True)
     # small sides are written first: a join of two stored tables can be split where a gram is hot
     often = materialize(every.groupBy("hk").agg(F.count("*").alias("c")).where("c > 1").select("hk"), "often")
     multi = materialize(every.join(often, "hk", "left_semi"), "repeated-anchors")
     discard(docs.sparkSession, folder)
-    classes = multi.groupBy("hk", "hf").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_doc"))
+    # the id alone orders texts where it names one text each (a cheaper aggregate)
+    place = F.col("doc_id") if plain else F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "th")
+    classes = multi.groupBy("hk", "hf").agg(F.count("*").alias("copies"), F.min(place).alias("first_doc"))
     grams = classes.groupBy("hk").agg(F.count("*").alias("contexts"))
     each = multi.join(materialize(classes.join(grams, "hk"), "classes"), ["hk", "hf"])
-    is_first = F.col("doc_id").eqNullSafe(F.col("first_doc")) & ~F.col("again")
+    is_first = place.eqNullSafe(F.col("first_doc")) & ~F.col("again")
     each = materialize(each.select(
         "hk", "doc_id", "th", "a", "back", "n", is_first.alias("rep"),
         (~is_first if first else F.col("copies") > 1).alias("settled"), "contexts"), "settled-anchors")
