@@ -1,9 +1,10 @@
 """Keyword tokenizer (X1) as built-in expressions.
 
 Rules (our own; the reference's segmenter dictionary is not part of it):
-Latin letters/digits form lower-cased runs; every CJK ideograph is a word of
-its own; with a dictionary table, CJK n-grams (2..max_len) found in it are
-words too.  Null or blank text gives no rows.  Everything is JVM-side
+letters, combining marks and digits of any script but CJK ideographs form
+lower-cased runs ("Für" is one word); every CJK ideograph is a word of its
+own; with a dictionary table, CJK n-grams found in it are words too, up to its
+longest entry.  Null or blank text gives no rows.  Everything is JVM-side
 (``regexp_extract_all`` + ``explode``); the SQL form is
 ``LATERAL VIEW explode(<split_words_sql(col)>)``.
 """
@@ -15,14 +16,14 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import broadcast_if_small
 
-LATIN_RUN = "[A-Za-z0-9]+"
+LETTER_RUN = r"[\p{L}\p{M}\p{N}&&[^一-鿿]]+"
 CJK_CHAR = "[一-鿿]"
 CJK_RUN = "[一-鿿]{2,}"
-WORD = f"{LATIN_RUN}|{CJK_CHAR}"   # one pass finds both kinds
+WORD = f"{LETTER_RUN}|{CJK_CHAR}"   # one pass finds both kinds
 
 
 def word_array(text: Column | str) -> Column:
-    """Array of the Latin runs and single CJK characters, lower-cased (a
+    """Array of the letter runs and single CJK characters, lower-cased (a
     no-op on CJK), from one regex pass."""
     t = F.col(text) if isinstance(text, str) else text
     return F.transform(F.regexp_extract_all(t, F.lit(WORD), 0), lambda w: F.lower(w))
@@ -30,12 +31,12 @@ def word_array(text: Column | str) -> Column:
 
 def split_words_sql(col: str) -> str:
     """The same array as a Spark SQL expression (for LATERAL VIEW explode)."""
-    return f"transform(regexp_extract_all({col}, '{WORD}', 0), w -> lower(w))"
+    pattern = WORD.replace("\\", "\\\\")  # backslashes of a SQL string literal
+    return f"transform(regexp_extract_all({col}, '{pattern}', 0), w -> lower(w))"
 
 
 def split_words(df: DataFrame, text: str, out: str = "word", keep: tuple[str, ...] | None = None,
-                dictionary: DataFrame | None = None, dict_col: str = "word",
-                max_len: int = 4) -> DataFrame:
+                dictionary: DataFrame | None = None, dict_col: str = "word") -> DataFrame:
     """One row per word of ``text``; other columns kept (``keep``)."""
     keep = tuple(c for c in df.columns if c != text) if keep is None else keep
     words = df.select(*keep, F.explode(word_array(text)).alias(out))
@@ -43,14 +44,18 @@ def split_words(df: DataFrame, text: str, out: str = "word", keep: tuple[str, ..
         return words
     runs = df.select(*keep, F.explode(F.regexp_extract_all(F.col(text), F.lit(CJK_RUN), 0)).alias("_run"))
 
+    vocab = dictionary.select(F.col(dict_col).alias(out)).where(F.length(out) > 1).distinct()
+    lengths = [r[0] for r in vocab.select(F.length(out)).distinct().collect()]  # one number per word length
+
     def gram_at(n: int):
         return lambda i: F.substring(F.col("_run"), i, F.lit(n))
 
     grams = []
-    for n in range(2, max_len + 1):
+    for n in sorted(lengths):
         starts = F.sequence(F.lit(1), F.length("_run") - n + 1)
         grams.append(F.when(F.length("_run") >= n, F.transform(starts, gram_at(n)))
                       .otherwise(F.array().cast("array<string>")))
+    if not grams:
+        return words
     cand = runs.select(*keep, F.explode(F.flatten(F.array(*grams))).alias(out))
-    vocab = broadcast_if_small(dictionary.select(F.col(dict_col).alias(out)).distinct())
-    return words.unionByName(cand.join(vocab, out, "left_semi"))
+    return words.unionByName(cand.join(broadcast_if_small(vocab), out, "left_semi"))

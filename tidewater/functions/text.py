@@ -71,7 +71,7 @@ def hotel_address(city, address) -> Column:
     for ch in ("'", '"', "\r", "\t", "\n"):
         a = _replace(a, ch)
     a = F.when(a.contains(ADDRESS_SEP), F.trim(F.substring_index(a, ADDRESS_SEP, 1))).otherwise(a)
-    a = F.when(a.startswith(NEAR), F.trim(F.substring(a, 2, 1 << 30))).otherwise(a)
+    a = F.when(a.startswith(NEAR), F.trim(F.substr(a, F.lit(2)))).otherwise(a)
     cty = _c(city)
     return F.when(a.contains(cty), a).otherwise(F.concat(cty, a))
 

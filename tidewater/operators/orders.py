@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import age_years, interval_join, lookup
+from .joins import age_years, interval_join, lookup, total_bytes
 
 ORDER_COLS = ("province_id", "order_status", "user_id", "total_amount", "activity_reduce_amount",
               "coupon_reduce_amount", "original_total_amount", "feight_fee", "expire_time",
@@ -17,8 +17,10 @@ DETAIL_COLS = ("sku_id", "order_price", "sku_num", "sku_name", "split_activity_a
 
 
 def order_times(df: DataFrame, time_col: str = "create_time") -> DataFrame:
-    """Date, hour and epoch millis of a ``yyyy-MM-dd HH:mm:ss`` text."""
-    t = F.to_timestamp(F.col(time_col), "yyyy-MM-dd HH:mm:ss")
+    """Date, hour and epoch millis of a creation time given as epoch
+    millis (number or text) or as ``yyyy-MM-dd HH:mm:ss``; null when neither."""
+    c = F.col(time_col).cast("string")
+    t = F.coalesce(F.timestamp_millis(c.try_cast("long")), F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss")))
     return (df.withColumn("create_date", F.date_format(t, "yyyy-MM-dd"))
               .withColumn("create_hour", F.date_format(t, "HH"))
               .withColumn("create_ts", F.unix_millis(t)))
@@ -66,7 +68,8 @@ def enrich_order(wide: DataFrame, user: DataFrame, province: DataFrame, sku: Dat
                                             "iso_code": "province_iso_code",
                                             "iso_3166_2": "province_3166_2_code"})
     return lookup(w, sku_dimension(sku, spu, trademark, category), "sku_id",
-                  ["spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name"])
+                  ["spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name"],
+                  size_bytes=total_bytes(sku, spu, trademark, category))
 
 
 def payment_wide(payment: DataFrame, wide: DataFrame, lo: int = -15 * 60_000,
@@ -96,4 +99,4 @@ def enrich_product(stats: DataFrame, sku: DataFrame, spu: DataFrame, category: D
     is found through the sku's spu id); one join of the stats on ``sku_id``."""
     return lookup(stats, sku_dimension(sku, spu, trademark, category), "sku_id",
                   ["sku_name", "sku_price", "spu_id", "tm_id", "category3_id", "spu_name",
-                   "category3_name", "tm_name"])
+                   "category3_name", "tm_name"], size_bytes=total_bytes(sku, spu, trademark, category))

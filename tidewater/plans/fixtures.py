@@ -94,7 +94,7 @@ def raw_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     disp = F.concat(F.lit('{"item":"'), F.col("k").cast("string"), F.lit('","item_type":"'),
                     item_type, F.lit('"}'))
     n = (F.col("k") % 3).cast("int")
-    displays = F.substring(F.expr("repeat(concat(',', disp), n)"), 2, 1 << 20)
+    displays = F.substr(F.expr("repeat(concat(',', disp), n)"), F.lit(2))
     start = F.when((F.col("event_type") == "signup") & (F.col("k") % 2 == 1), F.lit(',"start":"boot"')).otherwise(F.lit(""))
     line = F.concat(
         F.lit('{"common":{"mid":"m'), F.col("user_id").cast("string"),
@@ -189,7 +189,7 @@ def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
         _dec(F.col("o_totalprice")).alias("original_total_amount"),
         _dec(F.col("o_orderkey") % 20).alias("feight_fee"),
         F.lit(None).cast("string").alias("expire_time"),
-        _text("o_orderdate").alias("create_time"),
+        _millis("o_orderdate").cast("string").alias("create_time"),
         F.lit(None).cast("string").alias("operate_time"),
         _millis("o_orderdate").alias("create_ts"),
     )
@@ -206,7 +206,7 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
         _dec(F.col("l_extendedprice")).alias("order_price"),
         F.col("l_quantity").cast("long").alias("sku_num"),
         F.concat(F.lit("sku "), F.col("l_partkey")).alias("sku_name"),
-        _text("l_shipdate").alias("create_time"),
+        _millis("l_shipdate").cast("string").alias("create_time"),
         _dec(F.col("l_extendedprice")).alias("split_total_amount"),
         _dec(F.col("l_discount")).alias("split_activity_amount"),
         _dec(F.col("l_tax")).alias("split_coupon_amount"),
@@ -309,11 +309,13 @@ def comment_info(spark, sf_dir) -> DataFrame:
 
 
 # ------------------------------------------------------------- change capture
-def change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def change_records(spark: SparkSession, sf_dir: str, images: bool = True) -> DataFrame:
     """Raw change envelopes as a capture connector hands them over.
 
     topic ``<server>.<database>.<table>``, upper-case operation, before/after
-    maps (null when absent), source sequence number.
+    maps (null when absent), source sequence number.  The before-image is the
+    previous row of the same key, which takes a pass over the history; without
+    ``images`` it is left out (null) for readers that never look at it.
     """
     e = _events_k(spark, sf_dir)
     row = F.create_map(F.lit("id"), F.col("user_id").cast("string"),
@@ -321,8 +323,10 @@ def change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lit("k"), F.col("k").cast("string"))
     op = F.when(F.col("k") < 10, "DELETE").when(F.col("k") < 40, "CREATE").otherwise("UPDATE")
     # before-image: the previous row of the same (table, id), by source sequence
-    e = with_previous(e.withColumn("_row", row), ["event_type", "user_id"], "event_id", ["_row"])
-    prev = F.col("prev__row")
+    prev = F.lit(None).cast("map<string,string>")
+    if images:
+        e = with_previous(e.withColumn("_row", row), ["event_type", "user_id"], "event_id", ["_row"])
+        prev = F.col("prev__row")
     return e.select(
         F.concat(F.lit("binlog.shop."), F.col("event_type")).alias("topic"),
         op.alias("op"),
@@ -347,7 +351,90 @@ def table_process(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+# the shop's tables as changes: facts keep the first image, dimensions are upserted by their key
+SHOP_FACTS = {
+    "order_info": order_info, "order_detail": order_detail, "payment_info": payment_info, "favor_info": favor_info,
+    "cart_info": cart_info, "order_refund_info": refund_info, "comment_info": comment_info,
+}
+SHOP_DIMS = {
+    "base_province": dim_base_province, "sku_info": dim_sku_info, "spu_info": dim_spu_info,
+    "base_trademark": dim_base_trademark, "base_category3": dim_base_category3,
+}
+SHOP_KEYS = {"base_category3": "category3_id"}   # key column other than the default
+
+
+def shop_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A shop table as the source database holds it."""
+    d = {**SHOP_FACTS, **SHOP_DIMS}[name](spark, sf_dir).drop("create_ts")
+    return d.withColumnRenamed("id", SHOP_KEYS[name]) if name in SHOP_KEYS else d
+
+
+def shop_changes(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> DataFrame:
+    """Raw change envelopes of the shop database.
+
+    Every row is created once.  Orders divisible by 10 are deleted later and
+    orders divisible by 7 updated (neither is routed); every trademark is
+    created under an old name and the even ones are then renamed.
+    """
+    def envelopes(name: str, d: DataFrame, op: str, seq: int) -> DataFrame:
+        row = F.create_map(*[x for c in d.columns for x in (F.lit(c), F.col(c).cast("string"))])
+        none = F.lit(None).cast("map<string,string>")
+        return d.select(F.lit(f"binlog.shop.{name}").alias("topic"), F.lit(op).alias("op"),
+                        (none if op == "CREATE" else row).alias("before"), (none if op == "DELETE" else row).alias("after"),
+                        F.lit(0).cast("long").alias("ts_ms"), F.lit(seq).cast("long").alias("seq"))
+
+    out = None
+    for name in tables:
+        d = shop_table(spark, sf_dir, name)
+        parts = [envelopes(name, d, "CREATE", 1)]
+        if name == "order_info":
+            parts += [envelopes(name, d.where("id % 7 = 0").withColumn("order_status", F.lit("X")), "UPDATE", 2),
+                      envelopes(name, d.where("id % 10 = 0"), "DELETE", 3)]
+        if name == "base_trademark":
+            parts = [envelopes(name, d.withColumn("tm_name", F.concat(F.lit("old "), "tm_name")), "CREATE", 1),
+                     envelopes(name, d.where("id % 2 = 0"), "UPDATE", 2)]
+        for p in parts:
+            out = p if out is None else out.unionByName(p)
+    return out
+
+
+def shop_process(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routing of the shop tables: facts on insert, dimensions on insert and update."""
+    rows = []
+    for name in (*SHOP_FACTS, *SHOP_DIMS):
+        cols = ",".join(c for c in shop_table(spark, sf_dir, name).columns if c not in ("expire_time", "operate_time"))
+        kind, to = ("kafka", f"dwd_{name}") if name in SHOP_FACTS else ("hbase", f"dim_{name}")
+        rows += [(name, op, kind, to, cols, SHOP_KEYS.get(name), None)
+                 for op in (("insert",) if name in SHOP_FACTS else ("insert", "update"))]
+    return spark.createDataFrame(rows, "source_table string, operate_type string, sink_type string, sink_table string, "
+                                       "sink_columns string, sink_pk string, sink_extend string")
+
+
 # ---------------------------------------------------------------- keywords
+def search_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON log line per document: a search page view whose item is the
+    document's text, ten a second (documents divisible by 10 come from home)."""
+    d = table(spark, sf_dir, "documents")
+    page = F.struct(F.lit("good_list").alias("page_id"),
+                    F.when(F.col("doc_id") % 10 == 0, "home").otherwise("search").alias("last_page_id"),
+                    F.col("text").alias("item"))
+    common = F.struct(F.concat(F.lit("m"), F.col("doc_id")).alias("mid"))
+    return d.select(F.to_json(F.struct(common.alias("common"), page.alias("page"),
+                                       (F.lit(1_704_067_200_000) + F.col("doc_id") * 100).alias("ts"))).alias("value"))
+
+
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases of ideographs, letters and digits, one per supplier."""
+    s = table(spark, sf_dir, "supplier")
+    return s.select(F.col("s_suppkey").alias("id"), F.concat(
+        F.lit("公交公司"), F.col("s_name"), F.when(F.col("s_suppkey") % 2 == 0, "中华人民共和国 Für").otherwise("人民公交站")).alias("text"))
+
+
+def dictionary(spark: SparkSession) -> DataFrame:
+    # fixed values: words of two to seven ideographs
+    return spark.createDataFrame([(w,) for w in ("人民", "共和国", "公交公司", "中华人民共和国")], "word string")
+
+
 def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search page views: the whole document text is the searched phrase."""
     d = table(spark, sf_dir, "documents")

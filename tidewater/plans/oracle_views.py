@@ -90,14 +90,14 @@ SELECT o_orderkey AS id, o_custkey % 25 AS province_id, o_orderstatus AS order_s
        CAST(o_orderkey % 7 AS DECIMAL(18,2)) AS coupon_reduce_amount,
        CAST(o_totalprice AS DECIMAL(18,2)) AS original_total_amount,
        CAST(o_orderkey % 20 AS DECIMAL(18,2)) AS feight_fee,
-       CAST(NULL AS VARCHAR) AS expire_time, strftime(o_orderdate, {TS}) AS create_time,
+       CAST(NULL AS VARCHAR) AS expire_time, CAST(epoch_us(o_orderdate) // 1000 AS VARCHAR) AS create_time,
        CAST(NULL AS VARCHAR) AS operate_time, (epoch_us(o_orderdate) // 1000) AS create_ts
 FROM orders""")
 
 view("order_detail", f"""
 SELECT l_orderkey * 100 + l_linenumber AS id, l_orderkey AS order_id, l_partkey AS sku_id,
        CAST(l_extendedprice AS DECIMAL(18,2)) AS order_price, CAST(l_quantity AS BIGINT) AS sku_num,
-       'sku ' || l_partkey AS sku_name, strftime(l_shipdate, {TS}) AS create_time,
+       'sku ' || l_partkey AS sku_name, CAST(epoch_us(l_shipdate) // 1000 AS VARCHAR) AS create_time,
        CAST(l_extendedprice AS DECIMAL(18,2)) AS split_total_amount,
        CAST(l_discount AS DECIMAL(18,2)) AS split_activity_amount,
        CAST(l_tax AS DECIMAL(18,2)) AS split_coupon_amount,

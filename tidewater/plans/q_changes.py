@@ -16,8 +16,8 @@ from .oracle_views import with_views as V
 FIELDS = ("id", "value", "k")
 
 
-def _norm(spark, sf):
-    return normalize_changes(FX.change_records(spark, sf))
+def _norm(spark, sf, images: bool = True):
+    return normalize_changes(FX.change_records(spark, sf, images))
 
 
 def _flat(df, side="after", keep=("seq",)):
@@ -41,15 +41,30 @@ SELECT seq, table_name, type FROM changes WHERE database = 'shop' AND table_name
                        "changes"))
 def cdc_scan(spark, sf):
     """Database / table allow-list, latest-offset startup."""
-    d = read_changes(_norm(spark, sf), databases=["shop"], tables=["shop.view", "click"],
+    d = read_changes(_norm(spark, sf, images=False), databases=["shop"], tables=["shop.view", "click"],
                      startup="latest")
     return d.select("seq", "table_name", "type")
 
 
+@register("cdc_scan_initial", V("""
+SELECT seq, table_name, type FROM changes WHERE database = 'shop' AND table_name IN ('view', 'click')
+UNION ALL
+SELECT seq, table_name, 'read' FROM (
+  SELECT *, row_number() OVER (PARTITION BY table_name, coalesce(after_id, before_id) ORDER BY seq DESC) AS rn
+  FROM changes) WHERE rn = 1 AND type <> 'delete' AND table_name IN ('view', 'click')""", "changes"))
+def cdc_scan_initial(spark, sf):
+    """Initial-snapshot startup: the current rows of all tables as ``read``
+    changes, then the changes; the allow-list holds for both."""
+    n = _norm(spark, sf)
+    d = read_changes(n, databases=["shop"], tables=["shop.view", "click"], startup="initial",
+                     snapshot=apply_changelog(n, ["id"]))
+    return d.select("seq", "table_name", "type")
+
+
 @register("cdc_no_delete", V("SELECT seq, table_name, type FROM changes WHERE type <> 'delete'", "changes"))
 def cdc_no_delete(spark, sf):
     """P2."""
-    return drop_deletes(_norm(spark, sf)).select("seq", "table_name", "type")
+    return drop_deletes(_norm(spark, sf, images=False)).select("seq", "table_name", "type")
 
 
 @register("cdc_current_table", V("""
@@ -84,7 +99,7 @@ FROM changes c JOIN table_process t ON c.table_name = t.source_table AND c.type
 
 
 def _routed(spark, sf):
-    return route(_norm(spark, sf), FX.table_process(spark))
+    return route(_norm(spark, sf, images=False), FX.table_process(spark))
 
 
 @register("route_columns", V("""

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import timefmt as TF
-from ..functions.keywords import CJK_CHAR, LATIN_RUN, split_words, split_words_sql
+from ..functions.keywords import split_words, split_words_sql
 from ..operators import aggregates as A
 from ..schemas import PAGE_VIEW_MAPS
 from ..sources.lines import read_json_table
@@ -18,10 +18,14 @@ from .oracle_views import with_views as V
 
 TSF = "'%Y-%m-%d %H:%M:%S'"
 
+# letter runs outside the ideographs, and single ideographs
+RUNS = r"""regexp_extract_all(regexp_replace(full_word, '[一-鿿]', ' ', 'g'), '[\p{L}\p{M}\p{N}]+')"""
+CHARS = "regexp_extract_all(full_word, '[一-鿿]')"
+
 view("words", f"""
-SELECT doc_id, rt, lower(w) AS word FROM search_pages, unnest(regexp_extract_all(full_word, '{LATIN_RUN}')) t(w)
+SELECT doc_id, rt, lower(w) AS word FROM search_pages, unnest({RUNS}) t(w)
 UNION ALL
-SELECT doc_id, rt, w FROM search_pages, unnest(regexp_extract_all(full_word, '{CJK_CHAR}')) t(w)""",
+SELECT doc_id, rt, w FROM search_pages, unnest({CHARS}) t(w)""",
      ("search_pages",))
 
 
@@ -31,6 +35,18 @@ def split_words_q(spark, sf):
     return split_words(FX.search_pages(spark, sf), "full_word", keep=("doc_id",))
 
 
+@register("split_words_dict", V(f"""
+WITH p AS (SELECT s_suppkey AS id, '公交公司' || s_name || CASE WHEN s_suppkey % 2 = 0 THEN '中华人民共和国 Für' ELSE '人民公交站' END
+           AS full_word FROM supplier),
+d(w) AS (VALUES ('人民'), ('共和国'), ('公交公司'), ('中华人民共和国'))
+SELECT id, lower(w) AS word FROM p, unnest({RUNS}) t(w)
+UNION ALL SELECT id, w FROM p, unnest({CHARS}) t(w)
+UNION ALL SELECT id, w FROM p, d, range(1, length(full_word) + 1) t(i) WHERE substr(full_word, i, length(w)) = w"""))
+def split_words_dict(spark, sf):
+    """X1 with a dictionary of words up to seven ideographs."""
+    return split_words(FX.phrases(spark, sf), "text", keep=("id",), dictionary=FX.dictionary(spark))
+
+
 @register("keyword_stats", V(f"""
 SELECT word AS keyword, count(*) AS ct, 'search' AS source,
        strftime(time_bucket(INTERVAL '10 seconds', rt, TIMESTAMP '1970-01-01'), {TSF}) AS stt,
@@ -61,17 +77,20 @@ def search_filter(spark, sf):
 
 
 @register("e2e_keyword", V(f"""
+WITH lines AS (SELECT text AS full_word, 1704067200000 + doc_id * 100 AS ts FROM documents
+               WHERE doc_id % 10 <> 0 AND text IS NOT NULL),
+split AS (SELECT lower(w) AS word, ts FROM lines, unnest({RUNS}) t(w)
+          UNION ALL SELECT w, ts FROM lines, unnest({CHARS}) t(w))
 SELECT 'search' AS source,
        strftime(epoch_ms(ws), {TSF}) AS stt, strftime(epoch_ms(ws + 10000), {TSF}) AS edt,
        word AS keyword, count(*) AS ct
-FROM (SELECT lower(w) AS word, (ts - ts % 1000) - ((ts - ts % 1000) % 10000) AS ws
-      FROM ({SEARCH_SQL}), unnest(regexp_extract_all(full_word, '{LATIN_RUN}')) t(w))
-GROUP BY word, ws""", "page_log"))
+FROM (SELECT word, ts - ts % 10000 AS ws FROM split) GROUP BY word, ws"""))
 def e2e_keyword(spark, sf):
-    """E4 in SQL: declared table -> search filter -> LATERAL word split ->
-    10-second tumbling count per word."""
+    """E4 in SQL: JSON lines -> declared table -> search filter -> LATERAL word
+    split of whole texts -> 10-second tumbling count per word."""
     name = f"page_view_{uuid.uuid4().hex[:8]}"
-    _page_view(spark, sf).createOrReplaceTempView(name)
+    rt = F.to_timestamp(F.from_unixtime((F.col("ts") / 1000).cast("long")))
+    read_json_table(FX.search_lines(spark, sf), PAGE_VIEW_MAPS, rt, "1 second").createOrReplaceTempView(name)
     return spark.sql(f"""
         WITH full_words AS (
           SELECT page['item'] AS full_word, rt FROM {name}

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as A
 from ..operators import orders as O
 from ..operators.joins import age_years, interval_join, lookup
 from ..operators.measures import clicks_and_displays, product_measures
+from ..operators.routing import route
+from ..session import materialize, scratch_path
+from ..sources import sinks as K
+from ..sources.changes import drop_deletes, normalize_changes
 from . import fixtures as FX
-from ..session import materialize
 from .catalog import register
 from .oracle_views import view
 from .oracle_views import with_views as V
@@ -28,7 +33,7 @@ ORDER = ("province_id", "order_status", "user_id", "total_amount", "activity_red
 view("order_wide", f"""
 SELECT d.id AS detail_id, o.id AS order_id, {", ".join("d." + c for c in DETAIL)},
        {", ".join("o." + c for c in ORDER)},
-       substr(o.create_time, 1, 10) AS create_date, substr(o.create_time, 12, 2) AS create_hour,
+       strftime(epoch_ms(o.create_ts), '%Y-%m-%d') AS create_date, strftime(epoch_ms(o.create_ts), '%H') AS create_hour,
        o.create_ts
 FROM order_info o JOIN order_detail d
   ON d.order_id = o.id AND d.create_ts BETWEEN o.create_ts + ({WIDE_LO}) AND o.create_ts + ({WIDE_HI})""",
@@ -142,9 +147,14 @@ def _payment_wide(spark, sf, wide=None):
     return O.payment_wide(FX.payment_info(spark, sf), wide, PAY_LO, PAY_HI)
 
 
-def _product_union(spark, sf, wide=None):
-    # the enriched order wide table feeds two branches: hand it off once
-    wide = materialize(_enriched(spark, sf), "dwm_order_wide") if wide is None else wide
+#: What the product measures and the payment join read of an order wide row.
+NARROW = ("order_id", "sku_id", "sku_num", "order_price", "create_ts")
+
+
+def _product_union(spark, sf):
+    # dimensions come after the aggregation: the wide rows stay narrow, and
+    # are handed off once as two branches read them
+    wide = materialize(_wide(spark, sf).select(*NARROW), "dwm_order_wide")
     payments = O.payment_wide(FX.payment_info(spark, sf), wide, PAY_LO, PAY_HI)
     return product_measures(FX.page_log(spark, sf), FX.favor_info(spark, sf), FX.cart_info(spark, sf),
                             wide, payments, FX.refund_info(spark, sf), FX.comment_info(spark, sf))
@@ -155,8 +165,9 @@ def _product_stats(spark, sf):
 
 
 @register("order_times", V("""
-SELECT id, substr(create_time, 1, 10) AS create_date, substr(create_time, 12, 2) AS create_hour,
-       (epoch_us(strptime(create_time, '%Y-%m-%d %H:%M:%S')) // 1000) AS create_ts FROM order_info""", "order_info"))
+SELECT id, strftime(epoch_ms(CAST(create_time AS BIGINT)), '%Y-%m-%d') AS create_date,
+       strftime(epoch_ms(CAST(create_time AS BIGINT)), '%H') AS create_hour, CAST(create_time AS BIGINT) AS create_ts
+FROM order_info""", "order_info"))
 def order_times(spark, sf):
     return O.order_times(FX.order_info(spark, sf)).select("id", "create_date", "create_hour", "create_ts")
 
@@ -210,7 +221,7 @@ def dim_lookup(spark, sf):
 
 
 @register("fn_age", V("""
-SELECT o.id, CAST(floor(date_diff('day', CAST(u.birthday AS DATE), CAST(substr(o.create_time, 1, 10) AS DATE)) / 365) AS INTEGER) AS user_age
+SELECT o.id, CAST(floor(date_diff('day', CAST(u.birthday AS DATE), CAST(epoch_ms(o.create_ts) AS DATE)) / 365) AS INTEGER) AS user_age
 FROM order_info o LEFT JOIN dim_user_info u ON o.user_id = u.id""", "order_info", "dim_user_info"))
 def fn_age(spark, sf):
     """age in whole 365-day years at the order date."""
@@ -265,18 +276,78 @@ def province_stats(spark, sf):
     return A.province_stats(_enriched(spark, sf), "1 day")
 
 
-@register("e2e_product", V("SELECT * FROM product_stats_enriched", "product_stats_enriched"))
+# ------------------------------------------------------------ E2, E3: from changes
+TRADEMARKS = """
+SELECT id, CASE WHEN id % 2 = 0 THEN tm_name ELSE 'old ' || tm_name END AS tm_name FROM dim_base_trademark"""
+
+
+def dwd(spark, sf, tables: tuple[str, ...]):
+    """The change capture layer: raw envelopes -> normalise -> drop deletes ->
+    configured routes -> one topic per fact table, one upserted table per
+    dimension.  Returns a reader of either by source table name."""
+    config = FX.shop_process(spark, sf).where(F.col("source_table").isin(*tables))
+    routed = route(drop_deletes(normalize_changes(FX.shop_changes(spark, sf, tables))), config)
+    base = scratch_path(spark, "dwd")
+    K.write_routed(routed.select("sink_table", F.to_json("after").alias("value"), "seq"), f"{base}/topics", keep=("seq",))
+    topics = spark.read.parquet(f"{base}/topics")
+    for c in config.where("sink_type = 'hbase' and operate_type = 'insert'").collect():  # configuration rows
+        pk, cols = c["sink_pk"] or "id", c["sink_columns"].split(",")
+        target = f"{base}/dim/{c['source_table']}"
+        K.ensure_dim(spark, target, cols, [pk], buckets=4)
+        rows = topics.where(F.col("sink_table") == c["sink_table"]).select(
+            F.from_json("value", ", ".join(f"`{x}` string" for x in cols)).alias("r"), "seq").select("r.*", "seq")
+        K.upsert_dim(rows, target, [pk], "seq", files=1)
+
+    def read(name: str):
+        schema = FX.shop_table(spark, sf, name).schema
+        if name in FX.SHOP_DIMS:
+            d = K.read_snapshot(spark, f"{base}/dim/{name}")
+        else:
+            fields = ", ".join(f"`{f.name}` string" for f in schema)
+            d = topics.where(F.col("sink_table") == f"dwd_{name}").select(F.from_json("value", fields).alias("r")).select("r.*")
+        return d.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+
+    return read
+
+
+def _routed_wide(read):
+    detail = read("order_detail").withColumn("create_ts", F.col("create_time").cast("long"))
+    return O.order_wide(read("order_info"), detail, WIDE_LO, WIDE_HI)
+
+
+@register("e2e_product", V(f"""
+SELECT e.* EXCLUDE (tm_name), t.tm_name FROM product_stats_enriched e LEFT JOIN ({TRADEMARKS}) t ON e.tm_id = t.id""",
+                           "product_stats_enriched", "dim_base_trademark"))
 def e2e_product(spark, sf):
-    """Details x orders -> payments x order wide -> seven-way measures ->
-    product stats per day -> sku/spu/category/trademark names.  The enriched
-    order wide table (DWM layer) is written once and read by both consumers."""
-    wide = materialize(_enriched(spark, sf), "dwm_order_wide")
-    stats = A.product_stats(_product_union(spark, sf, wide), "1 day")
-    return O.enrich_product(stats, FX.dim_sku_info(spark, sf), FX.dim_spu_info(spark, sf),
-                            FX.dim_base_category3(spark, sf), FX.dim_base_trademark(spark, sf))
+    """Change envelopes -> routing to fact topics and dimension tables ->
+    order wide -> payment wide -> seven measures -> product stats per day ->
+    names from the upserted dimensions."""
+    read = dwd(spark, sf, (*FX.SHOP_FACTS, "sku_info", "spu_info", "base_trademark", "base_category3"))
+    wide = materialize(_routed_wide(read).select(*NARROW), "dwm_order_wide")
+    pay = read("payment_info")
+    pay = pay.withColumn("create_ts", F.unix_millis(F.to_timestamp("create_time", "yyyy-MM-dd HH:mm:ss")))
+    payments = O.payment_wide(pay, wide, PAY_LO, PAY_HI)
+    measures = product_measures(FX.page_log(spark, sf), read("favor_info"), read("cart_info"), wide, payments,
+                                read("order_refund_info"), read("comment_info"))
+    return O.enrich_product(A.product_stats(measures, "1 day"), read("sku_info"), read("spu_info"),
+                            read("base_category3").withColumnRenamed("category3_id", "id"), read("base_trademark"))
 
 
 @register("e2e_province", V("SELECT * FROM province_stats", "province_stats"))
 def e2e_province(spark, sf):
-    """Order x detail -> six dimension lookups -> province stats per day."""
-    return A.province_stats(_enriched(spark, sf), "1 day")
+    """E3 in SQL: routed orders and details -> order wide -> province names
+    from the upserted dimension -> daily totals."""
+    read = dwd(spark, sf, ("order_info", "order_detail", "base_province"))
+    names = {"wide": f"order_wide_{uuid.uuid4().hex[:8]}", "dim": f"province_{uuid.uuid4().hex[:8]}"}
+    _routed_wide(read).select("province_id", "order_id", "split_total_amount", "create_ts").createOrReplaceTempView(names["wide"])
+    read("base_province").createOrReplaceTempView(names["dim"])
+    return spark.sql(f"""
+        SELECT date_format(w.start, 'yyyy-MM-dd HH:mm:ss') AS stt, date_format(w.end, 'yyyy-MM-dd HH:mm:ss') AS edt,
+               province_id, province_name, province_area_code, province_iso_code, province_3166_2_code,
+               order_count, order_amount
+        FROM (SELECT window(timestamp_millis(create_ts), '1 day') AS w, province_id,
+                     p.name AS province_name, p.area_code AS province_area_code, p.iso_code AS province_iso_code,
+                     p.iso_3166_2 AS province_3166_2_code, count(DISTINCT order_id) AS order_count,
+                     CAST(sum(split_total_amount) AS DECIMAL(18,2)) AS order_amount
+              FROM {names['wide']} o LEFT JOIN {names['dim']} p ON o.province_id = p.id
+              GROUP BY 1, 2, 3, 4, 5, 6)""")

@@ -30,8 +30,8 @@ def normalize_changes(raw: DataFrame, topic: str = "topic", op: str = "op",
     parts = F.split(F.col(topic), "\\.")
     t = F.lower(F.col(op))
     return raw.select(
-        parts.getItem(1).alias("database"),
-        parts.getItem(2).alias("table_name"),
+        F.get(parts, F.lit(1)).alias("database"),
+        F.get(parts, F.lit(2)).alias("table_name"),
         F.when(t == "create", F.lit("insert")).otherwise(t).alias("type"),
         F.coalesce(F.col(before), _empty_map()).alias("before"),
         F.coalesce(F.col(after), _empty_map()).alias("after"),
@@ -44,17 +44,19 @@ def read_changes(changes: DataFrame, databases: Sequence[str] | None = None,
     """Database / table allow-lists; ``startup='initial'`` prepends the
     snapshot rows (type ``read``), ``'latest'`` keeps only the changes.
     ``tables`` entries may be ``db.table`` or bare table names."""
-    d = changes
+    if startup == "initial":
+        if snapshot is None:
+            raise ValueError("startup 'initial' needs a snapshot")
+        d = snapshot.withColumn("type", F.lit("read")).unionByName(changes, allowMissingColumns=True)
+    elif startup == "latest":
+        d = changes
+    else:
+        raise ValueError(f"unknown startup mode {startup!r}")
     if databases:
         d = d.where(F.col("database").isin(list(databases)))
     if tables:
         qualified = F.concat_ws(".", "database", "table_name")
         d = d.where(qualified.isin(list(tables)) | F.col("table_name").isin(list(tables)))
-    if startup == "initial" and snapshot is not None:
-        snap = snapshot.withColumn("type", F.lit("read"))
-        d = snap.unionByName(d, allowMissingColumns=True)
-    elif startup not in ("initial", "latest"):
-        raise ValueError(f"unknown startup mode {startup!r}")
     return d
 
 

@@ -20,6 +20,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..operators.patterns import top_monitors
 from ..sources import sinks as K
 
@@ -61,15 +62,15 @@ def top_n_per_batch(target: str, n: int = 5, **kw) -> Callable[[DataFrame, int],
     return handle
 
 
-def changelog_per_batch(target: str, keys: Sequence[str], seq: str = "seq",
-                        table: str = "table_name") -> Callable[[DataFrame, int], None]:
+def changelog_per_batch(target: str, keys: Sequence[str], seq: str = "seq", table: str = "table_name",
+                        buckets: int = K.BUCKETS, files: int = K.FILES) -> Callable[[DataFrame, int], None]:
     """S5 stream form: merge each batch of change envelopes into a snapshot
     holding the latest change per (table, primary key), delete markers
     included; ``current_table`` reads it without the deleted rows."""
     def handle(batch: DataFrame, batch_id: int) -> None:
         pk = [F.coalesce(F.col("after")[c], F.col("before")[c]).alias(f"pk_{c}") for c in keys]
         rows = batch.select(table, *pk, "type", "after", seq)
-        K.upsert_dim(rows, target, [table, *[f"pk_{c}" for c in keys]], seq)
+        K.upsert_dim(rows, target, [table, *[f"pk_{c}" for c in keys]], seq, buckets, files)
     return handle
 
 
@@ -79,10 +80,11 @@ def current_table(spark, target: str) -> DataFrame | None:
     return None if snap is None else snap.where(F.col("type") != "delete")
 
 
-def upsert_per_batch(target: str, keys: Sequence[str], seq: str) -> Callable[[DataFrame, int], None]:
+def upsert_per_batch(target: str, keys: Sequence[str], seq: str, buckets: int = K.BUCKETS,
+                     files: int = K.FILES) -> Callable[[DataFrame, int], None]:
     """K5 stream form: newest row per key wins, one committed snapshot per batch."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        K.upsert_dim(batch, target, keys, seq)
+        K.upsert_dim(batch, target, keys, seq, buckets, files)
     return handle
 
 
@@ -96,12 +98,10 @@ def unseen_rows(batch: DataFrame, keys_dir: str, batch_id: int, key: str = "dedu
 
     fresh = dedup_listings(batch, key, order).withColumn(K.BUCKET, F.pmod(F.hash(F.col(key)), F.lit(buckets)))
     touched = [r[0] for r in fresh.select(K.BUCKET).distinct().collect()]  # <= buckets ints
-    try:
+    if storage.exists(batch.sparkSession, keys_dir):
         seen = (batch.sparkSession.read.parquet(keys_dir).where(F.col(K.BUCKET).isin(touched))
                      .where(F.col("batch_id") != batch_id).select(key).distinct())
         fresh = fresh.join(seen, key, "left_anti")
-    except Exception:  # first batch: no key table yet
-        pass
     return fresh.drop(K.BUCKET)
 
 
