@@ -8,7 +8,7 @@ sampled by that calibrated probability.
 The cell table has a proven bound: a dimension has at most ``max_values``
 listed values (the largest by tokens), the rest share one value, so the cells
 number at most the product of these bounds.  Only that table reaches the
-driver; documents are scanned twice and never shuffled.
+driver; texts are read once and never shuffled.
 
 Defined cases: a null value of a dimension is a value of its own; a null or
 empty text has no tokens and probability 1 of its cell's rate rule (rate 0
@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, WORD
+from .common import SPACES, materialize
 
 #: Bounds of the listed values of a dimension.
 MAX_VALUES = {"source": 256, "lang": 32, "topic": 8}
@@ -37,18 +37,23 @@ SEED = 17
 ROUNDS, TOLERANCE = 500, 1e-9
 
 
+def count_of(text: Column, mark: str) -> Column:
+    return F.char_length(text) - F.char_length(F.replace(text, F.lit(mark), F.lit("")))
+
+
 def tokens(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
+    """White-space tokens, counted by their separators (blank and line feed)."""
+    t = F.btrim(F.coalesce(text, F.lit("")))
+    return F.when(t == "", 0).otherwise(count_of(t, " ") + count_of(t, "\n") + 1).cast("bigint")
 
 
 def topic(text: Column) -> Column:
     """The form of a text, which stands in for a topic: the tables have none."""
     t = F.coalesce(text, F.lit(""))
     n = F.char_length(t)
-    marks = n - F.char_length(F.translate(t, "#*$%&|<>{}=", ""))
-    lines = n - F.char_length(F.translate(t, "\n", ""))
+    marks = F.regexp_count(t, F.lit("[#*$%&|<>{}=]"))
     return (F.when(F.btrim(t, F.lit(SPACES)) == "", "empty").when(marks * 50 > n, "marked")
-            .when(lines * 80 > n, "listed").when(n < 1000, "brief").otherwise("prose"))
+            .when(count_of(t, "\n") * 80 > n, "listed").when(n < 1000, "brief").otherwise("prose"))
 
 
 def dimensions(source: str = "source", lang: str = "lang", text: str = "text") -> dict[str, Column]:
@@ -99,9 +104,11 @@ def draw(doc_id: Column, seed: int = SEED) -> Column:
 
 
 def _plan(docs: DataFrame, dims: dict[str, Column], targets: dict[str, dict[str, float]], temper: float,
-          budget: float, max_values: dict[str, int]) -> tuple[dict[str, Column], DataFrame]:
-    """The label of every dimension, and (labels, weight, probability) of every cell."""
-    d = docs.select(tokens(F.col("text")).alias("n_tokens"), *[c.alias(f"d_{k}") for k, c in dims.items()])
+          budget: float, max_values: dict[str, int]) -> tuple[DataFrame, dict[str, list[str]], DataFrame]:
+    """(doc_id, n_tokens, d_...) per row, the listed values of every dimension,
+    and (labels, weight, probability) of every cell.  Texts are read once."""
+    d = materialize(docs.select(F.col("doc_id"), tokens(F.col("text")).alias("n_tokens"),
+                                *[c.alias(f"d_{k}") for k, c in dims.items()]), "token-counts")
     listed = {}
     for k in dims:
         most = max_values.get(k, 32)
@@ -113,7 +120,6 @@ def _plan(docs: DataFrame, dims: dict[str, Column], targets: dict[str, dict[str,
             top = (d.where(F.col(f"d_{k}").isNotNull()).groupBy(f"d_{k}").agg(F.sum("n_tokens").alias("n"))
                    .orderBy(F.desc("n"), f"d_{k}").limit(most).collect())
             listed[k] = [r[0] for r in top]
-    labels = {k: _label(c, listed[k]) for k, c in dims.items()}
     # at most the product of the bounds, whatever the corpus
     cells = (d.select("n_tokens", *[_label(F.col(f"d_{k}"), listed[k]).alias(k) for k in dims])
              .groupBy(*dims).agg(F.sum("n_tokens").alias("n")).collect())
@@ -137,7 +143,7 @@ def _plan(docs: DataFrame, dims: dict[str, Column], targets: dict[str, dict[str,
     rows = [(*at, float(weight[i]), float(rate[i])) for at, i in zip(
         product(*values.values()), product(*[range(len(v)) for v in values.values()])) if cells]
     schema = ", ".join([*(f"`{k}` string" for k in dims), "weight double", "probability double"])
-    return labels, docs.sparkSession.createDataFrame(rows, schema)
+    return d, listed, docs.sparkSession.createDataFrame(rows, schema)
 
 
 def mix(docs: DataFrame, dims: dict[str, Column] | None = None, targets: dict[str, dict[str, float]] | None = None,
@@ -150,8 +156,8 @@ def mix(docs: DataFrame, dims: dict[str, Column] | None = None, targets: dict[st
     without any gets its own shares to the power ``temper``.
     """
     dims = dims or dimensions()
-    labels, cells = _plan(docs, dims, targets or {}, temper, budget, {**MAX_VALUES, **(max_values or {})})
-    labelled = docs.select("doc_id", tokens(F.col("text")).alias("n_tokens"), *[c.alias(k) for k, c in labels.items()])
+    d, listed, cells = _plan(docs, dims, targets or {}, temper, budget, {**MAX_VALUES, **(max_values or {})})
+    labelled = d.select("doc_id", "n_tokens", *[_label(F.col(f"d_{k}"), listed[k]).alias(k) for k in dims])
     return labelled.join(F.broadcast(cells), list(dims)).withColumn(
         "kept", draw(F.col("doc_id"), seed) < F.col("probability")).select(
         "doc_id", *dims, "n_tokens", "weight", "probability", "kept")
@@ -161,8 +167,8 @@ def sample(docs: DataFrame, dims: dict[str, Column] | None = None, targets: dict
            temper: float = TEMPER, budget: float = BUDGET, seed: int = SEED) -> DataFrame:
     """The rows of ``docs`` that ``mix`` keeps, all columns as they are."""
     dims = dims or dimensions()
-    labels, cells = _plan(docs, dims, targets or {}, temper, budget, MAX_VALUES)
+    _, listed, cells = _plan(docs, dims, targets or {}, temper, budget, MAX_VALUES)
     side = cells.withColumnsRenamed({k: f"__{k}" for k in dims}).withColumnRenamed("probability", "__p").drop("weight")
-    marked = docs.withColumns({f"__{k}": c for k, c in labels.items()})
+    marked = docs.withColumns({f"__{k}": _label(c, listed[k]) for k, c in dims.items()})
     return (marked.join(F.broadcast(side), [f"__{k}" for k in dims])
             .where(draw(F.col("doc_id"), seed) < F.col("__p")).select(*docs.columns))
