@@ -81,8 +81,9 @@ def later_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS)
     unit of an earlier rank makes redundant."""
     u = materialize(units(docs, unit, min_words), "units")
     rank = F.struct("doc_id", "th", "unit_no")
-    first = (u.groupBy("h1", "h2").agg(F.min(rank).alias("a"), F.max(rank).alias("z"))
-             .where("a != z").select("h1", "h2", "a"))
+    # written first: a join of two stored tables can be split where a unit is hot
+    first = materialize(u.groupBy("h1", "h2").agg(F.min(rank).alias("a"), F.max(rank).alias("z"))
+                        .where("a != z").select("h1", "h2", "a"), "first-units")
     return (u.join(first, ["h1", "h2"]).where(~rank.eqNullSafe(F.col("a")))
             .select("doc_id", "th", "unit_no", F.col("a.doc_id").alias("first_doc"),
                     F.col("a.unit_no").alias("first_unit")))
