@@ -49,8 +49,8 @@ from .rolling import M1, M2, M3, U, grams8, mix, prefix, text_buffer
 LENGTH = 200
 GRAM = 64
 SEGMENT = 1 << 18
-#: Contexts of one gram that one task may sort; grams with more are spread by window.
-MANY = 256
+#: Contexts of one gram that one task may sort (3 MB of text); grams with more are spread by window.
+MANY = 8192
 
 ANCHORS = "hk bigint, hf bigint, doc_id bigint, th bigint, a int, back int, n int, again boolean"
 CONTEXT = "hk bigint, doc_id bigint, th bigint, a int, back int, n int, settled boolean, many boolean, context binary"
