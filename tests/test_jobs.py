@@ -59,7 +59,8 @@ def test_visitor_chain(spark, tmp_dir):
 
     raw = JB.Topic(raw_dir, T.StructType([T.StructField("seq", T.LongType()), T.StructField("value", T.StringType())]),
                    max_files_per_trigger=1)
-    page_schema = with_batch(T.StructType([T.StructField("seq", T.LongType())] + list(PAGE_LOG.fields)))
+    page_schema = with_batch(T.StructType([T.StructField("seq", T.LongType()), T.StructField("value", T.StringType())]
+                                          + list(PAGE_LOG.fields)))
     topics = {n: JB.Topic(f"{tmp_dir}/{n}") for n in ("start", "page", "display", "dirty")}
     finish(JB.log_split(spark, raw, topics["start"], topics["page"], topics["display"], topics["dirty"],
                         f"{tmp_dir}/ck_log"))
@@ -100,9 +101,56 @@ def test_db_routing_job(spark, tmp_dir):
     finish(JB.db_routing(spark, JB.Topic(src, changes.schema, max_files_per_trigger=1), config, fact,
                          f"{tmp_dir}/dim", f"{tmp_dir}/ck_db"))
     f, d = split_routes(route(drop_deletes(changes), FX.table_process(spark)))
-    assert rows(spark.read.parquet(f"{tmp_dir}/fact"), "seq") == rows(f, "seq")
-    latest = d.groupBy("sink_table", F.col("after")["id"].alias("id")).agg(F.max("seq").alias("seq"))
-    assert rows(K.read_snapshot(spark, f"{tmp_dir}/dim"), "sink_table", "id", "seq") == rows(latest)
+    assert rows(spark.read.parquet(f"{tmp_dir}/fact"), "sink_table", "seq") == rows(f, "sink_table", "seq")
+    latest = d.groupBy(F.col("after")["id"].alias("id")).agg(F.max("seq").alias("seq"))
+    assert rows(K.read_snapshot(spark, f"{tmp_dir}/dim/dim_click"), "id", "seq") == rows(latest)
+
+
+def test_db_routing_uses_the_configured_key(spark, tmp_dir):
+    row = lambda code, name: {"spu_code": code, "name": name, "secret": "x"}
+    data = [("db", "spu", "insert", {}, row(f"s{i % 6}", f"n{i}"), 0, i) for i in range(12)]
+    schema = ("database string, table_name string, type string, before map<string,string>, after map<string,string>, "
+              "ts_ms long, seq long")
+    df = spark.createDataFrame(data, schema)
+    df.where("seq < 8").coalesce(1).write.parquet(f"{tmp_dir}/ch")
+    df.where("seq >= 8").coalesce(1).write.mode("append").parquet(f"{tmp_dir}/ch")
+    cfg = lambda s: s.createDataFrame(
+        [("spu", "insert", "hbase", "dim_spu", "spu_code,name", "spu_code", None),
+         ("other", "insert", "hbase", "dim_other", "id,x", None, None)],
+        "source_table string, operate_type string, sink_type string, sink_table string, sink_columns string, "
+        "sink_pk string, sink_extend string")
+    finish(JB.db_routing(spark, JB.Topic(f"{tmp_dir}/ch", df.schema, max_files_per_trigger=1), PolledTable(cfg, ttl=1800),
+                         JB.Topic(f"{tmp_dir}/fact"), f"{tmp_dir}/dim", f"{tmp_dir}/ck"))
+    spu = K.read_snapshot(spark, f"{tmp_dir}/dim/dim_spu")
+    assert rows(spu, "spu_code", "name") == [(f"s{i}", f"n{i + 6}") for i in range(6)] and "secret" not in spu.columns
+    other = K.read_snapshot(spark, f"{tmp_dir}/dim/dim_other")
+    assert other.count() == 0 and set(other.columns) == {"id", "x"}
+
+
+def test_bad_line_does_not_stop_a_job(spark, tmp_dir):
+    good = FX.car_lines(spark, SF_DIR).select("value")
+    bad = spark.createDataFrame([("00\t01\t0001\t00001\tnot a time\tc1\t99",), ("rubbish",)], "value string")
+    good.unionAll(bad).coalesce(1).write.text(f"{tmp_dir}/cars")
+    limits = PolledTable(lambda s: FX.speed_limit(s, SF_DIR), ttl=1800)
+    finish(JB.overspeed(spark, JB.Topic(f"{tmp_dir}/cars", fmt="text"), limits, JB.Topic(f"{tmp_dir}/over"), f"{tmp_dir}/ck"))
+    cars = FX.car_info(spark, SF_DIR).withColumn("ts_ms", F.unix_millis(F.to_timestamp("action_time")))
+    assert rows(spark.read.parquet(f"{tmp_dir}/over").drop("batch_id")) == rows(J.overspeed(cars, FX.speed_limit(spark, SF_DIR)))
+    finish(JB.dirty_cars(spark, JB.Topic(f"{tmp_dir}/cars", fmt="text"), JB.Topic(f"{tmp_dir}/dirty"), f"{tmp_dir}/ckd"))
+    assert rows(spark.read.parquet(f"{tmp_dir}/dirty")) == rows(bad)
+
+
+def test_flag_repair_orders_text_lines_by_event_time(spark, tmp_dir):
+    line = ('{"common":{"mid":"m1","vc":"v","ch":"c","ar":"a","is_new":"%s","os":"x"},'
+            '"page":{"page_id":"home","during_time":1},"displays":[{"item":"1","item_type":"t","pos_id":7}],"ts":%d}')
+    lines = [(line % ("1", 1_700_000_000_000 + 1000 * i),) for i in range(6)]
+    spark.createDataFrame(lines, "value string").coalesce(1).write.text(f"{tmp_dir}/log")
+    t = {n: JB.Topic(f"{tmp_dir}/{n}") for n in ("start", "page", "display", "dirty")}
+    finish(JB.log_split(spark, JB.Topic(f"{tmp_dir}/log", fmt="text"), t["start"], t["page"], t["display"], t["dirty"],
+                        f"{tmp_dir}/ck"))
+    got = spark.read.parquet(f"{tmp_dir}/page").orderBy("ts").collect()
+    assert [r.common.is_new for r in got] == ["1", "0", "0", "0", "0", "0"]
+    assert all('"os":"x"' in r.value and ('"is_new":"%s"' % r.common.is_new) in r.value for r in got)
+    assert [r.display for r in spark.read.parquet(f"{tmp_dir}/display").collect()] == ['{"item":"1","item_type":"t","pos_id":7}'] * 6
 
 
 def test_overspeed_and_listings_jobs(spark, tmp_dir):
@@ -126,7 +174,7 @@ def test_overspeed_and_listings_jobs(spark, tmp_dir):
 
 
 def test_keyword_job(spark, tmp_dir):
-    lines = FX.raw_log_lines(spark, SF_DIR).select("value")
+    lines = FX.search_lines(spark, SF_DIR)
     lines.coalesce(1).write.text(f"{tmp_dir}/lines")
     sentinel = '{"common":{"mid":"zz"},"page":{"page_id":"x","last_page_id":"search","item":"zz"},"ts":%d}' % FAR
     spark.createDataFrame([(sentinel,)], "value string").coalesce(1).write.mode("append").text(f"{tmp_dir}/lines")

@@ -377,7 +377,7 @@ def test_hot_key_is_spread_over_tasks(spark):
 def test_sizing_conf():
     from tidewater.session import sizing_conf
     c = sizing_conf(100 << 40, executors=1000, cores_per_executor=4)   # 100 TB
-    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert int(c["spark.sql.shuffle.partitions"]) == 20000   # five waves
     assert int(c["spark.sql.files.maxPartitionBytes"]) == 256 << 20
     assert int(sizing_conf(1 << 30, executors=10)["spark.sql.shuffle.partitions"]) == 80
 
@@ -433,6 +433,80 @@ def test_with_following_property(spark):
     check()
 
 
+def test_upsert_keeps_stored_rows(spark, tmp_dir):
+    """A batch with another column, a read error, a crash before the commit."""
+    import pytest
+    from tidewater import storage
+    target = tmp_dir + "/dim50"
+    K.upsert_dim(spark.createDataFrame([(f"k{i}", i, 1) for i in range(50)], "k string, v int, seq long"), target, ["k"], "seq")
+    K.upsert_dim(spark.createDataFrame([("k1", 100, "n", 2), ("k60", 1, "n", 2)], "k string, v int, extra string, seq long"),
+                 target, ["k"], "seq")
+    snap = K.read_snapshot(spark, target)
+    assert snap.count() == 51 and rows(snap.where("extra = 'n'"), "k", "v") == [("k1", 100), ("k60", 1)]
+    # data written but no version: the old version stands, and the next batch builds on it
+    put, K.storage.put_new = K.storage.put_new, lambda *a: (_ for _ in ()).throw(OSError("crash"))
+    try:
+        with pytest.raises(OSError):
+            K.upsert_dim(spark.createDataFrame([("k2", 5, 9)], "k string, v int, seq long"), target, ["k"], "seq")
+    finally:
+        K.storage.put_new = put
+    assert K.read_snapshot(spark, target).count() == 51
+    # a stored folder that cannot be read raises instead of being replaced
+    state = K.snapshot_state(spark, target)
+    for d in state["folders"].values():
+        storage.delete(spark, f"{target}/{d}")
+    with pytest.raises(Exception):
+        K.upsert_dim(spark.createDataFrame([("k2", 5, 9)], "k string, v int, seq long"), target, ["k"], "seq")
+    assert K.snapshot_state(spark, target) == state
+
+
+def test_match_or_timeout_keeps_null_and_repeated_rows(spark):
+    l = spark.createDataFrame([("a", None, 1), ("a", 100, 2), ("a", 100, 2), ("b", 5, 3), (None, 5, 4), ("c", 10, 5)],
+                              "car string, ts long, seq long")
+    r = spark.createDataFrame([("b", 6, 10), ("c", None, 11), (None, 5, 12), ("b", 6, 10)], "car string, ts long, seq long")
+    out = rows(J.match_or_timeout(l, r, "car", "ts", "ts", 5), "car", "l_id", "r_id", "status")
+    assert sorted(out, key=str) == sorted([
+        ("a", 1, None, "left_only"), ("a", 2, None, "left_only"), ("a", 2, None, "left_only"), ("c", 5, None, "left_only"),
+        (None, 4, None, "left_only"), ("b", 3, 10, "matched"), ("b", 3, 10, "matched"),
+        ("c", None, 11, "right_only"), (None, None, 12, "right_only")], key=str)
+
+
+def test_match_or_timeout_joins_once(spark):
+    d = spark.createDataFrame([("a", 1, 1)], "car string, ts long, seq long")
+    plan = J.match_or_timeout(d, d, "car", "ts", "ts", 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join FullOuter") == 1
+
+
+def test_order_times_of_millis_and_text(spark):
+    d = spark.createDataFrame([("1650000000000",), ("2022-04-15 05:20:00",), ("rubbish",), (None,)], "create_time string")
+    from tidewater.operators.orders import order_times
+    got = [tuple(r) for r in order_times(d).select("create_date", "create_hour", "create_ts").collect()]
+    assert got == [("2022-04-15", "05", 1650000000000)] * 2 + [(None, None, None)] * 2
+
+
+def test_shared_dir_is_refused_on_a_cluster():
+    import pytest
+    from types import SimpleNamespace
+    from tidewater.session import shared_dir
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="yarn", setCheckpointDir=None)
+    fake = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: d))
+    with pytest.raises(RuntimeError):
+        shared_dir(fake)
+
+
+def test_end_to_end_keys_aggregate(spark):
+    """The rows of a windowed key are fewer than what goes in."""
+    from tidewater.plans import fixtures as FX
+    from tidewater.plans.catalog import QUERIES, load_all
+    load_all()
+    sf = "/root/testdata/sf0.001"
+    out = QUERIES["e2e_keyword"](spark, sf)
+    assert out.agg(F.sum("ct")).first()[0] > 2 * out.count()
+    v = QUERIES["visitor_stats_11s"](spark, sf)
+    assert v.count() < QUERIES["visitor_union"](spark, sf).count() / 2
+    assert v.agg(F.sum("uv_ct"), F.sum("uj_ct")).first()[0] > 0
+
+
 def test_read_changes_initial_snapshot(spark):
     from tidewater.sources.changes import read_changes
     ch = spark.createDataFrame([("db", "t", "insert", {"id": "2"}, 5), ("db2", "t", "insert", {"id": "3"}, 6)],

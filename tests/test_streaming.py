@@ -190,6 +190,27 @@ def test_match_or_timeout_stream(spark, tmp_dir):
                    ("c", 3, None, "left_only"), ("c", None, 11, "right_only")]
 
 
+def test_match_or_timeout_stream_is_the_batch_form(spark, tmp_dir):
+    """Several pending rows per car, and one car with 60 % of the rows."""
+    import random
+    from tidewater.operators import joins as J
+    rng, base = random.Random(8), 1_700_000_000_000
+    car = lambda: "hot" if rng.random() < .6 else f"c{rng.randrange(5)}"
+    v = [(car(), base + rng.randrange(400_000), i) for i in range(120)]
+    p = [(car(), base + rng.randrange(400_000), 1000 + i) for i in range(60)]
+    v += [("solo", base, 500), ("solo", base + 1000, 501), ("solo", base + 2000, 502)]
+    dfs = [spark.createDataFrame(x, "car_id string, ts long, seq long") for x in (v, p)]
+    want = rows(J.match_or_timeout(*dfs, "car_id", "ts", "ts", 5_000), "car_id", "l_id", "r_id", "status")
+    streams = []
+    for k, df in enumerate(dfs):
+        df.coalesce(1).write.parquet(f"{tmp_dir}/{k}")
+        df.limit(1).withColumn("ts", F.lit(FAR)).withColumn("car_id", F.lit("zz")).withColumn("seq", F.lit(99 + k).cast("long")) \
+            .coalesce(1).write.mode("append").parquet(f"{tmp_dir}/{k}")
+        streams.append(stream_of(spark, df, f"{tmp_dir}/{k}").withColumn("et", F.timestamp_millis("ts")))
+    out = run_to_table(spark, ST.match_or_timeout_stream(*streams, "car_id", "et", 5_000, "0 seconds"), tmp_dir, "mtb")
+    assert rows(out.where("car_id <> 'zz'"), "car_id", "l_id", "r_id", "status") == want
+
+
 def test_top_n_per_batch(spark, tmp_dir):
     cars = FX.car_info(spark, SF_DIR).withColumn("ts", F.to_timestamp("action_time")) \
         .withColumn("ms", F.unix_millis("ts"))

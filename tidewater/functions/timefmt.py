@@ -25,7 +25,7 @@ def millis_to_text(ms, zone: str = DEFAULT_ZONE) -> Column:
 
 def text_to_millis(text, zone: str = DEFAULT_ZONE) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` wall time in ``zone`` -> epoch millis."""
-    return F.unix_millis(F.to_utc_timestamp(F.to_timestamp(_c(text), TEXT_TS), zone))
+    return F.unix_millis(F.to_utc_timestamp(F.try_to_timestamp(_c(text), F.lit(TEXT_TS)), zone))
 
 
 def numeric_text_to_millis(text) -> Column:

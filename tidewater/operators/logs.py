@@ -15,7 +15,8 @@ def split_dirty(lines: DataFrame, schema: T.StructType = PAGE_LOG, value_col: st
                 keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Parse JSON text lines; return ``(good, dirty)``.
 
-    good: the parsed record columns (plus ``keep`` passthrough columns);
+    good: the parsed record columns (plus ``keep`` passthrough columns; keep
+    the line itself to pass on fields outside the schema);
     dirty: the raw line of every unparsable input, in column ``value``.
     PERMISSIVE parsing marks bad lines in ``_corrupt_record`` instead of
     failing, which works unchanged on a stream.  Each line is parsed once:
@@ -30,7 +31,7 @@ def split_dirty(lines: DataFrame, schema: T.StructType = PAGE_LOG, value_col: st
     good = (lines.select(F.inline(F.filter(F.array(row), lambda r: ~bad(r))))
                  .select(*keep, *[F.col(f"_rec.{f.name}") for f in schema.fields]))
     dirty = (lines.select(F.inline(F.filter(F.array(row), bad)))
-                  .select(*keep, F.col("_line").alias("value")))
+                  .select(*[k for k in keep if k != "value"], F.col("_line").alias("value")))
     return good, dirty
 
 
@@ -46,8 +47,22 @@ def split_logs(df: DataFrame, start_col: str = "start") -> tuple[DataFrame, Data
     return df.where(has_start), df.where(~has_start)
 
 
-def explode_displays(page_df: DataFrame) -> DataFrame:
-    """One row per element of ``displays`` of a page record, with its page id."""
+def with_flag(record: Column, old: Column, new: Column) -> Column:
+    """The record's JSON text with the repaired new-visitor flag; all else as it came."""
+    return F.when(old.eqNullSafe(new), record).otherwise(
+        F.regexp_replace(record, r'("is_new"\s*:\s*")[^"]*"', F.concat(F.lit("$1"), new, F.lit('"'))))
+
+
+def explode_displays(page_df: DataFrame, record: str | None = None) -> DataFrame:
+    """One row per element of ``displays`` of a page record, with its page id.
+    With ``record``, the column of the whole record's JSON text, also the
+    element as it stands there (``display``), whatever fields it has."""
+    if record is not None:
+        whole = F.from_json(F.col(record), T.StructType.fromDDL("displays array<variant>"))["displays"]
+        text = lambda v, f: F.try_variant_get(v, f"$.{f}", "string")
+        return (page_df.select(F.col("page.page_id").alias("page_id"), F.explode(whole).alias("_d"))
+                       .select(text(F.col("_d"), "item").alias("item"), text(F.col("_d"), "item_type").alias("item_type"),
+                               "page_id", F.to_json("_d").alias("display")))
     return (page_df.select(F.col("page.page_id").alias("page_id"),
                            F.explode("displays").alias("_d"))
                    .select(F.col("_d.item").alias("item"), F.col("_d.item_type").alias("item_type"),

@@ -53,10 +53,10 @@ def clicks_and_displays(page_df: DataFrame) -> DataFrame:
     one = lambda c: F.lit(c).cast("long")
     zero_or_null = F.lit(None).cast("long")
     click = F.when((F.col("page.page_id") == "good_detail") & (F.col("page.item_type") == "sku_id"),
-                   F.array(F.struct(F.col("page.item").cast("long").alias("sku_id"),
+                   F.array(F.struct(F.col("page.item").try_cast("long").alias("sku_id"),
                                     one(1).alias("click_ct"), zero_or_null.alias("display_ct"))))
     shown = F.transform(F.filter(F.coalesce(F.col("displays"), F.array()), lambda d: d["item_type"] == "sku_id"),
-                        lambda d: F.struct(d["item"].cast("long").alias("sku_id"), zero_or_null.alias("click_ct"),
+                        lambda d: F.struct(d["item"].try_cast("long").alias("sku_id"), zero_or_null.alias("click_ct"),
                                            one(1).alias("display_ct")))
     empty = F.array().cast("array<struct<sku_id:bigint,click_ct:bigint,display_ct:bigint>>")
     events = F.concat(F.coalesce(click, empty), shown)
@@ -68,7 +68,7 @@ def product_measures(page_df: DataFrame, favor: DataFrame, cart: DataFrame, orde
                      payment_wide: DataFrame, refund: DataFrame, comment: DataFrame) -> DataFrame:
     """P10 + U3: seven inputs in one measure schema; missing measures are 0 and
     the id columns feed the distinct counts (order, paid order, refund)."""
-    text_ms = lambda c: F.col(c).cast("long")  # numeric text -> millis
+    text_ms = lambda c: F.col(c).try_cast("long")  # numeric text -> millis
     parts = [
         clicks_and_displays(page_df),
         favor.select("sku_id", F.lit(1).cast("long").alias("favor_ct"), text_ms("create_time").alias("ts")),

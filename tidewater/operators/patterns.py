@@ -18,6 +18,14 @@ from .sequence import first_per_group, with_following, with_prior_max
 # fixed values: the violation labels the reference writes
 DANGEROUS_DRIVING = "危险驾驶"
 CLONED_PLATE = "套牌车辆"
+# fixed values: the texts of the alerts
+DANGER_TEXT = ("车辆涉嫌危险驾驶，第一次经过卡口时间: ", "第二次经过卡口时间: ", "第二次经过卡口时间: ")
+CLONED_TEXT = ("车辆：", " 涉嫌套牌,上次经过卡口时间：", ",本次经过时间：")
+
+
+def danger_labels(n: int) -> list[str]:
+    """The label before each of n passage times; later steps repeat the last one."""
+    return [DANGER_TEXT[min(i, len(DANGER_TEXT) - 1)] for i in range(n)]
 
 
 def unique_visits(page_df: DataFrame, key: str = "common.mid", ts: str = "ts",
@@ -65,6 +73,7 @@ def danger_drive(cars: DataFrame, within_ms: int = 10_000, key: str = "car_id",
         F.col(key).alias("car_id"),
         F.lit(DANGEROUS_DRIVING).alias("violation"),
         F.col("action_time").alias("create_time"),
+        F.concat(*[x for label, t in zip(danger_labels(n), times) for x in (F.lit(label), t)]).alias("description"),
         *[t.alias(f"time_{i + 1}") for i, t in enumerate(times)],
     )
 
@@ -76,8 +85,10 @@ def repeat_plates(cars: DataFrame, within_ms: int = 10_000, key: str = "car_id",
     d = with_prior_max(cars, [key], seq, ts, out="_prev", chunk_rows=chunk_rows)
     hit = d.where(F.col("_prev").isNotNull() & (F.abs(F.col(ts) - F.col("_prev")) <= within_ms))
     prev_txt = F.date_format(F.timestamp_millis(F.col("_prev")), "yyyy-MM-dd HH:mm:ss")
+    a, b, c = (F.lit(x) for x in CLONED_TEXT)
     return hit.select(F.col(key).alias("car_id"), F.lit(CLONED_PLATE).alias("violation"),
                       F.col("action_time").alias("create_time"),
+                      F.concat(a, F.col(key), b, prev_txt, c, F.col("action_time")).alias("description"),
                       prev_txt.alias("previous_time"), F.col(seq).alias("seq"))
 
 

@@ -92,7 +92,7 @@ def raw_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
            .when(F.col("event_type") == "purchase", "home"))
     item_type = F.when(F.col("k") % 2 == 0, "sku_id").otherwise("other")
     disp = F.concat(F.lit('{"item":"'), F.col("k").cast("string"), F.lit('","item_type":"'),
-                    item_type, F.lit('"}'))
+                    item_type, F.lit('","pos_id":'), (F.col("k") % 6).cast("string"), F.lit("}"))
     n = (F.col("k") % 3).cast("int")
     displays = F.substr(F.expr("repeat(concat(',', disp), n)"), F.lit(2))
     start = F.when((F.col("event_type") == "signup") & (F.col("k") % 2 == 1), F.lit(',"start":"boot"')).otherwise(F.lit(""))
@@ -102,6 +102,7 @@ def raw_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('","ch":"c'), (F.col("user_id") % 5).cast("string"),
         F.lit('","ar":"a'), (F.col("user_id") % 7).cast("string"),
         F.lit('","is_new":"'), F.when(F.col("k") % 3 == 0, "1").otherwise("0"),
+        F.lit('","os":"os'), (F.col("user_id") % 4).cast("string"),
         F.lit('"},"page":{"page_id":"'),
         F.when(F.col("event_type") == "view", "good_detail").otherwise(F.col("event_type")),
         F.lit('"'),

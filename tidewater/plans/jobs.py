@@ -36,7 +36,7 @@ from ..operators import orders as O
 from ..operators.joins import overspeed as overspeed_rows, with_speed_limit
 from ..operators.measures import product_measures, visitor_measures
 from ..operators.patterns import top_monitors as rank_monitors
-from ..operators.routing import route, split_routes
+from ..operators.routing import SINK_DIM, route, split_routes
 from ..schemas import PAGE_LOG, PAGE_VIEW_MAPS
 from ..sources import sinks as K
 from ..sources.changes import drop_deletes, normalize_changes
@@ -63,10 +63,12 @@ class Topic:
     kafka_servers: str | None = None
     fmt: str = "parquet"
     max_files_per_trigger: int | None = None
+    max_offsets_per_trigger: int | None = None   # bounds the micro-batch of a Kafka backlog
 
     def read(self, spark: SparkSession) -> DataFrame:
         if self.kafka_servers:
-            lines = read_lines(spark, self.name, streaming=True, kafka_servers=self.kafka_servers)
+            limit = {"maxOffsetsPerTrigger": self.max_offsets_per_trigger} if self.max_offsets_per_trigger else {}
+            lines = read_lines(spark, self.name, streaming=True, kafka_servers=self.kafka_servers, **limit)
             if self.fmt == "text" or self.schema is None:
                 return lines
             return lines.select(F.from_json("value", self.schema).alias("_r")).select("_r.*")
@@ -99,12 +101,13 @@ def _trigger(t):
     return t or {"availableNow": True}
 
 
-def with_seq(df: DataFrame, value: str = "value") -> DataFrame:
+def with_seq(df: DataFrame, ts_ms, value: str = "value") -> DataFrame:
     """The arrival sequence: the source's ``seq`` (Kafka offset, or a column of
-    the topic) when present; otherwise a deterministic hash of the line, which
-    only breaks ties inside a micro-batch (batches themselves arrive in
-    order)."""
-    return df if "seq" in df.columns else df.withColumn("seq", F.xxhash64(F.col(value)))
+    the topic) when present; otherwise the event time in millis, with a hash of
+    the line only to tell rows of one millisecond apart."""
+    if "seq" in df.columns:
+        return df
+    return df.withColumn("seq", ts_ms * 1000 + F.pmod(F.xxhash64(F.col(value)), F.lit(1000)))
 
 
 # ------------------------------------------------------------------ ODS / DWD
@@ -117,19 +120,26 @@ def log_split(spark, raw: Topic, start: Topic, page: Topic, display: Topic, dirt
               checkpoint: str, trigger=None) -> list[StreamingQuery]:
     """DWD behaviour log: parse (dirty lines to their own topic), repair the
     new-visitor flag per device, split start / page / display records."""
-    lines = with_seq(raw.read(spark))
-    good, bad = L.split_dirty(lines, PAGE_LOG, keep=("seq",))
-    q_dirty = dirty.write(bad, f"{checkpoint}/dirty", trigger)
+    lines = raw.read(spark)
+    keep = tuple(c for c in ("seq", "value") if c in lines.columns)
+    good, bad = L.split_dirty(lines, PAGE_LOG, keep=keep)
+    q_dirty = dirty.write(bad.select("value"), f"{checkpoint}/dirty", trigger)
+    good = with_seq(good, F.col("ts"))
     flat = good.withColumn("mid", F.col("common.mid")).withColumn("is_new", F.col("common.is_new"))
     fixed = (ST.fix_is_new_stream(flat)
+               .withColumn("value", L.with_flag(F.col("value"), F.col("common.is_new"), F.col("is_new")))
                .withColumn("common", F.col("common").withField("is_new", F.col("is_new")))
                .drop("mid", "is_new"))
 
     def fan_out(batch: DataFrame, batch_id: int) -> None:
-        st, pg = L.split_logs(batch)
-        start.write_batch(st, batch_id)
-        page.write_batch(pg, batch_id)
-        display.write_batch(L.explode_displays(pg), batch_id)
+        batch = batch.persist()  # the stateful plan runs once for three topics
+        try:
+            st, pg = L.split_logs(batch)
+            start.write_batch(st, batch_id)
+            page.write_batch(pg, batch_id)
+            display.write_batch(L.explode_displays(pg, record="value"), batch_id)
+        finally:
+            batch.unpersist()
 
     q_main = SF.start(fixed, f"{checkpoint}/main", fan_out, trigger=_trigger(trigger))
     return [q_dirty, q_main]
@@ -137,14 +147,31 @@ def log_split(spark, raw: Topic, start: Topic, page: Topic, display: Topic, dirt
 
 def db_routing(spark, changes: Topic, config: PolledTable, fact: Topic, dim_target: str,
                checkpoint: str, trigger=None) -> StreamingQuery:
-    """DWD database changes: drop deletes, route by the (polled) config table,
-    fact rows to their sink-table topics, dimension rows upserted."""
+    """DWD database changes: drop deletes, route by the (polled) config table.
+    Fact rows go to the topic of their sink table (``fact.name`` is the folder
+    above the topics); each configured dimension table is created below
+    ``dim_target`` when its configuration is first seen and upserted by its
+    configured key (``id`` by default)."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        f, d = split_routes(route(drop_deletes(batch), config.get(batch.sparkSession)))
-        fact.write_batch(f.select("sink_table", F.to_json("after").alias("value"), "seq"), batch_id)
-        dims = d.select("sink_table", F.col("after")["id"].alias("id"),
-                        F.to_json("after").alias("value"), "seq")
-        K.upsert_dim(dims, dim_target, ["sink_table", "id"], "seq")
+        s = batch.sparkSession
+        rules = config.get(s)
+        routed = route(drop_deletes(batch), rules).persist()
+        try:
+            f, d = split_routes(routed)
+            K.write_routed(f.select("sink_table", F.to_json("after").alias("value"), "seq"), fact.name,
+                           kafka_servers=fact.kafka_servers, batch_id=batch_id, keep=("seq",))
+            tables = rules.where(F.col("sink_type") == SINK_DIM).select("sink_table", "sink_columns", "sink_pk")
+            for c in tables.groupBy("sink_table").agg(  # configuration rows
+                    F.first("sink_pk", ignorenulls=True).alias("pk"),
+                    F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.split("sink_columns", ","))))).alias("cols")).collect():
+                pk, target = c["pk"] or "id", f"{dim_target}/{c['sink_table']}"
+                cols = [x.strip() for x in c["cols"] if x.strip() != pk]
+                K.ensure_dim(s, target, cols, [pk])
+                rows = d.where(F.col("sink_table") == c["sink_table"]).select(
+                    *[F.col("after")[x].alias(x) for x in (pk, *cols)], "seq")
+                K.upsert_dim(rows, target, [pk], "seq")
+        finally:
+            routed.unpersist()
     return SF.start(changes.read(spark), checkpoint, handle, trigger=_trigger(trigger))
 
 
@@ -279,11 +306,20 @@ def _cars(spark, lines: Topic) -> DataFrame:
     if not has_seq:
         raw = raw.withColumn("_h", F.pmod(F.xxhash64("value"), F.lit(1000)))
     c = parse_car_lines(raw, keep=("seq",) if has_seq else ("_h",))
-    t = F.to_timestamp("action_time", "yyyy-MM-dd HH:mm:ss")
-    c = c.withColumn("ts", t).withColumn("ts_ms", F.unix_millis(t))
+    t = F.try_to_timestamp("action_time", F.lit("yyyy-MM-dd HH:mm:ss"))
+    # a line without a readable time has no place on the clock: see dirty_cars
+    c = c.withColumn("ts", t).withColumn("ts_ms", F.unix_millis(t)).where("ts is not null")
     return c if has_seq else c.withColumn("seq", F.col("ts_ms") * 1000 + F.col("_h")).drop("_h")
 
 
+def dirty_cars(spark, lines: Topic, out: Topic, checkpoint: str, trigger=None) -> StreamingQuery:
+    """The lines that the traffic jobs cannot use: no readable time or speed."""
+    raw = lines.read(spark)
+    c = parse_car_lines(raw, keep=("value",))
+    bad = F.try_to_timestamp("action_time", F.lit("yyyy-MM-dd HH:mm:ss")).isNull() | F.col("speed").isNull()
+    return out.write(c.where(bad).select("value"), checkpoint, trigger)
+
+
 def overspeed(spark, lines: Topic, limits: PolledTable, out: Topic, checkpoint: str,
               trigger=None) -> StreamingQuery:
     """Overspeed alerts against a limit table re-read every ``ttl``."""
@@ -337,9 +373,10 @@ def top_monitors(spark, lines: Topic, out: Topic, checkpoint: str, n: int = 5,
 
 def _violations(spark, lines: Topic, names: tuple[str, ...], time_col: str, delay: str) -> DataFrame:
     parts = F.split("value", ",")
-    d = with_seq(lines.read(spark)).select("seq", *[F.get(parts, i).alias(n) for i, n in enumerate(names)])
-    t = F.to_timestamp(F.col(time_col), "yyyy-MM-dd HH:mm:ss")
-    return d.withColumn("et", t).withColumn("ts", F.unix_millis(t)).withWatermark("et", delay)
+    d = lines.read(spark).select("*", *[F.get(parts, i).alias(n) for i, n in enumerate(names)])
+    t = F.try_to_timestamp(F.col(time_col), F.lit("yyyy-MM-dd HH:mm:ss"))
+    d = d.withColumn("et", t).withColumn("ts", F.unix_millis(t)).where("et is not null")
+    return with_seq(d, F.col("ts")).select("seq", *names, "et", "ts").withWatermark("et", delay)
 
 
 def police_dispatch(spark, violations: Topic, police: Topic, out: Topic, checkpoint: str,
@@ -378,14 +415,17 @@ def listings(spark, kind: str, rows: Topic, gazetteer: DataFrame, target: str, c
              trigger=None) -> StreamingQuery:
     """Listing after-images (bus / hotel / sight rows): clean, skip keys an
     earlier batch already produced, geocode with fallback, keep rows with
-    coordinates.  Change envelopes are mapped to after-images upstream."""
+    coordinates.  A key is remembered once it was located, so a listing that
+    was not is tried again when it comes back.  Change envelopes are mapped to
+    after-images upstream."""
     clean, key = CLEANERS[kind]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        fresh = SF.unseen_rows(clean(batch), f"{target}/_keys", batch_id).persist()
+        fresh = SF.unseen_rows(clean(batch), f"{target}/_keys", batch_id)
+        located = LS.locate(fresh, gazetteer, key).persist()
         try:
-            K.write_once(LS.locate(fresh, gazetteer, key), f"{target}/rows", batch_id)
-            SF.record_keys(fresh, f"{target}/_keys", batch_id)
+            K.write_once(located, f"{target}/rows", batch_id)
+            SF.record_keys(located, f"{target}/_keys", batch_id)
         finally:
-            fresh.unpersist()
+            located.unpersist()
     return SF.start(rows.read(spark), checkpoint, handle, trigger=_trigger(trigger))

@@ -34,17 +34,17 @@ SELECT event_id AS seq,
        CAST(k % 3 AS INTEGER) AS n_displays,
        CASE WHEN event_type = 'signup' AND k % 2 = 1 THEN 'boot' END AS start,
        (epoch_us(ts) // 1000) AS ts,
-       k
+       k, user_id
 FROM ev""", ("ev",))
 
 view("raw_log", """
 SELECT seq,
        CASE WHEN k = 0 THEN 'not json ' || seq ELSE
          '{"common":{"mid":"' || mid || '","vc":"' || vc || '","ch":"' || ch || '","ar":"' || ar
-         || '","is_new":"' || is_new || '"},"page":{"page_id":"' || page_id || '"'
+         || '","is_new":"' || is_new || '","os":"os' || (user_id % 4) || '"},"page":{"page_id":"' || page_id || '"'
          || coalesce(',"last_page_id":"' || last_page_id || '"', '')
          || ',"item":"' || item || '","item_type":"' || item_type || '","during_time":' || during_time
-         || '},"displays":[' || substring(repeat(',{"item":"' || item || '","item_type":"' || item_type || '"}', n_displays), 2)
+         || '},"displays":[' || substring(repeat(',{"item":"' || item || '","item_type":"' || item_type || '","pos_id":' || (k % 6) || '}', n_displays), 2)
          || ']' || CASE WHEN start IS NOT NULL THEN ',"start":"boot"' ELSE '' END
          || ',"ts":' || ts || '}'
        END AS value,

@@ -13,6 +13,10 @@ from .oracle_views import view
 from .oracle_views import with_views as V
 
 
+# the oracle's own copy of the punctuation class
+PUNCTUATION = "[\n`~!@#$%^&*()+=|{}':;',\\[\\].<>/?~！@#￥%……&*（）——+|{}【】‘；\r\t：”“’。， 、？]"
+
+
 def q(s: str) -> str:
     """SQL string literal."""
     return "'" + s.replace("'", "''") + "'"
@@ -47,12 +51,12 @@ def sql_hotel_address(city, a):
 
 
 def sql_rank_class(n):
-    return ("CASE " + " ".join(f"WHEN contains({n}, '{t}') THEN '{t[0]}'" for t in T.RANK_TAGS)
+    return ("CASE " + " ".join(f"WHEN contains({n}, '{t}') THEN '{t[0]}'" for t in ('5A', '4A', '3A', '2A', '1A'))
             + " ELSE '0' END")
 
 
 def sql_name_without_rank(n):
-    return ("CASE " + " ".join(f"WHEN contains({n}, '{t}') THEN replace({n}, '{t}', '')" for t in T.RANK_TAGS)
+    return ("CASE " + " ".join(f"WHEN contains({n}, '{t}') THEN replace({n}, '{t}', '')" for t in ('5A', '4A', '3A', '2A', '1A'))
             + f" ELSE {n} END")
 
 
@@ -66,7 +70,7 @@ def sql_review_score(t):
 
 
 def sql_sight_address(city, a):
-    for cut in T.ADDRESS_CUTS:
+    for cut in ('(', ' ', '（', ',', '、'):
         a = f"split_part({a}, {q(cut)}, 1)"
     out = (f"(CASE WHEN starts_with({a}, '市') THEN {city} || '市' || {a} "
            f"WHEN contains({a}, '市') THEN trim({a}) "
@@ -76,10 +80,10 @@ def sql_sight_address(city, a):
 
 
 def sql_strip_punctuation(t):
-    for ch in T.BLANKS_BEFORE:
+    for ch in ("\u2003", " "):
         t = f"replace({t}, {q(ch)}, '')"
-    t = f"regexp_replace({t}, {q(T.PUNCTUATION)}, '', 'g')"
-    for ch in T.BLANKS_AFTER:
+    t = f"regexp_replace({t}, {q(PUNCTUATION)}, '', 'g')"
+    for ch in ("\u00a0", '"', "\n", "\r", "\t"):
         t = f"replace({t}, {q(ch)}, '')"
     return t
 

@@ -38,7 +38,7 @@ def page_entries(spark, sf):
 
 # ------------------------------------------------------------------ raw lines
 def _good_dirty(spark, sf):
-    return L.split_dirty(FX.raw_log_lines(spark, sf), PAGE_LOG, keep=("seq",))
+    return L.split_dirty(FX.raw_log_lines(spark, sf), PAGE_LOG, keep=("seq", "value"))
 
 
 @register("log_good", V("SELECT seq, mid, page_id, is_new, ts FROM page_log WHERE k <> 0", "page_log"))
@@ -50,7 +50,7 @@ def log_good(spark, sf):
 
 @register("log_dirty", V("SELECT seq, value FROM raw_log WHERE k = 0", "raw_log"))
 def log_dirty(spark, sf):
-    _, dirty = _good_dirty(spark, sf)
+    _, dirty = L.split_dirty(FX.raw_log_lines(spark, sf), PAGE_LOG, keep=("seq",))
     return dirty
 
 
@@ -61,20 +61,25 @@ def log_start(spark, sf):
     return start.select("seq", F.col("common.mid").alias("mid"), "start", "ts")
 
 
-@register("log_page", V("SELECT seq, mid, page_id, ts FROM page_log WHERE k <> 0 AND start IS NULL", "page_log"))
+@register("log_page", V("""
+SELECT seq, mid, page_id, ts, 'os' || (user_id % 4) AS os FROM page_log WHERE k <> 0 AND start IS NULL""", "page_log"))
 def log_page(spark, sf):
+    """P4, with a field of the record that the typed columns do not have."""
     good, _ = _good_dirty(spark, sf)
     _, page = L.split_logs(good)
-    return _flat(page)
+    return page.select("seq", F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id"), "ts",
+                       F.get_json_object("value", "$.common.os").alias("os"))
 
 
 @register("log_display", V("""
-SELECT item, item_type, page_id FROM page_log, range(n_displays) t(i)
+SELECT item, item_type, page_id, k % 6 AS pos_id FROM page_log, range(n_displays) t(i)
 WHERE k <> 0 AND start IS NULL""", "page_log"))
 def log_display(spark, sf):
+    """P5, whole elements."""
     good, _ = _good_dirty(spark, sf)
     _, page = L.split_logs(good)
-    return L.explode_displays(page)
+    return L.explode_displays(page, record="value").select(
+        "item", "item_type", "page_id", F.get_json_object("display", "$.pos_id").cast("int").alias("pos_id"))
 
 
 @register("src_lines", V("SELECT value FROM raw_log", "raw_log"))

@@ -27,7 +27,7 @@ def cars(spark, sf):
 
 
 def with_times(c):
-    t = F.to_timestamp("action_time", "yyyy-MM-dd HH:mm:ss")
+    t = F.try_to_timestamp("action_time", F.lit("yyyy-MM-dd HH:mm:ss"))
     return c.withColumn("ts", t).withColumn("ts_ms", F.unix_millis(t))
 
 
@@ -60,7 +60,8 @@ def speed_limit_lookup(spark, sf):
 
 @register("danger_drive", V(f"""
 SELECT car_id, '危险驾驶' AS violation, action_time AS create_time, action_time AS time_1,
-       n1 AS time_2, n2 AS time_3
+       n1 AS time_2, n2 AS time_3, '车辆涉嫌危险驾驶，第一次经过卡口时间: ' || action_time || '第二次经过卡口时间: ' || n1
+       || '第二次经过卡口时间: ' || n2 AS description
 FROM (SELECT *, lead(action_time, 1) OVER w AS n1, lead(action_time, 2) OVER w AS n2,
              lead(ts_ms, 2) OVER w AS n2ts
       FROM cars_limited WHERE speed > limit_speed * 1.2
@@ -74,7 +75,8 @@ def danger_drive(spark, sf):
 
 @register("repeat_plates", V(f"""
 SELECT car_id, '套牌车辆' AS violation, action_time AS create_time,
-       strftime(epoch_ms(prev), {TSF}) AS previous_time, seq
+       strftime(epoch_ms(prev), {TSF}) AS previous_time, seq,
+       '车辆：' || car_id || ' 涉嫌套牌,上次经过卡口时间：' || strftime(epoch_ms(prev), {TSF}) || ',本次经过时间：' || action_time AS description
 FROM (SELECT *, max(ts_ms) OVER (PARTITION BY car_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev
       FROM car_info)
 WHERE prev IS NOT NULL AND abs(ts_ms - prev) <= {HOUR}""", "car_info"))
@@ -161,7 +163,8 @@ def e2e_traffic(spark, sf):
 
 @register("e2e_danger", V(f"""
 SELECT car_id, '危险驾驶' AS violation, action_time AS create_time, action_time AS time_1,
-       n1 AS time_2, n2 AS time_3
+       n1 AS time_2, n2 AS time_3, '车辆涉嫌危险驾驶，第一次经过卡口时间: ' || action_time || '第二次经过卡口时间: ' || n1
+       || '第二次经过卡口时间: ' || n2 AS description
 FROM (SELECT *, lead(action_time, 1) OVER w AS n1, lead(action_time, 2) OVER w AS n2,
              lead(ts_ms, 2) OVER w AS n2ts
       FROM cars_limited WHERE speed > limit_speed * 1.2

@@ -32,18 +32,24 @@ SCALE_CONF = {
 }
 
 
+#: Most waves of shuffle partitions over a cluster's cores.
+WAVES = 5
+
+
 def sizing_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Partition sizing for a cluster run over ``input_bytes`` of input.
 
     Scan splits of ``target_partition_bytes`` keep a task's working set well
     inside executor memory; the initial shuffle partition count is sized so a
-    shuffle of the whole input lands near the same size per partition (never
-    fewer than two waves of the cluster's cores), and AQE coalesces the many
-    small partitions of selective stages back to the advisory size.
+    shuffle of the whole input lands near the same size per partition, at least
+    two and at most ``WAVES`` waves of the cluster's cores: map x reduce blocks
+    grow with the product, and pruning and pre-aggregation leave most shuffles
+    far smaller than the input.  AQE coalesces the small partitions of
+    selective stages back to the advisory size.
     """
     slots = max(1, executors * cores_per_executor)
-    parts = max(2 * slots, -(-int(input_bytes) // target_partition_bytes))
+    parts = min(WAVES * slots, max(2 * slots, -(-int(input_bytes) // target_partition_bytes)))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(parts),
@@ -75,21 +81,16 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_scale_conf(spark: SparkSession) -> None:
-    """Apply the runtime SQL settings to a session someone else built.
-
-    Static settings (state store provider) are only applied when unset.
-    """
+    """Apply the runtime SQL settings to a session someone else built, where
+    that session has none of its own.  Zone-less timestamps of the tables are
+    read in the session's time zone; the library's epoch arithmetic expects
+    UTC, so another zone set by the caller is refused rather than replaced."""
     for k, v in SCALE_CONF.items():
-        try:
-            if k.startswith("spark.sql.streaming.stateStore"):
-                if spark.conf.get(k, None) is None:
-                    spark.conf.set(k, v)
-            elif k != "spark.sql.session.timeZone" or spark.conf.get(k, None) is None:
-                spark.conf.set(k, v)
-        except Exception:  # static conf on a running session
-            pass
-    # driver timestamps are zone-less; all our epoch math assumes UTC
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+        if spark.conf.get(k, None) is None and spark.conf.isModifiable(k):
+            spark.conf.set(k, v)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"spark.sql.session.timeZone is {zone}; set it to UTC")
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -72,7 +72,7 @@ def parse_car_lines(lines: DataFrame, value_col: str = "value", keep: tuple[str,
 
 def parse_csv_lines(lines: DataFrame, schema: T.StructType, value_col: str = "value",
                     keep: tuple[str, ...] = ()) -> DataFrame:
-    """Comma separated fields in schema order; a missing field is null."""
+    """Comma separated fields in schema order; a missing or unreadable field is null."""
     parts = F.split(F.col(value_col), ",")
-    cols = [F.get(parts, i).cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
+    cols = [F.get(parts, i).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
     return lines.select(*keep, *cols)

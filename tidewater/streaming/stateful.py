@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import (ExpiredTimerInfo, StatefulProcessor,
                                                       StatefulProcessorHandle, TimerValues)
 
+from ..operators.patterns import CLONED_PLATE, CLONED_TEXT, DANGEROUS_DRIVING, danger_labels
+
 DAY_MS = 86_400_000
 
 
@@ -235,28 +237,34 @@ def bounces_stream(pages: DataFrame, within_ms: int = 10_000, key: str = "mid",
 
 
 class ThreeStepDetector(_Buffered):
-    """Three overspeed rows of one car within ``within`` (relaxed
+    """``n`` overspeed rows of one car within ``within`` (relaxed
     contiguity: the input holds only overspeed rows)."""
 
     state_schema = "ts long, seq long, action_time string"
     columns = ("ts", "seq", "action_time")
+    n = 3
 
     def decide(self, key, buf: pd.DataFrame, decided) -> pd.DataFrame:
-        n1, n2 = buf["action_time"].shift(-1), buf["action_time"].shift(-2)
-        n2ts = buf["ts"].shift(-2)
-        keep = decided & n2ts.notna() & (n2ts - buf["ts"] < self.within)
+        last = buf["ts"].shift(1 - self.n)
+        keep = decided & last.notna() & (last - buf["ts"] < self.within)
         k = key[0] if isinstance(key, tuple) else key
-        return pd.DataFrame({"car_id": k, "create_time": buf.loc[keep, "action_time"],
-                             "time_1": buf.loc[keep, "action_time"], "time_2": n1[keep],
-                             "time_3": n2[keep]})
+        times = [buf["action_time"].shift(-i)[keep] for i in range(self.n)]
+        text = ""
+        for label, t in zip(danger_labels(self.n), times):
+            text = text + label + t
+        return pd.DataFrame({"car_id": k, "violation": DANGEROUS_DRIVING, "create_time": times[0], "description": text,
+                             **{f"time_{i + 1}": t for i, t in enumerate(times)}})
 
 
-def danger_drive_stream(overspeed: DataFrame, within_ms: int = 10_000, key: str = "car_id") -> DataFrame:
+def danger_drive_stream(overspeed: DataFrame, within_ms: int = 10_000, key: str = "car_id", n: int = 3) -> DataFrame:
     """W4 stream form over overspeed rows ``car_id, ts (millis), seq,
     action_time`` with a watermark."""
+    proc = ThreeStepDetector(within_ms)
+    proc.n = n
     return overspeed.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=ThreeStepDetector(within_ms),
-        outputStructType="car_id string, create_time string, time_1 string, time_2 string, time_3 string",
+        statefulProcessor=proc,
+        outputStructType="car_id string, violation string, create_time string, description string, "
+                         + ", ".join(f"time_{i + 1} string" for i in range(n)),
         outputMode="Append", timeMode="EventTime")
 
 
@@ -279,7 +287,9 @@ class DuplicatePlate(StatefulProcessor):
         hit = before.notna() & ((pdf["ts"] - before).abs() <= self.within)
         self.prev.update((int(max(pdf["ts"].max(), start if start is not None else pdf["ts"].max())),))
         out = pdf.loc[hit, ["car_id", "action_time", "seq"]].assign(previous_ts=before[hit].astype("int64"))
-        yield out
+        times = pd.to_datetime(out["previous_ts"], unit="ms").dt.strftime("%Y-%m-%d %H:%M:%S")
+        a, b, c = CLONED_TEXT
+        yield out.assign(violation=CLONED_PLATE, description=a + out["car_id"] + b + times + c + out["action_time"])
 
     def close(self) -> None:
         pass
@@ -289,54 +299,62 @@ def repeat_plates_stream(cars: DataFrame, within_ms: int = 10_000, key: str = "c
     """W5 stream form over ``car_id, ts (millis), seq, action_time``."""
     return cars.groupBy(key).transformWithStateInPandas(
         statefulProcessor=DuplicatePlate(within_ms),
-        outputStructType="car_id string, action_time string, seq long, previous_ts long",
+        outputStructType="car_id string, action_time string, seq long, previous_ts long, violation string, "
+                         "description string",
         outputMode="Append", timeMode="None")
 
 
 # ------------------------------------------------------------------- J9
 class MatchOrTimeout(StatefulProcessor):
-    """One pending row per side and key.  A row meets the other side's
-    pending row -> matched (when within ``wait``; D14); otherwise it becomes
-    the pending row of its side with a timer at ``ts + wait``.  A firing timer
-    reports what is pending and clears both sides (as the reference does)."""
+    """Every row waits in its side's list until the watermark has passed
+    ``ts + wait``; it matches every row of the other side within ``wait``, and
+    one that never matched is reported when its time is over.  The same pairs
+    and single rows as the batch form."""
 
     def __init__(self, wait_ms: int):
         self.wait = int(wait_ms)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pend = {s: handle.getValueState(f"pending_{s}", "ts long, id long") for s in ("L", "R")}
+        self.waiting = {s: handle.getListState(f"waiting_{s}", "ts long, id long, met boolean") for s in ("L", "R")}
+
+    def _load(self) -> dict[str, list[list]]:
+        return {s: [list(r) for r in st.get()] if st.exists() else [] for s, st in self.waiting.items()}
+
+    def _save(self, held: dict[str, list[list]]) -> None:
+        for s, st in self.waiting.items():
+            if held[s]:
+                st.put([tuple(r) for r in held[s]])
+            else:
+                st.clear()
 
     def handleInputRows(self, key, rows, timerValues: TimerValues):
-        pdf = _concat(rows).sort_values("seq", kind="stable")
         k = key[0] if isinstance(key, tuple) else key
-        out = []
-        for side, ts, rid in pdf[["side", "ts", "seq"]].itertuples(index=False, name=None):
-            other = "R" if side == "L" else "L"
-            st = self.pend[other]
-            if st.exists():
-                ots, oid = st.get()
-                if abs(int(ts) - ots) <= self.wait:
-                    lid, r_id = (rid, oid) if side == "L" else (oid, rid)
-                    lts, rts = (ts, ots) if side == "L" else (ots, ts)
-                    out.append((k, int(lid), int(r_id), int(lts), int(rts), "matched"))
-                    self.handle.deleteTimer(ots + self.wait)
-                    st.clear()
-                    continue
-            self.handle.registerTimer(int(ts) + self.wait)
-            self.pend[side].update((int(ts), int(rid)))
-        yield self._frame(out)
+        held = self._load()
+        for pdf in rows:
+            out = []
+            for side, ts, rid in pdf[["side", "ts", "seq"]].itertuples(index=False, name=None):
+                row = [int(ts), int(rid), False]
+                for other in held["R" if side == "L" else "L"]:
+                    if abs(row[0] - other[0]) <= self.wait:
+                        row[2] = other[2] = True
+                        left, right = (row, other) if side == "L" else (other, row)
+                        out.append((k, left[1], right[1], left[0], right[0], "matched"))
+                held[side].append(row)
+                self.handle.registerTimer(row[0] + self.wait)
+            yield self._frame(out)
+        self._save(held)
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
         k = key[0] if isinstance(key, tuple) else key
-        out = []
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        held, out = self._load(), []
         for side, status in (("L", "left_only"), ("R", "right_only")):
-            st = self.pend[side]
-            if st.exists():
-                ts, rid = st.get()
-                out.append((k, rid if side == "L" else None, rid if side == "R" else None,
-                            ts if side == "L" else None, ts if side == "R" else None, status))
-                st.clear()
+            for ts, rid, met in held[side]:
+                if ts + self.wait <= now and not met:
+                    out.append((k, rid, None, ts, None, status) if side == "L" else (k, None, rid, None, ts, status))
+            held[side] = [r for r in held[side] if r[0] + self.wait > now]
+        self._save(held)
         yield self._frame(out)
 
     @staticmethod
