@@ -4,7 +4,8 @@
 
 Each query runs to completion into Spark's ``noop`` sink (full execution, no
 collection to the driver).  Prints one JSON line.  ``BENCH_ALL=1`` runs every
-registered key; ``BENCH_KEYS=a,b`` a chosen set.
+registered key; ``BENCH_KEYS=a,b`` a chosen set.  Each figure is the median of
+``BENCH_RUNS`` (default 3) runs.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import time
 
@@ -63,19 +65,23 @@ def main() -> None:
             except Exception:  # reported by the measured run below
                 pass
     times, failed = {}, {}
+    runs = max(1, int(os.environ.get("BENCH_RUNS", 3)))
     for k in keys:
-        t0 = time.perf_counter()
+        took = []
         try:
-            QUERIES[k](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            for _ in range(runs):
+                t0 = time.perf_counter()
+                QUERIES[k](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                took.append(time.perf_counter() - t0)
         except Exception as e:  # report and go on: one broken query must not hide the others
             failed[k] = str(e).splitlines()[0][:200]
             print(f"# {k}: FAILED {failed[k]}", file=sys.stderr, flush=True)
             continue
-        times[k] = round(time.perf_counter() - t0, 3)
+        times[k] = round(statistics.median(took), 3)
         print(f"# {k}: {times[k]}s", file=sys.stderr, flush=True)
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     out = {"metric": "total_query_time", "value": round(sum(times.values()), 3),
-           "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else sf_dir, "cpus": cpus}
+           "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else sf_dir, "cpus": cpus, "runs": runs}
     if failed:
         out["failed"] = failed
     print(json.dumps(out))

@@ -214,7 +214,7 @@ def test_product_stats_two_level_counts(spark):
     for c in ("order_amount", "payment_amount", "refund_amount"):
         df = df.withColumn(c, F.lit(1).cast("decimal(18,2)"))
     got = A.product_stats(df, "10 seconds")
-    want = A.product_stats(df, "10 seconds", streaming=True)   # collect_set form
+    want = A.product_stats(df, "10 seconds")   # collect_set form
     assert rows(got) == rows(want)
 
 

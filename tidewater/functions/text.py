@@ -32,17 +32,22 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def trimmed(c: Column) -> Column:
+    """Without control characters and spaces at both ends (all up to U+0020)."""
+    return F.btrim(c, F.lit("".join(map(chr, range(33)))))
+
+
 def _replace(c: Column, search: str, repl: str = "") -> Column:
     return F.replace(c, F.lit(search), F.lit(repl))
 
 
 def _num(c: Column, t: str) -> Column:
-    return F.trim(c).try_cast(t)
+    return trimmed(c).try_cast(t)
 
 
 def hotel_comment_count(comment) -> Column:
     """"共N条评论" -> N, otherwise 0."""
-    c = F.trim(_c(comment))
+    c = trimmed(_c(comment))
     n = _num(_replace(_replace(c, COMMENT_PREFIX), COMMENT_SUFFIX), "int")
     return F.when(c.contains(COMMENT_PREFIX) & c.contains(COMMENT_SUFFIX), n).otherwise(F.lit(0))
 
@@ -70,8 +75,8 @@ def hotel_address(city, address) -> Column:
     a = _c(address)
     for ch in ("'", '"', "\r", "\t", "\n"):
         a = _replace(a, ch)
-    a = F.when(a.contains(ADDRESS_SEP), F.trim(F.substring_index(a, ADDRESS_SEP, 1))).otherwise(a)
-    a = F.when(a.startswith(NEAR), F.trim(F.substr(a, F.lit(2)))).otherwise(a)
+    a = F.when(a.contains(ADDRESS_SEP), trimmed(F.substring_index(a, ADDRESS_SEP, 1))).otherwise(a)
+    a = F.when(a.startswith(NEAR), trimmed(F.substr(a, F.lit(2)))).otherwise(a)
     cty = _c(city)
     return F.when(a.contains(cty), a).otherwise(F.concat(cty, a))
 
@@ -115,8 +120,8 @@ def sight_address(city, address) -> Column:
         a = F.substring_index(a, cut, 1)
     cty = _c(city)
     out = (F.when(a.startswith(CITY), F.concat(cty, F.lit(CITY), a))
-            .when(a.contains(CITY), F.trim(a))
-            .when(a.endswith(PROVINCE), F.concat(F.trim(a), cty, F.lit(CITY)))
+            .when(a.contains(CITY), trimmed(a))
+            .when(a.endswith(PROVINCE), F.concat(trimmed(a), cty, F.lit(CITY)))
             .otherwise(F.concat(cty, F.lit(CITY), a)))
     return _replace(out, " ")
 

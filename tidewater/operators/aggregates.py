@@ -2,8 +2,8 @@
 
 All are ``groupBy(window, keys).agg(...)``: Catalyst plans a partial
 (map-side) hash aggregate before the shuffle, so hot keys are pre-reduced per
-task.  ``streaming=True`` swaps exact distinct counts (not supported on a
-stream) for ``size(collect_set)``.
+task.  Exact distinct counts are two such aggregates (one row per id, then a
+count), in batch and on streams alike.
 """
 
 from __future__ import annotations
@@ -34,13 +34,11 @@ def window_millis(w: str = "window") -> list[Column]:
             F.unix_millis(F.col(f"{w}.end")).alias("end")]
 
 
-def distinct_count(c: str, streaming: bool, approx: bool = False, rsd: float = 0.01) -> Column:
-    """Exact distinct count (batch), its streaming form (``size(collect_set)``:
-    state grows with the ids of a group) or HyperLogLog++ (fixed-size sketch
-    state, relative error ``rsd``)."""
-    if approx:
-        return F.approx_count_distinct(c, rsd)
-    return F.size(F.collect_set(c)) if streaming else F.countDistinct(c)
+def once_per_id(df: DataFrame, keys: Sequence, c: str, sums: Sequence[str] = ()) -> DataFrame:
+    """First level of an exact distinct count: one row per (keys, id), with the
+    sums of the other measures.  The second level counts them.  On streams
+    both levels keep their state by key, so no row holds the ids of a group."""
+    return df.groupBy(*keys, F.col(c).alias("_id")).agg(F.count("*").alias("_rows"), *[F.sum(s).alias(s) for s in sums])
 
 
 def _time(ts: str, event_col: str | None) -> Column:
@@ -63,22 +61,22 @@ ID_KINDS = (("order_id", "order_ct"), ("paid_order_id", "paid_order_ct"),
 
 
 def product_stats(measures: DataFrame, size: str = "10 seconds", ts: str = "ts",
-                  streaming: bool = False, event_col: str | None = None,
-                  approx: bool = False) -> DataFrame:
+                  event_col: str | None = None, approx: bool = False) -> DataFrame:
     """A2: per sku and tumbling window: sums of counts and amounts, distinct
     order / paid order / refund order counts.
 
-    Batch form: a two-level aggregate.  Each measure row is tagged with its
+    A two-level aggregate, on streams too.  Each measure row is tagged with its
     (id kind, id) – rows carry at most one id; measures ride on the first
     tag only – level 1 groups by (window, sku, kind, id), level 2 counts the
     level-1 groups per kind.  Both levels combine map-side and no row is
     expanded (three COUNT DISTINCTs would make Catalyst copy every row 4x).
+    ``approx`` counts ids by HyperLogLog++ sketches in one level.
     """
     w = F.window(_time(ts, event_col), size).alias("window")
-    if streaming or approx:
+    if approx:
         aggs = [F.sum(c).cast("long").alias(c) for c in PRODUCT_COUNTS]
         aggs += [F.sum(c).cast("decimal(18,2)").alias(c) for c in PRODUCT_AMOUNTS]
-        aggs += [distinct_count(i, True, approx).cast("long").alias(o) for i, o in ID_KINDS]
+        aggs += [F.approx_count_distinct(i, 0.01).cast("long").alias(o) for i, o in ID_KINDS]
         agg = measures.groupBy(w, "sku_id").agg(*aggs)
     else:
         tags = F.filter(F.array(*[F.when(F.col(i).isNotNull(),
@@ -104,12 +102,18 @@ PROVINCE_COLS = ("province_id", "province_name", "province_area_code", "province
 
 
 def province_stats(order_wide: DataFrame, size: str = "10 seconds", ts: str = "create_ts",
-                   streaming: bool = False, event_col: str | None = None,
-                   approx: bool = False) -> DataFrame:
+                   event_col: str | None = None, approx: bool = False) -> DataFrame:
     """A3: distinct orders and summed split amount per province and window."""
-    agg = (order_wide.groupBy(F.window(_time(ts, event_col), size).alias("window"), *PROVINCE_COLS)
-                     .agg(distinct_count("order_id", streaming, approx).cast("long").alias("order_count"),
-                          F.sum("split_total_amount").cast("decimal(18,2)").alias("order_amount")))
+    w = F.window(_time(ts, event_col), size).alias("window")
+    if approx:
+        agg = order_wide.groupBy(w, *PROVINCE_COLS).agg(
+            F.approx_count_distinct("order_id", 0.01).cast("long").alias("order_count"),
+            F.sum("split_total_amount").cast("decimal(18,2)").alias("order_amount"))
+    else:
+        d = order_wide.select(w, *PROVINCE_COLS, "order_id", "split_total_amount")
+        agg = once_per_id(d, ["window", *PROVINCE_COLS], "order_id", ["split_total_amount"]).groupBy(
+            "window", *PROVINCE_COLS).agg(F.count("_id").alias("order_count"),
+                                          F.sum("split_total_amount").cast("decimal(18,2)").alias("order_amount"))
     return agg.select(*window_text(), *PROVINCE_COLS, "order_count", "order_amount")
 
 
@@ -143,12 +147,15 @@ def avg_speed(cars: DataFrame, size: str = "5 minutes", slide: str = "1 minute",
 
 
 def car_count(cars: DataFrame, size: str = "1 minute", ts: str = "ts", approx: bool = False,
-              streaming: bool = False, rsd: float = 0.01) -> DataFrame:
+              rsd: float = 0.01) -> DataFrame:
     """Distinct cars per area and tumbling window (exact, or HyperLogLog++
     with relative error ``rsd``)."""
-    cnt = distinct_count("car_id", streaming, approx, rsd)
-    agg = (cars.groupBy(F.window(F.col(ts), size).alias("window"), "area_id")
-               .agg(cnt.cast("long").alias("car_count")))
+    w = F.window(F.col(ts), size).alias("window")
+    if approx:
+        agg = cars.groupBy(w, "area_id").agg(F.approx_count_distinct("car_id", rsd).cast("long").alias("car_count"))
+    else:
+        agg = (once_per_id(cars.select(w, "area_id", "car_id"), ["window", "area_id"], "car_id")
+               .groupBy("window", "area_id").agg(F.count("_id").alias("car_count")))
     return agg.select(*window_text(), "area_id", "car_count")
 
 

@@ -32,15 +32,15 @@ def clean_bus(raw: DataFrame) -> DataFrame:
     line name, price/bus_name renamed, address = city + stop name with the
     stop suffix; ``dedup_key`` = city_line_direction_stop."""
     company = F.when(F.col("company").isNull(), F.lit("")) \
-               .otherwise(F.trim(F.replace(F.col("company"), F.lit(BUS_COMPANY_PREFIX), F.lit(""))))
+               .otherwise(T.trimmed(F.replace(F.col("company"), F.lit(BUS_COMPANY_PREFIX), F.lit(""))))
     line = F.replace(F.replace(F.col("line_name"), F.lit("["), F.lit("")), F.lit("]"), F.lit(""))
-    stop = F.trim(F.col("station_name"))
+    stop = T.trimmed(F.col("station_name"))
     stop = F.when(stop.contains(BUS_STOP_SUFFIX), stop).otherwise(F.concat(stop, F.lit(BUS_STOP_SUFFIX)))
     d = (raw.withColumn("company", company).withColumn("line_name", line)
             .withColumn("price_info", F.col("price")).withColumn("bus_line_name", F.col("bus_name"))
             .drop("price", "bus_name")
             .withColumn("_stop", stop)
-            .withColumn("address", F.trim(F.concat(F.col("city"), F.col("_stop"))))
+            .withColumn("address", T.trimmed(F.concat(F.col("city"), F.col("_stop"))))
             .withColumn("dedup_key", F.concat_ws("_", "city", "line_name", "forward", "_stop"))
             .withColumn("geo_fallback", F.concat(F.col("city"), F.lit(T.CITY), F.col("_stop")))
             .drop("_stop"))

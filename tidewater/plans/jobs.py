@@ -261,7 +261,7 @@ def product_stats(spark, page: Topic, favor: Topic, cart: Topic, wide: Topic, pa
     sketches instead of id sets in the window state."""
     m = product_measures(page.read(spark), favor.read(spark), cart.read(spark), wide.read(spark),
                          payments.read(spark), refund.read(spark), comment.read(spark))
-    stats = A.product_stats(SF.watermarked(m, "ts", delay, "et"), size, streaming=True, event_col="et",
+    stats = A.product_stats(SF.watermarked(m, "ts", delay, "et"), size, event_col="et",
                             approx=approx)
 
     def enrich(batch: DataFrame, batch_id: int) -> None:
@@ -274,7 +274,7 @@ def province_stats(spark, wide: Topic, out: Topic, checkpoint: str, size: str =
                    delay: str = "1 second", trigger=None, approx: bool = False) -> StreamingQuery:
     """DWS province table from the order wide stream (``approx``: sketch state)."""
     w = SF.watermarked(wide.read(spark), "create_ts", delay, "et")
-    return out.write(A.province_stats(w, size, streaming=True, event_col="et", approx=approx),
+    return out.write(A.province_stats(w, size, event_col="et", approx=approx),
                      checkpoint, trigger)
 
 
@@ -356,7 +356,7 @@ def car_count(spark, lines: Topic, out: Topic, checkpoint: str, size: str = "1 m
               delay: str = "1 second", approx: bool = False, trigger=None) -> StreamingQuery:
     """Distinct cars per area and tumbling window."""
     c = _cars(spark, lines).withWatermark("ts", delay)
-    return out.write(A.car_count(c, size, approx=approx, streaming=True), checkpoint, trigger)
+    return out.write(A.car_count(c, size, approx=approx), checkpoint, trigger)
 
 
 def top_monitors(spark, lines: Topic, out: Topic, checkpoint: str, n: int = 5,

@@ -214,15 +214,20 @@ def ensure_table(spark, sf):
                F.first("sink_pk").alias("pk")))
     base = scratch_path(spark, "tables")
     db = "tw_" + base.rstrip("/").rsplit("-", 1)[-1]
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{base}'")
-    out = None
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{base}-db'")
+    tables = {}
     for row in cfg.collect():  # configuration rows: a handful
-        name = K.ensure_table(spark, row["sink_table"], row["cols"], f"{base}/{row['sink_table']}",
-                              row["pk"], database=db)
-        cols = [c.name for c in spark.table(name).schema.fields]
-        rows = routed.where(F.col("sink_table") == row["sink_table"]) \
-                     .select(*[F.col("after")[c].alias(c) for c in cols])
-        rows.write.insertInto(name)
-        back = spark.table(name).withColumn("sink_table", F.lit(row["sink_table"]))
+        tables[row["sink_table"]] = K.ensure_table(spark, row["sink_table"], row["cols"],
+                                                   f"{base}/sink={row['sink_table']}", row["pk"], database=db)
+    # one pass over the routed rows fills the folders of all tables
+    cols = sorted({f.name for name in tables.values() for f in spark.table(name).schema.fields})
+    routed.select(F.col("sink_table").alias("sink"), *[F.col("after")[c].alias(c) for c in cols]) \
+        .write.mode("append").partitionBy("sink").parquet(base)
+    out = None
+    for t, name in tables.items():
+        spark.catalog.refreshTable(name)
+        back = spark.table(name).withColumn("sink_table", F.lit(t))
         out = back if out is None else out.unionByName(back, allowMissingColumns=True)
+    # the tables are external: dropping the database leaves the files that the result reads
+    spark.sql(f"DROP DATABASE {db} CASCADE")
     return out.select("sink_table", "id", "value", "k")

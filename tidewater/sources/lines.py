@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import trimmed
 from ..schemas import CAR_INFO
 
 
@@ -65,8 +66,8 @@ def parse_car_lines(lines: DataFrame, value_col: str = "value", keep: tuple[str,
     trimmed, speed as double (null when not numeric)."""
     parts = F.split(F.col(value_col), "\t")
     names = [f.name for f in CAR_INFO.fields]
-    cols = [F.trim(F.get(parts, i)).alias(n) for i, n in enumerate(names[:-1])]
-    speed = F.trim(F.get(parts, len(names) - 1)).try_cast("double").alias("speed")
+    cols = [trimmed(F.get(parts, i)).alias(n) for i, n in enumerate(names[:-1])]
+    speed = trimmed(F.get(parts, len(names) - 1)).try_cast("double").alias("speed")
     return lines.select(*keep, *cols, speed)
 
 

@@ -3,8 +3,7 @@
 * Stateless operators (parsers, filters, routing, lookups against static
   tables, cleaning) are the batch functions applied to a streaming DataFrame.
 * Windowed aggregates are the batch functions with a watermarked event-time
-  column (``event_col``) and ``streaming=True`` where exact distinct counts are
-  needed; they run in append mode and emit each window once it closes.
+  column (``event_col``); distinct counts chain two of them; they run in append mode and emit each window once it closes.
 * Interval joins are stream-stream joins whose range condition is on the
   watermarked timestamps, so Spark can evict join state.
 * Per-key state operators live in ``streaming/stateful.py``.
