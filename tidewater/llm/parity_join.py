@@ -17,8 +17,8 @@ Links.  Equal sets are one node (the set's digest), so copies never multiply.
 Each node is first checked against the pivot it shares most parts with;
 components of these links settle dense groups without pairs.  Every pair of
 nodes that share a part and are still in different components is then tried:
-a fixed parity sketch (Hamming distance at most the allowed difference) drops
-most, exact sets decide the rest.  Parts that very many nodes share are
+parity sketches (Hamming distance at most the allowed difference) drop most,
+exact sets decide the rest.  Parts that very many nodes share are
 compared in blocks, so no task holds more than two blocks.  No link is lost;
 none is taken on hashes of sets alone.
 
@@ -44,8 +44,8 @@ from .components import components
 from .rolling import M1, M2, M3, U, mix, shingles, text_buffer, word_hashes
 
 SHINGLE, PERCENT = 5, 80
-#: Bits of the fixed parity sketch.
-SKETCH = 256
+#: Fewest bits of a parity sketch, and its bits per allowed difference.
+SKETCH, ROOM = 1024, 3
 #: Nodes of one part that are compared as one block.
 BLOCK = 1024
 #: A part value is spread at once if 1 in SAMPLE nodes brings it this often.
@@ -65,7 +65,7 @@ def bands(percent: int, largest: int = 1 << 40) -> list[tuple[int, int, int]]:
     return out
 
 
-def allowed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+def allowed(a, b, percent: int):
     """Largest symmetric difference of linked sets of these sizes."""
     return (100 - percent) * (a + b) // (100 + percent)
 
@@ -81,12 +81,24 @@ def part_values(tokens: np.ndarray, band: int, parts: int, spare: int) -> np.nda
     return mix(value[at] + at.astype(U) * M3 + np.full(1, band + 1, dtype=U) * M2)
 
 
-def parity(tokens: np.ndarray, bits: int = SKETCH) -> bytes:
-    """One bit toggled by every token."""
+def parity(tokens: np.ndarray, percent: int) -> bytes:
+    """One bit toggled by every token, in as many bits as tell apart sets of this size."""
+    bits = max(SKETCH, 1 << (ROOM * allowed(len(tokens), len(tokens), percent)).bit_length())
     odd = np.bincount((tokens & U(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches of different widths, XOR-folded to the narrowest: [set, word]."""
+    least = min(map(len, sketches))
+    out = np.empty((len(sketches), least // 8), dtype=U)
+    for width in {len(s) for s in sketches}:
+        at = [k for k, s in enumerate(sketches) if len(s) == width]
+        wide = np.frombuffer(b"".join(sketches[k] for k in at), dtype=U).reshape(len(at), width // least, -1)
+        out[at] = np.bitwise_xor.reduce(wide, axis=1)
+    return out
+
+
 def join_values(tokens: np.ndarray, percent: int) -> np.ndarray:
     """Part values of the set's own band and of the band below where needed."""
     table, n = bands(percent), len(tokens)
@@ -97,6 +109,13 @@ def join_values(tokens: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(found) if found else tokens[:0]
 
 
+def _parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that the sets of few texts are held at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def _sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
     data, bounds = text_buffer(column)
     return shingles(*word_hashes(data, bounds), n)
@@ -111,15 +130,15 @@ def digest(tokens: np.ndarray) -> tuple[int, int]:
     return a, b
 
 
-def profiles(docs: DataFrame, n: int) -> DataFrame:
+def profiles(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(doc_id, th, size, node, check, sketch) per row; ``node`` and ``check`` are the digest of its set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _parts(batches):
             sizes, ids, sketches = [], [], []
             for s in _sets(b.column(2), n):
                 sizes.append(len(s))
                 ids.append(digest(s))
-                sketches.append(parity(s))
+                sketches.append(parity(s, percent))
             yield pa.record_batch([b.column(0), b.column(1), pa.array(sizes, pa.int64()),
                                    pa.array([i for i, _ in ids], pa.int64()), pa.array([c for _, c in ids], pa.int64()),
                                    pa.array(sketches, pa.binary())],
@@ -129,9 +148,9 @@ def profiles(docs: DataFrame, n: int) -> DataFrame:
 
 
 def values(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(value, node, rank): the join values of every set; rank orders nodes by id."""
+    """(value, node): the join values of every set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _parts(batches):
             found, nodes, counts = [], [], []
             for s in _sets(b.column(2), n):
                 v = join_values(s, percent) if len(s) else s
@@ -141,14 +160,13 @@ def values(docs: DataFrame, n: int, percent: int) -> DataFrame:
             k = np.repeat(np.arange(len(nodes)), counts)
             pick = pa.array(k)
             yield pa.record_batch([pa.array(np.concatenate([*found, np.zeros(0, dtype=U)]).view(np.int64)),
-                                   pa.array(nodes, pa.int64()).take(pick), b.column(0).take(pick)],
-                                  names=["value", "node", "rank"])
+                                   pa.array(nodes, pa.int64()).take(pick)], names=["value", "node"])
 
-    return docs.mapInArrow(run, "value bigint, node bigint, rank bigint")
+    return docs.mapInArrow(run, "value bigint, node bigint")
 
 
 def shared_values(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(value, node, rank) of the values that several nodes share.  One
+    """(value, node) of the values that several nodes share.  One
     shuffle by value; runs are read in order and single ones dropped.  Values
     that a sample shows to be very frequent skip that task and stay spread."""
     few = values(docs.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(SAMPLE)) == 0), n, percent)
@@ -178,44 +196,39 @@ def shared_values(docs: DataFrame, n: int, percent: int) -> DataFrame:
     if hot.limit(1).count():
         runs = every.join(hot, "value", "left_anti")
     found = (runs.repartition("value").sortWithinPartitions("value", "node")
-             .mapInArrow(run, "value bigint, node bigint, rank bigint"))
+             .mapInArrow(run, "value bigint, node bigint"))
     if runs is not every:
-        found = found.unionAll(every.join(hot, "value", "left_semi").groupBy("value", "node").agg(
-            F.min("rank").alias("rank")))
+        found = found.unionAll(every.join(hot, "value", "left_semi").distinct())
     return found
 
 
 def token_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """(node, tokens binary) of the nodes, each from one of its texts, given as (node, doc_id, th)."""
+    """(node, tokens) of the nodes, each from one of its texts, given as (node, doc_id, th)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.record_batch([b.column(0), pa.array([s.tobytes() for s in _sets(b.column(1), n)], pa.binary())],
-                                  names=["node", "tokens"])
+        for b in _parts(batches):
+            yield pa.record_batch([b.column(0), pa.array([s.view(np.int64) for s in _sets(b.column(1), n)],
+                                                         pa.list_(pa.int64()))], names=["node", "tokens"])
 
     return (attach(docs, nodes, "doc_id", "th", how="inner").select("node", "text")
-            .mapInArrow(run, "node bigint, tokens binary"))
+            .mapInArrow(run, "node bigint, tokens array<bigint>"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (x, y) whose exact sets link."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ok = []
-            for s, t in zip(b.column(2), b.column(3)):
-                a, c = (np.frombuffer(z.as_buffer(), dtype=U) for z in (s, t))
-                both = len(np.intersect1d(a, c, assume_unique=True))
-                ok.append(100 * both >= percent * (len(a) + len(c) - both))
-            yield pa.record_batch([b.column(0), b.column(1)], names=["x", "y"]).filter(pa.array(ok, pa.bool_()))
-
     a = sets.select(F.col("node").alias("x"), F.col("tokens").alias("s"))
     c = sets.select(F.col("node").alias("y"), F.col("tokens").alias("t"))
-    return (pairs.join(a, "x").join(c, "y").select("x", "y", "s", "t")
-            .mapInArrow(run, "x bigint, y bigint"))
+    both = F.size(F.array_intersect("s", "t"))
+    return pairs.join(a, "x").join(c, "y").where(
+        both * 100 >= (F.size("s") + F.size("t") - both) * percent).select("x", "y")
 
 
 def pivot_pairs(shared: DataFrame) -> DataFrame:
-    """(x, y): every node with the pivot, the node of smallest rank in a part, that it shares most parts with."""
-    pivot = materialize(shared.groupBy("value").agg(F.min_by("node", "rank").alias("pivot")), "pivots")
+    """(x, y): every node with the pivot that it shares most parts with.  The
+    pivot of a part is its most central node, the one whose parts hold most
+    nodes: in a group of edited copies, the least edited ones."""
+    size = materialize(shared.groupBy("value").agg(F.count("*").alias("c")), "value-sizes")
+    central = materialize(shared.join(size, "value").groupBy("node").agg(F.sum("c").alias("c")), "centrality")
+    pivot = materialize(shared.join(central, "node").groupBy("value").agg(F.max_by("node", "c").alias("pivot")), "pivots")
     count = (shared.join(pivot, "value").where("node <> pivot").groupBy("node", "pivot")
              .agg(F.count("*").alias("c")))
     return count.groupBy("node").agg(F.max_by("pivot", "c").alias("y")).select(F.col("node").alias("x"), "y")
@@ -237,7 +250,7 @@ def cross_pairs(shared: DataFrame, info: DataFrame, labels: DataFrame, percent:
     def compare(t: pa.Table) -> pa.RecordBatch:
         node, label, size = (t.column(x).to_numpy() for x in ("node", "label", "size"))
         own, i, j = t.column("own").to_numpy(), t.column("i")[0].as_py(), t.column("j")[0].as_py()
-        bits = np.frombuffer(b"".join(t.column("sketch").to_pylist()), dtype=U).reshape(len(node), -1)
+        bits = folded(t.column("sketch").to_pylist())
         xs, ys = [], []
         left = np.flatnonzero(own == i)
         right = np.flatnonzero(own == j)
@@ -275,7 +288,7 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -
     """Per row of ``docs``: doc_id, th, n_shingles, component_id."""
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key(F.col("text")).alias("th"),
                     F.coalesce("text", F.lit("")).alias("text"))
-    info = materialize(profiles(d, n), "profiles")
+    info = materialize(profiles(d, n, percent), "profiles")
     rep = info.where("size > 0").groupBy("node").agg(
         F.min("doc_id").alias("first"), F.min("check").alias("a"), F.max("check").alias("z"), F.max("size").alias("size"),
         F.min_by("doc_id", "th").alias("doc_id"), F.min("th").alias("th"), F.first("sketch").alias("sketch"))
