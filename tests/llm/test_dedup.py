@@ -193,7 +193,6 @@ def test_units(spark, edge_docs, edge_rows, no_docs, unit):
         if r.kept_text is None:
             assert r.n_units == 0
             continue
-        text = "".join("" for _ in ())
         source = next(t for (i, t), g in gone.items() if i == r.doc_id and g == [x.unit_no for x in r.removed]
                       and len(re.split(sep, t)) == r.n_units
                       and "".join(t[k.start:k.end] for k in r.kept) == r.kept_text)

@@ -53,11 +53,6 @@ def words(text: Column) -> Column:
         F.split(trimmed, r"[\x20\x09-\x0D]+"))
 
 
-def same(a: DataFrame, b: DataFrame, *cols: str) -> Column:
-    """Null-safe equality of the named columns of two frames."""
-    return reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in cols])
-
-
 def attach(left: DataFrame, right: DataFrame, *keys: str, how: str = "left") -> DataFrame:
     """``left`` with the other columns of ``right``, joined on null-safe ``keys``."""
     side = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})

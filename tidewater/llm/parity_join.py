@@ -306,7 +306,7 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -
         labels = components(links.unionAll(more))
     label = info.join(labels, "node", "left").select(
         "doc_id", "th", F.col("size").alias("n_shingles"), F.coalesce("label", "node").alias("label"))
-    least = label.where("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
+    least = materialize(label.where("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("least")), "least-ids")
     out = label.join(least, "label", "left")
     return out.select("doc_id", "th", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least"))
                       .otherwise(F.col("doc_id")).alias("component_id"))
