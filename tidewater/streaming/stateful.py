@@ -51,8 +51,11 @@ class FirstVisitPerDay(StatefulProcessor):
         self.seen = handle.getMapState("seen_days", "day long", "seen boolean")
 
     def handleInputRows(self, key, rows, timerValues: TimerValues):
-        pdf = _concat(rows).sort_values(["ts", "seq"], kind="stable")
-        pdf = pdf.assign(_day=pdf["ts"] // DAY_MS).drop_duplicates("_day", keep="first")
+        pdf = None  # the first row of each day so far, chunk by chunk
+        for part in rows:
+            part = part.assign(_day=part["ts"] // DAY_MS)
+            part = part if pdf is None else pd.concat([pdf, part], ignore_index=True)
+            pdf = part.sort_values(["ts", "seq"], kind="stable").drop_duplicates("_day", keep="first")
         keep = []
         for day in pdf["_day"].tolist():
             fresh = not self.seen.containsKey((int(day),))
