@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, materialize, text_key
+from .common import attach, discard, materialize, text_key
 from .components import components
 from .rolling import M1, M2, M3, U, mix, shingles, text_buffer, word_hashes
 
@@ -295,13 +295,16 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -
     rep = materialize(rep, "nodes")
     if rep.where("a <> z").limit(1).count():
         raise RuntimeError("two sets share 64 bits of digest")
-    shared = materialize(shared_values(d.select("doc_id", "th", "text"), n, percent), "shared-values")
+    shared, shared_at = materialize(shared_values(d.select("doc_id", "th", "text"), n, percent), "shared-values", path=True)
     nodes = attach(rep.select("node", "doc_id", "th"), shared.select("node").distinct(), "node", how="left_semi")
     twins = info.groupBy("doc_id", "th").agg(F.count("*").alias("c")).where("c > 1").limit(1).count()
-    sets = materialize(token_sets(d.dropDuplicates(["doc_id", "th"]) if twins else d, nodes, n), "token-sets")
+    sets, sets_at = materialize(token_sets(d.dropDuplicates(["doc_id", "th"]) if twins else d, nodes, n),
+                                "token-sets", path=True)
     links = materialize(verified(pivot_pairs(shared), sets, percent), "pivot-links")
     labels = components(links)
     more = materialize(verified(cross_pairs(shared, rep, labels, percent), sets, percent), "cross-links")
+    for folder in (shared_at, sets_at):
+        discard(docs.sparkSession, folder)
     if more.limit(1).count():
         labels = components(links.unionAll(more))
     label = info.join(labels, "node", "left").select(

@@ -247,20 +247,22 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep: str = "none", gr
     ids = ids.agg(F.max("twins").alias("twins"), F.max("texts").alias("texts"),
                   F.max(F.col("doc_id").isNull()).alias("null")).collect()[0]
     twins, plain = (ids["twins"] or 0) > 1, (ids["texts"] or 0) <= 1 and not ids["null"]
-    every, folder = materialize(found.distinct() if twins else found, "anchors", path=True)
+    every, anchors_at = materialize(found.distinct() if twins else found, "anchors", path=True)
     # small sides are written first: a join of two stored tables can be split where a gram is hot
     often = materialize(every.groupBy("hk").agg(F.count("*").alias("c")).where("c > 1").select("hk"), "often")
-    multi = materialize(every.join(often, "hk", "left_semi"), "repeated-anchors")
-    discard(docs.sparkSession, folder)
+    multi, multi_at = materialize(every.join(often, "hk", "left_semi"), "repeated-anchors", path=True)
+    discard(docs.sparkSession, anchors_at)
     # the id alone orders texts where it names one text each (a cheaper aggregate)
     place = F.col("doc_id") if plain else F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "th")
-    classes = multi.groupBy("hk", "hf").agg(F.count("*").alias("copies"), F.min(place).alias("first_doc"))
-    grams = classes.groupBy("hk").agg(F.count("*").alias("contexts"))
+    classes = materialize(multi.groupBy("hk", "hf").agg(
+        F.count("*").alias("copies"), F.min(place).alias("first_doc")), "context-classes")
+    grams = materialize(classes.groupBy("hk").agg(F.count("*").alias("contexts")), "gram-sizes")
     each = multi.join(materialize(classes.join(grams, "hk"), "classes"), ["hk", "hf"])
     is_first = place.eqNullSafe(F.col("first_doc")) & ~F.col("again")
     each = materialize(each.select(
         "hk", "doc_id", "th", "a", "back", "n", is_first.alias("rep"),
         (~is_first if first else F.col("copies") > 1).alias("settled"), "contexts"), "settled-anchors")
+    discard(docs.sparkSession, multi_at)
     begin = F.col("a") - F.col("back")
     done = each.where("settled").select(
         "doc_id", "th", begin.cast("int").alias("start"), (begin + F.col("n") + length - 1).cast("int").alias("end"))
