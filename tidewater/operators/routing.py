@@ -20,8 +20,13 @@ SINK_OLAP = "clickhouse"
 def keep_columns(row_map: Column, sink_columns: Column) -> Column:
     """Keep the map entries whose key is listed in the comma-separated
     column list."""
-    cols = F.split(sink_columns, ",")
-    return F.map_filter(row_map, lambda k, v: F.array_contains(cols, k))
+    return keep_listed(row_map, F.split(sink_columns, ","))
+
+
+def keep_listed(row_map: Column, columns: Column) -> Column:
+    """P6 with the list as an array.  Give a plain column: an expression would
+    be evaluated again for every entry."""
+    return F.map_filter(row_map, lambda k, v: F.array_contains(columns, k))
 
 
 def route(changes: DataFrame, config: DataFrame, read_as_insert: bool = False) -> DataFrame:
@@ -33,12 +38,13 @@ def route(changes: DataFrame, config: DataFrame, read_as_insert: bool = False) -
     typ = F.when(F.col("type") == "read", F.lit("insert")).otherwise(F.col("type")) if read_as_insert \
         else F.col("type")
     cfg = config.select(F.col("source_table").alias("_tw_src"), F.col("operate_type").alias("_tw_op"),
-                        "sink_type", "sink_table", "sink_columns", "sink_pk")
+                        "sink_type", "sink_table", "sink_columns", "sink_pk",
+                        F.split("sink_columns", ",").alias("_tw_cols"))
     cfg = broadcast_if_small(cfg)
     d = changes.withColumn("_tw_type", typ)
     j = d.join(cfg, (F.col("table_name") == F.col("_tw_src")) & (F.col("_tw_type") == F.col("_tw_op")), "inner")
-    return (j.withColumn("after", keep_columns(F.col("after"), F.col("sink_columns")))
-             .drop("_tw_src", "_tw_op", "_tw_type"))
+    return (j.withColumn("after", keep_listed(F.col("after"), F.col("_tw_cols")))
+             .drop("_tw_src", "_tw_op", "_tw_type", "_tw_cols"))
 
 
 def split_routes(routed: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -399,10 +399,10 @@ def shop_changes(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> D
     return out
 
 
-def shop_process(spark: SparkSession, sf_dir: str) -> DataFrame:
+def shop_process(spark: SparkSession, sf_dir: str, tables: tuple[str, ...] = (*SHOP_FACTS, *SHOP_DIMS)) -> DataFrame:
     """Routing of the shop tables: facts on insert, dimensions on insert and update."""
     rows = []
-    for name in (*SHOP_FACTS, *SHOP_DIMS):
+    for name in tables:
         cols = ",".join(c for c in shop_table(spark, sf_dir, name).columns if c not in ("expire_time", "operate_time"))
         kind, to = ("kafka", f"dwd_{name}") if name in SHOP_FACTS else ("hbase", f"dim_{name}")
         rows += [(name, op, kind, to, cols, SHOP_KEYS.get(name), None)

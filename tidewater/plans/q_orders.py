@@ -285,7 +285,7 @@ def dwd(spark, sf, tables: tuple[str, ...]):
     """The change capture layer: raw envelopes -> normalise -> drop deletes ->
     configured routes -> one topic per fact table, one upserted table per
     dimension.  Returns a reader of either by source table name."""
-    config = FX.shop_process(spark, sf).where(F.col("source_table").isin(*tables))
+    config = FX.shop_process(spark, sf, tables)
     routed = route(drop_deletes(normalize_changes(FX.shop_changes(spark, sf, tables))), config)
     base = scratch_path(spark, "dwd")
     K.write_routed(routed.select("sink_table", F.to_json("after").alias("value"), "seq"), f"{base}/topics", keep=("seq",))
