@@ -414,10 +414,10 @@ def shop_process(spark: SparkSession, sf_dir: str, tables: tuple[str, ...] = (*S
 # ---------------------------------------------------------------- keywords
 def search_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON log line per document: a search page view whose item is the
-    document's text, ten a second (documents divisible by 10 come from home)."""
+    document's text, ten a second (very short ones are reached from home)."""
     d = table(spark, sf_dir, "documents")
     page = F.struct(F.lit("good_list").alias("page_id"),
-                    F.when(F.col("doc_id") % 10 == 0, "home").otherwise("search").alias("last_page_id"),
+                    F.when(F.col("n_chars") < 200, "home").otherwise("search").alias("last_page_id"),
                     F.col("text").alias("item"))
     common = F.struct(F.concat(F.lit("m"), F.col("doc_id")).alias("mid"))
     return d.select(F.to_json(F.struct(common.alias("common"), page.alias("page"),

@@ -78,7 +78,7 @@ def search_filter(spark, sf):
 
 @register("e2e_keyword", V(f"""
 WITH lines AS (SELECT text AS full_word, 1704067200000 + doc_id * 100 AS ts FROM documents
-               WHERE doc_id % 10 <> 0 AND text IS NOT NULL),
+               WHERE coalesce(n_chars, 200) >= 200 AND text IS NOT NULL),
 split AS (SELECT lower(w) AS word, ts FROM lines, unnest({RUNS}) t(w)
           UNION ALL SELECT w, ts FROM lines, unnest({CHARS}) t(w))
 SELECT 'search' AS source,

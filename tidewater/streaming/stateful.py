@@ -127,15 +127,16 @@ class NewFlagRepair(StatefulProcessor):
         self.seen = handle.getValueState("seen_new", "seen boolean")
 
     def handleInputRows(self, key, rows, timerValues: TimerValues):
+        if self.seen.exists():  # nothing to order: chunk by chunk
+            for pdf in rows:
+                yield pdf.assign(is_new=pdf["is_new"].where(pdf["is_new"] != "1", "0"))
+            return
         pdf = _concat(rows).sort_values("seq", kind="stable")
         ones = pdf["is_new"] == "1"
         if ones.any():
-            if self.seen.exists():
-                pdf.loc[ones, "is_new"] = "0"
-            else:
-                first = ones.idxmax()
-                pdf.loc[ones & (pdf.index != first), "is_new"] = "0"
-                self.seen.update((True,))
+            first = ones.idxmax()
+            pdf.loc[ones & (pdf.index != first), "is_new"] = "0"
+            self.seen.update((True,))
         yield pdf
 
     def close(self) -> None:
