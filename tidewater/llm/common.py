@@ -22,13 +22,25 @@ SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows of an Arrow batch: texts can be long, and a batch is held by a task on both sides.
+ARROW_ROWS, ARROW_KEY = 2000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of a session that sets no bound of its own."""
+    if spark.conf.get(ARROW_KEY, None) is None:
+        spark.conf.set(ARROW_KEY, str(ARROW_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def materialize(df: DataFrame, name: str, path: bool = False):
     """``df`` written as a table in the shared folder and read back, which cuts
     lineage; with ``path`` also where it lies, for ``discard``."""
+    small_batches(df.sparkSession)
     folder = scratch_path(df.sparkSession, name)
     df.write.parquet(folder)
     out = df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -14,7 +14,8 @@ joined on only by sets with more than ``spare`` of them.  A set joins in its
 own band and, if a linked set can be smaller by a band, in the one below.
 
 Links.  Equal sets are one node (the set's digest), so copies never multiply.
-Each node is first checked against the pivot it shares most parts with;
+Each node is first checked against the pivot it shares most parts with, where
+their sketches allow a link;
 components of these links settle dense groups without pairs.  Every pair of
 nodes that share a part and are still in different components is then tried:
 parity sketches (Hamming distance at most the allowed difference) drop most,
@@ -213,6 +214,23 @@ def token_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
             .mapInArrow(run, "node bigint, tokens array<bigint>"))
 
 
+def plausible(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
+    """The pairs (x, y) whose sizes and sketches allow a link, which few do; exact sets are fetched for these only."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            size, other = b.column("m").to_numpy(), b.column("n").to_numpy()
+            ok = 100 * np.minimum(size, other) >= percent * np.maximum(size, other)
+            for k in np.flatnonzero(ok).tolist():
+                s, t = folded([b.column("s")[k].as_py(), b.column("t")[k].as_py()])
+                ok[k] = int(np.bitwise_count(s ^ t).sum()) <= allowed(int(size[k]), int(other[k]), percent)
+            yield b.select(["x", "y"]).filter(pa.array(ok))
+
+    a = info.select(F.col("node").alias("x"), F.col("size").alias("m"), F.col("sketch").alias("s"))
+    c = info.select(F.col("node").alias("y"), F.col("size").alias("n"), F.col("sketch").alias("t"))
+    return (pairs.join(a, "x").join(c, "y").select("x", "y", "m", "n", "s", "t")
+            .mapInArrow(run, "x bigint, y bigint"))
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (x, y) whose exact sets link."""
     a = sets.select(F.col("node").alias("x"), F.col("tokens").alias("s"))
@@ -300,7 +318,8 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -
     twins = info.groupBy("doc_id", "th").agg(F.count("*").alias("c")).where("c > 1").limit(1).count()
     sets, sets_at = materialize(token_sets(d.dropDuplicates(["doc_id", "th"]) if twins else d, nodes, n),
                                 "token-sets", path=True)
-    links = materialize(verified(pivot_pairs(shared), sets, percent), "pivot-links")
+    likely = materialize(plausible(pivot_pairs(shared), rep, percent), "pivot-pairs")
+    links = materialize(verified(likely, sets, percent), "pivot-links")
     labels = components(links)
     more = materialize(verified(cross_pairs(shared, rep, labels, percent), sets, percent), "cross-links")
     for folder in (shared_at, sets_at):
