@@ -123,6 +123,17 @@ def test_mix(spark, edge_docs, edge_rows, no_docs):
     assert mixture.mix(no_docs).count() == 0 and mixture.sample(no_docs).count() == 0
 
 
+def test_tokens_are_words(spark):
+    rng = random.Random(8)
+    texts = [None, "", " \n\t ", "a", "a\tb\tc", "\n\n a  b\r\n\r\n\r\nc ", "    if x:\n        y = 1\n\n\n", "\x0b\x0cé\x0bü\x0c",
+             "no\u00a0break\u3000here\x1cat\x85all", "cell\t" * 5000]
+    texts += ["".join(rng.choice("ab é \t\n\r\x0b\x0c") for _ in range(rng.randrange(60))) for _ in range(200)]
+    df = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)],
+                               "doc_id bigint, text string, lang string, source string").repartition(3)
+    got = {r.doc_id: r.n_tokens for r in mixture.mix(df).collect()}
+    assert got == {i: len(WORD.findall(t or "")) for i, t in enumerate(texts)}
+
+
 # -- packing ----------------------------------------------------------------------
 
 @given(st.lists(st.integers(1, 64), max_size=300))

@@ -1,5 +1,6 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
+Tokens are white-space words (any of the six separators, runs count once).
 Token counts are summed per cell of (source, language, topic).  The cell table
 is raked until its margins meet the target shares of every dimension, each
 cell gets the rate by which its tokens must be thinned, and documents are
@@ -19,13 +20,17 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import SPACES, materialize
+from .rolling import text_buffer, word_counts
 
 #: Bounds of the listed values of a dimension.
 MAX_VALUES = {"source": 256, "lang": 32, "topic": 8}
@@ -41,10 +46,18 @@ def count_of(text: Column, mark: str) -> Column:
     return F.char_length(text) - F.char_length(F.replace(text, F.lit(mark), F.lit("")))
 
 
-def tokens(text: Column) -> Column:
-    """White-space tokens, counted by their separators (blank and line feed)."""
-    t = F.btrim(F.coalesce(text, F.lit("")))
-    return F.when(t == "", 0).otherwise(count_of(t, " ") + count_of(t, "\n") + 1).cast("bigint")
+def with_tokens(docs: DataFrame) -> DataFrame:
+    """``docs`` with its words counted as ``n_tokens`` in place of ``text``."""
+    keep = docs.drop("text")
+    names = [*keep.columns, "n_tokens"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            counts = pa.array(word_counts(*text_buffer(b.column("text"))), pa.int64())
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names[:-1]), counts], names=names)
+
+    return (docs.withColumn("text", F.coalesce("text", F.lit("")))
+            .mapInArrow(run, StructType([*keep.schema, StructField("n_tokens", LongType())])))
 
 
 def topic(text: Column) -> Column:
@@ -107,8 +120,8 @@ def _plan(docs: DataFrame, dims: dict[str, Column], targets: dict[str, dict[str,
           budget: float, max_values: dict[str, int]) -> tuple[DataFrame, dict[str, list[str]], DataFrame]:
     """(doc_id, n_tokens, d_...) per row, the listed values of every dimension,
     and (labels, weight, probability) of every cell.  Texts are read once."""
-    d = materialize(docs.select(F.col("doc_id"), tokens(F.col("text")).alias("n_tokens"),
-                                *[c.alias(f"d_{k}") for k, c in dims.items()]), "token-counts")
+    d = materialize(with_tokens(docs.select(
+        F.col("doc_id"), F.col("text"), *[c.alias(f"d_{k}") for k, c in dims.items()])), "token-counts")
     listed = {}
     for k in dims:
         most = max_values.get(k, 32)

@@ -76,6 +76,16 @@ LETTER = mix(np.arange(1, 257, dtype=U) * M3)
 BLOCK = 1 << 20
 
 
+def word_counts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Words of every row."""
+    word = ~SEPARATOR[data]
+    first = np.zeros(len(data) + 1, dtype=bool)
+    first[bounds] = True
+    starts = word.copy()
+    starts[1:] &= ~word[:-1] | first[1:-1]
+    return np.diff(np.searchsorted(np.flatnonzero(starts), bounds))
+
+
 def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word (A-Z lower-cased) and the bounds of the rows' words."""
     if not len(data):
