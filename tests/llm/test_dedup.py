@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 
+import corpus_pipeline
 from tidewater.llm import parity_join, substring_units, suffix_dedup
 from tidewater.llm.components import components
 
@@ -163,6 +164,21 @@ def test_keep_one(spark, edge_docs, no_docs):
     assert parity_join.keep_one(no_docs).count() == 0
 
 
+def test_one_per_component(spark):
+    """Unrelated texts with equal or null ids all stay; copies without ids leave one."""
+    rng = random.Random(12)
+    a, b, c, d, e, f, g = (prose(rng, 60) for _ in range(7))
+    rows = [(1, a), (1, a), (2, a), (3, b), (3, c), (None, d), (None, e), (None, f), (None, f), (None, f + " end"),
+            (4, g), (None, g), (5, ""), (5, ""), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = Counter(map(tuple, corpus_pipeline.near_duplicates(spark, df, "").collect()))
+    last = [x for x in got if x in ((None, f), (None, f + " end"))]
+    assert len(last) == 1
+    assert got == Counter([(1, a), (3, b), (3, c), (None, d), (None, e), last[0], (4, g), (5, ""), (5, ""), (None, None)])
+    by_id = Counter(i for i, _ in parity_join.keep_one(df).collect())
+    assert by_id == {1: 1, 3: 1, None: 4, 4: 1, 5: 1}
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(0, 40)] + [(100, 7), (200, 201), (202, 200), (300, 300)]
     got = {r.node: r.label for r in components(spark.createDataFrame(chain, "x bigint, y bigint")).collect()}

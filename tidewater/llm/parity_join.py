@@ -302,8 +302,8 @@ def cross_pairs(shared: DataFrame, info: DataFrame, labels: DataFrame, percent:
             .mapInArrow(run, "x bigint, y bigint").distinct())
 
 
-def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Per row of ``docs``: doc_id, th, n_shingles, component_id."""
+def labelled(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """Per row of ``docs``: doc_id, th, n_shingles and the ``label`` of its component (empty sets: none of their own)."""
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key(F.col("text")).alias("th"),
                     F.coalesce("text", F.lit("")).alias("text"))
     info = materialize(profiles(d, n, percent), "profiles")
@@ -326,23 +326,35 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -
         discard(docs.sparkSession, folder)
     if more.limit(1).count():
         labels = components(links.unionAll(more))
-    label = info.join(labels, "node", "left").select(
+    return info.join(labels, "node", "left").select(
         "doc_id", "th", F.col("size").alias("n_shingles"), F.coalesce("label", "node").alias("label"))
+
+
+def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """Per row of ``docs``: doc_id, th, n_shingles, component_id."""
+    label = labelled(docs, n, percent)
     least = materialize(label.where("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("least")), "least-ids")
     out = label.join(least, "label", "left")
     return out.select("doc_id", "th", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least"))
                       .otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with the document of smallest id of every component, all
-    columns kept; of rows that share that id one stays.  Rows with a null id
-    stay only where a component has no other id, empty sets always."""
-    found = near_duplicates(docs, n, percent)
-    keep = found.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select("doc_id", "th")
-    rows = keep.groupBy("doc_id").agg(F.count("*").alias("c"))
-    keep = materialize(keep.distinct(), "kept-ids")
-    out = attach(docs.withColumn("__th", text_key(F.col("text"))), keep.withColumnRenamed("th", "__th"),
-                 "doc_id", "__th", how="left_semi").drop("__th")
-    again = rows.where("c > 1 and doc_id is not null").limit(1).count()
-    return out.dropDuplicates(["doc_id"]) if again else out
+def keep_one(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, one_per_id: bool = True) -> DataFrame:
+    """``docs`` with one document of every component, all columns kept: the
+    one of smallest (doc_id, text digest), null ids last; a row that repeats
+    it goes.  Empty sets always stay.  With ``one_per_id``, of rows that share
+    a non-null id one stays, even if their texts differ."""
+    found = labelled(docs, n, percent)
+    times = found.where("n_shingles > 0").groupBy("label", "doc_id", "th").agg(F.count("*").alias("times"))
+    best = times.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "times")).alias("b"))
+    keep = materialize(best.select("b.doc_id", F.col("b.th").alias("__th"), F.col("b.times").alias("__times")).unionAll(
+        # below zero: rows that repeat an empty set all stay
+        found.where("n_shingles = 0").groupBy("doc_id", F.col("th").alias("__th")).agg(-F.count("*"))), "kept-ids")
+    out = attach(docs.withColumn("__th", text_key(F.col("text"))), keep, "doc_id", "__th", how="inner")
+    if keep.where("__times > 1").limit(1).count():
+        out = out.where("__times <= 1").unionAll(out.where("__times > 1").dropDuplicates(["doc_id", "__th"]))
+    out = out.drop("__th", "__times")
+    ids = keep.where("doc_id is not null").groupBy("doc_id").agg(F.sum(F.abs("__times")).alias("c"))
+    if one_per_id and ids.where("c > 1").limit(1).count():
+        out = out.where("doc_id is null").unionAll(out.where("doc_id is not null").dropDuplicates(["doc_id"]))
+    return out
