@@ -134,6 +134,35 @@ def test_tokens_are_words(spark):
     assert got == {i: len(WORD.findall(t or "")) for i, t in enumerate(texts)}
 
 
+def test_every_value_has_its_margin(spark, monkeypatch):
+    """More sources and languages than were listed once, on the driver and in Spark."""
+    rng = random.Random(9)
+    rows = [(i, "w " * (1 + i % 7), f"l{i % 40}", f"s{min(i, 3 * rng.randrange(900)) % 300}") for i in range(2400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").repartition(4)
+    dims = {"source": F.col("source"), "lang": F.col("lang")}
+    size = Counter()
+    for _, t, _, s in rows:
+        size["=" + s] += len(t.split())
+    want = {s: n ** .7 / sum(m ** .7 for m in size.values()) for s, n in size.items()}
+    assert len(want) > 256
+    aim = {"source": {f"s{i}": 1.0 for i in range(300)}}
+    found = {}
+    for most in (mixture.CELLS, 0):
+        monkeypatch.setattr(mixture, "CELLS", most)
+        out = mixture.mix(df, dims, budget=.5).collect()
+        found[most] = {(r.source, r.lang): (r.weight, r.probability) for r in out}
+        share = Counter()
+        for (s, _), (w, _) in found[most].items():
+            share[s] += w
+        assert set(share) == set(want) and all(abs(share[s] - x) < 1e-6 for s, x in want.items())
+        total = sum(r.n_tokens for r in out)
+        assert abs(sum(r.n_tokens * r.probability for r in out) / total - .5) < 1e-6
+    a, b = found.values()
+    assert a.keys() == b.keys() and all(np.allclose(a[k], b[k], rtol=1e-6) for k in a)
+    monkeypatch.undo()
+    assert mixture.mix(df, dims, targets=aim).count() == len(rows)
+
+
 # -- packing ----------------------------------------------------------------------
 
 @given(st.lists(st.integers(1, 64), max_size=300))

@@ -6,10 +6,11 @@ is raked until its margins meet the target shares of every dimension, each
 cell gets the rate by which its tokens must be thinned, and documents are
 sampled by that calibrated probability.
 
-The cell table has a proven bound: a dimension has at most ``max_values``
-listed values (the largest by tokens), the rest share one value, so the cells
-number at most the product of these bounds.  Only that table reaches the
-driver; texts are read once and never shuffled.
+Every value of a dimension has a margin of its own.  The cell table has a row
+per combination that occurs; one of at most ``CELLS`` rows is raked on the
+driver, a larger one by grouped sums per dimension, written per step.  Texts
+are read once; only a cell table above ``CELLS`` rows makes ``sample`` shuffle
+them, for the join with it.
 
 Defined cases: a null value of a dimension is a value of its own; a null or
 empty text has no tokens and probability 1 of its cell's rate rule (rate 0
@@ -21,7 +22,6 @@ empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +29,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import SPACES, materialize
+from .common import SPACES, discard, materialize
 from .rolling import text_buffer, word_counts
 
-#: Bounds of the listed values of a dimension.
-MAX_VALUES = {"source": 256, "lang": 32, "topic": 8}
+#: Largest cell table that is raked on the driver and broadcast.
+CELLS = 1 << 16
 #: Target share of a value: its share to this power, so that small ones gain and large ones lose.
 TEMPER = 0.7
 #: Tokens that the mixture shall keep, of all tokens.
@@ -73,29 +73,36 @@ def dimensions(source: str = "source", lang: str = "lang", text: str = "text") -
     return {"source": F.col(source), "lang": F.col(lang), "topic": topic(F.col(text))}
 
 
-def _label(c: Column, listed: list[str]) -> Column:
-    """``=value`` of a listed value, else (none) or (other)."""
-    return (F.when(c.isNull(), F.lit("(none)")).when(c.isin(*listed), F.concat(F.lit("="), c))
-            .otherwise(F.lit("(other)"))) if listed else F.when(c.isNull(), "(none)").otherwise("(other)")
+def _label(c: Column) -> Column:
+    """``=value``, or (none) for null."""
+    return F.when(c.isNull(), F.lit("(none)")).otherwise(F.concat(F.lit("="), c))
 
 
-def rake(seed: np.ndarray, targets: list[np.ndarray], rounds: int = ROUNDS,
-         tolerance: float = TOLERANCE) -> np.ndarray:
-    """``seed`` scaled along its axes in turn until each margin meets its target (shares that sum to 1)."""
-    w = seed / seed.sum() if seed.sum() else seed.astype(float)
+def rake_cells(weights: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray], rounds: int = ROUNDS,
+               tolerance: float = TOLERANCE) -> np.ndarray:
+    """``weights`` of the cells scaled along the dimensions in turn until each margin meets its target
+    (shares that sum to 1); ``codes`` has the place of each cell's value in the target of each dimension."""
+    w = weights / weights.sum() if weights.sum() else weights.astype(float)
     for _ in range(rounds):
         worst = 0.0
-        for axis, target in enumerate(targets):
-            margin = w.sum(axis=tuple(k for k in range(w.ndim) if k != axis))
+        for code, target in zip(codes, targets):
+            margin = np.bincount(code, weights=w, minlength=len(target))
             with np.errstate(divide="ignore", invalid="ignore"):
                 factor = np.where(margin > 0, target / margin, 0.0)
             worst = max(worst, float(np.abs(margin - target).max()))
-            w = w * factor.reshape([-1 if k == axis else 1 for k in range(w.ndim)])
+            w = w * factor[code]
         if worst < tolerance:
             break
     return w
 
 
+def rake(seed: np.ndarray, targets: list[np.ndarray], rounds: int = ROUNDS,
+         tolerance: float = TOLERANCE) -> np.ndarray:
+    """``rake_cells`` of a full array, whose axes are the dimensions."""
+    codes = [c.ravel() for c in np.indices(seed.shape)]
+    return rake_cells(seed.ravel(), codes, targets, rounds, tolerance).reshape(seed.shape)
+
+
 def rates(tokens_of: np.ndarray, weights: np.ndarray, budget: float) -> np.ndarray:
     """Probability per cell, proportional to weight / tokens and at most 1,
     with the one scale at which the kept tokens meet the budget (or every cell is kept whole)."""
@@ -116,52 +123,93 @@ def draw(doc_id: Column, seed: int = SEED) -> Column:
     return F.pmod(F.xxhash64(doc_id, F.lit(seed)), F.lit(1 << 53)).cast("double") / float(1 << 53)
 
 
-def _plan(docs: DataFrame, dims: dict[str, Column], targets: dict[str, dict[str, float]], temper: float,
-          budget: float, max_values: dict[str, int]) -> tuple[DataFrame, dict[str, list[str]], DataFrame]:
-    """(doc_id, n_tokens, d_...) per row, the listed values of every dimension,
-    and (labels, weight, probability) of every cell.  Texts are read once."""
-    d = materialize(with_tokens(docs.select(
-        F.col("doc_id"), F.col("text"), *[c.alias(f"d_{k}") for k, c in dims.items()])), "token-counts")
-    listed = {}
-    for k in dims:
-        most = max_values.get(k, 32)
-        if targets.get(k):
-            listed[k] = sorted(targets[k])
-            if len(listed[k]) > most:
-                raise ValueError(f"more than {most} targets for {k}")
-        else:
-            top = (d.where(F.col(f"d_{k}").isNotNull()).groupBy(f"d_{k}").agg(F.sum("n_tokens").alias("n"))
-                   .orderBy(F.desc("n"), f"d_{k}").limit(most).collect())
-            listed[k] = [r[0] for r in top]
-    # at most the product of the bounds, whatever the corpus
-    cells = (d.select("n_tokens", *[_label(F.col(f"d_{k}"), listed[k]).alias(k) for k in dims])
-             .groupBy(*dims).agg(F.sum("n_tokens").alias("n")).collect())
-    values = {k: sorted({r[k] for r in cells}) for k in dims}
-    size = np.zeros([len(values[k]) for k in dims])
-    for r in cells:
-        size[tuple(values[k].index(r[k]) for k in dims)] = r["n"]
+def _solve(cells: pa.Table, dims: list[str], targets: dict[str, dict[str, float]], temper: float,
+           budget: float) -> pa.Table:
+    """``cells`` (labels, n) with weight and probability."""
+    size = cells.column("n").to_numpy().astype(float)
     weight, rate = np.zeros_like(size), np.ones_like(size)
     if size.sum():
-        aim = []
-        for axis, k in enumerate(dims):
-            margin = size.sum(axis=tuple(j for j in range(size.ndim) if j != axis))
+        codes, aim = [], []
+        for k in dims:
+            values, code = np.unique(np.array(cells.column(k).to_pylist(), dtype=object), return_inverse=True)
+            margin = np.bincount(code, weights=size)
             given = targets.get(k)
-            t = (np.array([given.get(v[1:], 0.0) if v[0] == "=" else 0.0 for v in values[k]]) * (margin > 0)
+            t = (np.array([given.get(v[1:], 0.0) if v[0] == "=" else 0.0 for v in values]) * (margin > 0)
                  if given else np.where(margin > 0, (margin / margin.sum()) ** temper, 0.0))
             if not t.sum():
                 raise ValueError(f"no target of {k} has tokens")
+            codes.append(code)
             aim.append(t / t.sum())
-        weight = rake(size, aim)
+        weight = rake_cells(size, codes, aim)
         rate = rates(size, weight, budget)
-    rows = [(*at, float(weight[i]), float(rate[i])) for at, i in zip(
-        product(*values.values()), product(*[range(len(v)) for v in values.values()])) if cells]
-    schema = ", ".join([*(f"`{k}` string" for k in dims), "weight double", "probability double"])
-    return d, listed, docs.sparkSession.createDataFrame(rows, schema)
+    return cells.drop_columns("n").append_column("weight", pa.array(weight)).append_column("probability", pa.array(rate))
+
+
+def _solve_spread(cells: DataFrame, dims: list[str], targets: dict[str, dict[str, float]], temper: float,
+                  budget: float) -> DataFrame:
+    """``_solve`` of a written table of any size: each step is a grouped sum and a join, and is written."""
+    spark = cells.sparkSession
+    total = cells.agg(F.sum("n")).first()[0]
+    if not total:
+        return cells.drop("n").withColumns({"weight": F.lit(0.0), "probability": F.lit(1.0)})
+    aims = {}
+    for k in dims:
+        margin = cells.groupBy(k).agg(F.sum("n").alias("n")).where("n > 0")
+        if targets.get(k):
+            given = spark.createDataFrame([(f"={v}", float(t)) for v, t in targets[k].items()], f"`{k}` string, t double")
+            margin = margin.join(given, k)
+        else:
+            margin = margin.withColumn("t", F.pow(F.col("n") / float(total), F.lit(temper)))
+        margin = materialize(margin.select(k, "t"), "targets")
+        whole = margin.agg(F.sum("t")).first()[0]
+        if not whole:
+            raise ValueError(f"no target of {k} has tokens")
+        aims[k] = margin.select(k, (F.col("t") / whole).alias("t"))
+    w, at = materialize(cells.withColumn("weight", F.col("n") / float(total)), "cell-weights", path=True)
+    for _ in range(ROUNDS):
+        worst = 0.0
+        for k in dims:
+            margin = w.groupBy(k).agg(F.sum("weight").alias("m")).join(aims[k], k, "left")
+            t = F.coalesce("t", F.lit(0.0))
+            factor, margin_at = materialize(margin.select(
+                k, F.when(F.col("m") > 0, t / F.col("m")).otherwise(0.0).alias("factor"), F.abs(F.col("m") - t).alias("off")),
+                "factors", path=True)
+            worst = max(worst, factor.agg(F.max("off")).first()[0])
+            w, old = w.join(factor, k).select(*dims, "n", (F.col("weight") * F.col("factor")).alias("weight")), at
+            w, at = materialize(w, "cell-weights", path=True)
+            for folder in (old, margin_at):
+                discard(spark, folder)
+        if worst < TOLERANCE:
+            break
+    # the scale: cells found to be kept whole leave the budget, the others share what is left of it
+    live = w.where("n > 0 and weight > 0")
+    scale, whole = 0.0, -1
+    while True:
+        full = F.col("weight") * scale >= F.col("n")
+        c, n, rest = live.agg(F.count_if(full), F.sum(F.when(full, F.col("n")).otherwise(0)),
+                              F.sum(F.when(full, 0.0).otherwise(F.col("weight")))).first()
+        if c == whole or not rest:
+            break
+        whole, scale = c, max(scale, (budget * total - n) / rest)
+    chance = F.least(F.lit(1.0), F.col("weight") * scale / F.col("n"))
+    return w.select(*dims, "weight", F.when((F.col("n") > 0) & (F.col("weight") > 0), chance).otherwise(1.0)
+                    .alias("probability"))
+
+
+def _plan(docs: DataFrame, dims: dict[str, Column], targets: dict[str, dict[str, float]], temper: float,
+          budget: float) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, labels, n_tokens) per row, and (labels, weight, probability) of every cell."""
+    d = materialize(with_tokens(docs.select(
+        F.col("doc_id"), F.col("text"), *[_label(c).alias(k) for k, c in dims.items()])), "token-counts")
+    cells = materialize(d.groupBy(*dims).agg(F.sum("n_tokens").alias("n")), "cells")
+    if cells.count() > CELLS:
+        return d, _solve_spread(cells, list(dims), targets, temper, budget)
+    solved = _solve(cells.toArrow(), list(dims), targets, temper, budget)
+    return d, F.broadcast(docs.sparkSession.createDataFrame(solved))
 
 
 def mix(docs: DataFrame, dims: dict[str, Column] | None = None, targets: dict[str, dict[str, float]] | None = None,
-        temper: float = TEMPER, budget: float = BUDGET, seed: int = SEED,
-        max_values: dict[str, int] | None = None) -> DataFrame:
+        temper: float = TEMPER, budget: float = BUDGET, seed: int = SEED) -> DataFrame:
     """Per row of ``docs``: doc_id, its cell, tokens, calibrated ``weight``
     (share of its cell in the mixture), ``probability`` and ``kept``.
 
@@ -169,9 +217,8 @@ def mix(docs: DataFrame, dims: dict[str, Column] | None = None, targets: dict[st
     without any gets its own shares to the power ``temper``.
     """
     dims = dims or dimensions()
-    d, listed, cells = _plan(docs, dims, targets or {}, temper, budget, {**MAX_VALUES, **(max_values or {})})
-    labelled = d.select("doc_id", "n_tokens", *[_label(F.col(f"d_{k}"), listed[k]).alias(k) for k in dims])
-    return labelled.join(F.broadcast(cells), list(dims)).withColumn(
+    d, cells = _plan(docs, dims, targets or {}, temper, budget)
+    return d.join(cells, list(dims)).withColumn(
         "kept", draw(F.col("doc_id"), seed) < F.col("probability")).select(
         "doc_id", *dims, "n_tokens", "weight", "probability", "kept")
 
@@ -180,8 +227,8 @@ def sample(docs: DataFrame, dims: dict[str, Column] | None = None, targets: dict
            temper: float = TEMPER, budget: float = BUDGET, seed: int = SEED) -> DataFrame:
     """The rows of ``docs`` that ``mix`` keeps, all columns as they are."""
     dims = dims or dimensions()
-    _, listed, cells = _plan(docs, dims, targets or {}, temper, budget, MAX_VALUES)
+    _, cells = _plan(docs, dims, targets or {}, temper, budget)
     side = cells.withColumnsRenamed({k: f"__{k}" for k in dims}).withColumnRenamed("probability", "__p").drop("weight")
-    marked = docs.withColumns({f"__{k}": _label(c, listed[k]) for k, c in dims.items()})
-    return (marked.join(F.broadcast(side), [f"__{k}" for k in dims])
+    marked = docs.withColumns({f"__{k}": _label(c) for k, c in dims.items()})
+    return (marked.join(side, [f"__{k}" for k in dims])
             .where(draw(F.col("doc_id"), seed) < F.col("__p")).select(*docs.columns))
