@@ -26,7 +26,7 @@ def test_oracle(spark, key):
 
 
 def test_one_query_per_operator():
-    assert [sum(k.startswith(f"op{n}_") for k in QUERIES) for n in range(1, 11)] == [1] * 10
+    assert [sum(k.startswith(f"op{n}_") for k in QUERIES) for n in range(1, 14)] == [1] * 13
     entry = importlib.import_module("__spark_entry__")
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
 

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bit_sliced, codeword_language, complement_packing, line_frequency, mixture, parity_join,
+from . import (bit_sliced, codeword_language, collocations, complement_packing, line_frequency, mixture, parity_join,
                perspectives, substring_units, suffix_dedup, warc_index)
 from .common import table
 
@@ -165,3 +165,33 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = parity_join.near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=85)
     return out.select("doc_id", "n_shingles", "component_id")
+
+
+@register("op13_phrase_collocations", r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+g AS (
+  SELECT lang, 1 AS size, unnest(w) AS phrase FROM w
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM w),
+f AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 10),
+longer AS (
+  SELECT lang, phrase, max(a) AS over FROM (
+    SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM c WHERE size = 3) GROUP BY ALL),
+kept AS (SELECT c.* FROM c LEFT JOIN longer o ON c.size = 2 AND c.lang = o.lang AND c.phrase = o.phrase
+         WHERE o.over IS NULL OR 100 * o.over < 50 * c.a),
+cut AS (SELECT *, unnest(range(1, size)) AS k FROM kept),
+scored AS (
+  SELECT cut.lang, cut.phrase, a, x.f AS l, y.f AS r, k,
+    ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(w[1:k], ' ')
+           JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(w[k + 1:cut.size], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
