@@ -9,9 +9,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bit_sliced, codeword_language, collocations, complement_packing, line_frequency, mixture, parity_join,
-               perspectives, substring_units, suffix_dedup, warc_index)
-from .common import table
+from . import (bit_sliced, codeword_language, collocations, complement_packing, conversation_repair, line_frequency,
+               mixture, parity_join, perspectives, substring_units, suffix_dedup, warc_index)
+from .common import attach, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -195,3 +195,95 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000""")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """``conversations`` with faults by the checksum of ``conv_id:turn``: a row is lost,
+    emptied, loses its sentence ends, comes twice, or is said by the user."""
+    space = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    case = F.pmod(F.crc32(key.cast("binary")), F.lit(20))
+    text = F.coalesce("text", space)
+    out = conversations.select("conv_id", "turn", F.coalesce("role", space).alias("role"), text.alias("text"), case.alias("case"))
+    out = out.where("`case` <> 0").select(
+        "conv_id", "turn", F.when(F.col("case") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("case") == 1, "").when(F.col("case") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.sequence(F.lit(1), F.when(F.col("case") == 3, 2).otherwise(1))).alias("copy"))
+    return out.drop("copy")
+
+
+@register("op12_conversation_repair", r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(
+    list_prepend(4294967295, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+      lambda x: ord(x)::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS k
+  FROM conversations, crc),
+dam AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+    CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE WHEN k = 3 THEN 2 ELSE 1 END)) AS copy FROM src WHERE k <> 0),
+pos AS (
+  SELECT *, coalesce(conv_id::VARCHAR, 'none') AS cid,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM dam),
+r AS MATERIALIZED (
+  SELECT *, body = '' AS blank, body <> '' AND nth > 1 AS dup,
+    body <> '' AND nth = 1 AND right(body, 1) NOT IN ('.', '!', '?') AS cut, left(role, 1) AS initial,
+    CASE WHEN body = '' OR nth > 1 THEN 'x' WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'o' END AS kind FROM pos),
+states AS (SELECT unnest(['E', 'S', 'U', 'A']) AS st),
+edge AS (
+  SELECT st, kind, st AS nx, 3 AS c, 'D' AS l FROM states, (SELECT unnest(['s', 'u', 'a', 'o', 'x']) AS kind)
+  UNION ALL SELECT 'E', 's', 'S', 0, 'K'
+  UNION ALL SELECT st, 'u', 'U', 0, 'K' FROM states WHERE st <> 'U'
+  UNION ALL SELECT 'U', 'u', 'U', 2, 'IK'
+  UNION ALL SELECT 'U', 'a', 'A', 0, 'K'
+  UNION ALL SELECT st, 'a', 'A', 2, 'IK' FROM states WHERE st <> 'U'
+  UNION ALL SELECT st, kind, CASE WHEN (st = 'U') = (l = 'R') THEN 'A' ELSE 'U' END, 2 * len(l), l
+    FROM states, (SELECT unnest(['s', 'u', 'a', 'o']) AS kind), (SELECT unnest(['R', 'IR']) AS l)),
+v AS (
+  SELECT DISTINCT cid, 0::BIGINT AS i, 'E' AS st, 0::BIGINT AS c, '' AS t FROM r
+  UNION ALL
+  SELECT cid, i, nx, c, t FROM (
+    SELECT v.cid, r.i, e.nx, (v.c + e.c + CASE WHEN r.cut AND e.l <> 'D' THEN 1 ELSE 0 END)::BIGINT AS c, v.t || e.l AS t,
+      row_number() OVER (PARTITION BY v.cid, e.nx ORDER BY v.c + e.c + CASE WHEN r.cut AND e.l <> 'D' THEN 1 ELSE 0 END, v.t || e.l) AS best
+    FROM v JOIN r ON r.cid = v.cid AND r.i = v.i + 1 JOIN edge e ON e.st = v.st AND e.kind = r.kind) WHERE best = 1),
+n AS (
+  SELECT cid, max(i) AS n, count(*) FILTER (blank) AS blank, count(*) FILTER (dup) AS duplicate, count(*) FILTER (cut) AS truncated,
+    coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (bad) AS illegal
+  FROM (SELECT *, i > 1 AND lag(initial) OVER (PARTITION BY cid ORDER BY i) || initial NOT IN ('su', 'ua', 'au') AS bad FROM r)
+  GROUP BY cid),
+done AS (
+  SELECT v.cid, c + CASE st WHEN 'S' THEN 4 WHEN 'U' THEN 2 ELSE 0 END AS cost,
+    t || CASE st WHEN 'S' THEN 'II' WHEN 'U' THEN 'I' ELSE '' END AS audit
+  FROM v JOIN n ON v.cid = n.cid AND v.i = n.n
+  QUALIFY row_number() OVER (PARTITION BY v.cid ORDER BY c + CASE st WHEN 'S' THEN 4 WHEN 'U' THEN 2 ELSE 0 END,
+    t || CASE st WHEN 'S' THEN 'II' WHEN 'U' THEN 'I' ELSE '' END) = 1),
+steps AS (SELECT cid, unnest(string_split(audit, '')) AS e, unnest(range(len(audit))) AS k FROM done WHERE audit <> ''),
+told AS (
+  SELECT *, count(*) FILTER (e <> 'I') OVER w AS i, count(*) FILTER (e <> 'D') OVER w AS o FROM steps
+  WINDOW w AS (PARTITION BY cid ORDER BY k ROWS UNBOUNDED PRECEDING)),
+kept AS (
+  SELECT told.cid, e, k, o, role, text, bool_or(e = 'K' AND o = 1 AND initial = 's') OVER (PARTITION BY told.cid) AS sys
+  FROM told LEFT JOIN r ON r.cid = told.cid AND r.i = told.i AND e <> 'I' WHERE e <> 'D'),
+said AS (
+  SELECT cid, sha256(string_agg(CASE WHEN e = 'K' THEN role
+    WHEN (o - CASE WHEN sys THEN 1 ELSE 0 END) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' ||
+    CASE WHEN e = 'I' THEN '' ELSE text END, chr(10) ORDER BY k)) AS h FROM kept GROUP BY cid)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+  coalesce(audit, '') AS audit, coalesce(h, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce(conv_id::VARCHAR, 'none') AS cid FROM conversations) c
+LEFT JOIN n ON c.cid = n.cid LEFT JOIN done ON c.cid = done.cid LEFT JOIN said ON c.cid = said.cid""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    placed, edits, totals = conversation_repair.repair(damaged(given))
+    out = attach(given.select("conv_id").distinct(), totals, "conv_id")
+    out = attach(out, conversation_repair.digests(placed, edits), "conv_id")
+    zero = lambda n: F.coalesce(n, F.lit(0).cast("bigint")).alias(n)
+    return out.select("conv_id", *[zero(n) for n in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+                      F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
