@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (bit_sliced, codeword_language, collocations, complement_packing, conversation_repair, line_frequency,
-               mixture, parity_join, perspectives, substring_units, suffix_dedup, warc_index)
+               mixture, parity_join, perspectives, substring_units, suffix_dedup, url_templates, warc_index)
 from .common import attach, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -287,3 +287,86 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("conv_id", *[zero(n) for n in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
                       F.coalesce("audit", F.lit("")).alias("audit"),
                       F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+URL_RULES = [url_templates.Rule(*r) for r in (
+    ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"), ("com", "/de/", "block"))]
+
+
+def _level_sql(k: int) -> str:
+    """One level of the tree: from cells c{k} to c{k + 1}."""
+    share = "(b + 4 * {}) / (n + 4)"
+    return f"""
+here{k} AS (
+  SELECT host, node, segs[{k + 1}] AS segment, array_to_string(list_transform(segs[{k + 2}:], lambda x:
+    CASE WHEN x = '$' THEN '$' WHEN contains(x, '#') THEN '#' ELSE 'a' END), '/') AS form,
+    sum(urls) AS urls, sum(labelled) AS labelled, sum(blocked) AS blocked
+  FROM c{k} WHERE len(segs) > {k} GROUP BY ALL),
+segs{k} AS (SELECT *, sum(urls) OVER (PARTITION BY host, node) AS total FROM (
+  SELECT host, node, segment, sum(urls) AS urls FROM here{k} GROUP BY ALL)),
+known{k} AS (
+  SELECT h.*, CASE WHEN h.segment = '$' THEN '$' WHEN s.urls >= 3 AND 100 * s.urls >= 2 * total THEN h.segment ELSE '*' END AS branch
+  FROM here{k} h JOIN segs{k} s ON h.host = s.host AND h.node = s.node AND h.segment = s.segment),
+forms{k} AS (SELECT host, node, branch, form, sum(urls) AS urls, sum(labelled) AS labelled, sum(blocked) AS blocked
+  FROM known{k} GROUP BY ALL),
+branch{k} AS (
+  SELECT host, node, branch, arg_min(form, ROW(-urls, form)) AS form, sum(labelled)::DOUBLE AS n, sum(blocked)::DOUBLE AS b
+  FROM forms{k} GROUP BY ALL),
+near{k} AS (
+  SELECT *, lag(branch) OVER w AS lbranch, lag(form) OVER w AS lform, lag(n) OVER w AS ln, lag(b) OVER w AS lb FROM (
+    SELECT *, n = 0 AS unlabelled, {share.format("base")} AS share FROM branch{k}, base)
+  WINDOW w AS (PARTITION BY host, node ORDER BY form, unlabelled, share, branch)),
+first{k} AS (
+  SELECT *, (lbranch IS NULL OR lform <> form OR (ln = 0) <> unlabelled OR branch = '$' OR lbranch = '$'
+    OR (lb * n - b * ln) * (lb * n - b * ln) * (ln + n) > 3.841::DOUBLE * ln * n * (lb + b) * (ln + n - (lb + b)))::INT AS first FROM near{k}),
+group{k} AS (SELECT host, node, branch, sum(first) OVER (PARTITION BY host, node ORDER BY form, unlabelled, share, branch
+  ROWS UNBOUNDED PRECEDING) AS grp FROM first{k}),
+name{k} AS (
+  SELECT host, node, grp, CASE WHEN count(*) = 1 THEN min(branch) ELSE '{{' || string_agg(branch, '|' ORDER BY branch) || '}}' END AS label
+  FROM group{k} GROUP BY ALL),
+label{k} AS (
+  SELECT DISTINCT x.host, x.node, x.segment, n.label FROM known{k} x
+  JOIN group{k} g ON g.host = x.host AND g.node = x.node AND g.branch = x.branch
+  JOIN name{k} n ON n.host = g.host AND n.node = g.node AND n.grp = g.grp),
+told{k} AS (
+  SELECT c.* EXCLUDE (node), CASE WHEN label IS NULL THEN c.node ELSE c.node || '/' || label END AS node, label IS NULL AS ended
+  FROM c{k} c LEFT JOIN label{k} l ON l.host = c.host AND l.node = c.node AND l.segment = c.segs[{k + 1}]),
+own{k} AS (SELECT host, node, share, pooled, sum(labelled) AS n, sum(blocked) AS b FROM told{k} WHERE NOT ended GROUP BY ALL),
+pool{k} AS (SELECT node, {share.format("pooled")} AS p FROM (
+  SELECT node, pooled, sum(n) AS n, sum(b) AS b FROM own{k} GROUP BY ALL)),
+new{k} AS (SELECT o.host, o.node, {share.format("((share + p) / 2)")} AS s, p FROM own{k} o JOIN pool{k} q ON o.node = q.node),
+c{k + 1} AS MATERIALIZED (
+  SELECT t.* EXCLUDE (share, pooled, ended), CASE WHEN ended THEN share ELSE s END AS share, CASE WHEN ended THEN pooled ELSE p END AS pooled
+  FROM told{k} t LEFT JOIN new{k} x ON x.host = t.host AND x.node = t.node)"""
+
+
+URL_SQL = r"""
+WITH u AS (
+  SELECT page_id, row_number() OVER () AS row, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (
+  SELECT page_id, row, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+r(rhost, rpath, rverdict) AS (VALUES """ + ", ".join(f"('{r.host}', '{r.path}', '{r.verdict}')" for r in URL_RULES) + r"""),
+x AS (
+  SELECT *, rhost || rpath AS rule, list_filter(string_split(regexp_replace(path, '[0-9]+', '#', 'g'), '/'), lambda s: s <> '') || ['$'] AS every
+  FROM p LEFT JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+  QUALIFY row_number() OVER (PARTITION BY row ORDER BY len(rhost || rpath) DESC NULLS LAST) = 1),
+cut AS MATERIALIZED (
+  SELECT *, CASE WHEN len(every) <= 4 THEN every ELSE every[:3] || [array_to_string(every[4:], '/')] END AS segs FROM x),
+cell AS (
+  SELECT host, segs, count(*) AS urls, count(rverdict) AS labelled, count(*) FILTER (rverdict = 'block') AS blocked
+  FROM (SELECT DISTINCT host, path, segs, rverdict FROM cut) GROUP BY host, segs),
+base AS (SELECT coalesce(sum(blocked) / sum(labelled), 0)::DOUBLE AS base FROM cell),
+c0 AS MATERIALIZED (
+  SELECT cell.*, '' AS node, (b + 4 * base) / (n + 4) AS share, base AS pooled FROM cell, base,
+    (SELECT host AS h, sum(labelled) AS n, sum(blocked) AS b FROM cell GROUP BY host) WHERE h = host),""" + ",".join(
+    map(_level_sql, range(url_templates.LEVELS))) + r"""
+SELECT page_id, cut.host, cut.path, rule, node AS template, coalesce(rverdict, CASE WHEN share >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+FROM cut JOIN c4 ON c4.host = cut.host AND c4.segs = cut.segs"""
+
+
+@register("op11_url_templates", URL_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_templates.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "template", "verdict")
