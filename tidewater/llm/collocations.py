@@ -38,9 +38,9 @@ from .rolling import text_buffer
 MIN_COUNT, TOP, INSIDE_PERCENT = 10, 2000, 50
 SCALE = 1_000_000
 #: Bytes of text that a task turns into one set of automata.
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 8 << 20
 #: Paths of a prefix range, about; most ranges; documents that the bounds are taken from.
-RANGE_WORDS, MAX_RANGES, SAMPLE_DOCS = 2_000_000, 1 << 16, 4096
+RANGE_WORDS, MAX_RANGES, SAMPLE_DOCS = 1_000_000, 1 << 16, 4096
 #: Of the sampled documents every so many words give a path.
 SAMPLE_STEP = 16
 
