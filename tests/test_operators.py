@@ -262,7 +262,7 @@ def test_upsert_and_write_once_are_idempotent(spark, tmp_dir):
     K.upsert_dim(b, tmp_dir + "/dim", ["k"], "seq")          # replayed batch: no change
     assert rows(K.read_snapshot(spark, tmp_dir + "/dim"), "k", "v") == [("k1", "v3"), ("k2", "v2")]
     c = spark.createDataFrame([("k3", "v4", 5)], "k string, v string, seq long")
-    assert K.upsert_dim(c, tmp_dir + "/dim", ["k"], "seq") == 1   # one bucket rewritten
+    assert K.upsert_dim(c, tmp_dir + "/dim", ["k"], "seq") == 1   # one row written
     assert K.read_snapshot(spark, tmp_dir + "/dim").count() == 3
     K.write_once(a, tmp_dir + "/once", 1)
     K.write_once(a, tmp_dir + "/once", 1)
@@ -443,20 +443,21 @@ def test_upsert_keeps_stored_rows(spark, tmp_dir):
                  target, ["k"], "seq")
     snap = K.read_snapshot(spark, target)
     assert snap.count() == 51 and rows(snap.where("extra = 'n'"), "k", "v") == [("k1", 100), ("k60", 1)]
-    # data written but no version: the old version stands, and the next batch builds on it
-    put, K.storage.put_new = K.storage.put_new, lambda *a: (_ for _ in ()).throw(OSError("crash"))
+    # data written but no version: the old version stands, the next batch builds on it and collects the folder
+    put, storage.put_new = storage.put_new, lambda *a: (_ for _ in ()).throw(OSError("crash"))
     try:
         with pytest.raises(OSError):
             K.upsert_dim(spark.createDataFrame([("k2", 5, 9)], "k string, v int, seq long"), target, ["k"], "seq")
     finally:
-        K.storage.put_new = put
-    assert K.read_snapshot(spark, target).count() == 51
-    # a stored folder that cannot be read raises instead of being replaced
+        storage.put_new = put
+    assert K.read_snapshot(spark, target).count() == 51 and len(storage.names(spark, f"{target}/data")) == 3
+    K.upsert_dim(spark.createDataFrame([("k3", 7, 9)], "k string, v int, seq long"), target, ["k"], "seq")
+    assert len(storage.names(spark, f"{target}/data")) == 3
+    # a stored folder that cannot be read raises instead of being passed over
     state = K.snapshot_state(spark, target)
-    for d in state["folders"].values():
-        storage.delete(spark, f"{target}/{d}")
+    storage.delete(spark, f"{target}/{state['runs'][0]['path']}")
     with pytest.raises(Exception):
-        K.upsert_dim(spark.createDataFrame([("k2", 5, 9)], "k string, v int, seq long"), target, ["k"], "seq")
+        K.read_snapshot(spark, target).count()
     assert K.snapshot_state(spark, target) == state
 
 

@@ -31,15 +31,17 @@ def keep_listed(row_map: Column, columns: Column) -> Column:
 
 def route(changes: DataFrame, config: DataFrame, read_as_insert: bool = False) -> DataFrame:
     """Attach ``sink_type`` / ``sink_table`` from the (table, type) config
-    row and whitelist the columns of ``after``.  Rows without config are
-    dropped.  With ``read_as_insert`` snapshot rows use the insert route (D13).
+    row and whitelist the columns of ``after``.  Dimension rows keep their key column (``sink_pk``, else
+    ``id``) whether it is listed or not.  Rows without config are dropped.  With ``read_as_insert`` snapshot rows use the insert route (D13).
     When the config holds several rows for one (table, type) the last one wins
     in the reference; callers pass one row per key."""
     typ = F.when(F.col("type") == "read", F.lit("insert")).otherwise(F.col("type")) if read_as_insert \
         else F.col("type")
+    listed = F.split("sink_columns", ",")
     cfg = config.select(F.col("source_table").alias("_tw_src"), F.col("operate_type").alias("_tw_op"),
                         "sink_type", "sink_table", "sink_columns", "sink_pk",
-                        F.split("sink_columns", ",").alias("_tw_cols"))
+                        F.when(F.col("sink_type") == SINK_DIM, F.concat(listed, F.array(F.coalesce("sink_pk", F.lit("id")))))
+                        .otherwise(listed).alias("_tw_cols"))
     cfg = broadcast_if_small(cfg)
     d = changes.withColumn("_tw_type", typ)
     j = d.join(cfg, (F.col("table_name") == F.col("_tw_src")) & (F.col("_tw_type") == F.col("_tw_op")), "inner")

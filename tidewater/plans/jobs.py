@@ -38,6 +38,7 @@ from ..operators.measures import product_measures, visitor_measures
 from ..operators.patterns import top_monitors as rank_monitors
 from ..operators.routing import SINK_DIM, route, split_routes
 from ..schemas import PAGE_LOG, PAGE_VIEW_MAPS
+from ..sources import runs as R
 from ..sources import sinks as K
 from ..sources.changes import drop_deletes, normalize_changes
 from ..sources.config import PolledTable
@@ -151,7 +152,9 @@ def db_routing(spark, changes: Topic, config: PolledTable, fact: Topic, dim_targ
     Fact rows go to the topic of their sink table (``fact.name`` is the folder
     above the topics); each configured dimension table is created below
     ``dim_target`` when its configuration is first seen and upserted by its
-    configured key (``id`` by default)."""
+    configured key (``id`` by default), all of them in one pass."""
+    created: set[str] = set()
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
         rules = config.get(s)
@@ -160,16 +163,16 @@ def db_routing(spark, changes: Topic, config: PolledTable, fact: Topic, dim_targ
             f, d = split_routes(routed)
             K.write_routed(f.select("sink_table", F.to_json("after").alias("value"), "seq"), fact.name,
                            kafka_servers=fact.kafka_servers, batch_id=batch_id, keep=("seq",))
-            tables = rules.where(F.col("sink_type") == SINK_DIM).select("sink_table", "sink_columns", "sink_pk")
-            for c in tables.groupBy("sink_table").agg(  # configuration rows
+            tables = {}
+            for c in rules.where(F.col("sink_type") == SINK_DIM).groupBy("sink_table").agg(  # configuration rows
                     F.first("sink_pk", ignorenulls=True).alias("pk"),
                     F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.split("sink_columns", ","))))).alias("cols")).collect():
-                pk, target = c["pk"] or "id", f"{dim_target}/{c['sink_table']}"
-                cols = [x.strip() for x in c["cols"] if x.strip() != pk]
-                K.ensure_dim(s, target, cols, [pk])
-                rows = d.where(F.col("sink_table") == c["sink_table"]).select(
-                    *[F.col("after")[x].alias(x) for x in (pk, *cols)], "seq")
-                K.upsert_dim(rows, target, [pk], "seq")
+                pk = c["pk"] or "id"
+                tables[c["sink_table"]] = ([x.strip() for x in c["cols"] if x.strip() != pk], pk)
+                if c["sink_table"] not in created:
+                    R.create(s, f"{dim_target}/{c['sink_table']}", tables[c["sink_table"]][0], [pk])
+                    created.add(c["sink_table"])
+            R.upsert_many(d, dim_target, tables, batch_id=batch_id)
         finally:
             routed.unpersist()
     return SF.start(changes.read(spark), checkpoint, handle, trigger=_trigger(trigger))
@@ -203,11 +206,20 @@ def user_jump(spark, page: Topic, out: Topic, checkpoint: str, within_ms: int =
     return out.write(b.select(F.from_json("payload", rec_schema).alias("r")).select("r.*"), checkpoint, trigger)
 
 
-def order_wide(spark, orders: Topic, details: Topic, dims: dict[str, DataFrame], out: Topic,
+Dim = DataFrame | R.DimReader
+
+
+def _dim(dim: Dim, spark: SparkSession, ids: DataFrame | None = None) -> DataFrame:
+    """A dimension as of now: a static frame as it is, else the newest version (cut down to ``ids``)."""
+    return dim.get(spark, ids) if isinstance(dim, R.DimReader) else dim
+
+
+def order_wide(spark, orders: Topic, details: Topic, dims: dict[str, Dim], out: Topic,
                checkpoint: str, lo_ms: int = -20_000, hi_ms: int = 20_000, delay: str = "0 seconds",
                trigger=None) -> StreamingQuery:
     """DWM order wide: orders x details within [lo, hi] (stream-stream join,
-    watermarked), then the six dimension lookups against static tables."""
+    watermarked), then the six dimension lookups: per micro-batch against the
+    newest version of dimensions given as ``DimReader``, or against static tables."""
     o = SF.watermarked(O.order_times(orders.read(spark)).withColumnRenamed("id", "order_id"),
                        "create_ts", delay, "o_et")
     d = SF.watermarked(details.read(spark).select(
@@ -216,9 +228,19 @@ def order_wide(spark, orders: Topic, details: Topic, dims: dict[str, DataFrame],
     j = (SF.interval_join_stream(o.withColumnRenamed("order_id", "k"),
                                  d.withColumnRenamed("d_order_id", "k"), ["k"], "o_et", "d_et", lo_ms, hi_ms)
            .select(F.col("detail_id"), F.col("l.k").alias("order_id"), *O.DETAIL_COLS, *O.ORDER_COLS))
-    wide = O.enrich_order(j, dims["user"], dims["province"], dims["sku"], dims["spu"],
-                          dims["trademark"], dims["category"])
-    return out.write(wide, checkpoint, trigger)
+    names = ("user", "province", "sku", "spu", "trademark", "category")
+    if not any(isinstance(dims[n], R.DimReader) for n in names):
+        return out.write(O.enrich_order(j, *[dims[n] for n in names]), checkpoint, trigger)
+
+    def enrich(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # looked up by three ids
+        try:
+            ids = {"user": "user_id", "province": "province_id", "sku": "sku_id"}
+            now = [_dim(dims[n], batch.sparkSession, batch.select(ids[n]) if n in ids else None) for n in names]
+            out.write_batch(O.enrich_order(batch, *now), batch_id)
+        finally:
+            batch.unpersist()
+    return SF.start(j, checkpoint, enrich, trigger=_trigger(trigger))
 
 
 def payment_wide(spark, payments: Topic, wide: Topic, out: Topic, checkpoint: str,
@@ -253,20 +275,26 @@ def visitor_stats(spark, uv: Topic, uj: Topic, page: Topic, out: Topic, checkpoi
 
 
 def product_stats(spark, page: Topic, favor: Topic, cart: Topic, wide: Topic, payments: Topic,
-                  refund: Topic, comment: Topic, dims: dict[str, DataFrame], out: Topic,
+                  refund: Topic, comment: Topic, dims: dict[str, Dim], out: Topic,
                   checkpoint: str, size: str = "10 seconds", delay: str = "2 seconds",
                   trigger=None, approx: bool = False) -> StreamingQuery:
     """DWS product table: seven measure streams, tumbling window per sku,
-    dimension names added per closed window.  ``approx`` keeps HyperLogLog
-    sketches instead of id sets in the window state."""
+    names added per closed window from the dimensions as they are by then
+    (``DimReader``) or from static tables.  ``approx`` keeps HyperLogLog
+    sketches instead of the ids seen per group."""
     m = product_measures(page.read(spark), favor.read(spark), cart.read(spark), wide.read(spark),
                          payments.read(spark), refund.read(spark), comment.read(spark))
     stats = A.product_stats(SF.watermarked(m, "ts", delay, "et"), size, event_col="et",
                             approx=approx)
 
     def enrich(batch: DataFrame, batch_id: int) -> None:
-        out.write_batch(O.enrich_product(batch, dims["sku"], dims["spu"], dims["category"],
-                                         dims["trademark"]), batch_id)
+        batch = batch.persist()
+        try:
+            sku = _dim(dims["sku"], batch.sparkSession, batch.select("sku_id"))
+            out.write_batch(O.enrich_product(batch, sku, *[_dim(dims[n], batch.sparkSession) for n in (
+                "spu", "category", "trademark")]), batch_id)
+        finally:
+            batch.unpersist()
     return SF.start(stats, checkpoint, enrich, trigger=_trigger(trigger))
 
 

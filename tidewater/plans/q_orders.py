@@ -10,8 +10,9 @@ from ..operators import aggregates as A
 from ..operators import orders as O
 from ..operators.joins import age_years, interval_join, lookup
 from ..operators.measures import clicks_and_displays, product_measures
-from ..operators.routing import route
+from ..operators.routing import SINK_DIM, SINK_FACT, route
 from ..session import materialize, scratch_path
+from ..sources import runs as R
 from ..sources import sinks as K
 from ..sources.changes import drop_deletes, normalize_changes
 from . import fixtures as FX
@@ -286,22 +287,25 @@ def dwd(spark, sf, tables: tuple[str, ...]):
     configured routes -> one topic per fact table, one upserted table per
     dimension.  Returns a reader of either by source table name."""
     config = FX.shop_process(spark, sf, tables)
-    routed = route(drop_deletes(normalize_changes(FX.shop_changes(spark, sf, tables))), config)
+    changes = drop_deletes(normalize_changes(FX.shop_changes(spark, sf, tables)))
+    # each layer reads the changes of its own tables
+    routed = {kind: route(changes.where(F.col("table_name").isin([r[0] for r in config.where(
+        F.col("sink_type") == kind).select("source_table").distinct().collect()])), config) for kind in (SINK_FACT, SINK_DIM)}
     base = scratch_path(spark, "dwd")
-    K.write_routed(routed.select("sink_table", F.to_json("after").alias("value"), "seq"), f"{base}/topics", keep=("seq",))
-    topics = spark.read.parquet(f"{base}/topics")
-    for c in config.where("sink_type = 'hbase' and operate_type = 'insert'").collect():  # configuration rows
-        pk, cols = c["sink_pk"] or "id", c["sink_columns"].split(",")
-        target = f"{base}/dim/{c['source_table']}"
-        K.ensure_dim(spark, target, cols, [pk], buckets=4)
-        rows = topics.where(F.col("sink_table") == c["sink_table"]).select(
-            F.from_json("value", ", ".join(f"`{x}` string" for x in cols)).alias("r"), "seq").select("r.*", "seq")
-        K.upsert_dim(rows, target, [pk], "seq", files=1)
+    K.write_routed(routed[SINK_FACT].select(
+        "sink_table", F.to_json("after").alias("value"), "seq"), f"{base}/topics", keep=("seq",))
+    dims = {c["sink_table"]: (c["sink_columns"].split(","), c["sink_pk"] or "id", c["source_table"])  # configuration rows
+            for c in config.where((F.col("sink_type") == SINK_DIM) & (F.col("operate_type") == "insert")).collect()}
+    for t, (cols, pk, _) in dims.items():
+        R.create(spark, f"{base}/dim/{t}", cols, [pk])
+    R.upsert_many(routed[SINK_DIM], f"{base}/dim", {t: d[:2] for t, d in dims.items()})
+    topics = spark.read.schema("value string, seq bigint, sink_table string").parquet(f"{base}/topics")
+    stored = {source: t for t, (_, _, source) in dims.items()}
 
     def read(name: str):
         schema = FX.shop_table(spark, sf, name).schema
         if name in FX.SHOP_DIMS:
-            d = K.read_snapshot(spark, f"{base}/dim/{name}")
+            d = R.read(spark, f"{base}/dim/{stored[name]}")
         else:
             fields = ", ".join(f"`{f.name}` string" for f in schema)
             d = topics.where(F.col("sink_table") == f"dwd_{name}").select(F.from_json("value", fields).alias("r")).select("r.*")

@@ -5,20 +5,21 @@ Kafka / JDBC are the production targets; file formats under the shared
 folder are the tested path (no broker or database is reachable here).  File
 sinks given a ``batch_id`` are idempotent: the batch's rows replace what an
 earlier attempt of the same batch wrote.  Without one they append, as do Kafka
-and JDBC.  ``upsert_dim`` is idempotent by key.
+and JDBC.  Dimensions (K5) are keyed tables of sorted runs, see ``runs``.
 """
 
 from __future__ import annotations
 
-import json
 import re
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import storage
+from .runs import create as ensure_dim, newest as snapshot_state, read as read_snapshot, upsert as upsert_dim, vacuum
+
+__all__ = ["as_json_lines", "ensure_dim", "ensure_table", "read_snapshot", "snapshot_state", "upsert_dim", "vacuum",
+           "write_lines", "write_once", "write_routed", "write_table"]
 
 
 def as_json_lines(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
@@ -82,106 +83,6 @@ def write_table(df: DataFrame, target: str, exclude: Sequence[str] = (), batchsi
         out.write.mode(mode).format(fmt).save(target)
 
 
-BUCKET = "_bucket"
-BUCKETS, FILES = 16, 4
-
-
-def _versions(spark: SparkSession, target: str) -> list[str]:
-    return [n for n in storage.names(spark, f"{target}/_versions") if n.endswith(".json")]
-
-
-def snapshot_state(spark: SparkSession, target: str) -> dict | None:
-    """What the newest committed version says; None if nothing was committed.
-    A version that cannot be read raises."""
-    found = _versions(spark, target)
-    return json.loads(storage.read_text(spark, f"{target}/_versions/{found[-1]}")) if found else None
-
-
-def _rows(spark: SparkSession, target: str, state: dict, buckets: Sequence[int] | None = None) -> DataFrame | None:
-    """Stored rows, of some buckets only where they are given.  Buckets written
-    at different times may lack columns that later ones have (null there)."""
-    paths = [f"{target}/{d}" for b, d in state["folders"].items() if buckets is None or int(b) in buckets]
-    return spark.read.option("mergeSchema", "true").parquet(*paths) if paths else None
-
-
-def read_snapshot(spark: SparkSession, target: str) -> DataFrame | None:
-    """The current rows of a dimension kept by ``upsert_dim``; None before the first commit."""
-    state = snapshot_state(spark, target)
-    if state is None:
-        return None
-    rows = _rows(spark, target, state)
-    if rows is None:
-        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in state.get("columns") or state["keys"]))
-    return rows
-
-
-def ensure_dim(spark: SparkSession, target: str, columns: Sequence[str], keys: Sequence[str], buckets: int = BUCKETS) -> None:
-    """K6 for ``upsert_dim``: commit an empty table with the configured columns if there is none yet."""
-    if snapshot_state(spark, target) is None:
-        cols = [*keys, *(c for c in columns if c not in keys)]
-        state = {"version": 1, "buckets": int(buckets), "keys": list(keys), "columns": cols, "folders": {}}
-        storage.put_new(spark, f"{target}/_versions/{1:012d}.json", json.dumps(state))
-
-
-def upsert_dim(batch: DataFrame, target: str, keys: Sequence[str], seq: str,
-               buckets: int = BUCKETS, files: int = FILES, retain: int = 2) -> int:
-    """K5: ``replace into`` semantics: the newest row per key (by ``seq``)
-    wins across the stored table and the new batch.
-
-    The table is hash-partitioned by key into ``buckets`` (fixed by the first
-    commit; a 1 TB dimension wants ~4096), each of at most ``files`` files, so
-    up to ``buckets * files`` tasks merge a batch.  A batch reads and writes
-    only the buckets it touches, into a folder of its own; stored files are
-    never changed.  Last, a version file that names the folder of every
-    bucket is put in place by one rename: readers see the old or the new
-    version, and a crash before that leaves the old one.  Replaying a batch
-    gives the same table.  One writer at a time; the last ``retain`` versions
-    stay readable.  Columns that only one side has are null on the other.
-    Returns the number of buckets written.
-    """
-    spark = batch.sparkSession
-    state = snapshot_state(spark, target) or {"version": 0, "buckets": int(buckets), "keys": list(keys), "folders": {}}
-    if state["keys"] != list(keys):
-        raise ValueError(f"{target} is keyed by {state['keys']}")
-    bucket = F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(state["buckets"]))
-    b = batch.persist()
-    try:
-        touched = sorted(r[0] for r in b.select(bucket).distinct().collect())  # at most `buckets` ints
-        if not touched:
-            return 0
-        old = _rows(spark, target, state, touched)
-        both = b if old is None else old.unionByName(b, allowMissingColumns=True)
-        row = F.struct(*[F.col(c) for c in both.columns if c not in keys])
-        place = {BUCKET: bucket, "_file": F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(int(files)))}
-        latest = (both.withColumns(place).repartition(F.col(BUCKET), F.col("_file"))
-                      .groupBy(BUCKET, "_file", *keys).agg(F.max_by(row, F.col(seq)).alias("_r"))
-                      .select(BUCKET, *keys, "_r.*"))
-        folder = f"data/{uuid.uuid4().hex}"
-        latest.write.partitionBy(BUCKET).parquet(f"{target}/{folder}")
-    finally:
-        b.unpersist()
-    state["version"] += 1
-    state["folders"] |= {str(t): f"{folder}/{BUCKET}={t}" for t in touched}
-    storage.put_new(spark, f"{target}/_versions/{state['version']:012d}.json", json.dumps(state))
-    vacuum(spark, target, retain)
-    return len(touched)
-
-
-def vacuum(spark: SparkSession, target: str, retain: int = 2) -> None:
-    """Drop versions older than the last ``retain`` and folders that only they name."""
-    found = _versions(spark, target)
-    old, kept = found[:-retain], found[-retain:]
-    if not old:
-        return
-    live = {d.split("/")[1] for n in kept
-            for d in json.loads(storage.read_text(spark, f"{target}/_versions/{n}"))["folders"].values()}
-    for n in old:
-        dead = {d.split("/")[1] for d in json.loads(storage.read_text(spark, f"{target}/_versions/{n}"))["folders"].values()}
-        for d in dead - live:
-            storage.delete(spark, f"{target}/data/{d}")
-        storage.delete(spark, f"{target}/_versions/{n}")
-
-
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 

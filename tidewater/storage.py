@@ -47,3 +47,19 @@ def put_new(spark: SparkSession, path: str, text: str) -> None:
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _open(spark, path)
     fs.delete(p, True)
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path."""
+    fs, p = _open(spark, path)
+    return int(fs.getContentSummary(p).getLength())
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder to a path that must not exist yet."""
+    fs, p = _open(spark, source)
+    _, t = _open(spark, target)
+    fs.mkdirs(t.getParent())
+    if fs.exists(t) or not fs.rename(p, t):
+        raise FileExistsError(f"{source} cannot be moved to {target}")
+

@@ -19,8 +19,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import storage
 from ..operators.patterns import top_monitors
+from ..sources import runs as R
 from ..sources import sinks as K
 
 
@@ -61,68 +61,55 @@ def top_n_per_batch(target: str, n: int = 5, **kw) -> Callable[[DataFrame, int],
     return handle
 
 
-def changelog_per_batch(target: str, keys: Sequence[str], seq: str = "seq", table: str = "table_name",
-                        buckets: int = K.BUCKETS, files: int = K.FILES) -> Callable[[DataFrame, int], None]:
+def changelog_per_batch(target: str, keys: Sequence[str], seq: str = "seq",
+                        table: str = "table_name") -> Callable[[DataFrame, int], None]:
     """S5 stream form: merge each batch of change envelopes into a snapshot
     holding the latest change per (table, primary key), delete markers
     included; ``current_table`` reads it without the deleted rows."""
     def handle(batch: DataFrame, batch_id: int) -> None:
         pk = [F.coalesce(F.col("after")[c], F.col("before")[c]).alias(f"pk_{c}") for c in keys]
         rows = batch.select(table, *pk, "type", "after", seq)
-        K.upsert_dim(rows, target, [table, *[f"pk_{c}" for c in keys]], seq, buckets, files)
+        R.upsert(rows, target, [table, *[f"pk_{c}" for c in keys]], seq, batch_id)
     return handle
 
 
 def current_table(spark, target: str) -> DataFrame | None:
     """The current table kept by ``changelog_per_batch``."""
-    snap = K.read_snapshot(spark, target)
+    snap = R.read(spark, target)
     return None if snap is None else snap.where(F.col("type") != "delete")
 
 
-def upsert_per_batch(target: str, keys: Sequence[str], seq: str, buckets: int = K.BUCKETS,
-                     files: int = K.FILES) -> Callable[[DataFrame, int], None]:
-    """K5 stream form: newest row per key wins, one committed snapshot per batch."""
+def upsert_per_batch(target: str, keys: Sequence[str], seq: str) -> Callable[[DataFrame, int], None]:
+    """K5 stream form: newest row per key wins, one committed version per batch."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        K.upsert_dim(batch, target, keys, seq, buckets, files)
+        R.upsert(batch, target, keys, seq, batch_id)
     return handle
 
 
 def unseen_rows(batch: DataFrame, keys_dir: str, batch_id: int, key: str = "dedup_key",
-                order: Sequence[str] = ("id",), buckets: int = 16) -> DataFrame:
+                order: Sequence[str] = ("id",)) -> DataFrame:
     """U4 stream form, check: the first row per key within the batch, minus
-    keys that earlier batches recorded (``record_keys``).  Keys live in a
-    hash-bucketed table; only the buckets this batch's keys fall into are
-    read, so the check costs what the batch costs."""
+    keys that earlier batches recorded (``record_keys``).  The keys are a table
+    of sorted runs: a batch adds one run, a bounded number of runs is read."""
     from ..operators.listings import dedup_listings
 
-    fresh = dedup_listings(batch, key, order).withColumn(K.BUCKET, F.pmod(F.hash(F.col(key)), F.lit(buckets)))
-    touched = [r[0] for r in fresh.select(K.BUCKET).distinct().collect()]  # <= buckets ints
-    if storage.exists(batch.sparkSession, keys_dir):
-        seen = (batch.sparkSession.read.parquet(keys_dir).where(F.col(K.BUCKET).isin(touched))
-                     .where(F.col("batch_id") != batch_id).select(key).distinct())
-        fresh = fresh.join(seen, key, "left_anti")
-    return fresh.drop(K.BUCKET)
+    return R.missing_from(dedup_listings(batch, key, order), keys_dir, key, batch_id)
 
 
-def record_keys(rows: DataFrame, keys_dir: str, batch_id: int, key: str = "dedup_key",
-                buckets: int = 16) -> None:
-    """U4 stream form, commit: remember this batch's keys (a replayed batch
-    overwrites its own key partitions)."""
-    (rows.select(key).withColumn(K.BUCKET, F.pmod(F.hash(F.col(key)), F.lit(buckets)))
-         .withColumn("batch_id", F.lit(int(batch_id)))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(K.BUCKET, "batch_id").parquet(keys_dir))
+def record_keys(rows: DataFrame, keys_dir: str, batch_id: int, key: str = "dedup_key") -> None:
+    """U4 stream form, commit: remember this batch's keys (once, however often the batch is given)."""
+    R.upsert(rows.select(key), keys_dir, [key], None, batch_id)
 
 
-def new_listings_per_batch(target: str, key: str = "dedup_key", buckets: int = 16,
+def new_listings_per_batch(target: str, key: str = "dedup_key",
                            order: Sequence[str] = ("id",)) -> Callable[[DataFrame, int], None]:
     """U4 stream form: ``foreachBatch`` handler writing the rows whose key no
     earlier batch wrote (first row per key within the batch)."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        fresh = unseen_rows(batch, f"{target}/_keys", batch_id, key, order, buckets).persist()
+        fresh = unseen_rows(batch, f"{target}/_keys", batch_id, key, order).persist()
         try:
             K.write_once(fresh, f"{target}/rows", batch_id)
-            record_keys(fresh, f"{target}/_keys", batch_id, key, buckets)
+            record_keys(fresh, f"{target}/_keys", batch_id, key)
         finally:
             fresh.unpersist()
     return handle
