@@ -20,7 +20,7 @@ subject tables -> ``visitor_stats``, ``product_stats``, ``province_stats``,
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,11 +40,13 @@ from ..operators.routing import SINK_DIM, route, split_routes
 from ..schemas import PAGE_LOG, PAGE_VIEW_MAPS
 from ..sources import runs as R
 from ..sources import sinks as K
-from ..sources.changes import drop_deletes, normalize_changes
+from ..sources.changes import drop_deletes, normalize_changes, read_changes
 from ..sources.config import PolledTable
 from ..sources.lines import parse_car_lines, read_json_table, read_lines
+from ..sources.snapshot import SnapshotThenChanges, SourceTable
 from ..streaming import forms as SF
 from ..streaming import stateful as ST
+from ..streaming.routing import route_as_of_stream
 
 
 @dataclass
@@ -112,9 +114,28 @@ def with_seq(df: DataFrame, ts_ms, value: str = "value") -> DataFrame:
 
 
 # ------------------------------------------------------------------ ODS / DWD
-def ods_changes(spark, raw: Topic, out: Topic, checkpoint: str, trigger=None) -> StreamingQuery:
-    """ODS: capture records -> normalised change envelopes."""
-    return out.write(normalize_changes(raw.read(spark)), checkpoint, trigger)
+def ods_changes(spark, raw: Topic, out: Topic, checkpoint: str, trigger=None, databases: Sequence[str] | None = None,
+                tables: Sequence[str] | None = None) -> StreamingQuery:
+    """ODS: capture records -> normalised change envelopes of the allowed tables."""
+    return out.write(read_changes(normalize_changes(raw.read(spark)), databases, tables, startup="latest"), checkpoint, trigger)
+
+
+def ods_snapshot(spark, raw: Topic, out: Topic, checkpoint: str, source: Sequence[SourceTable], trigger=None,
+                 databases: Sequence[str] | None = None, tables: Sequence[str] | None = None, chunks_per_step: int = 1,
+                 log_end: Callable[[SparkSession], int] | None = None) -> tuple[StreamingQuery, SnapshotThenChanges]:
+    """ODS from the initial state: the tables of ``source`` chunk by chunk as
+    ``read`` changes while their changes are consumed.  The second value goes on
+    without new changes (``drain``) and says whether the snapshot is out.
+    ``log_end`` is needed where the topic is no folder."""
+    def end(s: SparkSession) -> int:
+        top = s.read.schema(raw.schema).parquet(raw.name).agg(F.max("seq")).first()[0]
+        return -1 if top is None else top
+
+    if log_end is None and raw.kafka_servers:
+        raise ValueError("a Kafka topic needs log_end: the highest sequence number in the log")
+    handler = SnapshotThenChanges(source, out.write_batch, log_end or end, f"{checkpoint}/snapshot", databases, tables,
+                                  chunks_per_step)
+    return SF.start(normalize_changes(raw.read(spark)), f"{checkpoint}/changes", handler, trigger=_trigger(trigger)), handler
 
 
 def log_split(spark, raw: Topic, start: Topic, page: Topic, display: Topic, dirty: Topic,
@@ -178,6 +199,33 @@ def db_routing(spark, changes: Topic, config: PolledTable, fact: Topic, dim_targ
     return SF.start(changes.read(spark), checkpoint, handle, trigger=_trigger(trigger))
 
 
+def db_routing_as_of(spark, changes: Topic, config: Topic, fact: Topic, dim_target: str, checkpoint: str,
+                     wait: bool = False, slots: int = 8, trigger=None) -> StreamingQuery:
+    """``db_routing`` with the configuration as a change stream (``config``:
+    change rows with ``type, seq`` and the columns of a route): every change is
+    routed by the version that held at its sequence number.  ``wait``: changes
+    ahead of their first route wait for it instead of being dropped."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        s = batch.sparkSession
+        batch = batch.persist()
+        try:
+            f, d = split_routes(batch)
+            K.write_routed(f.select("sink_table", F.to_json("after").alias("value"), "seq"), fact.name,
+                           kafka_servers=fact.kafka_servers, batch_id=batch_id, keep=("seq",))
+            seen: dict[str, tuple[list[str], str]] = {}
+            for c in d.select("sink_table", "sink_pk", "sink_columns").distinct().collect():  # routes, not rows
+                cols, pk = seen.setdefault(c["sink_table"], ([], c["sink_pk"] or "id"))
+                cols += [x.strip() for x in c["sink_columns"].split(",") if x.strip() not in (pk, *cols)]
+            for t, (cols, pk) in seen.items():
+                R.create(s, f"{dim_target}/{t}", cols, [pk])
+            R.upsert_many(d, dim_target, seen, batch_id=batch_id)
+        finally:
+            batch.unpersist()
+
+    routed = route_as_of_stream(drop_deletes(changes.read(spark)), config.read(spark), wait, slots=slots)
+    return SF.start(routed, checkpoint, handle, trigger=_trigger(trigger))
+
+
 # ------------------------------------------------------------------------ DWM
 def _flat_pages(pages: DataFrame) -> DataFrame:
     return pages.withColumn("mid", F.col("common.mid"))

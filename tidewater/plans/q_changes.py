@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.routing import route, split_routes
+from ..operators.routing import config_versions, route, route_as_of, split_routes
 from ..session import materialize, scratch_path
 from ..sources import sinks as K
 from ..sources.changes import apply_changelog, drop_deletes, normalize_changes, read_changes, to_retract
+from ..sources.snapshot import SourceTable
 from . import fixtures as FX
 from .catalog import register
+from .jobs import Topic, ods_snapshot
 from .oracle_views import view
 from .oracle_views import with_views as V
 
@@ -133,6 +135,79 @@ def route_dim(spark, sf):
 AFTER_SCHEMA = "seq long, sink_table string, after map<string,string>"
 
 
+# the configuration as a change stream: a route that moves midway, one that ends, one that comes late
+view("config_versions", """
+SELECT *, row_number() OVER (PARTITION BY source_table, operate_type ORDER BY from_seq) = 1 AS first FROM (
+  SELECT type, source_table, operate_type, sink_type, sink_table, sink_columns, sink_pk, seq AS from_seq,
+         lead(seq) OVER (PARTITION BY source_table, operate_type ORDER BY seq) AS to_seq
+  FROM (SELECT 'insert' AS type, 0 AS seq, source_table, operate_type, sink_type, sink_table, sink_columns, sink_pk FROM table_process
+        UNION ALL SELECT 'update', mid, 'click', 'insert', 'kafka', 'dwd_click', 'id,value,k', 'id' FROM (SELECT max(seq) // 2 AS mid FROM changes)
+        UNION ALL SELECT 'delete', late, 'view', 'insert', NULL, NULL, NULL, NULL FROM (SELECT max(seq) // 4 * 3 AS late FROM changes)
+        UNION ALL SELECT 'insert', mid, 'signup', 'update', 'hbase', 'dim_signup', 'value', NULL FROM (SELECT max(seq) // 2 AS mid FROM changes)))
+WHERE type <> 'delete'""", ("table_process", "changes"))
+
+
+def config_changes(spark, sf):
+    """``table_process`` as change rows: 'click' moves to a fact topic and 'signup' updates get a route
+    midway, the route of 'view' inserts ends after three quarters of the changes."""
+    top = _norm(spark, sf, images=False).agg(F.max("seq")).first()[0]
+    mid, late = top // 2, top // 4 * 3
+    cols = ["source_table", "operate_type", "sink_type", "sink_table", "sink_columns", "sink_pk"]
+    # fixed values: the versions that the oracle's view lists
+    more = spark.createDataFrame(
+        [("update", mid, "click", "insert", "kafka", "dwd_click", "id,value,k", "id"),
+         ("delete", late, "view", "insert", None, None, None, None),
+         ("insert", mid, "signup", "update", "hbase", "dim_signup", "value", None)],
+        "type string, seq bigint, " + ", ".join(f"{c} string" for c in cols))
+    return FX.table_process(spark).select(F.lit("insert").alias("type"), F.lit(0).cast("bigint").alias("seq"), *cols).unionByName(more)
+
+
+@register("route_as_of", V("""
+SELECT c.seq, v.sink_type, v.sink_table,
+       CASE WHEN list_contains(string_split(v.sink_columns, ','), 'id') OR v.sink_type = 'hbase' THEN after_id END AS id,
+       CASE WHEN list_contains(string_split(v.sink_columns, ','), 'value') THEN after_value END AS value,
+       CASE WHEN list_contains(string_split(v.sink_columns, ','), 'k') THEN after_k END AS k
+FROM changes c JOIN config_versions v ON c.table_name = v.source_table AND c.type = v.operate_type
+ AND (v.first OR c.seq >= v.from_seq) AND (v.to_seq IS NULL OR c.seq < v.to_seq)""", "changes", "config_versions"))
+def route_as_of_key(spark, sf):
+    """Every change by the route that held at its sequence number; changes
+    ahead of their first route wait for it."""
+    r = route_as_of(_norm(spark, sf, images=False), config_versions(config_changes(spark, sf)), wait=True)
+    return _flat(r, keep=("seq", "sink_type", "sink_table"))
+
+
+@register("cdc_snapshot_stream", V("""
+SELECT table_name, after_id AS id, after_value AS value, after_k AS k, seq FROM (
+  SELECT *, row_number() OVER (PARTITION BY table_name, coalesce(after_id, before_id) ORDER BY seq DESC) AS rn
+  FROM changes) WHERE rn = 1 AND type <> 'delete' AND table_name IN ('view', 'click')""", "changes"))
+def cdc_snapshot_stream(spark, sf):
+    """S4 as a stream: the log holds the second half of the changes, the tables
+    all of them; chunks of the tables are read while the log is consumed.
+    ``seq`` is that of the row in the source table."""
+    base = scratch_path(spark, "ods")
+    changes = _norm(spark, sf)
+    whole = materialize(changes, "changes")
+    mid = whole.agg(F.max("seq")).first()[0] // 2
+    raw = materialize(FX.change_records(spark, sf), "records")
+    for lo, hi in ((mid, mid + mid // 2), (mid + mid // 2, None)):
+        part = raw.where(F.col("seq") >= lo)
+        (part if hi is None else part.where(F.col("seq") < hi)).write.mode("append").parquet(f"{base}/log")
+
+    def rows(name):
+        return lambda s: (apply_changelog(whole.where(F.col("table_name") == name), ["id"])
+                          .select(*[F.col("after")[f].alias(f) for f in FIELDS], F.col("seq").cast("string").alias("row_seq")))
+
+    log = Topic(f"{base}/log", raw.schema, max_files_per_trigger=4)
+    out = Topic(f"{base}/out")
+    source = [SourceTable("shop", t, "id", rows(t), chunks=2) for t in ("view", "click", "signup")]
+    q, snap = ods_snapshot(spark, log, out, f"{base}/ck", source, databases=["shop"], tables=["shop.view", "click"], chunks_per_step=2)
+    q.awaitTermination()
+    snap.drain(spark)
+    told = apply_changelog(spark.read.parquet(out.name), ["id"])
+    return told.select("table_name", *[F.col("after")[f].alias(f) for f in FIELDS],
+                       F.coalesce(F.col("after")["row_seq"].cast("bigint"), "seq").alias("seq"))
+
+
 @register("sink_lines", V(ROUTE_SQL.format("kafka"), "routed"))
 def sink_lines(spark, sf):
     """K1 + F8: fact rows as JSON lines to a topic folder, read back."""
