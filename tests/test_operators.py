@@ -319,8 +319,48 @@ def test_split_words(spark):
     assert rows(KW.split_words(df, "t", keep=("id",))) == [
         (1, "42x"), (1, "hello"), (1, "world"), (4, "小"), (4, "手"), (4, "机"), (4, "米")]
     vocab = spark.createDataFrame([("小米",), ("手机",)], "word string")
-    got = rows(KW.split_words(df.where("id = 4"), "t", keep=("id",), dictionary=vocab))
-    assert (4, "小米") in got and (4, "手机") in got and (4, "米手") not in got
+    assert rows(KW.split_words(df.where("id > 1"), "t", keep=("id",), dictionary=vocab)) == [(4, "小米"), (4, "手机")]
+
+
+def test_split_words_with_a_dictionary(spark, monkeypatch):
+    """Overlapping words, uncovered ideographs, words of one place or with letters; both forms and a plain one."""
+    rng = random.Random(3)
+    chars = "天地人山水火"
+    vocab = {"".join(rng.choice(chars) for _ in range(rng.randint(2, 4))) for _ in range(60)} | {"天", "a天", None}
+    texts = ["".join(rng.choice(chars + "aÉ1 ,") for _ in range(rng.randint(0, 40))) for _ in range(80)] + [None, "", "天" * 9]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    d = spark.createDataFrame([(w,) for w in vocab] * 2, "word string")
+    want = []
+    for i, t in enumerate(texts):
+        hits = [(k, k + n) for k in range(len(t or "")) for n in (2, 3, 4) if (t[k:k + n] in vocab and len(t[k:k + n]) == n
+                                                                          and all(c in chars for c in t[k:k + n]))]
+        want += [(i, t[a:b]) for a, b in hits]
+        want += [(i, c) for k, c in enumerate(t or "") if c in chars and not any(a <= k < b for a, b in hits)]
+        want += [(i, w.lower()) for w in "".join(c if c in "aÉ1" else " " for c in t or "").split()]
+    want.sort()
+    assert rows(KW.split_words(df, "t", keep=("id",), dictionary=d)) == want
+    monkeypatch.setattr(KW, "ahocorasick", None)
+    assert rows(KW.split_words(df, "t", keep=("id",), dictionary=d)) == want
+    assert rows(KW.split_words(df, "t", keep=("id",), dictionary=d.limit(0))) == rows(KW.split_words(df, "t", keep=("id",)))
+    monkeypatch.undo()
+    assert rows(KW.split_words(df, "t", keep=("id",), dictionary=d.limit(0))) == rows(KW.split_words(df, "t", keep=("id",)))
+
+
+def test_sliding_windows_by_pane(spark):
+    """The same windows as one aggregate; rows are not repeated before the first aggregate."""
+    rng = random.Random(4)
+    cars = spark.createDataFrame([("a", "r", f"m{rng.randint(0, 2)}", rng.randint(0, 40_000) / 100, rng.randint(-10 ** 6, 10 ** 6))
+                                  for _ in range(400)], "area_id string, road_id string, monitor_id string, speed double, s long")
+    cars = cars.withColumn("ts", F.timestamp_seconds("s"))
+    for size, slide in (("5 minutes", "1 minute"), ("1 hour", "25 minutes"), ("1 day", "1 day"), ("90 seconds", "1 minute")):
+        whole = (cars.groupBy(F.window("ts", size, slide).alias("window"), A.monitor_key().alias("monitor_id"))
+                 .agg(F.count("*").alias("n"), F.sum(F.col("speed").cast("decimal(18,2)")).alias("s")))
+        want = whole.select(*A.window_millis(), "monitor_id", F.round(F.col("s") / F.col("n"), 2).cast("double"), "n")
+        assert rows(A.avg_speed(cars, size, slide)) == rows(want)
+        bands = A.speed_bands(cars, size, slide)
+        assert bands.agg(F.sum(sum(F.col(c) for c in bands.columns[3:]))).first()[0] == whole.agg(F.sum("n")).first()[0]
+    plan = A.avg_speed(cars, "5 minutes", "1 minute")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Expand") < plan.rindex("Aggregate")
 
 
 def test_age(spark):

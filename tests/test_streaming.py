@@ -291,3 +291,60 @@ def test_changelog_per_batch_equals_batch(spark, tmp_dir):
     cur = SF.current_table(spark, target)
     want = apply_changelog(changes, ["id"])
     assert rows(cur, "table_name", "seq") == rows(want, "table_name", "seq")
+
+
+def test_hot_device_spreads_over_chunks(spark, tmp_dir):
+    """One device with 60 % of the rows: its state lies in many keys, the result is the batch form's."""
+    import random
+    rng = random.Random(8)
+    rows_in = [(("hot" if rng.random() < 0.6 else f"m{rng.randint(0, 30)}"), 1_700_000_000_000 + rng.randint(0, 4_000) * 1000, i,
+                rng.choice(["home", "list"]), rng.random() < 0.4) for i in range(3000)]
+    pages = spark.createDataFrame(rows_in, "mid string, ts long, seq long, page_id string, entry boolean")
+    keyed = ST.chunked(pages, 10_000)
+    assert keyed.count() < 1.3 * 3000
+    per_task = [r.n for r in keyed.repartition(8, "mid", "chunk").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert max(per_task) < 0.3 * sum(per_task)
+    src = f"{tmp_dir}/hot"
+    write_slices(pages, src, "ts", [0, 1_700_001_000_000, 1_700_002_005_000, 1_700_003_000_000, FAR])
+    pages.limit(1).withColumns({"ts": F.lit(FAR), "mid": F.lit("zz")}).coalesce(1).write.mode("append").parquet(src)
+    pages.limit(1).withColumns({"ts": F.lit(FAR), "mid": F.lit("zz")}).coalesce(1).write.mode("append").parquet(src)
+    s = stream_of(spark, pages, src).withColumn("et", F.timestamp_millis("ts")).withWatermark("et", "0 seconds")
+    out = run_to_table(spark, ST.bounces_stream(s, 10_000), tmp_dir, "hot").where("mid <> 'zz'")
+    want = W.bounces(pages.withColumn("last", F.when(~F.col("entry"), "x")), 10_000, key="mid", last_page="last")
+    assert rows(out, "seq") == rows(want, "seq")
+
+
+def test_many_waiting_rows_of_one_car(spark, tmp_dir):
+    """10,000 rows of one car wait at once; the batch form's rows."""
+    import random
+    rng = random.Random(9)
+    base = 1_700_000_000_000
+    side = lambda n, k: spark.createDataFrame([(("car" if rng.random() < 0.9 else "b"), base + rng.randint(0, 50_000_000), k + i)
+                                               for i in range(n)], "car_id string, ts long, seq long")
+    v, p = side(6000, 0), side(5000, 10 ** 6)
+    for df, name in ((v, "v"), (p, "p")):
+        df.repartition(2).write.parquet(f"{tmp_dir}/{name}")
+        for _ in range(2):
+            df.limit(1).withColumns({"ts": F.lit(FAR), "car_id": F.lit("zz")}).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/{name}")
+    s = lambda n, d: stream_of(spark, d, f"{tmp_dir}/{n}").withColumn("et", F.timestamp_millis("ts"))
+    out = run_to_table(spark, ST.match_or_timeout_stream(s("v", v), s("p", p), "car_id", "et", 5_000, "1000 days"), tmp_dir, "many")
+    want = J.match_or_timeout(v, p, "car_id", "ts", "ts", 5_000)
+    cols = ("car_id", "l_id", "r_id", "l_ts", "r_ts", "status")
+    assert rows(out.where("car_id <> 'zz'"), *cols) == rows(want, *cols)
+    assert want.where("status = 'matched'").count() > 1000
+
+
+def test_retract_without_before_images(spark, tmp_dir):
+    """The retract rows of a history are those that its before-images give; only a delete names its key."""
+    from test_snapshot_routing import ENV, history
+
+    from tidewater.sources.changes import to_retract
+    changes = spark.createDataFrame(history(200), ENV)
+    bare = changes.withColumn("before", F.when(F.col("type") == "delete", F.map_filter("before", lambda k, v: k == "id"))
+                              .otherwise(F.create_map().cast("map<string,string>")))
+    src = f"{tmp_dir}/bare"
+    write_slices(bare, src, "seq", [0, 50, 120, 10_000])
+    out = run_to_table(spark, ST.retract_stream(stream_of(spark, bare, src), ["id"]), tmp_dir, "retract")
+    flat = lambda d: rows(d.selectExpr("table_name", "seq", "is_add", "row['id']", "row['v']"))
+    want = flat(to_retract(changes))
+    assert flat(out) == want and len(want) > 250

@@ -424,16 +424,24 @@ def search_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        (F.lit(1_704_067_200_000) + F.col("doc_id") * 100).alias("ts"))).alias("value"))
 
 
+NUMERALS = "零一二三四五六七八九"  # fixed value: the ten digits
+
+
 def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Phrases of ideographs, letters and digits, one per supplier."""
+    """Phrases of ideographs, letters and digits, one per supplier, each with a long number in words."""
     s = table(spark, sf_dir, "supplier")
+    number = F.translate((F.col("s_suppkey").cast("bigint") * 7919 * 7919).cast("string"), "0123456789", NUMERALS)
     return s.select(F.col("s_suppkey").alias("id"), F.concat(
-        F.lit("公交公司"), F.col("s_name"), F.when(F.col("s_suppkey") % 2 == 0, "中华人民共和国 Für").otherwise("人民公交站")).alias("text"))
+        F.lit("公交公司"), F.col("s_name"), number,
+        F.when(F.col("s_suppkey") % 2 == 0, "中华人民共和国 Für").otherwise("人民公交站")).alias("text"))
 
 
-def dictionary(spark: SparkSession) -> DataFrame:
-    # fixed values: words of two to seven ideographs
-    return spark.createDataFrame([(w,) for w in ("人民", "共和国", "公交公司", "中华人民共和国")], "word string")
+def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of two to seven ideographs, and the number of every part in words."""
+    # fixed values
+    words = spark.createDataFrame([(w,) for w in ("人民", "共和国", "公交公司", "中华人民共和国")], "word string")
+    number = F.translate(F.col("p_partkey").cast("string"), "0123456789", NUMERALS)
+    return words.unionByName(table(spark, sf_dir, "part").select(number.alias("word")))
 
 
 def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators.routing import config_versions, route, route_as_of, split_routes
 from ..session import materialize, scratch_path
 from ..sources import sinks as K
+from ..sources import transactional as TX
 from ..sources.changes import apply_changelog, drop_deletes, normalize_changes, read_changes, to_retract
 from ..sources.snapshot import SourceTable
 from . import fixtures as FX
@@ -244,6 +245,18 @@ def sink_once(spark, sf):
     return spark.read.parquet(path).drop("batch_id")
 
 
+@register("sink_transactional", V("SELECT seq, sink_table, r_id AS id, r_k AS k FROM routed WHERE sink_type = 'kafka'", "routed"))
+def sink_transactional(spark, sf):
+    """K3 + K4: staged files and one manifest per batch; the batch given twice leaves one copy."""
+    fact, _ = split_routes(_routed(spark, sf))
+    rows = _flat(fact, keep=("seq", "sink_table"))
+    path = scratch_path(spark, "committed")
+    TX.register(spark)
+    for _ in range(2):
+        rows.write.format(TX.FORMAT).option("path", path).option("batch_id", 3).option("exclude", "value").mode("append").save()
+    return TX.read_committed(spark, path, rows.drop("value").schema)
+
+
 @register("sink_columns", V("SELECT seq, sink_table, r_id AS id, r_k AS k FROM routed WHERE sink_type = 'kafka'",
                             "routed"))
 def sink_columns(spark, sf):

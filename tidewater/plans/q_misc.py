@@ -36,15 +36,21 @@ def split_words_q(spark, sf):
 
 
 @register("split_words_dict", V(f"""
-WITH p AS (SELECT s_suppkey AS id, '公交公司' || s_name || CASE WHEN s_suppkey % 2 = 0 THEN '中华人民共和国 Für' ELSE '人民公交站' END
-           AS full_word FROM supplier),
-d(w) AS (VALUES ('人民'), ('共和国'), ('公交公司'), ('中华人民共和国'))
+WITH p AS (SELECT s_suppkey AS id, '公交公司' || s_name || translate((s_suppkey::BIGINT * 7919 * 7919)::VARCHAR, '0123456789', '零一二三四五六七八九')
+           || CASE WHEN s_suppkey % 2 = 0 THEN '中华人民共和国 Für' ELSE '人民公交站' END AS full_word FROM supplier),
+d AS (SELECT DISTINCT w FROM (
+  SELECT unnest(['人民', '共和国', '公交公司', '中华人民共和国']) AS w
+  UNION ALL SELECT translate(p_partkey::VARCHAR, '0123456789', '零一二三四五六七八九') FROM part) WHERE length(w) > 1),
+place AS (SELECT id, full_word, unnest(range(1, length(full_word) + 1)) AS i FROM p),
+n AS (SELECT DISTINCT length(w) AS n FROM d),
+hit AS (SELECT id, i, w FROM (SELECT id, i, substr(full_word, i, n) AS w FROM place, n WHERE i + n <= length(full_word) + 1) SEMI JOIN d USING (w))
 SELECT id, lower(w) AS word FROM p, unnest({RUNS}) t(w)
-UNION ALL SELECT id, w FROM p, unnest({CHARS}) t(w)
-UNION ALL SELECT id, w FROM p, d, range(1, length(full_word) + 1) t(i) WHERE substr(full_word, i, length(w)) = w"""))
+UNION ALL SELECT id, w FROM hit
+UNION ALL SELECT id, substr(full_word, i, 1) FROM place WHERE regexp_matches(substr(full_word, i, 1), '[一-鿿]')
+  AND NOT EXISTS (SELECT 1 FROM hit h WHERE h.id = place.id AND h.i <= place.i AND place.i < h.i + length(h.w))"""))
 def split_words_dict(spark, sf):
-    """X1 with a dictionary of words up to seven ideographs."""
-    return split_words(FX.phrases(spark, sf), "text", keep=("id",), dictionary=FX.dictionary(spark))
+    """X1, fine-grained, with a dictionary that grows with the parts."""
+    return split_words(FX.phrases(spark, sf), "text", keep=("id",), dictionary=FX.dictionary(spark, sf))
 
 
 @register("keyword_stats", V(f"""

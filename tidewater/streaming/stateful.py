@@ -15,8 +15,9 @@ are decided when a later row moves the watermark (tests append a sentinel).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -151,8 +152,27 @@ def fix_is_new_stream(logs: DataFrame, key: str = "mid") -> DataFrame:
 
 
 # ------------------------------------------------------------ W3 / W4
+#: Width of a state's time chunk in horizons: a row in five is copied at most.
+CHUNK_HORIZONS = 4
+
+
+def chunked(rows: DataFrame, within_ms: int) -> DataFrame:
+    """Rows with their time chunk; those of a chunk's first ``within_ms`` also as
+    look-ahead of the chunk before (``own`` false).  State keyed by (key, chunk)
+    spreads a key that holds most rows over its time, and every row finds what
+    follows it within the horizon in its own chunk."""
+    width = CHUNK_HORIZONS * int(within_ms)
+    chunk = F.floor(F.col("ts") / width).cast("long")
+    copies = F.when(F.col("ts") - chunk * width < within_ms, F.array(chunk, chunk - 1)).otherwise(F.array(chunk))
+    out = rows.withColumn("chunk", F.explode(copies))
+    return out.withColumn("own", F.col("chunk") == chunk)
+
+
 class _Buffered(StatefulProcessor):
-    """Rows buffered per key until the watermark passes ``ts + within``."""
+    """Rows of one (key, chunk), appended as they come and read when the
+    watermark has passed a multiple of the horizon: each row is read five times
+    at most, whatever the size of a micro-batch.  A chunk's state is gone when
+    its last row is decided."""
 
     state_schema = ""
     columns: tuple[str, ...] = ()
@@ -165,35 +185,32 @@ class _Buffered(StatefulProcessor):
         self.handle = handle
         self.buf = handle.getListState("buffer", self.state_schema)
 
-    def _buffer(self) -> pd.DataFrame:
-        rows = list(self.buf.get()) if self.buf.exists() else []
-        return pd.DataFrame(rows, columns=list(self.columns))
-
-    def _run(self, key, new: pd.DataFrame | None, wm: int):
-        buf = self._buffer()
-        if new is not None and len(new):
-            new = new[new["ts"] >= wm] if wm > 0 else new      # late rows are dropped
-            buf = pd.concat([buf, new[list(self.columns)]], ignore_index=True) if len(buf) else \
-                new[list(self.columns)].reset_index(drop=True)
-        buf = buf.sort_values(["ts", "seq"], kind="stable").reset_index(drop=True)
-        decided = (buf["ts"] + self.within <= wm).to_numpy() if wm > 0 else \
-            pd.Series(False, index=buf.index).to_numpy()
-        out = self.decide(key, buf, decided)
-        rest = buf.loc[~decided]
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        if len(rest):
-            self.buf.put([tuple(r) for r in rest.itertuples(index=False, name=None)])
-            self.handle.registerTimer(int(rest["ts"].iloc[0]) + self.within)
-        else:
-            self.buf.clear()
-        yield out
-
     def handleInputRows(self, key, rows, timerValues: TimerValues):
-        yield from self._run(key, _concat(rows), timerValues.getCurrentWatermarkInMs())
+        wm = timerValues.getCurrentWatermarkInMs()
+        for pdf in rows:
+            new = pdf[pdf["ts"] >= wm] if wm > 0 else pdf      # late rows are dropped
+            if len(new):
+                new = new.assign(**{c: None for c in self.columns if c not in new.columns})
+                self.buf.appendList([tuple(r) for r in new[list(self.columns)].itertuples(index=False, name=None)])
+                due = new.loc[new["own"], "ts"].to_numpy() + self.within
+                for t in set((-(-due // self.within) * self.within).tolist()):
+                    self.handle.registerTimer(int(t))
+        yield self.decide(key, pd.DataFrame(columns=list(self.columns)), pd.Series([], dtype=bool))
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
-        yield from self._run(key, None, timerValues.getCurrentWatermarkInMs())
+        wm = timerValues.getCurrentWatermarkInMs()
+        buf = pd.DataFrame(list(self.buf.get()) if self.buf.exists() else [], columns=list(self.columns))
+        buf = buf.sort_values(["ts", "seq"], kind="stable").reset_index(drop=True)
+        decided = buf["ts"] + self.within <= wm
+        if decided.any():
+            rest = buf[~decided]
+            if rest["own"].any():
+                self.buf.put([tuple(r) for r in rest.itertuples(index=False, name=None)])
+            elif wm >= (key[-1] + 1) * CHUNK_HORIZONS * self.within + self.within:
+                self.buf.clear()  # look-ahead rows alone, and no row of the chunk can come any more
+            else:
+                self.buf.put([tuple(r) for r in rest.itertuples(index=False, name=None)]) if len(rest) else self.buf.clear()
+        yield self.decide(key, buf, decided & buf["own"].astype(bool))
 
     def close(self) -> None:
         pass
@@ -204,13 +221,8 @@ class BounceDetector(_Buffered):
     (matched) or that have no next row within it (timeout).  An optional
     ``payload`` text (e.g. the record as JSON) is carried to the output."""
 
-    state_schema = "ts long, seq long, entry boolean, page_id string, payload string"
-    columns = ("ts", "seq", "entry", "page_id", "payload")
-
-    def _run(self, key, new, wm):
-        if new is not None and "payload" not in new.columns:
-            new = new.assign(payload=None)
-        yield from super()._run(key, new, wm)
+    state_schema = "ts long, seq long, own boolean, entry boolean, page_id string, payload string"
+    columns = ("ts", "seq", "own", "entry", "page_id", "payload")
 
     def decide(self, key, buf: pd.DataFrame, decided) -> pd.DataFrame:
         nts = buf["ts"].shift(-1)
@@ -219,8 +231,7 @@ class BounceDetector(_Buffered):
         matched = close & (nentry == True)  # noqa: E712
         timeout = ~close
         keep = decided & buf["entry"].astype(bool) & (matched | timeout)
-        k = key[0] if isinstance(key, tuple) else key
-        out = pd.DataFrame({"mid": k, "ts": buf.loc[keep, "ts"], "seq": buf.loc[keep, "seq"],
+        out = pd.DataFrame({"mid": key[0], "ts": buf.loc[keep, "ts"], "seq": buf.loc[keep, "seq"],
                             "page_id": buf.loc[keep, "page_id"],
                             "kind": matched[keep].map({True: "matched", False: "timeout"})})
         if self.with_payload:
@@ -236,7 +247,7 @@ def bounces_stream(pages: DataFrame, within_ms: int = 10_000, key: str = "mid",
     proc = BounceDetector(within_ms)
     proc.with_payload = payload
     schema = "mid string, ts long, seq long, page_id string, kind string" + (", payload string" if payload else "")
-    return pages.groupBy(key).transformWithStateInPandas(
+    return chunked(pages, within_ms).groupBy(key, "chunk").transformWithStateInPandas(
         statefulProcessor=proc, outputStructType=schema, outputMode="Append", timeMode="EventTime")
 
 
@@ -244,19 +255,18 @@ class ThreeStepDetector(_Buffered):
     """``n`` overspeed rows of one car within ``within`` (relaxed
     contiguity: the input holds only overspeed rows)."""
 
-    state_schema = "ts long, seq long, action_time string"
-    columns = ("ts", "seq", "action_time")
+    state_schema = "ts long, seq long, own boolean, action_time string"
+    columns = ("ts", "seq", "own", "action_time")
     n = 3
 
     def decide(self, key, buf: pd.DataFrame, decided) -> pd.DataFrame:
         last = buf["ts"].shift(1 - self.n)
         keep = decided & last.notna() & (last - buf["ts"] < self.within)
-        k = key[0] if isinstance(key, tuple) else key
         times = [buf["action_time"].shift(-i)[keep] for i in range(self.n)]
         text = ""
         for label, t in zip(danger_labels(self.n), times):
             text = text + label + t
-        return pd.DataFrame({"car_id": k, "violation": DANGEROUS_DRIVING, "create_time": times[0], "description": text,
+        return pd.DataFrame({"car_id": key[0], "violation": DANGEROUS_DRIVING, "create_time": times[0], "description": text,
                              **{f"time_{i + 1}": t for i, t in enumerate(times)}})
 
 
@@ -265,7 +275,7 @@ def danger_drive_stream(overspeed: DataFrame, within_ms: int = 10_000, key: str
     action_time`` with a watermark."""
     proc = ThreeStepDetector(within_ms)
     proc.n = n
-    return overspeed.groupBy(key).transformWithStateInPandas(
+    return chunked(overspeed, within_ms).groupBy(key, "chunk").transformWithStateInPandas(
         statefulProcessor=proc,
         outputStructType="car_id string, violation string, create_time string, description string, "
                          + ", ".join(f"time_{i + 1} string" for i in range(n)),
@@ -310,63 +320,85 @@ def repeat_plates_stream(cars: DataFrame, within_ms: int = 10_000, key: str = "c
 
 # ------------------------------------------------------------------- J9
 class MatchOrTimeout(StatefulProcessor):
-    """Every row waits in its side's list until the watermark has passed
-    ``ts + wait``; it matches every row of the other side within ``wait``, and
-    one that never matched is reported when its time is over.  The same pairs
-    and single rows as the batch form."""
+    """Rows wait in a map state by (side, time bucket), a bucket being as
+    wide as the wait: partners lie in the same bucket or a neighbour, and only
+    those are read and only touched buckets written.  Pairs are found by binary
+    search in sorted times.  Once the watermark has passed the last moment at which
+    a bucket's rows can match, those that never did are reported and the bucket
+    goes.  The same pairs and single rows as the batch form."""
 
     def __init__(self, wait_ms: int):
         self.wait = int(wait_ms)
+        self.width = max(self.wait, 1)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = {s: handle.getListState(f"waiting_{s}", "ts long, id long, met boolean") for s in ("L", "R")}
+        # a bucket's rows: (ts, id, met) as 64-bit numbers
+        self.waiting = handle.getMapState("waiting", "side string, bucket long", "rows binary")
 
-    def _load(self) -> dict[str, list[list]]:
-        return {s: [list(r) for r in st.get()] if st.exists() else [] for s, st in self.waiting.items()}
+    def _get(self, side: str, bucket: int) -> np.ndarray:
+        k = (side, int(bucket))
+        if not self.waiting.containsKey(k):
+            return np.zeros((0, 3), dtype=np.int64)
+        return np.frombuffer(bytes(self.waiting.getValue(k)[0]), dtype=np.int64).reshape(-1, 3).copy()
 
-    def _save(self, held: dict[str, list[list]]) -> None:
-        for s, st in self.waiting.items():
-            if held[s]:
-                st.put([tuple(r) for r in held[s]])
-            else:
-                st.clear()
+    def _match(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of all pairs (left, right) within the wait; ``right`` is sorted by time."""
+        lo = np.searchsorted(right[:, 0], left[:, 0] - self.wait, side="left")
+        n = np.searchsorted(right[:, 0], left[:, 0] + self.wait, side="right") - lo
+        return (np.repeat(np.arange(len(left)), n), np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
 
     def handleInputRows(self, key, rows, timerValues: TimerValues):
         k = key[0] if isinstance(key, tuple) else key
-        held = self._load()
         for pdf in rows:
-            out = []
-            for side, ts, rid in pdf[["side", "ts", "seq"]].itertuples(index=False, name=None):
-                row = [int(ts), int(rid), False]
-                for other in held["R" if side == "L" else "L"]:
-                    if abs(row[0] - other[0]) <= self.wait:
-                        row[2] = other[2] = True
-                        left, right = (row, other) if side == "L" else (other, row)
-                        out.append((k, left[1], right[1], left[0], right[0], "matched"))
-                held[side].append(row)
-                self.handle.registerTimer(row[0] + self.wait)
-            yield self._frame(out)
-        self._save(held)
+            held: dict[tuple[str, int], np.ndarray] = {}
+
+            def bucket(side: str, b: int) -> np.ndarray:
+                if (side, b) not in held:
+                    held[side, b] = self._get(side, b)
+                return held[side, b]
+
+            touched = set()
+            for side, other in (("L", "R"), ("R", "L")):  # right rows also meet the left ones of this part
+                own = pdf[pdf["side"] == side]
+                new = np.stack([own["ts"].to_numpy(dtype=np.int64), own["seq"].to_numpy(dtype=np.int64),
+                                np.zeros(len(own), dtype=np.int64)], axis=1)
+                at = new[:, 0] // self.width
+                for b in np.unique(at).tolist():
+                    mine = new[at == b]
+                    for near in (b - 1, b, b + 1):
+                        theirs = bucket(other, near)
+                        i, j = self._match(mine, theirs)
+                        if len(i):
+                            mine[i, 2] = theirs[j, 2] = 1
+                            touched.add((other, near))
+                            l, r = (mine[i], theirs[j]) if side == "L" else (theirs[j], mine[i])
+                            yield self._frame(k, l, r, "matched")
+                    both = np.concatenate([bucket(side, b), mine])
+                    held[side, b] = both[np.argsort(both[:, 0], kind="stable")]
+                    touched.add((side, b))
+                    self.handle.registerTimer(int((b + 1) * self.width + self.wait))
+            for side, b in touched:
+                self.waiting.updateValue((side, b), (held[side, b].tobytes(),))
+        yield self._frame(k, None, None, "matched")
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
         k = key[0] if isinstance(key, tuple) else key
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        held, out = self._load(), []
+        b = (expiredTimerInfo.getExpiryTimeInMs() - self.wait) // self.width - 1
         for side, status in (("L", "left_only"), ("R", "right_only")):
-            for ts, rid, met in held[side]:
-                if ts + self.wait <= now and not met:
-                    out.append((k, rid, None, ts, None, status) if side == "L" else (k, None, rid, None, ts, status))
-            held[side] = [r for r in held[side] if r[0] + self.wait > now]
-        self._save(held)
-        yield self._frame(out)
+            rows = self._get(side, b)
+            if len(rows):
+                self.waiting.removeKey((side, int(b)))
+            alone = rows[rows[:, 2] == 0]
+            yield self._frame(k, alone if side == "L" else None, alone if side == "R" else None, status)
 
     @staticmethod
-    def _frame(rows) -> pd.DataFrame:
-        df = pd.DataFrame(rows, columns=["car_id", "l_id", "r_id", "l_ts", "r_ts", "status"])
-        for c in ("l_id", "r_id", "l_ts", "r_ts"):
-            df[c] = df[c].astype("Int64")
-        return df
+    def _frame(k, left: np.ndarray | None, right: np.ndarray | None, status: str) -> pd.DataFrame:
+        n = max(len(x) for x in (left, right, ()) if x is not None)
+        column = lambda rows, c: pd.array([None] * n if rows is None else rows[:, c], dtype="Int64")
+        text = lambda v: pd.Series([v] * n, dtype=object)
+        return pd.DataFrame({"car_id": text(k), "l_id": column(left, 1), "r_id": column(right, 1),
+                             "l_ts": column(left, 0), "r_ts": column(right, 0), "status": text(status)})
 
     def close(self) -> None:
         pass
@@ -386,3 +418,44 @@ def match_or_timeout_stream(left: DataFrame, right: DataFrame, key: str, event_c
         statefulProcessor=MatchOrTimeout(wait_ms),
         outputStructType="car_id string, l_id long, r_id long, l_ts long, r_ts long, status string",
         outputMode="Append", timeMode="EventTime")
+
+
+# ------------------------------------------------------------------- S6
+class Retract(StatefulProcessor):
+    """S6 without before-images: the last row of a key is kept, so an update or
+    delete can take it back."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "row string")
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        pdf = _concat(rows).sort_values("seq", kind="stable")
+        last = self.last.get()[0] if self.last.exists() else None
+        out = []
+        for kind, row, seq in pdf[["type", "row", "seq"]].itertuples(index=False, name=None):
+            if last is not None:
+                out.append((key[0], int(seq), False, last))
+            last = None if kind == "delete" else row
+            if last is not None:
+                out.append((key[0], int(seq), True, last))
+        if last is None:
+            self.last.clear()
+        else:
+            self.last.update((last,))
+        yield pd.DataFrame(out, columns=["table_name", "seq", "is_add", "row"])
+
+    def close(self) -> None:
+        pass
+
+
+def retract_stream(changes: DataFrame, keys: Sequence[str], table: str = "table_name") -> DataFrame:
+    """S6 stream form for change envelopes whose ``before`` is empty (upsert-only
+    capture): rows ``(table_name, seq, is_add, row)``.  An insert of a key that is
+    there takes the old row back first; a delete of one that is not gives nothing.
+    A deleted row's key is found in ``before`` or ``after``."""
+    pk = [F.coalesce(F.col("after")[k], F.col("before")[k]).alias(f"_pk_{k}") for k in keys]
+    d = changes.select(F.col(table).alias("table_name"), *pk, "type", F.to_json("after").alias("row"), F.col("seq").cast("long").alias("seq"))
+    out = d.groupBy("table_name", *[f"_pk_{k}" for k in keys]).transformWithStateInPandas(
+        statefulProcessor=Retract(), outputStructType="table_name string, seq long, is_add boolean, row string",
+        outputMode="Append", timeMode="None")
+    return out.withColumn("row", F.from_json("row", "map<string,string>"))
