@@ -34,7 +34,8 @@ def edge_rows():
 @pytest.fixture(scope="session")
 def edge_docs(spark, edge_rows):
     """The rows with further columns whose names the operators use themselves."""
-    extra = ["th", "node", "label", "value", "spans", "n_words", "host", "start", "key", "probability"]
+    extra = ["th", "node", "label", "value", "spans", "n_words", "host", "start", "key", "probability",
+             "row", "drawn", "removed_lines", "dim0", "times", "__th", "__p", "__spans", "none", "hits", "piece"]
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(
         f"`{x}` string" for x in extra)
     return spark.createDataFrame([(i, t, g, s, len(t or ""), *extra) for i, t, g, s in edge_rows], schema).repartition(3)

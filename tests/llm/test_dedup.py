@@ -4,6 +4,7 @@ import re
 import string
 from collections import Counter
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -136,7 +137,6 @@ def test_near_duplicates(spark, monkeypatch, edge_rows, n, percent, block):
 
 
 def test_sketches_bound_the_difference():
-    import numpy as np
     rng = np.random.default_rng(1)
     for _ in range(200):
         n = int(rng.integers(7, 3000))
@@ -179,6 +179,26 @@ def test_one_per_component(spark):
     assert by_id == {1: 1, 3: 1, None: 4, 4: 1, 5: 1}
 
 
+def test_sets_of_one_64_bit_digest(spark, monkeypatch):
+    """Different sets whose first 64 bits agree get nodes from all 128; equal sets stay one node."""
+    rng = random.Random(30)
+    texts = [prose(rng, 30) for _ in range(6)]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(10 + k, t) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    clashes = frozenset([7])
+    tokens = [np.array([1, 2], dtype=np.uint64), np.array([3], dtype=np.uint64)]
+    both = [(7, parity_join.digest(t)[1]) for t in tokens]
+    assert parity_join.node_of(both[0], clashes) != parity_join.node_of(both[1], clashes)
+    assert parity_join.node_of(both[0], frozenset()) == 7 and parity_join.node_of((8, 1), clashes) == 8
+    want = {r.doc_id: r.component_id for r in parity_join.near_duplicates(df).collect()}
+    assert want == {i: i % 10 for i, _ in rows}
+    # as if every digest of a text's set had clashed: remapped nodes give the same components
+    some = frozenset(r.node for r in parity_join.profiles(
+        df.selectExpr("doc_id", "xxhash64(text) th", "text"), 5, 80).collect())
+    monkeypatch.setattr(parity_join, "START_CLASHES", some)
+    assert {r.doc_id: r.component_id for r in parity_join.near_duplicates(df).collect()} == want
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(0, 40)] + [(100, 7), (200, 201), (202, 200), (300, 300)]
     got = {r.node: r.label for r in components(spark.createDataFrame(chain, "x bigint, y bigint")).collect()}
@@ -189,9 +209,9 @@ def test_components(spark):
 
 # -- units -------------------------------------------------------------------
 
-@pytest.mark.parametrize("unit", ["line", "paragraph"])
+@pytest.mark.parametrize("unit", ["line", "paragraph", "sentence"])
 def test_units(spark, edge_docs, edge_rows, no_docs, unit):
-    sep = r"\n" if unit == "line" else r"\n(?:[ \t-\r]*\n)+"
+    sep = {"line": r"\n", "paragraph": r"\n(?:[ \t-\r]*\n)+", "sentence": r"(?<=[。！？])|(?<=[.!?])[ \t]+|\n"}[unit]
     rows = sorted({(i, t) for i, t, *_ in edge_rows if t is not None}, key=lambda x: (x[0] is not None, x[0] or 0))
     extra = "first passage of eight words or some more\n\n\nsecond part of it that has many words too"
     docs = edge_docs.select("doc_id", "text").unionAll(spark.createDataFrame(
@@ -201,7 +221,7 @@ def test_units(spark, edge_docs, edge_rows, no_docs, unit):
         gone[i, t] = []
         for no, u in enumerate(re.split(sep, t)):
             w = tuple(re.findall(r"[^\x20\x09-\x0D]+", u.lower()))
-            if len(w) >= 8:
+            if w:
                 if w in seen:
                     gone[i, t].append(no)
                 seen.add(w)
@@ -214,5 +234,18 @@ def test_units(spark, edge_docs, edge_rows, no_docs, unit):
                       and "".join(t[k.start:k.end] for k in r.kept) == r.kept_text)
         for x in r.removed:
             text = source[x.start:x.end]
-            assert len(text.split()) >= 8
+            assert text.split()
     assert substring_units.drop_repeated_units(no_docs, unit).count() == 0
+
+
+def test_wrapped_passages_and_scripts_without_spaces(spark):
+    """A passage wrapped anew loses its repeated sentences; a copied paragraph without spaces goes too."""
+    rng = random.Random(21)
+    sentences = [prose(rng, 12) + "." for _ in range(8)]
+    chinese = "天地玄黄宇宙洪荒。日月盈昃辰宿列张！"
+    rows = [(1, prose(rng, 20) + ". " + " ".join(sentences)), (2, "\n".join(sentences[1:7]) + "\n" + prose(rng, 9)),
+            (3, chinese + "寒来暑往"), (4, "秋收冬藏。" + chinese)]
+    got = {r.doc_id: r for r in substring_units.drop_repeated_units(
+        spark.createDataFrame(rows, "doc_id bigint, text string"), "sentence").collect()}
+    assert len(got[2].removed) == 6 and len(got[2].kept_text.split()) == 9 and got[1].kept_text == rows[0][1]
+    assert got[4].kept_text == "秋收冬藏。" and got[3].kept_text == rows[2][1]

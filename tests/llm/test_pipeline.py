@@ -6,7 +6,7 @@ from tidewater.llm.common import materialize
 
 from .conftest import SF
 from .test_dedup import plain_components, plain_repeats
-from .test_scans import plain_counts
+from .test_scans import plain_quality
 
 
 def test_stages(spark):
@@ -19,9 +19,8 @@ def test_stages(spark):
         assert docs.columns == cols
         out = docs.collect()
         if name == "quality_rules":
-            # at this size no line is frequent enough to go
-            want = {r.doc_id: r.text for r in rows if plain_counts(r.text)[0] >= 50
-                    and 2 * plain_counts(r.text)[4] <= plain_counts(r.text)[0]}
+            want = {x[0]: t for x, t in plain_quality([(r.doc_id, r.text, r.source) for r in rows]) if t is not None}
+            assert any(len(want[r.doc_id]) < len(r.text) for r in rows if r.doc_id in want)  # lines do go
         elif name == "near_duplicates":
             least = {i: c for i, _, c in plain_components([(r.doc_id, r.text) for r in rows], 5, 80)}
             want = {r.doc_id: r.text for r in rows if least[r.doc_id] == r.doc_id}
@@ -40,8 +39,35 @@ def test_stages(spark):
     assert corpus_pipeline.run(spark, SF).count() == packed.count()
 
 
+def plain_stage(name, rows):
+    """The (id, text) rows that a stage keeps of (id, text, host); None for the draw of the mixture."""
+    if name == "quality_rules":
+        return Counter((x[0], t) for x, t in plain_quality(rows) if t is not None)
+    if name == "repeated_passages":
+        flags = plain_repeats([r[:2] for r in rows], 200, "first")
+        cut = lambda i, t: bytes(x for x, f in zip(t.encode(), flags[i, t]) if not f).decode("utf-8", "ignore")
+        return Counter((i, t if t is None else cut(i, t)) for i, t, _ in rows)
+    return None
+
+
 def test_edges(spark, edge_docs, no_docs):
     for docs in (edge_docs, no_docs):
-        for name, stage in corpus_pipeline.STAGES:
+        cols = docs.columns
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            rows = [(r.doc_id, r.text, r.source) for r in docs.collect()]
             docs = materialize(stage(spark, docs, SF), name)
-        assert docs.count() >= 0
+            assert docs.columns == cols
+            got = Counter((r.doc_id, r.text) for r in docs.collect())
+            want = plain_stage(name, rows)
+            if name == "near_duplicates":
+                # one row of every component; the ids of the smallest stay
+                least = {i: c for i, _, c in plain_components([r[:2] for r in rows], 5, 80) if i is not None}
+                assert len(got) == sum(got.values()) and set(got) <= {r[:2] for r in rows}
+                assert {least[i] for i, _ in got if i is not None} == set(least.values())
+            elif name == "source_mixture":
+                assert set(got) <= {r[:2] for r in rows}
+            else:
+                assert got == want
+        kept = {r.doc_id for r in docs.collect()}
+        packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+        assert {r.doc_id for r in packed.collect()} == kept

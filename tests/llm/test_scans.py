@@ -32,39 +32,98 @@ def plain_counts(text):
     return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(again))
 
 
-def test_line_frequency(spark, edge_docs, edge_rows, no_docs):
-    rows = [(i, t, s) for i, t, _, s in edge_rows]
-    rows += [(200 + i, f"Menu  ITEM {'x' * 30}\nmenu item {'X' * 30}\n{prose(random.Random(i), 60)}", "m") for i in range(12)]
-    rows += [(300, "menu item " + "x" * 30 + "\n" + prose(random.Random(300), 3), "m"),
-             (301, ("menu item " + "x" * 30 + "\n") * 30 + prose(random.Random(301), 20), "m")]
-    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
+def plain_frequent(rows, min_docs, host_percent):
+    """(host, normal line) above the limits, from (text, host): every text of a host once."""
     norm = lambda x: " ".join(WORD.findall(x.lower()))
-    docs_of, hosts = defaultdict(set), Counter()
-    for k, (i, t, s) in enumerate(rows):
-        hosts[s] += 1
+    lines, hosts = defaultdict(set), defaultdict(set)
+    for t, s in rows:
+        hosts[s].add(t)
         for x in (t or "").split("\n"):
             if WORD.search(x):
-                docs_of[s, norm(x)].add(k)
-    often = {x for x, d in docs_of.items() if len(d) >= 10 and 100 * len(d) > 10 * hosts[x[0]]}
-    want = Counter()
+                lines[s, norm(x)].add(t)
+    return {k for k, d in lines.items() if len(d) >= min_docs and 100 * len(d) > host_percent * len(hosts[k[0]])}, norm
+
+
+def plain_quality(rows, min_docs=line_frequency.MIN_DOCS, host_percent=line_frequency.HOST_PERCENT):
+    """Per (id, text, host): the verdict and, of kept documents, the text without frequent lines."""
+    often, norm = plain_frequent([(t, s) for _, t, s in rows], min_docs, host_percent)
+    out = []
     for i, t, s in rows:
         counts = plain_counts(t)
-        gone = sum(len(WORD.findall(x)) for x in (t or "").split("\n") if WORD.search(x) and (s, norm(x)) in often)
+        is_gone = lambda x: bool(WORD.search(x)) and (s, norm(x)) in often
+        gone = sum(len(WORD.findall(x)) for x in (t or "").split("\n") if is_gone(x))
         failed = counts[0] < 50 or 100 * counts[4] > 50 * counts[0]
-        want[(i, *counts, gone, failed, not failed and 100 * gone <= 50 * counts[0])] += 1
-    got = line_frequency.line_frequency(df, min_docs=10)
-    assert Counter(tuple(r) for r in got.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_line_words",
-        "base_failed", "kept").collect()) == want
-    text = {r.doc_id: r.text for r in line_frequency.strip_lines(df, got).collect()}
-    assert 301 not in text and "enu" not in text[205] and len(text[205].split()) == 60
+        kept = not failed and 100 * gone <= 50 * counts[0]
+        out.append(((i, *counts, gone, failed, kept), "\n".join(x for x in t.split("\n") if not is_gone(x)) if kept else None))
+    return out
+
+
+def test_line_frequency(spark, edge_docs, edge_rows, no_docs):
+    rows = [(i, t, s) for i, t, _, s in edge_rows]
+    menu = "menu item " + "x" * 30
+    rows += [(200 + i, f"Menu  ITEM {'x' * 30}\nmenu item {'X' * 30}\n{prose(random.Random(i), 60)}", "m") for i in range(12)]
+    rows += [(300, menu + "\n" + prose(random.Random(300), 3), "m"), (301, (menu + "\n") * 30 + prose(random.Random(301), 20), "m")]
+    # one clean document sixty times, under one id and under many: not boilerplate of itself
+    clean = "\n".join(prose(random.Random(k), 16) for k in range(4))
+    rows += [(400, clean, "c")] * 60 + [(410 + k, clean, "c") for k in range(40)] + [(None, clean, "c")] * 3
+    # a document of shared lines only is depleted
+    lines = [prose(random.Random(500 + k), 12) for k in range(8)]
+    rows += [(500 + k, "\n".join([*random.Random(k).sample(lines, 6), prose(random.Random(600 + k), 20)]), "d") for k in range(9)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
+    for limits in ((3, 2), (10, 10)):
+        plain = plain_quality(rows, *limits)
+        got = line_frequency.line_frequency(df, min_docs=limits[0], host_percent=limits[1])
+        assert Counter(tuple(r) for r in got.select(
+            "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_line_words",
+            "base_failed", "kept").collect()) == Counter(x for x, _ in plain)
+        assert Counter((r.doc_id, r.text) for r in line_frequency.strip_lines(df, got).collect()) == Counter(
+            (x[0], t) for x, t in plain if t is not None)
+    kept = {r.doc_id: r.text for r in line_frequency.strip_lines(df, line_frequency.line_frequency(df)).collect()}
+    assert 301 not in kept and 500 not in kept and len(kept[205].split()) == 60 and kept[400] == kept[410] == clean
     out = line_frequency.strip_lines(edge_docs, line_frequency.line_frequency(edge_docs))
     assert out.columns == edge_docs.columns
-    assert sorted(str(r.doc_id) for r in out.collect()) == sorted(
-        str(i) for i, t, *_ in edge_rows if plain_counts(t)[0] >= 50 and 2 * plain_counts(t)[4] <= plain_counts(t)[0])
+    assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter(
+        (x[0], t) for x, t in plain_quality([(i, t, s) for i, t, _, s in edge_rows]) if t is not None)
     assert line_frequency.line_frequency(no_docs).count() == 0
 
 
+def test_shared_ids_and_repeated_rows_in_sql(spark):
+    """The statements of op4, op7 and op10 on tables with repeated rows, shared and null ids, large components."""
+    import duckdb
+    import pandas as pd
+
+    from tidewater.llm import queries, substring_units
+    from tidewater.plans.verify import rows_of
+    rng = random.Random(6)
+    lines = [prose(rng, 14) + "." for _ in range(6)]
+    docs = [(k % 5 if k % 7 else None, "\n".join([*rng.sample(lines, 4), prose(rng, 30) + f". Seen {k % 3}! 是的。" + prose(rng, 3)]),
+             "ab"[k % 2]) for k in range(40)]
+    docs = [(None if i is None else 100 * i + n, t, s) for n, (i, t, s) in enumerate(docs)] + docs[:1] * 0
+    docs += [docs[1]] * 3 + [(9000, None, "a"), (9001, "", "b"), (9002, "one", "b")]
+    vectors = [(50, [3e5, 1.]), (1, [3e5, -2.]), (2, [-1e8, 4.]), (2, [-1e8, 4.]), (100, [.5, .25]), (100, [.5, .25]),
+               (3, [None, 1.]), (4, [float("inf"), 1.]), (5, None), (150, [1., float("nan")]), (6, [1e6, 1e6])]
+    con = duckdb.connect()
+    con.register("d", pd.DataFrame({"doc_id": pd.array([r[0] for r in docs], dtype="Int64"), "text": [r[1] for r in docs], "source": [r[2] for r in docs]}))
+    con.execute("CREATE VIEW documents AS SELECT doc_id, CASE WHEN text IS NULL THEN NULL ELSE text::VARCHAR END AS text, source FROM d")
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding DOUBLE[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", vectors)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, source string").repartition(3)
+    vec = spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>").repartition(2)
+
+    def same(key, out):
+        cur = con.execute(queries.ORACLE[key])
+        cols = [x[0] for x in cur.description]
+        assert rows_of(out.columns, [tuple(r) for r in out.collect()]) == rows_of(cols, cur.fetchall())
+    cols = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_line_words", "base_failed", "kept"]
+    same("op10_line_frequency", line_frequency.line_frequency(df).select(*cols))
+    same("op7_bit_sliced_topk", bit_sliced.top_k(vec, F.col("vec_id") % 50 == 0, 5))
+    # among null ids the rank goes by a digest that SQL does not have
+    con.execute("CREATE OR REPLACE VIEW documents AS SELECT * FROM d WHERE doc_id IS NOT NULL")
+    units = substring_units.drop_repeated_units(df.where("doc_id is not null"), unit="sentence")
+    same("op4_unit_dedup", units.select("doc_id", "n_units", F.size("removed").cast("bigint").alias("n_removed"),
+                                        queries.spans_text("removed").alias("removed_spans"), "kept_text"))
+
+
 # -- perspectives --------------------------------------------------------------
 
 def test_perspectives(spark):
@@ -73,7 +132,11 @@ def test_perspectives(spark):
             (1, 70, "eve", "late"), (1, 70, "eve", "late")]
     df = spark.createDataFrame([(*r, "x", "y") for r in rows],
                                "conv_id bigint, turn int, role string, text string, part string, name string")
-    got = {(r.conv_id, r.assistant, r.part): r for r in perspectives.rotate(df).collect()}
+    whole = {(r.conv_id, r.assistant): r for r in perspectives.rotate(df).collect()}
+    assert set(whole) == {(1, "ann"), (1, "bob"), (1, "eve"), (2, "unknown"), (2, "cy"), (None, "dan")}
+    r = whole[1, "eve"]
+    assert (r.part, r.n_turns) == (0, 6) and [r.rendered[s.start:s.end] for s in r.mask_spans] == ["late<|end|>"] * 2
+    got = {(r.conv_id, r.assistant, r.part): r for r in perspectives.rotate(df, part_turns=64).collect()}
     assert {k[:2] for k in got} == {(1, "ann"), (1, "bob"), (1, "eve"), (2, "unknown"), (2, "cy"), (None, "dan")}
     r = got[1, "ann", 0]
     assert r.rendered == ("<|system|>\nbe < |kind|><|end|>\n<|assistant|>\nhi<|end|>\n<|user name=bob|>\n<|end|>\n"
@@ -121,6 +184,37 @@ def test_mix(spark, edge_docs, edge_rows, no_docs):
     assert edge.count() == len(edge_rows) and edge.where("probability is null").count() == 0
     assert mixture.sample(edge_docs).columns == edge_docs.columns
     assert mixture.mix(no_docs).count() == 0 and mixture.sample(no_docs).count() == 0
+    # null and shared ids: different texts are drawn each for itself, equal rows alike
+    many = [(None if k % 2 else 7, prose(rng, 30), "en", "a") for k in range(400)]
+    kept = Counter(r.text for r in mixture.sample(spark.createDataFrame(many * 2, df.schema), budget=.5).collect())
+    assert 120 < len(kept) < 280 and set(kept.values()) == {2}
+    # the probabilities and draws of a plain version, cell by cell
+    plain = mixture.mix(df, budget=.3)
+    cells, told = Counter(), plain.collect()
+    for r in told:
+        cells[r.source, r.lang, r.topic] += r.n_tokens
+    marks = [sorted({c[k] for c in cells}) for k in range(3)]
+    w = {c: n / sum(cells.values()) for c, n in cells.items()}
+    share = [Counter() for _ in range(3)]
+    for c, n in w.items():
+        for k in range(3):
+            share[k][c[k]] += n
+    aims = [{v: share[k][v] ** mixture.TEMPER / sum(share[k][x] ** mixture.TEMPER for x in marks[k]) for v in marks[k]} for k in range(3)]
+    for _ in range(300):
+        for k in range(3):
+            margin = Counter()
+            for c, n in w.items():
+                margin[c[k]] += n
+            w = {c: n * aims[k][c[k]] / margin[c[k]] for c, n in w.items()}
+    lo, hi = 0.0, 1e9
+    for _ in range(300):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if sum(min(n, mid * w[c]) for c, n in cells.items()) < .3 * sum(cells.values()) else (lo, mid)
+    for r in told:
+        c = r.source, r.lang, r.topic
+        assert abs(r.probability - min(1, hi * w[c] / cells[c])) < 1e-6
+    drawn = {r.doc_id: r.u for r in df.select("doc_id", mixture.draw(F.col("doc_id"), F.xxhash64("text")).alias("u")).collect()}
+    assert all(r.kept == (drawn[r.doc_id] < r.probability) for r in told)
 
 
 def test_tokens_are_words(spark):
@@ -279,6 +373,28 @@ def test_language_edges(spark, edge_docs, edge_rows, no_docs):
     assert {r.lang_pred for r in codeword_language.identify(none).collect()} == {"und"}
 
 
+def test_every_language_is_learned_and_decoded_as_by_a_plain_version(spark):
+    """Eighty labels, each with a vocabulary of its own; margins and decoding text by text; texts over one segment."""
+    rng = random.Random(2)
+    vocab = {f"l{k}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(4)) for _ in range(12)] for k in range(80)}
+    rows = [(100 * k + n, " ".join(rng.choice(v) for _ in range(40)), g) for k, (g, v) in enumerate(vocab.items()) for n in range(8)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    model = codeword_language.fit(df)
+    assert model.langs == sorted(vocab) and len(model.codes.T) < 120
+    long = " ".join(vocab["l3"]) * 12_000
+    test = [*[r[:2] for r in rows[:200]], (10 ** 6, long), (10 ** 6 + 1, "123")]
+    got = {r.doc_id: r for r in codeword_language.predict(spark.createDataFrame(test, "doc_id bigint, text string"), model).collect()}
+    assert sum(got[i].lang_pred == g for i, _, g in rows[:200]) >= 198 and got[10 ** 6].lang_pred == "l3"
+    assert len(long) > codeword_language.SEGMENT and got[10 ** 6 + 1].lang_pred == "und"
+    for i, t in test[:30]:
+        data = np.frombuffer(f" {t.lower()} ".encode(), dtype=np.uint8)
+        found = np.concatenate([f for _, f in codeword_language.features(data, np.array([len(data)]))])
+        z = np.clip((model.weights[:, found].astype(float).mean(axis=1) - model.middle) / model.reach, -4, 4)
+        loss = [(np.exp(-z * code) * model.trust).sum() for code in model.codes]
+        p = np.exp(-codeword_language.SHARP * (np.array(loss) - min(loss)))
+        assert got[i].lang_pred == model.langs[int(np.argmin(loss))] and abs(got[i].score - p.max() / p.sum()) < 1e-4
+
+
 @pytest.mark.parametrize("n", [2, 3, 4, 6, 7, 20])
 def test_codewords_differ(n):
     c = codeword_language.codewords(n)

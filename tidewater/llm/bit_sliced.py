@@ -9,15 +9,17 @@ picked from the most significant score slice downward; rows that tie at the
 boundary are resolved exactly, to smaller ids.
 
 Shape: index blocks are built in the scan (no shuffle) and written as a table;
-queries are a stated set, sent to the blocks in chunks of at most
-``CHUNK`` vectors (the bound of what is broadcast); a task keeps k rows per
-query over all its blocks, and only those are shuffled.
-
-Defined cases: rows with a null id, a null vector, or a null, non-finite or
-very large (2**18 and more) component take no part; vectors of another length
-than the query's are no candidates for it; equal vectors tie and go to smaller
-ids; a candidate row given twice counts twice, a query row given twice once;
-queries without a candidate give no row.
+queries, a stated set, become a table of chunks of at most ``CHUNK`` vectors.
+Blocks and chunks meet in a grid: a block goes to the chunk groups of its row,
+a chunk to the blocks of its column, and a task holds one block slot and one
+chunk slot at a time.  Nothing goes through the driver; k rows per query and
+cell of the grid are shuffled.
+
+Defined cases: rows with a null id, a null vector, or a null or non-finite
+component take no part; components of 2**53 and more and scores that no long
+holds raise; vectors of another length than the query's are no candidates for
+it; equal vectors tie and go to smaller ids; a candidate row given twice counts
+twice, a query row given twice once; queries without a candidate give no row.
 """
 
 from __future__ import annotations
@@ -31,20 +33,25 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-BLOCK = 8192
-CHUNK = 4096
+BLOCK = 4096
+CHUNK = 1024
 SCALE = 256.0
+#: Components from here on have no exact integer below them in a double.
+LARGEST = float(1 << 53)
 
 INDEX = "dim int, n int, low bigint, bits int, ids binary, planes binary"
-HITS = "q int, query_id bigint, vec_id bigint, score bigint"
+CHUNKS = "dim int, ids binary, marks binary, parts binary"
+HITS = "mark bigint, query_id bigint, vec_id bigint, score bigint"
 
 
 def usable(vec: Column) -> Column:
     return vec.isNotNull() & F.coalesce(F.forall(vec, lambda x: F.coalesce(
-        ~F.isnan(x) & (F.abs(x) < float(1 << 18)), F.lit(False))), F.lit(False))
+        ~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False))), F.lit(False))
 
 
 def quantise(rows: np.ndarray) -> np.ndarray:
+    if rows.size and np.abs(rows).max() >= LARGEST:
+        raise ValueError("a component of 2**53 or more")
     return np.floor(SCALE * rows.astype(np.float64)).astype(np.int64)
 
 
@@ -96,7 +103,8 @@ def score_slices(query: np.ndarray, low: int, bits: int, both: np.ndarray) -> tu
         stack = [both[sign[by_bit[weight - b]], by_bit[weight - b], b]
                  for b in range(bits) if 0 <= weight - b < top and len(by_bit[weight - b])]
         columns.append(np.concatenate(stack) if stack else np.zeros((0, both.shape[3]), dtype=np.uint64))
-    return add_slices(columns), int(low * query.sum() - ((1 << bits) - 1) * size[query < 0].sum())
+    base = low * sum(query.tolist()) - ((1 << bits) - 1) * sum(size[query < 0].tolist())  # exact, beyond 64 bits too
+    return add_slices(columns), base
 
 
 def first_rows(bitmap: np.ndarray, most: int) -> np.ndarray:
@@ -166,47 +174,78 @@ def build_index(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embed
     return d.mapInArrow(run, INDEX)
 
 
-def search(index: DataFrame, queries: list[tuple[int, list[float]]], k: int) -> DataFrame:
-    """(q, query_id, vec_id, score): the top k of every task for each of at
-    most ``CHUNK`` queries, whose own id is no candidate."""
-    if len(queries) > CHUNK:
-        raise ValueError(f"at most {CHUNK} queries at a time")
-    sent = index.sparkSession.sparkContext.broadcast(
-        [(i, quantise(np.asarray(v, dtype=np.float64))) for i, v in queries])
-
+def build_queries(asked: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Queries (vec_id, v, mark) as a table: one row per chunk of at most ``chunk`` vectors of one length."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[int, list[tuple[int, int]]] = {}
         for b in batches:
-            for row in b.to_pylist():
-                ids = np.frombuffer(row["ids"], dtype=np.int64)
-                words = -(-row["n"] // 64)
-                planes = np.frombuffer(row["planes"], dtype=np.uint64).reshape(row["dim"], row["bits"], words)
-                both = np.stack([planes, ~planes])
-                alive = np.full(words * 64, 0, dtype=np.uint8)
-                alive[:row["n"]] = 1
-                alive = np.packbits(alive, bitorder="little").view(np.uint64)
-                for q, (own, query) in enumerate(sent.value):
-                    if len(query) != row["dim"]:
-                        continue
-                    slices, base = score_slices(query, row["low"], row["bits"], both)
-                    left, right = np.searchsorted(ids, own, "left"), np.searchsorted(ids, own, "right")
-                    live = alive
-                    if left < right:
-                        live = alive.copy()
-                        for at in range(left, right):
-                            live[at // 64] &= ~np.uint64(1 << (at % 64))
-                    rows = select_top(slices, live, k)
-                    score = np.full(len(rows), base, dtype=np.int64)
-                    for bit, s in enumerate(slices):
-                        score += (((s[rows // 64] >> (rows % 64).astype(np.uint64)) & np.uint64(1))
-                                  .astype(np.int64) << bit)
-                    best[q] = sorted([*best.get(q, ()), *zip((-score).tolist(), ids[rows].tolist())])[:k]
-        out = [(q, sent.value[q][0], i, -s) for q, found in best.items() for s, i in found]
+            ids, marks = b.column(0).to_numpy(zero_copy_only=False), b.column(2).to_numpy(zero_copy_only=False)
+            vectors = [np.asarray(v, dtype=np.float64) for v in b.column(1).to_pylist()]
+            sizes = np.array([len(v) for v in vectors])
+            for dim in np.unique(sizes).tolist():
+                every = np.flatnonzero(sizes == dim)
+                for s in range(0, len(every), chunk):
+                    at = every[s:s + chunk]
+                    rows = quantise(np.stack([vectors[k] for k in at.tolist()]))
+                    yield pa.record_batch([pa.array([x], t) for x, t in (
+                        (dim, pa.int32()), (ids[at].tobytes(), pa.binary()), (marks[at].tobytes(), pa.binary()),
+                        (rows.tobytes(), pa.binary()))], names=["dim", "ids", "marks", "parts"])
+
+    return asked.select("vec_id", "v", "mark").mapInArrow(run, CHUNKS)
+
+
+def top_of_block(row: dict, queries: list[tuple[int, int, np.ndarray]], k: int) -> Iterator[tuple[int, int, int, int]]:
+    """(mark, query_id, vec_id, score) of the k best rows of one block for each query."""
+    ids = np.frombuffer(row["ids"], dtype=np.int64)
+    words = -(-row["n"] // 64)
+    planes = np.frombuffer(row["planes"], dtype=np.uint64).reshape(row["dim"], row["bits"], words)
+    both = np.stack([planes, ~planes])
+    alive = np.full(words * 64, 0, dtype=np.uint8)
+    alive[:row["n"]] = 1
+    alive = np.packbits(alive, bitorder="little").view(np.uint64)
+    for mark, own, query in queries:
+        slices, base = score_slices(query, row["low"], row["bits"], both)
+        left, right = np.searchsorted(ids, own, "left"), np.searchsorted(ids, own, "right")
+        live = alive
+        if left < right:
+            live = alive.copy()
+            for at in range(left, right):
+                live[at // 64] &= ~np.uint64(1 << (at % 64))
+        for r in select_top(slices, live, k).tolist():
+            score = base + sum(1 << bit for bit, s in enumerate(slices) if (int(s[r // 64]) >> (r % 64)) & 1)
+            if not -(1 << 63) <= score < 1 << 63:
+                raise OverflowError("a score that no long holds")
+            yield mark, own, int(ids[r]), score
+
+
+def search(index: DataFrame, chunks: DataFrame, k: int, blocks: int, slots: int) -> DataFrame:
+    """(mark, query_id, vec_id, score): the top k of every cell of the grid of
+    ``blocks`` block slots and ``slots`` chunk slots; a query's own id is no candidate."""
+    place = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = index.withColumn("row", place("ids", blocks)).withColumn("col", each(slots))
+    right = chunks.withColumn("col", place("marks", slots)).withColumn("row", each(blocks))
+
+    def cell(block: pa.Table, chunk: pa.Table) -> pa.Table:
+        queries = []
+        for c in chunk.select(["dim", "ids", "marks", "parts"]).to_pylist():
+            parts = np.frombuffer(c["parts"], dtype=np.int64).reshape(-1, c["dim"]) if c["dim"] else None
+            ids, marks = np.frombuffer(c["ids"], dtype=np.int64), np.frombuffer(c["marks"], dtype=np.int64)
+            empty = np.zeros(0, dtype=np.int64)
+            queries += [(int(m), int(i), empty if parts is None else parts[n]) for n, (m, i) in enumerate(zip(marks, ids))]
+        best: dict[int, list[tuple[int, int, int]]] = {}
+        if queries:
+            for row in block.to_pylist():
+                found: dict[int, list[tuple[int, int, int]]] = {}
+                for mark, own, i, score in top_of_block(row, queries, k):
+                    found.setdefault(mark, []).append((-score, i, own))
+                for mark, hits in found.items():
+                    best[mark] = sorted(best.get(mark, []) + hits)[:k]
+        out = [(mark, own, i, -s) for mark, hits in best.items() for s, i, own in hits]
         cols = list(zip(*out)) or [()] * 4
-        yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
-                              names=["q", "query_id", "vec_id", "score"])
+        return pa.table([pa.array(c, pa.int64()) for c in cols], names=["mark", "query_id", "vec_id", "score"])
 
-    return index.mapInArrow(run, HITS)
+    keys = ("dim", "row", "col")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(cell, HITS)
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id",
@@ -215,14 +254,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_i
     index = materialize(build_index(vectors, vec_id, vector), "bit-slices")
     asked = vectors.where(is_query & F.col(vec_id).isNotNull() & usable(F.col(vector))).select(
         F.col(vec_id).cast("bigint").alias("vec_id"), F.col(vector).cast("array<double>").alias("v")).distinct()
-    total = asked.count()
-    # chunks by hash hold half the bound on average
-    chunks = 1 if total <= CHUNK else -(-2 * total // CHUNK)
-    found = None
-    index = index.repartition(max(1, index.count()))
-    for c in range(chunks):
-        part = asked.where(F.pmod(F.xxhash64("vec_id", "v"), F.lit(chunks)) == c) if chunks > 1 else asked
-        hits = search(index, [(r["vec_id"], r["v"]) for r in part.collect()], k).withColumn("chunk", F.lit(c))
-        found = hits if found is None else found.unionAll(hits)
-    rank = F.row_number().over(Window.partitionBy("chunk", "q", "query_id").orderBy(F.desc("score"), "vec_id"))
+    chunks = materialize(build_queries(asked.withColumn("mark", F.xxhash64("vec_id", "v"))), "query-chunks")
+    # one block and about one full chunk a cell
+    total = chunks.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
+    found = search(index, chunks, k, max(1, index.count()), max(1, -(-total // 8 // CHUNK)))
+    rank = F.row_number().over(Window.partitionBy("mark", "query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -6,9 +6,10 @@ the language whose codeword costs least, and a text whose two best codewords
 cost nearly the same is flagged as ambiguous.
 
 Fitting: n-gram counts per language over a bounded sample of labelled texts
-(``PER_LANG`` texts of a language in expectation, of at most ``MAX_LANGS``
-languages).  Only the (language, feature) counts reach the driver, at most
-``MAX_LANGS * FEATURES`` numbers.  Prediction runs over whole texts in a scan,
+(``PER_LANG`` texts of a language in expectation, of every language).  Only
+the (language, feature) counts reach the driver, ``FEATURES`` numbers a language
+at most; codewords grow with the number of languages, with its logarithm above
+``HADAMARD`` of them.  Prediction runs over whole texts in a scan,
 without a shuffle.
 
 Defined cases: a null text, and one without a letter, is ``und`` with score 0;
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PER_LANG = 4000
-MAX_LANGS = 64
+HADAMARD = 64
 FEATURES = 1 << 16
 GRAMS = (2, 3, 4)
 SEGMENT = 1 << 19
@@ -108,11 +109,22 @@ def count_features(labelled: DataFrame) -> DataFrame:
 
 
 def codewords(n: int) -> np.ndarray:
-    """[language, bit]: every split of the languages for up to 6 of them, else
-    the useful columns of a Hadamard matrix, whose rows differ in half the bits."""
+    """[language, bit]: every split of the languages for up to 6 of them, then
+    the useful columns of a Hadamard matrix, whose rows differ in half the bits;
+    for more than ``HADAMARD`` languages random words of 16 bits a doubling, drawn
+    until any two differ in a quarter of the bits at least."""
     if n <= 6:
         cols = [[1 if (m >> i) & 1 else -1 for i in range(n)] for m in range(1, 1 << max(n - 1, 0))]
         return np.array(cols, dtype=np.int64).T.reshape(n, len(cols))
+    if n > HADAMARD:
+        bits = 16 * int(np.ceil(np.log2(n)))
+        rng = np.random.default_rng(n)
+        rows: list[np.ndarray] = []
+        while len(rows) < n:
+            w = rng.choice([-1, 1], size=bits)
+            if not rows or ((np.array(rows) != w).sum(axis=1) >= bits // 4).all():
+                rows.append(w)
+        return np.array(rows)
     h = np.array([[1]])
     while len(h) < n:
         h = np.block([[h, h], [h, -h]])
@@ -120,16 +132,16 @@ def codewords(n: int) -> np.ndarray:
     return h[:, np.abs(h.sum(axis=0)) < n]
 
 
-def fit(labelled: DataFrame, per_lang: int = PER_LANG, max_langs: int = MAX_LANGS) -> Model:
+def fit(labelled: DataFrame, per_lang: int = PER_LANG) -> Model:
     """From (doc_id, lang, text); rows without text, letters or label are left out."""
     d = labelled.where(F.col("lang").isNotNull() & has_letter(F.col("text")))
-    sizes = (d.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect())
+    sizes = d.groupBy("lang").count().collect()  # one row per language
     if not sizes:
         return Model([], np.zeros((0, 0)), np.zeros((0, FEATURES)), np.zeros(0), np.zeros(0), np.zeros(0))
-    share = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, per_lang / r["count"])))])
+    share = F.broadcast(d.sparkSession.createDataFrame(
+        [(r["lang"], min(1.0, per_lang / r["count"])) for r in sizes], "lang string, share double"))
     u = F.pmod(F.xxhash64("doc_id", "text", F.lit(9)), F.lit(1 << 53)).cast("double") / float(1 << 53)
-    sample = d.where(u < F.coalesce(F.get(F.map_values(F.map_filter(share, lambda k, _: k == F.col("lang"))),
-                                          F.lit(0)), F.lit(0.0))).select("lang", prepared(F.col("text")).alias("t"))
+    sample = d.join(share, "lang").where(u < F.col("share")).select("lang", prepared(F.col("text")).alias("t"))
     rows = count_features(sample).toPandas()
     langs = sorted(rows["lang"].unique().tolist())
     counts = np.zeros((len(langs), FEATURES))

@@ -1,7 +1,8 @@
 """Quality rules by cross-document line frequency (native).
 
 A line that many documents of one host carry is boilerplate.  Lines are
-normalised and hashed, each (host, line) is counted once per document, lines
+normalised and hashed, each (host, line) is counted once per document (of
+documents with equal texts once: copies are not boilerplate), lines
 above the limits are taken out, and a document that keeps too few of its words
 is rejected.  The base statistics of a text are computed beside that.
 
@@ -25,9 +26,9 @@ from .common import SPACES, attach, let, materialize, text_key, words
 SYMBOLS = "#*$%&|<>"
 
 #: A line is boilerplate if at least this many documents of a host carry it ...
-MIN_DOCS = 50
+MIN_DOCS = 3
 #: ... and these are more than this percentage of the host's documents.
-HOST_PERCENT = 10
+HOST_PERCENT = 2
 #: A document is depleted if more than this percentage of its words stand in such lines.
 DEPLETED_PERCENT = 50
 MIN_WORDS = 50
@@ -92,8 +93,9 @@ def base_statistics(docs: DataFrame, host: str = "source") -> DataFrame:
 
 
 def frequent_lines(stats: DataFrame, min_docs: int = MIN_DOCS, host_percent: int = HOST_PERCENT) -> DataFrame:
-    """(host, line): digests above both limits."""
-    lines = (stats.select("host", "doc_id", "th", F.explode(F.array_distinct(
+    """(host, line): digests above both limits.  ``stats`` has a document of a
+    host once per text: copies of a text say nothing about boilerplate."""
+    lines = (stats.select("host", F.explode(F.array_distinct(
         F.transform("lines", lambda x: x["line"]))).alias("line"))
         .groupBy("host", "line").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs))
     hosts = stats.groupBy("host").agg(F.count("*").alias("host_docs"))
@@ -107,18 +109,18 @@ def line_frequency(docs: DataFrame, host: str = "source", min_docs: int = MIN_DO
     above the limits), ``removed_lines`` (their digests), ``base_failed``,
     ``depleted`` and ``kept``."""
     stats = materialize(base_statistics(docs, host), "line-stats")
-    hits = attach(stats.select("host", "doc_id", "th", F.inline("lines")),
-                  frequent_lines(stats, min_docs, host_percent), "host", "line", how="left_semi")
-    # rows that repeat (doc_id, text) bring the same lines again: max instead of a sum over them
-    removed = (hits.groupBy("doc_id", "host", "th", "line")
-               .agg(F.sum("n").alias("n"), F.count("*").alias("times"))
-               .groupBy("doc_id", "host", "th")
-               .agg(F.sum("n").alias("n_line_words"), F.collect_list("line").alias("removed_lines")))
-    twins = stats.groupBy("doc_id", "host", "th").agg(F.count("*").alias("twins")).where("twins > 1")
-    removed = attach(removed, twins, "doc_id", "host", "th").select(
-        "doc_id", "host", "th", "removed_lines",
-        (F.col("n_line_words") / F.coalesce("twins", F.lit(1))).cast("bigint").alias("n_line_words"))
-    out = attach(stats.drop("lines"), removed, "doc_id", "host", "th")
+    # every text of a host once: rows of one (host, text) have equal lines
+    copies = stats.groupBy("host", "th").agg(F.count("*").alias("copies")).where("copies > 1")
+    copies = materialize(copies, "copied-texts")
+    own = ("host", "th")
+    once = attach(stats, copies, *own, how="left_anti").select("host", "th", "lines").unionAll(
+        attach(stats, copies, *own, how="left_semi").select("host", "th", "lines").dropDuplicates(["host", "th"]))
+    once = materialize(once, "host-texts")
+    hits = attach(once.select("host", "th", F.inline("lines")), frequent_lines(once, min_docs, host_percent),
+                  "host", "line", how="left_semi")
+    removed = (hits.groupBy("host", "th", "line").agg(F.sum("n").alias("n"))
+               .groupBy("host", "th").agg(F.sum("n").alias("n_line_words"), F.collect_list("line").alias("removed_lines")))
+    out = attach(stats.drop("lines"), materialize(removed, "removed-lines"), "host", "th")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     gone = F.coalesce("n_line_words", F.lit(0).cast("bigint"))
     return out.withColumns({
@@ -130,13 +132,12 @@ def line_frequency(docs: DataFrame, host: str = "source", min_docs: int = MIN_DO
 def strip_lines(docs: DataFrame, verdict: DataFrame, host: str = "source") -> DataFrame:
     """The documents that ``verdict`` keeps, without the lines above the
     limits; all columns of ``docs`` stay."""
-    side = (verdict.where("kept").select("doc_id", F.col("host").alias("__host"), F.col("th").alias("__th"),
-                                         F.col("removed_lines").alias("__removed"))
-            .withColumnRenamed("doc_id", "__id").dropDuplicates(["__id", "__host", "__th"]))
-    kept = F.array_join(F.filter(
-        F.split(F.col("text"), "\n", -1), lambda x: ~F.array_contains(
-            F.col("__removed"), F.xxhash64(normal_line(x)))), "\n")
-    return docs.join(side, docs["doc_id"].eqNullSafe(F.col("__id")) & docs[host].eqNullSafe(F.col("__host"))
-                     & text_key(docs["text"]).eqNullSafe(F.col("__th"))).select(
-        *[F.when(F.col("__removed").isNull(), docs["text"]).otherwise(kept).alias("text") if c == "text" else docs[c]
-          for c in docs.columns])
+    side = verdict.where("kept").select("doc_id", "host", "th", "removed_lines").dropDuplicates(["doc_id", "host", "th"])
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].alias("doc_id"),
+                       docs[host].alias("host"), text_key(docs["text"]).alias("th"))
+    left = attach(rows, side, "doc_id", "host", "th", how="inner")
+    text = F.col("row.text")
+    kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda x: ~F.array_contains(
+        F.col("removed_lines"), F.xxhash64(normal_line(x)))), "\n")
+    return left.select(*[F.when(F.col("removed_lines").isNull(), text).otherwise(kept).alias("text") if c == "text"
+                         else F.col("row")[c].alias(c) for c in docs.columns])

@@ -15,8 +15,9 @@ them, for the join with it.
 Defined cases: a null value of a dimension is a value of its own; a null or
 empty text has no tokens and probability 1 of its cell's rate rule (rate 0
 cells aside); a target for a value that has no tokens is spread over the
-others; repeated rows are drawn alike, as the draw depends on id and seed; an
-empty table gives an empty result.
+others; rows that repeat id and text are drawn alike, rows with a null or shared
+id and different texts are not: the draw depends on id, text and seed; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import SPACES, discard, materialize
+from .common import SPACES, discard, materialize, text_key
 from .rolling import text_buffer, word_counts
 
 #: Largest cell table that is raked on the driver and broadcast.
@@ -118,9 +119,9 @@ def rates(tokens_of: np.ndarray, weights: np.ndarray, budget: float) -> np.ndarr
     return np.where(live, np.minimum(1, high * r), 1.0)
 
 
-def draw(doc_id: Column, seed: int = SEED) -> Column:
-    """A number in [0, 1) from the id."""
-    return F.pmod(F.xxhash64(doc_id, F.lit(seed)), F.lit(1 << 53)).cast("double") / float(1 << 53)
+def draw(doc_id: Column, th: Column, seed: int = SEED) -> Column:
+    """A number in [0, 1) from the id and the text's digest."""
+    return F.pmod(F.xxhash64(doc_id, th, F.lit(seed)), F.lit(1 << 53)).cast("double") / float(1 << 53)
 
 
 def _solve(cells: pa.Table, dims: list[str], targets: dict[str, dict[str, float]], temper: float,
@@ -200,7 +201,8 @@ def _plan(docs: DataFrame, dims: dict[str, Column], targets: dict[str, dict[str,
           budget: float) -> tuple[DataFrame, DataFrame]:
     """(doc_id, labels, n_tokens) per row, and (labels, weight, probability) of every cell."""
     d = materialize(with_tokens(docs.select(
-        F.col("doc_id"), F.col("text"), *[_label(c).alias(k) for k, c in dims.items()])), "token-counts")
+        F.col("doc_id"), text_key(F.col("text")).alias("th"), F.col("text"),
+        *[_label(c).alias(k) for k, c in dims.items()])), "token-counts")
     cells = materialize(d.groupBy(*dims).agg(F.sum("n_tokens").alias("n")), "cells")
     if cells.count() > CELLS:
         return d, _solve_spread(cells, list(dims), targets, temper, budget)
@@ -219,7 +221,7 @@ def mix(docs: DataFrame, dims: dict[str, Column] | None = None, targets: dict[st
     dims = dims or dimensions()
     d, cells = _plan(docs, dims, targets or {}, temper, budget)
     return d.join(cells, list(dims)).withColumn(
-        "kept", draw(F.col("doc_id"), seed) < F.col("probability")).select(
+        "kept", draw(F.col("doc_id"), F.col("th"), seed) < F.col("probability")).select(
         "doc_id", *dims, "n_tokens", "weight", "probability", "kept")
 
 
@@ -228,7 +230,10 @@ def sample(docs: DataFrame, dims: dict[str, Column] | None = None, targets: dict
     """The rows of ``docs`` that ``mix`` keeps, all columns as they are."""
     dims = dims or dimensions()
     _, cells = _plan(docs, dims, targets or {}, temper, budget)
-    side = cells.withColumnsRenamed({k: f"__{k}" for k in dims}).withColumnRenamed("probability", "__p").drop("weight")
-    marked = docs.withColumns({f"__{k}": _label(c) for k, c in dims.items()})
-    return (marked.join(side, [f"__{k}" for k in dims])
-            .where(draw(F.col("doc_id"), seed) < F.col("__p")).select(*docs.columns))
+    at = {k: f"dim{n}" for n, k in enumerate(dims)}
+    side = cells.select(*[F.col(k).alias(c) for k, c in at.items()], "probability")
+    marked = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+                         draw(F.col("doc_id"), text_key(F.col("text")), seed).alias("drawn"),
+                         *[_label(c).alias(at[k]) for k, c in dims.items()])
+    return (marked.join(side, list(at.values())).where(F.col("drawn") < F.col("probability"))
+            .select(*[F.col("row")[c].alias(c) for c in docs.columns]))

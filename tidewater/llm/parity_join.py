@@ -131,14 +131,27 @@ def digest(tokens: np.ndarray) -> tuple[int, int]:
     return a, b
 
 
-def profiles(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, th, size, node, check, sketch) per row; ``node`` and ``check`` are the digest of its set."""
+#: Most 64-bit digests that may belong to several sets: N sets have about N * N / 2**65 such digests.
+CLASHES = 1 << 16
+START_CLASHES: frozenset[int] = frozenset()
+
+
+def node_of(both: tuple[int, int], clashes: frozenset[int]) -> int:
+    """The node of a set: 64 bits of its digest, where these tell sets apart, else both halves mixed."""
+    a, b = both
+    if a not in clashes:
+        return a
+    return int(mix(np.array([a ^ 0x5BF03635, b], dtype=np.int64).view(U) * M1).sum(dtype=U).view(np.int64))
+
+
+def profiles(docs: DataFrame, n: int, percent: int, clashes: frozenset[int] = frozenset()) -> DataFrame:
+    """(doc_id, th, size, node, check, sketch) per row; ``node`` and ``check`` tell the 128-bit digest of its set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _parts(batches):
             sizes, ids, sketches = [], [], []
             for s in _sets(b.column(2), n):
                 sizes.append(len(s))
-                ids.append(digest(s))
+                ids.append((node_of(d := digest(s), clashes), d[1]))
                 sketches.append(parity(s, percent))
             yield pa.record_batch([b.column(0), b.column(1), pa.array(sizes, pa.int64()),
                                    pa.array([i for i, _ in ids], pa.int64()), pa.array([c for _, c in ids], pa.int64()),
@@ -148,7 +161,7 @@ def profiles(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, th bigint, size bigint, node bigint, check bigint, sketch binary")
 
 
-def values(docs: DataFrame, n: int, percent: int) -> DataFrame:
+def values(docs: DataFrame, n: int, percent: int, clashes: frozenset[int] = frozenset()) -> DataFrame:
     """(value, node): the join values of every set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _parts(batches):
@@ -157,7 +170,7 @@ def values(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 v = join_values(s, percent) if len(s) else s
                 found.append(v)
                 counts.append(len(v))
-                nodes.append(digest(s)[0])
+                nodes.append(node_of(digest(s), clashes))
             k = np.repeat(np.arange(len(nodes)), counts)
             pick = pa.array(k)
             yield pa.record_batch([pa.array(np.concatenate([*found, np.zeros(0, dtype=U)]).view(np.int64)),
@@ -166,14 +179,14 @@ def values(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return docs.mapInArrow(run, "value bigint, node bigint")
 
 
-def shared_values(docs: DataFrame, n: int, percent: int) -> DataFrame:
+def shared_values(docs: DataFrame, n: int, percent: int, clashes: frozenset[int] = frozenset()) -> DataFrame:
     """(value, node) of the values that several nodes share.  One
     shuffle by value; runs are read in order and single ones dropped.  Values
     that a sample shows to be very frequent skip that task and stay spread."""
-    few = values(docs.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(SAMPLE)) == 0), n, percent)
+    few = values(docs.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(SAMPLE)) == 0), n, percent, clashes)
     # at most (rows of the sample) / HOT values
     hot = materialize(few.groupBy("value").agg(F.count("*").alias("c")).where(F.col("c") >= HOT).select("value"), "hot")
-    every = values(docs, n, percent)
+    every = values(docs, n, percent, clashes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: pa.RecordBatch | None = None  # the row before this batch
@@ -306,14 +319,21 @@ def labelled(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataF
     """Per row of ``docs``: doc_id, th, n_shingles and the ``label`` of its component (empty sets: none of their own)."""
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key(F.col("text")).alias("th"),
                     F.coalesce("text", F.lit("")).alias("text"))
-    info = materialize(profiles(d, n, percent), "profiles")
-    rep = info.where("size > 0").groupBy("node").agg(
-        F.min("doc_id").alias("first"), F.min("check").alias("a"), F.max("check").alias("z"), F.max("size").alias("size"),
-        F.min_by("doc_id", "th").alias("doc_id"), F.min("th").alias("th"), F.first("sketch").alias("sketch"))
-    rep = materialize(rep, "nodes")
-    if rep.where("a <> z").limit(1).count():
-        raise RuntimeError("two sets share 64 bits of digest")
-    shared, shared_at = materialize(shared_values(d.select("doc_id", "th", "text"), n, percent), "shared-values", path=True)
+    clashes = START_CLASHES
+    while True:
+        info = materialize(profiles(d, n, percent, clashes), "profiles")
+        rep = info.where("size > 0").groupBy("node").agg(
+            F.min("doc_id").alias("first"), F.min("check").alias("a"), F.max("check").alias("z"), F.max("size").alias("size"),
+            F.min_by("doc_id", "th").alias("doc_id"), F.min("th").alias("th"), F.first("sketch").alias("sketch"))
+        rep = materialize(rep, "nodes")
+        # different sets of one 64-bit node: these few get nodes from all 128 bits
+        same = [r.node for r in rep.where("a <> z").select("node").limit(CLASHES + 1).collect()]
+        if not same:
+            break
+        if len(same) > CLASHES or clashes & set(same):
+            raise RuntimeError("digests of different sets are equal")
+        clashes |= frozenset(same)
+    shared, shared_at = materialize(shared_values(d.select("doc_id", "th", "text"), n, percent, clashes), "shared-values", path=True)
     nodes = attach(rep.select("node", "doc_id", "th"), shared.select("node").distinct(), "node", how="left_semi")
     twins = info.groupBy("doc_id", "th").agg(F.count("*").alias("c")).where("c > 1").limit(1).count()
     sets, sets_at = materialize(token_sets(d.dropDuplicates(["doc_id", "th"]) if twins else d, nodes, n),
@@ -347,14 +367,15 @@ def keep_one(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, one_per_
     found = labelled(docs, n, percent)
     times = found.where("n_shingles > 0").groupBy("label", "doc_id", "th").agg(F.count("*").alias("times"))
     best = times.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "times")).alias("b"))
-    keep = materialize(best.select("b.doc_id", F.col("b.th").alias("__th"), F.col("b.times").alias("__times")).unionAll(
+    keep = materialize(best.select("b.doc_id", "b.th", "b.times").unionAll(
         # below zero: rows that repeat an empty set all stay
-        found.where("n_shingles = 0").groupBy("doc_id", F.col("th").alias("__th")).agg(-F.count("*"))), "kept-ids")
-    out = attach(docs.withColumn("__th", text_key(F.col("text"))), keep, "doc_id", "__th", how="inner")
-    if keep.where("__times > 1").limit(1).count():
-        out = out.where("__times <= 1").unionAll(out.where("__times > 1").dropDuplicates(["doc_id", "__th"]))
-    out = out.drop("__th", "__times")
-    ids = keep.where("doc_id is not null").groupBy("doc_id").agg(F.sum(F.abs("__times")).alias("c"))
+        found.where("n_shingles = 0").groupBy("doc_id", "th").agg(-F.count("*"))), "kept-ids")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+                       docs["doc_id"].cast("bigint").alias("doc_id"), text_key(docs["text"]).alias("th"))
+    out = attach(rows, keep, "doc_id", "th", how="inner")
+    if keep.where("times > 1").limit(1).count():
+        out = out.where("times <= 1").unionAll(out.where("times > 1").dropDuplicates(["doc_id", "th"]))
+    ids = keep.where("doc_id is not null").groupBy("doc_id").agg(F.sum(F.abs("times")).alias("c"))
     if one_per_id and ids.where("c > 1").limit(1).count():
         out = out.where("doc_id is null").unionAll(out.where("doc_id is not null").dropDuplicates(["doc_id"]))
-    return out
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -5,9 +5,9 @@ with that speaker as the assistant and all others as named users, and with the
 character spans that a loss may be taken on (the assistant's own words and the
 end mark after them).
 
-A conversation is rendered in parts of at most ``PART_TURNS`` turn numbers, so
-an endless conversation never meets in one task; ordinary conversations are
-one part.  Spans are offsets into the part's text.
+A dialogue is rendered whole, as one row per participant.  ``part_turns`` is an
+option for dialogues that no row can hold: parts of so many turn numbers, each
+with spans that are offsets into the part's text.
 
 Defined cases: turns are ordered by turn number (null last), role and text;
 repeated rows are repeated turns; a null text is an empty turn; a null role is
@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 from .common import attach
 
-PART_TURNS = 64
 SYSTEM = "system"
 
 
@@ -34,11 +33,12 @@ def plain(text: Column) -> Column:
 
 
 def rotate(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
-           text: str = "text", part_turns: int = PART_TURNS) -> DataFrame:
+           text: str = "text", part_turns: int | None = None) -> DataFrame:
     """(conv_id, assistant, part, n_turns, rendered, mask_spans array of
     (start, end)) for every participant of every conversation."""
     name = F.coalesce(F.col(role), F.lit("unknown"))
-    rows = turns.select(F.col(conv).alias("conv_id"), F.floor(F.col(turn) / part_turns).alias("part"),
+    part = F.floor(F.col(turn) / part_turns) if part_turns else F.lit(0).cast("bigint")
+    rows = turns.select(F.col(conv).alias("conv_id"), part.alias("part"),
                         F.col(turn).alias("turn"), plain(name).alias("name"), plain(F.col(text)).alias("text"))
     people = (rows.where(F.col("name") != SYSTEM).groupBy("conv_id")
               .agg(F.array_sort(F.collect_set("name")).alias("people")))

@@ -38,31 +38,31 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("op4_unit_dedup", r"""
-WITH lines AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
-         unnest(range(len(string_split(text, chr(10))))) AS no, len(string_split(text, chr(10))) AS n
-  FROM documents WHERE text IS NOT NULL),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+cut AS (SELECT r, doc_id, text, string_split(regexp_replace(text, '([.!?][ \t]+|[。！？]|\n)', '\1' || chr(57344), 'g'), chr(57344)) AS p
+        FROM d WHERE text IS NOT NULL),
+units AS (SELECT r, doc_id, text, unnest(p) AS piece, unnest(range(len(p))) AS no, len(p) AS n FROM cut),
 placed AS (
-  SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY no
-             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS s,
-         regexp_extract_all(lower(line), '[^\x20\x09-\x0D]+') AS w FROM lines),
+  SELECT *, coalesce(sum(length(piece)) OVER (PARTITION BY r ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS s,
+    CASE WHEN no + 1 = n OR regexp_matches(piece, '[。！？]$') THEN piece WHEN ends_with(piece, chr(10)) THEN piece[:-2]
+         ELSE rtrim(piece, ' ' || chr(9)) END AS body FROM units),
+worded AS (SELECT *, regexp_extract_all(lower(body), '[^\x20\x09-\x0D]+') AS w FROM placed),
 ranked AS (
-  SELECT *, len(w) >= 8 AND row_number() OVER (PARTITION BY len(w) >= 8, array_to_string(w, ' ')
-             ORDER BY doc_id, no) > 1 AS gone FROM placed)
+  SELECT *, len(w) > 0 AND dense_rank() OVER (PARTITION BY len(w) > 0, array_to_string(w, ' ')
+             ORDER BY doc_id NULLS FIRST, text, no) > 1 AS gone FROM worded)
 SELECT d.doc_id, coalesce(max(n), 0)::BIGINT AS n_units, count(*) FILTER (gone)::BIGINT AS n_removed,
-  coalesce(string_agg(s || '-' || (s + length(line)), ',' ORDER BY no) FILTER (gone), '') AS removed_spans,
-  CASE WHEN max(no) IS NOT NULL THEN md5(coalesce(string_agg(line || CASE WHEN no + 1 < n THEN chr(10) ELSE '' END, ''
-       ORDER BY no) FILTER (NOT gone), '')) END AS kept_md5
-FROM documents d LEFT JOIN ranked r ON d.doc_id = r.doc_id GROUP BY d.doc_id""")
+  coalesce(string_agg(s || '-' || (s + length(body)), ',' ORDER BY no) FILTER (gone), '') AS removed_spans,
+  CASE WHEN max(no) IS NOT NULL THEN coalesce(string_agg(piece, '' ORDER BY no) FILTER (NOT gone), '') END AS kept_text
+FROM d LEFT JOIN ranked k ON d.r = k.r GROUP BY d.r, d.doc_id""")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = substring_units.drop_repeated_units(table(spark, sf_dir, "documents"))
+    out = substring_units.drop_repeated_units(table(spark, sf_dir, "documents"), unit="sentence")
     return out.select("doc_id", "n_units", F.size("removed").cast("bigint").alias("n_removed"),
-                      spans_text("removed").alias("removed_spans"), F.md5("kept_text").alias("kept_md5"))
+                      spans_text("removed").alias("removed_spans"), "kept_text")
 
 
 @register("op6_perspectives", r"""
 WITH t AS (
-  SELECT conv_id, floor(turn / 64)::BIGINT AS part, turn, replace(coalesce(role, 'unknown'), '<|', '< |') AS name,
+  SELECT conv_id, 0::BIGINT AS part, turn, replace(coalesce(role, 'unknown'), '<|', '< |') AS name,
          replace(coalesce(text, ''), '<|', '< |') AS text FROM conversations),
 p AS (SELECT DISTINCT conv_id, name AS assistant FROM t WHERE name <> 'system'),
 r AS (
@@ -84,27 +84,26 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op10_line_frequency", r"""
 WITH d AS (
-  SELECT doc_id, source AS host, coalesce(text, '') AS t,
+  SELECT row_number() OVER () AS r, doc_id, source AS host, coalesce(text, '') AS t,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
-win AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 1))) AS i FROM d),
-again AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i+1], w[i+2]) AS c
-          FROM win) WHERE c > 1),
-covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM again, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id),
-raw AS (SELECT doc_id, host, unnest(string_split(t, chr(10))) AS l FROM d),
-line AS (SELECT doc_id, host, l, regexp_extract_all(l, '[^\x20\x09-\x0D]+') AS lw,
+win AS (SELECT r, w, unnest(range(1, greatest(len(w) - 1, 1))) AS i FROM d),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i+1], w[i+2]) AS c FROM win) WHERE c > 1),
+covered AS (SELECT r, count(DISTINCT i + k) AS n FROM again, (SELECT unnest([0, 1, 2]) AS k) GROUP BY r),
+raw AS (SELECT r, host, t, unnest(string_split(t, chr(10))) AS l FROM d),
+line AS (SELECT r, host, t, l, regexp_extract_all(l, '[^\x20\x09-\x0D]+') AS lw,
          array_to_string(regexp_extract_all(lower(l), '[^\x20\x09-\x0D]+'), ' ') AS norm FROM raw
          WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
-dup AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM line GROUP BY doc_id),
-hosts AS (SELECT host, count(*) AS n FROM d GROUP BY host),
+dup AS (SELECT r, count(*) - count(DISTINCT l) AS n FROM line GROUP BY r),
+hosts AS (SELECT host, count(DISTINCT t) AS n FROM d GROUP BY host),
 often AS (SELECT l.host, l.norm FROM line l JOIN hosts h ON l.host IS NOT DISTINCT FROM h.host
-          GROUP BY l.host, l.norm, h.n HAVING count(DISTINCT doc_id) >= 50 AND count(DISTINCT doc_id) * 100 > h.n * 10),
-gone AS (SELECT l.doc_id, sum(len(lw))::BIGINT AS n FROM line l JOIN often o
-         ON l.host IS NOT DISTINCT FROM o.host AND l.norm = o.norm GROUP BY l.doc_id),
+          GROUP BY l.host, l.norm, h.n HAVING count(DISTINCT t) >= 3 AND count(DISTINCT t) * 100 > h.n * 2),
+gone AS (SELECT l.r, sum(len(lw))::BIGINT AS n FROM line l JOIN often o
+         ON l.host IS NOT DISTINCT FROM o.host AND l.norm = o.norm GROUP BY l.r),
 s AS (
   SELECT d.doc_id, len(w)::BIGINT AS n_words, length(translate(t, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), ''))::BIGINT AS word_chars,
     (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols, coalesce(dup.n, 0)::BIGINT AS n_dup_lines,
     coalesce(covered.n, 0)::BIGINT AS n_repeat_words, coalesce(gone.n, 0)::BIGINT AS n_line_words
-  FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN gone USING (doc_id))
+  FROM d LEFT JOIN covered USING (r) LEFT JOIN dup USING (r) LEFT JOIN gone USING (r))
 SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * n_line_words <= 50 * n_words AS kept FROM s""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,15 +114,16 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op7_bit_sliced_topk", r"""
 WITH v AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+a AS (SELECT DISTINCT vec_id, q FROM v WHERE vec_id % 50 = 0),
 s AS (
-  SELECT a.vec_id AS query_id, b.vec_id,
-         list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i]))::BIGINT AS score
-  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
-SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
+  SELECT a.vec_id AS query_id, a.q, b.vec_id, b.r,
+         list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i]::HUGEINT * b.q[i])) AS score
+  FROM a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+t AS (SELECT *, row_number() OVER (PARTITION BY query_id, q ORDER BY score DESC, vec_id, r)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score::BIGINT AS score FROM t WHERE rank <= 5""")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_sliced.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 

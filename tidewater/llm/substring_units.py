@@ -1,6 +1,7 @@
 """Substring dedup by line or paragraph hashing.
 
-Texts are cut into units (lines, or paragraphs between blank lines), units are
+Texts are cut into units (paragraphs between blank lines, lines, or lines cut
+again at sentence ends, which finds passages that were wrapped anew), units are
 normalised and digested, digests are grouped over the whole corpus, the
 earliest ranked occurrence stays and every other one is removed.  What is kept
 carries its offsets in the original text.
@@ -11,8 +12,8 @@ occur twice or more come back to their units, in a join that can be split when
 a unit stands in a third of all documents.  Texts are joined once, at the end,
 with the list of their removed units.
 
-Defined cases: units with fewer than ``min_words`` words are never removed;
-null texts have no units; rank is (doc_id, text digest, unit), null ids first;
+Defined cases: units without a word are never removed, nor are those of fewer
+than ``min_words`` words where that is asked for; null texts have no units; rank is (doc_id, text digest, unit), null ids first;
 rows that repeat (doc_id, text) are one document given twice, both keep or
 lose the same units; within a text the first of equal units stays.
 """
@@ -29,10 +30,10 @@ from pyspark.sql import functions as F
 
 from .common import attach, materialize, text_key
 
-#: Shorter units recur by chance and say nothing about copying.
-MIN_WORDS = 8
+MIN_WORDS = 1
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
-SEPARATOR = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n(?:[\x20\x09-\x0D]*\n)+")}
+SEPARATOR = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n(?:[\x20\x09-\x0D]*\n)+"),
+             "sentence": re.compile(r"(?<=[。！？])|(?<=[.!?])[ \t]+|\n")}
 
 SPAN = "struct<unit_no:int,start:bigint,end:bigint,first_doc:bigint,first_unit:int>"
 OUT = (f"doc_id bigint, n_units bigint, removed array<{SPAN}>, "
@@ -51,7 +52,7 @@ def cut(text: str, unit: str) -> list[tuple[int, int, int]]:
 def digest(unit: str, min_words: int) -> tuple[int, int] | None:
     """128 bits of the normalised unit (lower case, words joined by one space); None for short units."""
     found = WORDS.findall(unit.lower())
-    if len(found) < min_words:
+    if len(found) < max(min_words, 1):
         return None
     d = hashlib.blake2b(" ".join(found).encode(), digest_size=16).digest()
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)

@@ -321,17 +321,21 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", gr
 def strip_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "first", gram: int = GRAM) -> DataFrame:
     """``docs`` with the repeats cut from ``text``, all other columns as they
     are; a character that a cut splits goes, a null text stays null."""
-    spans = _span_lists(docs, length, keep, gram).withColumnsRenamed({"th": "__th", "spans": "__spans"})
-    d = attach(docs.withColumn("__th", text_key(F.col("text"))), spans, "doc_id", "__th").drop("__th")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].alias("doc_id"),
+                       text_key(docs["text"]).alias("th"))
+    d = attach(rows, _span_lists(docs, length, keep, gram), "doc_id", "th").select("row", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            row = b.column("row")
+            names = [f.name for f in row.type]
+            at = names.index("text")
+            columns = row.flatten()
             texts = [text.as_py() if not found.is_valid else
                      _without(text.as_py().encode(), _merged(found)).decode("utf-8", "ignore")
-                     for text, found in zip(b.column("text"), b.column("__spans"))]
-            rest = b.drop_columns(["__spans"])
-            at = rest.schema.get_field_index("text")
-            yield rest.set_column(at, rest.schema.field(at), pa.array(texts, rest.schema.field(at).type))
+                     for text, found in zip(columns[at], b.column("spans"))]
+            columns[at] = pa.array(texts, columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return d.mapInArrow(run, docs.schema)
 
