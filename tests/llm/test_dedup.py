@@ -212,25 +212,28 @@ def test_components(spark):
 @pytest.mark.parametrize("unit", ["line", "paragraph", "sentence"])
 def test_units(spark, edge_docs, edge_rows, no_docs, unit):
     sep = {"line": r"\n", "paragraph": r"\n(?:[ \t-\r]*\n)+", "sentence": r"(?<=[。！？])|(?<=[.!?])[ \t]+|\n"}[unit]
+    split = lambda t: re.split(sep, t)
     rows = sorted({(i, t) for i, t, *_ in edge_rows if t is not None}, key=lambda x: (x[0] is not None, x[0] or 0))
     extra = "first passage of eight words or some more\n\n\nsecond part of it that has many words too"
     docs = edge_docs.select("doc_id", "text").unionAll(spark.createDataFrame(
         [(500, extra), (501, extra.upper())], "doc_id bigint, text string"))
     seen, gone = set(), {}
     for i, t in [*rows, (500, extra), (501, extra.upper())]:
-        gone[i, t] = []
-        for no, u in enumerate(re.split(sep, t)):
-            w = tuple(re.findall(r"[^\x20\x09-\x0D]+", u.lower()))
+        gone[i, t], before = [], ""
+        for no, u in enumerate(split(t)):
+            w = " ".join(re.findall(r"[^\x20\x09-\x0D]+", u.lower()))
             if w:
-                if w in seen:
+                key = w if len(w.encode()) >= 40 else (before, w)
+                if key in seen:
                     gone[i, t].append(no)
-                seen.add(w)
+                seen.add(key)
+                before = w
     for r in substring_units.drop_repeated_units(docs, unit).collect():
         if r.kept_text is None:
             assert r.n_units == 0
             continue
         source = next(t for (i, t), g in gone.items() if i == r.doc_id and g == [x.unit_no for x in r.removed]
-                      and len(re.split(sep, t)) == r.n_units
+                      and len(split(t)) == r.n_units
                       and "".join(t[k.start:k.end] for k in r.kept) == r.kept_text)
         for x in r.removed:
             text = source[x.start:x.end]
@@ -239,13 +242,18 @@ def test_units(spark, edge_docs, edge_rows, no_docs, unit):
 
 
 def test_wrapped_passages_and_scripts_without_spaces(spark):
-    """A passage wrapped anew loses its repeated sentences; a copied paragraph without spaces goes too."""
+    """A passage wrapped anew goes whole, its short sentences too; so does a copied paragraph without spaces.
+    A short sentence or line that another text has elsewhere stays, unless asked for otherwise."""
     rng = random.Random(21)
-    sentences = [prose(rng, 12) + "." for _ in range(8)]
-    chinese = "天地玄黄宇宙洪荒。日月盈昃辰宿列张！"
-    rows = [(1, prose(rng, 20) + ". " + " ".join(sentences)), (2, "\n".join(sentences[1:7]) + "\n" + prose(rng, 9)),
-            (3, chinese + "寒来暑往"), (4, "秋收冬藏。" + chinese)]
-    got = {r.doc_id: r for r in substring_units.drop_repeated_units(
-        spark.createDataFrame(rows, "doc_id bigint, text string"), "sentence").collect()}
-    assert len(got[2].removed) == 6 and len(got[2].kept_text.split()) == 9 and got[1].kept_text == rows[0][1]
-    assert got[4].kept_text == "秋收冬藏。" and got[3].kept_text == rows[2][1]
+    sentences = [prose(rng, n) + "." for n in (12, 2, 12, 12, 1, 12, 12)]
+    chinese = "天地玄黄宇宙洪荒。日月盈昃辰宿列张！寒来暑往秋收冬藏闰余成岁律吕调阳云腾致雨露结为霜"
+    rows = [(1, prose(rng, 20) + ". " + " ".join(sentences)), (2, "\n".join(sentences) + "\n" + prose(rng, 9)),
+            (3, prose(rng, 9) + "\n" + chinese), (4, "剑号巨阙。" + chinese),
+            (5, prose(rng, 12) + ". Yes. " + prose(rng, 12) + "."), (6, prose(rng, 12) + ".\nYES.\n" + prose(rng, 12))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in substring_units.drop_repeated_units(df, "sentence").collect()}
+    assert len(got[2].removed) == 7 and len(got[2].kept_text.split()) == 9 and got[1].kept_text == rows[0][1]
+    assert got[4].kept_text == "剑号巨阙。天地玄黄宇宙洪荒。" and got[3].kept_text == rows[2][1]
+    assert got[5].kept_text == rows[4][1] and got[6].kept_text == rows[5][1]
+    alone = {r.doc_id: r for r in substring_units.drop_repeated_units(df, "sentence", short=0).collect()}
+    assert len(alone[6].removed) == 1 and alone[4].kept_text == "剑号巨阙。"

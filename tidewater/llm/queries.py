@@ -46,14 +46,15 @@ placed AS (
   SELECT *, coalesce(sum(length(piece)) OVER (PARTITION BY r ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS s,
     CASE WHEN no + 1 = n OR regexp_matches(piece, '[。！？]$') THEN piece WHEN ends_with(piece, chr(10)) THEN piece[:-2]
          ELSE rtrim(piece, ' ' || chr(9)) END AS body FROM units),
-worded AS (SELECT *, regexp_extract_all(lower(body), '[^\x20\x09-\x0D]+') AS w FROM placed),
-ranked AS (
-  SELECT *, len(w) > 0 AND dense_rank() OVER (PARTITION BY len(w) > 0, array_to_string(w, ' ')
-             ORDER BY doc_id NULLS FIRST, text, no) > 1 AS gone FROM worded)
+worded AS (SELECT *, array_to_string(regexp_extract_all(lower(body), '[^\x20\x09-\x0D]+'), ' ') AS norm FROM placed),
+keyed AS (SELECT r, no, doc_id, text, CASE WHEN strlen(norm) >= 40 THEN norm
+  ELSE coalesce(lag(norm) OVER (PARTITION BY r ORDER BY no), '') || chr(10) || norm END AS key FROM worded WHERE norm <> ''),
+ranked AS (SELECT r, no, dense_rank() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, text, no) > 1 AS gone FROM keyed),
+told AS (SELECT w.*, coalesce(gone, false) AS gone FROM worded w LEFT JOIN ranked k ON k.r = w.r AND k.no = w.no)
 SELECT d.doc_id, coalesce(max(n), 0)::BIGINT AS n_units, count(*) FILTER (gone)::BIGINT AS n_removed,
   coalesce(string_agg(s || '-' || (s + length(body)), ',' ORDER BY no) FILTER (gone), '') AS removed_spans,
   CASE WHEN max(no) IS NOT NULL THEN coalesce(string_agg(piece, '' ORDER BY no) FILTER (NOT gone), '') END AS kept_text
-FROM d LEFT JOIN ranked k ON d.r = k.r GROUP BY d.r, d.doc_id""")
+FROM d LEFT JOIN told k ON d.r = k.r GROUP BY d.r, d.doc_id""")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_units.drop_repeated_units(table(spark, sf_dir, "documents"), unit="sentence")
     return out.select("doc_id", "n_units", F.size("removed").cast("bigint").alias("n_removed"),

@@ -6,6 +6,11 @@ normalised and digested, digests are grouped over the whole corpus, the
 earliest ranked occurrence stays and every other one is removed.  What is kept
 carries its offsets in the original text.
 
+A unit of few bytes ("yes.") recurs by chance, more often the larger the corpus,
+and says nothing about copying; its digest covers the unit before it as well.
+So every unit that holds a word is digested, short ones go with the passage
+they are copied in, and clean texts keep theirs.
+
 Shape: the scan makes one row per unit with a 128-bit digest and no text; the
 earliest rank is a map-side combined ``min`` per digest; only digests that
 occur twice or more come back to their units, in a join that can be split when
@@ -13,7 +18,8 @@ a unit stands in a third of all documents.  Texts are joined once, at the end,
 with the list of their removed units.
 
 Defined cases: units without a word are never removed, nor are those of fewer
-than ``min_words`` words where that is asked for; null texts have no units; rank is (doc_id, text digest, unit), null ids first;
+than ``min_words`` words where that is asked for; a short unit that begins a
+text is compared with such beginnings; null texts have no units; rank is (doc_id, text digest, unit), null ids first;
 rows that repeat (doc_id, text) are one document given twice, both keep or
 lose the same units; within a text the first of equal units stays.
 """
@@ -34,6 +40,8 @@ MIN_WORDS = 1
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 SEPARATOR = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n(?:[\x20\x09-\x0D]*\n)+"),
              "sentence": re.compile(r"(?<=[。！？])|(?<=[.!?])[ \t]+|\n")}
+#: Normalised units of fewer bytes are digested with the one before them.
+SHORT = 40
 
 SPAN = "struct<unit_no:int,start:bigint,end:bigint,first_doc:bigint,first_unit:int>"
 OUT = (f"doc_id bigint, n_units bigint, removed array<{SPAN}>, "
@@ -49,17 +57,29 @@ def cut(text: str, unit: str) -> list[tuple[int, int, int]]:
     return [*out, (at, len(text), len(text))]
 
 
-def digest(unit: str, min_words: int) -> tuple[int, int] | None:
-    """128 bits of the normalised unit (lower case, words joined by one space); None for short units."""
+def normal(unit: str, min_words: int = MIN_WORDS) -> str:
+    """Lower case, words joined by one space; empty for units that are never removed."""
     found = WORDS.findall(unit.lower())
-    if len(found) < max(min_words, 1):
-        return None
-    d = hashlib.blake2b(" ".join(found).encode(), digest_size=16).digest()
+    return " ".join(found) if len(found) >= max(min_words, 1) else ""
+
+
+def digest(key: str) -> tuple[int, int]:
+    """128 bits."""
+    d = hashlib.blake2b(key.encode(), digest_size=16).digest()
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
-def units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, th, unit_no, h1, h2) of every unit that is long enough."""
+def keys(text: str, unit: str, min_words: int = MIN_WORDS, short: int = SHORT) -> Iterator[tuple[int, str]]:
+    """(unit number, what is digested) of the units of a text."""
+    before = ""
+    for no, (s, e, _) in enumerate(cut(text, unit)):
+        if key := normal(text[s:e], min_words):
+            yield no, key if len(key.encode()) >= short else f"{before}\n{key}"
+            before = key
+
+
+def units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, short: int = SHORT) -> DataFrame:
+    """(doc_id, th, unit_no, h1, h2) of every unit with a word."""
     schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("unit_no", pa.int32()),
                         ("h1", pa.int64()), ("h2", pa.int64())])
 
@@ -67,9 +87,7 @@ def units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> Da
         for b in batches:
             rows: list[tuple] = []
             for i, th, text in zip(*(c.to_pylist() for c in b.columns)):
-                for no, (s, e, _) in enumerate(cut(text, unit)):
-                    if d := digest(text[s:e], min_words):
-                        rows.append((i, th, no, *d))
+                rows += [(i, th, no, *digest(key)) for no, key in keys(text, unit, min_words, short)]
             cols = list(zip(*rows)) or [()] * 5
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
@@ -77,10 +95,10 @@ def units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> Da
             .mapInArrow(run, "doc_id bigint, th bigint, unit_no int, h1 bigint, h2 bigint"))
 
 
-def later_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
+def later_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, short: int = SHORT) -> DataFrame:
     """(doc_id, th, unit_no, first_doc, first_unit): every unit that an equal
     unit of an earlier rank makes redundant."""
-    u = materialize(units(docs, unit, min_words), "units")
+    u = materialize(units(docs, unit, min_words, short), "units")
     rank = F.struct("doc_id", "th", "unit_no")
     # written first: a join of two stored tables can be split where a unit is hot
     first = materialize(u.groupBy("h1", "h2").agg(F.min(rank).alias("a"), F.max(rank).alias("z"))
@@ -90,11 +108,11 @@ def later_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS)
                     F.col("a.unit_no").alias("first_unit")))
 
 
-def drop_repeated_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
+def drop_repeated_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, short: int = SHORT) -> DataFrame:
     """Per row of ``docs``: doc_id, n_units, ``removed`` (unit_no, start, end,
     first_doc, first_unit), ``kept`` (place in the kept text, original start
     and end) and ``kept_text``."""
-    gone = (later_units(docs, unit, min_words).groupBy("doc_id", "th")
+    gone = (later_units(docs, unit, min_words, short).groupBy("doc_id", "th")
             .agg(F.collect_set(F.struct("unit_no", "first_doc", "first_unit")).alias("gone")))
     d = docs.select("doc_id", "text", text_key(F.col("text")).alias("th"))
 
