@@ -19,5 +19,5 @@ def test_contract(spark):
     assert {"stt", "edt", "uv_ct", "pv_ct"} <= set(df.columns)
     q, o = ({k: v for k, v in x.items() if not k.startswith(("op", "pipeline"))}
             for x in (m.queries(), m.oracle_sql()))
-    assert len(q) >= 84 and set(o) <= set(q)
-    assert set(q) - set(o) == {"car_count_approx"}
+    assert len(q) >= 89 and set(o) <= set(q)
+    assert set(q) == set(o)

@@ -132,13 +132,18 @@ class NewFlagRepair(StatefulProcessor):
             for pdf in rows:
                 yield pdf.assign(is_new=pdf["is_new"].where(pdf["is_new"] != "1", "0"))
             return
-        pdf = _concat(rows).sort_values("seq", kind="stable")
-        ones = pdf["is_new"] == "1"
-        if ones.any():
-            first = ones.idxmax()
-            pdf.loc[ones & (pdf.index != first), "is_new"] = "0"
+        first = None  # the earliest flagged row so far; all others can go out
+        for pdf in rows:
+            ones = pdf["is_new"] == "1"
+            yield pdf[~ones]
+            held = pdf[ones] if first is None else pd.concat([first, pdf[ones]], ignore_index=True)
+            if len(held):
+                held = held.sort_values("seq", kind="stable")
+                first = held.iloc[:1]
+                yield held.iloc[1:].assign(is_new="0")
+        if first is not None:
             self.seen.update((True,))
-        yield pdf
+            yield first
 
     def close(self) -> None:
         pass
