@@ -154,7 +154,24 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return complement_packing.pack(table(spark, sf_dir, "documents"))
 
 
-@register("op2_suffix_array_dedup")
+@register("op2_suffix_array_dedup", r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS h FROM documents),
+owner AS (SELECT min(r) AS r, doc_id, text, h, length(h) // 2 AS n FROM d GROUP BY doc_id, text, h),
+w AS (SELECT r, pos, hash(substr(h, 2 * pos + 1, 400)) AS k FROM (
+  SELECT r, h, unnest(range(greatest(n - 199, 0))) AS pos FROM owner)),
+again AS (SELECT r, pos FROM w SEMI JOIN (SELECT k FROM w GROUP BY k HAVING count(*) > 1) USING (k)),
+near AS (SELECT *, pos > lag(pos) OVER (PARTITION BY r ORDER BY pos) + 200 IS NOT FALSE AS fresh FROM again),
+runs AS (SELECT r, min(pos) AS s, max(pos) + 200 AS e FROM (
+  SELECT r, pos, sum(fresh::INT) OVER (PARTITION BY r ORDER BY pos ROWS UNBOUNDED PRECEDING) AS g FROM near) GROUP BY r, g),
+keep AS (
+  SELECT o.r, coalesce(lag(e) OVER x, 0) AS a, s AS z FROM owner o JOIN runs ON runs.r = o.r WINDOW x AS (PARTITION BY o.r ORDER BY s)
+  UNION ALL SELECT o.r, coalesce(max(e), 0), any_value(n) FROM owner o LEFT JOIN runs ON runs.r = o.r GROUP BY o.r),
+kept AS (SELECT k.r, string_agg(substr(h, 2 * a + 1, 2 * (z - a)), '' ORDER BY a) AS h FROM keep k JOIN owner o ON o.r = k.r GROUP BY k.r),
+told AS (
+  SELECT o.doc_id, o.text, n, (SELECT count(*) FROM runs WHERE runs.r = o.r) AS spans, k.h FROM owner o JOIN kept k ON k.r = o.r)
+SELECT d.doc_id, n::BIGINT AS n_bytes, (n - length(t.h) // 2)::BIGINT AS n_removed, spans::BIGINT AS n_spans, sha256(unhex(t.h)) AS kept_sha256
+FROM d JOIN told t ON d.doc_id IS NOT DISTINCT FROM t.doc_id AND d.text = t.text""")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), suffix_dedup.LENGTH, keep="none")
     return out.select(
@@ -162,7 +179,24 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@register("op8_parity_sketch_join")
+@register("op8_parity_sketch_join", r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT r, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 3], ' ') END AS s
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n, md5(string_agg(s, chr(10) ORDER BY s)) AS k FROM sh GROUP BY r),
+node AS (SELECT k, min(r) AS r, any_value(n) AS n FROM n GROUP BY k),
+one AS MATERIALIZED (SELECT sh.r, s FROM sh JOIN node ON sh.r = node.r),
+pairs AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM one a JOIN one b ON a.s = b.s AND a.r < b.r GROUP BY a.r, b.r),
+links AS (SELECT x, y FROM pairs JOIN node a ON a.r = x JOIN node b ON b.r = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(x, y) AS (SELECT r, r FROM node UNION SELECT reach.x, ways.y FROM reach JOIN ways ON reach.y = ways.x),
+ids AS (SELECT n.r, node.r AS node, doc_id FROM n JOIN node ON n.k = node.k JOIN d ON d.r = n.r),
+least AS (SELECT reach.x AS node, min(doc_id) AS c FROM reach JOIN ids ON ids.node = reach.y GROUP BY reach.x)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, CASE WHEN n.n IS NULL THEN d.doc_id ELSE least.c END AS component_id
+FROM d LEFT JOIN n ON n.r = d.r LEFT JOIN ids ON ids.r = d.r LEFT JOIN least ON least.node = ids.node""")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = parity_join.near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=85)
     return out.select("doc_id", "n_shingles", "component_id")
