@@ -352,6 +352,13 @@ def table_process(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt to all cores where a scan has fewer splits than there are cores (a small table in one file)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if splits < cores else df
+
+
 # the shop's tables as changes: facts keep the first image, dimensions are upserted by their key
 SHOP_FACTS = {
     "order_info": order_info, "order_detail": order_detail, "payment_info": payment_info, "favor_info": favor_info,
@@ -367,6 +374,8 @@ SHOP_KEYS = {"base_category3": "category3_id"}   # key column other than the def
 def shop_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A shop table as the source database holds it."""
     d = {**SHOP_FACTS, **SHOP_DIMS}[name](spark, sf_dir).drop("create_ts")
+    if name in SHOP_FACTS:
+        d = spread(d)
     return d.withColumnRenamed("id", SHOP_KEYS[name]) if name in SHOP_KEYS else d
 
 

@@ -288,14 +288,15 @@ def dwd(spark, sf, tables: tuple[str, ...]):
     dimension.  Returns a reader of either by source table name."""
     config = FX.shop_process(spark, sf, tables)
     changes = drop_deletes(normalize_changes(FX.shop_changes(spark, sf, tables)))
+    rules = config.collect()  # configuration rows
     # each layer reads the changes of its own tables
-    routed = {kind: route(changes.where(F.col("table_name").isin([r[0] for r in config.where(
-        F.col("sink_type") == kind).select("source_table").distinct().collect()])), config) for kind in (SINK_FACT, SINK_DIM)}
+    routed = {kind: route(changes.where(F.col("table_name").isin(sorted({c["source_table"] for c in rules if c["sink_type"] == kind}))),
+                          config) for kind in (SINK_FACT, SINK_DIM)}
     base = scratch_path(spark, "dwd")
     K.write_routed(routed[SINK_FACT].select(
         "sink_table", F.to_json("after").alias("value"), "seq"), f"{base}/topics", keep=("seq",))
-    dims = {c["sink_table"]: (c["sink_columns"].split(","), c["sink_pk"] or "id", c["source_table"])  # configuration rows
-            for c in config.where((F.col("sink_type") == SINK_DIM) & (F.col("operate_type") == "insert")).collect()}
+    dims = {c["sink_table"]: (c["sink_columns"].split(","), c["sink_pk"] or "id", c["source_table"])
+            for c in rules if c["sink_type"] == SINK_DIM and c["operate_type"] == "insert"}
     for t, (cols, pk, _) in dims.items():
         R.create(spark, f"{base}/dim/{t}", cols, [pk])
     R.upsert_many(routed[SINK_DIM], f"{base}/dim", {t: d[:2] for t, d in dims.items()})

@@ -68,7 +68,8 @@ def parse_car_lines(lines: DataFrame, value_col: str = "value", keep: tuple[str,
     names = [f.name for f in CAR_INFO.fields]
     cols = [trimmed(F.get(parts, i)).alias(n) for i, n in enumerate(names[:-1])]
     speed = trimmed(F.get(parts, len(names) - 1)).try_cast("double").alias("speed")
-    return lines.select(*keep, *cols, speed)
+    # inlined from a one-element array: a line is cut once, however often its fields are used further on
+    return lines.select(*keep, F.inline(F.array(F.struct(*cols, speed))))
 
 
 def parse_csv_lines(lines: DataFrame, schema: T.StructType, value_col: str = "value",
