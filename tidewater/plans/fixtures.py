@@ -2,7 +2,7 @@
 
 Every view is a pure DataFrame derivation of the given parquet tables, so its
 size grows with them; the same definitions are written in DuckDB SQL in
-``plans/oracle.py``.  Modulo expressions below *generate attribute values*
+``plans/oracle_views.py``.  Modulo expressions below *generate attribute values*
 (channel, item type, number of displays ...); none of them samples rows.
 """
 
