@@ -41,6 +41,8 @@ SCALE = 1_000_000
 SHARD_BYTES = 8 << 20
 #: Paths of a prefix range, about; most ranges; documents that the bounds are taken from.
 RANGE_WORDS, MAX_RANGES, SAMPLE_DOCS = 1_000_000, 1 << 16, 4096
+#: Parts of a language that are ranked by themselves before the language is.
+RANK_PARTS = 64
 #: Of the sampled documents every so many words give a path.
 SAMPLE_STEP = 16
 
@@ -215,7 +217,11 @@ def collocations(docs: DataFrame, lang: str = "lang", min_count: int = MIN_COUNT
                    " div (cast(l as decimal(18,0)) * cast(r as decimal(18,0)))")
     cuts = cuts.withColumn("score", score)
     best = cuts.groupBy("lang", "phrase", "a").agg(F.min_by(F.struct("l", "r", "score"), F.struct("score", "k")).alias("x"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = (best.select("lang", "phrase", "a", "x.l", "x.r", "x.score")
-              .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top))
+    # first within hashed parts of a language: what meets in one task is bounded, however many tasks bring rows
+    best = best.select("lang", "phrase", "a", "x.l", "x.r", "x.score").withColumn(
+        "part", F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS)))
+    by_rank = [F.desc("score"), F.desc("a"), "phrase"]
+    for keys in (("lang", "part"), ("lang",)):
+        best = best.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*by_rank))).where(F.col("rank") <= top)
+    ranked = best.drop("part")
     return ranked.join(n, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
