@@ -99,15 +99,19 @@ def plain_components(rows, n, percent):
             x = parent[x]
         return x
 
+    partners = [set() for _ in rows]
     for a in range(len(rows)):
         for b in range(a):
             s, t = sets[a][1], sets[b][1]
             if s and t and 100 * len(s & t) >= percent * len(s | t):
                 parent[find(a)] = find(b)
+                if rows[a] != rows[b]:  # else one document given twice
+                    partners[a].add(rows[b])
+                    partners[b].add(rows[a])
     out = []
     for k, (i, s) in enumerate(sets):
         ids = [sets[j][0] for j in range(len(rows)) if find(j) == find(k) and sets[j][0] is not None]
-        out.append((i, len(s), min(ids, default=None) if s else i))
+        out.append((i, len(s), min(ids, default=None) if s else i, len(partners[k])))
     return Counter(out)
 
 
@@ -126,13 +130,16 @@ def near_copies(rng, n_base):
 @pytest.mark.parametrize("n,percent,block", [(4, 85, 1024), (5, 80, 3)])
 def test_near_duplicates(spark, monkeypatch, edge_rows, n, percent, block):
     monkeypatch.setattr(parity_join, "BLOCK", block)
-    if block == 3:  # every value counts as hot
+    if block == 3:  # every value counts as hot, links are counted in bands of blocks
+        monkeypatch.setattr(parity_join, "LINK_BLOCK", 3)
+        monkeypatch.setattr(parity_join, "COLUMNS", 7)
         monkeypatch.setattr(parity_join, "SAMPLE", 1)
         monkeypatch.setattr(parity_join, "HOT", 3)
     rows = near_copies(random.Random(n), 60)
     rows += [(1000 + (i or 0) if i is not None else None, t) for i, t, *_ in edge_rows]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
-    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in parity_join.near_duplicates(df, n, percent).collect())
+    got = Counter((r.doc_id, r.n_shingles, r.component_id, r.n_links)
+                  for r in parity_join.near_duplicates(df, n, percent).collect())
     assert got == plain_components(rows, n, percent)
 
 
@@ -156,6 +163,35 @@ def test_sketches_bound_the_difference():
                 assert differ == 0 or np.intersect1d(va, vb).size
 
 
+def test_intersections(monkeypatch):
+    monkeypatch.setattr(parity_join, "COLUMNS", 16)
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(-50, 50, int(rng.integers(1, 60)))) for _ in range(25)]
+    left, right = np.arange(25)[::2], np.arange(25)[1::2]
+    got = parity_join.intersections(sets, left, right)
+    assert got.tolist() == [[len(np.intersect1d(sets[a], sets[b])) for b in right] for a in left]
+    apart = [np.array([k]) for k in range(4)]
+    assert not parity_join.intersections(apart, np.arange(2), np.arange(2, 4)).any()
+
+
+def test_links_of_a_dense_group(spark, monkeypatch):
+    """A third of the rows in one group of edited copies, counted in blocks of sizes; copies count as documents."""
+    monkeypatch.setattr(parity_join, "LINK_BLOCK", 16)
+    rng = random.Random(17)
+    words = prose(rng, 60).split(" ")
+    rows = []
+    for k in range(120):
+        w = list(words)
+        for _ in range(rng.randrange(3)):
+            w[rng.randrange(len(w))] = rng.choice(["neu", "ALT"])
+        rows.append((k, " ".join(w + ["end"] * rng.randrange(12))))
+    rows += [(200 + k, prose(rng, 40)) for k in range(240)] + rows[:5]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id, r.n_links)
+                  for r in parity_join.near_duplicates(df, 4, 85).collect())
+    assert got == plain_components(rows, 4, 85)
+
+
 def test_keep_one(spark, edge_docs, no_docs):
     out = parity_join.keep_one(edge_docs)
     ids = [r.doc_id for r in out.collect()]

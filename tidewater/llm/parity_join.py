@@ -23,6 +23,11 @@ exact sets decide the rest.  Parts that very many nodes share are
 compared in blocks, so no task holds more than two blocks.  No link is lost;
 none is taken on hashes of sets alone.
 
+Number of links.  All links of a node lie in its component, so they are counted
+there: nodes of linkable sizes meet in blocks, each task multiplies the
+incidence matrices of two blocks (node by shingle) and adds up, per node, the
+documents of the nodes it links with.  Counts leave a task, never pairs.
+
 Defined cases: null and empty texts have the empty set, which links with
 nothing; fewer words than a shingle are one shingle; ids may be null or
 repeat: rows that repeat (doc_id, text) get equal rows; a component's id is
@@ -49,6 +54,8 @@ SHINGLE, PERCENT = 5, 80
 SKETCH, ROOM = 1024, 3
 #: Nodes of one part that are compared as one block.
 BLOCK = 1024
+#: Nodes, and tokens of their sets, of one block in which links are counted, and shingles multiplied at once.
+LINK_BLOCK, LINK_TOKENS, COLUMNS = 2048, 1 << 20, 2048
 #: A part value is spread at once if 1 in SAMPLE nodes brings it this often.
 SAMPLE, HOT = 1024, 64
 
@@ -315,8 +322,103 @@ def cross_pairs(shared: DataFrame, info: DataFrame, labels: DataFrame, percent:
             .mapInArrow(run, "x bigint, y bigint").distinct())
 
 
-def labelled(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Per row of ``docs``: doc_id, th, n_shingles and the ``label`` of its component (empty sets: none of their own)."""
+def intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the left sets (rows) with the right ones."""
+    flat, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, times = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = times > 1
+    number = np.cumsum(shared) - 1
+    keep = shared[column]
+    column, row = number[column[keep]], row[keep]
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    out = np.zeros((len(left), len(right)))
+    for c in range(0, int(shared.sum()), COLUMNS):
+        s, e = np.searchsorted(column, [c, c + COLUMNS])
+        part = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        part[row[s:e], column[s:e] - c] = 1
+        out += part[left] @ part[right].T
+    return out
+
+
+def link_counts(labels: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, links): the documents of the other nodes that each node of a
+    component links with, from ``nodes`` (node, size, copies)."""
+    # sets that link lie in one band of sizes or in adjacent ones
+    band = F.floor(F.log("size") / (np.log(100 / percent) + 0.001 if percent < 100 else 1.0)).cast("int")
+    rows = labels.select("node", "label").join(nodes, "node").withColumn("band", band)
+    load = F.greatest(F.ceil(F.col("c") / LINK_BLOCK), F.ceil(F.col("t") / LINK_TOKENS)).cast("int")
+    cells = materialize(rows.groupBy("label", "band").agg(F.count("*").alias("c"), F.sum("size").alias("t"))
+                        .select("label", "band", "c", "t", load.alias("blocks")), "link-cells")
+    small = cells.groupBy("label").agg(F.sum("c").alias("c"), F.sum("t").alias("t")).where(load == 1).select(
+        "label", F.lit(True).alias("small"))
+    # bands of one component number at most the logarithm of its largest set
+    above = cells.select("label", (F.col("band") - 1).alias("band"), F.col("blocks").alias("up"))
+    below = cells.select("label", (F.col("band") + 1).alias("band"), F.col("blocks").alias("down"))
+    plan = materialize(cells.join(small, "label", "left").join(above, ["label", "band"], "left")
+                       .join(below, ["label", "band"], "left").drop("c", "t"), "link-plan")
+    rows = rows.join(plan, ["label", "band"])
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+
+    def cell(low, i, j, two, side):
+        return F.struct(low.alias("low"), i.alias("i"), j.alias("j"), F.lit(two).alias("two"), F.lit(side).alias("side"))
+
+    def upto(count):
+        return F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+
+    b = F.col("band")
+    within = F.transform(upto(F.col("blocks")), lambda k: F.struct(
+        b.alias("low"), F.least("own", k).alias("i"), F.greatest("own", k).alias("j"), F.lit(False).alias("two"),
+        (F.col("own") > k).alias("side")))
+    upper = F.transform(upto(F.col("up")), lambda k: cell(b, F.col("own"), k, True, False))
+    lower = F.transform(upto(F.col("down")), lambda k: cell(b - 1, k, F.col("own"), True, True))
+    alone = F.array(cell(F.lit(0), F.lit(0), F.lit(0), False, False))
+    rows = rows.withColumn("own", own).select(
+        "label", "node", "size", "copies", F.explode(F.when(F.col("small"), alone).otherwise(
+            F.concat(within, upper, lower))).alias("at")).select("label", "at.*", "node", "size", "copies")
+    keys = ["label", "low", "i", "j", "two"]
+
+    def count(t: pa.Table) -> pa.RecordBatch:
+        node, size, copies = (t.column(x).to_numpy() for x in ("node", "size", "copies"))
+        far = t.column("side").to_numpy(zero_copy_only=False)
+        same = not t.column("two")[0].as_py() and t.column("i")[0].as_py() == t.column("j")[0].as_py()
+        left = np.arange(len(node)) if same else np.flatnonzero(~far)
+        right = left if same else np.flatnonzero(far)
+        tokens = [x.values.to_numpy() for x in t.column("tokens")]
+        both = intersections(tokens, left, right)
+        link = 100 * both >= percent * (size[left][:, None] + size[right][None, :] - both)
+        if same:
+            np.fill_diagonal(link, False)
+        found = np.zeros(len(node), dtype=np.int64)
+        found[left] += link @ copies[right]
+        if not same:
+            found[right] += link.T @ copies[left]
+        return pa.record_batch([pa.array(node), pa.array(found)], names=["node", "links"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        last = None
+        for batch in batches:
+            columns = [batch.column(x).to_numpy(zero_copy_only=False) for x in keys]
+            heads = np.flatnonzero(np.logical_or.reduce([np.concatenate([[True], c[1:] != c[:-1]]) for c in columns]))
+            for s, e in zip(heads.tolist(), [*heads[1:].tolist(), batch.num_rows]):
+                key = tuple(c[s] for c in columns)
+                if key != last and held:
+                    yield count(pa.concat_tables(held).combine_chunks())
+                    held = []
+                last = key
+                held.append(pa.Table.from_batches([batch.slice(s, e - s)]))
+        if held:
+            yield count(pa.concat_tables(held).combine_chunks())
+
+    parts = (rows.join(sets, "node").repartition(*keys).sortWithinPartitions(*keys)
+             .select(*keys, "side", "node", "size", "copies", "tokens").mapInArrow(run, "node bigint, links bigint"))
+    return parts.groupBy("node").agg(F.sum("links").alias("links"))
+
+
+def labelled(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, links: bool = False) -> DataFrame:
+    """Per row of ``docs``: doc_id, th, n_shingles and the ``label`` of its component (empty sets: none of
+    their own); with ``links`` also n_links, the number of other documents it links with."""
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key(F.col("text")).alias("th"),
                     F.coalesce("text", F.lit("")).alias("text"))
     clashes = START_CLASHES
@@ -339,24 +441,32 @@ def labelled(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataF
     sets, sets_at = materialize(token_sets(d.dropDuplicates(["doc_id", "th"]) if twins else d, nodes, n),
                                 "token-sets", path=True)
     likely = materialize(plausible(pivot_pairs(shared), rep, percent), "pivot-pairs")
-    links = materialize(verified(likely, sets, percent), "pivot-links")
-    labels = components(links)
+    found = materialize(verified(likely, sets, percent), "pivot-links")
+    labels = components(found)
     more = materialize(verified(cross_pairs(shared, rep, labels, percent), sets, percent), "cross-links")
-    for folder in (shared_at, sets_at):
-        discard(docs.sparkSession, folder)
+    discard(docs.sparkSession, shared_at)
     if more.limit(1).count():
-        labels = components(links.unionAll(more))
-    return info.join(labels, "node", "left").select(
-        "doc_id", "th", F.col("size").alias("n_shingles"), F.coalesce("label", "node").alias("label"))
+        labels = components(found.unionAll(more))
+    told = info.join(labels, "node", "left")
+    if links:
+        texts = info.where("size > 0").select("node", "size", "doc_id", "th")
+        copies = materialize((texts.distinct() if twins else texts).groupBy("node").agg(
+            F.first("size").alias("size"), F.count("*").alias("copies")), "copies")
+        counts = materialize(link_counts(labels, copies, sets, percent), "link-counts")
+        told = told.join(copies.drop("size"), "node", "left").join(counts, "node", "left").withColumn(
+            "n_links", F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("links", F.lit(0)))
+    discard(docs.sparkSession, sets_at)
+    return told.select("doc_id", "th", F.col("size").alias("n_shingles"), F.coalesce("label", "node").alias("label"),
+                       *(["n_links"] if links else []))
 
 
 def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Per row of ``docs``: doc_id, th, n_shingles, component_id."""
-    label = labelled(docs, n, percent)
+    """Per row of ``docs``: doc_id, th, n_shingles, component_id, n_links (other documents it links with)."""
+    label = labelled(docs, n, percent, links=True)
     least = materialize(label.where("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("least")), "least-ids")
     out = label.join(least, "label", "left")
     return out.select("doc_id", "th", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least"))
-                      .otherwise(F.col("doc_id")).alias("component_id"))
+                      .otherwise(F.col("doc_id")).alias("component_id"), "n_links")
 
 
 def keep_one(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, one_per_id: bool = True) -> DataFrame:

@@ -181,7 +181,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op8_parity_sketch_join", r"""
 WITH RECURSIVE d AS (
-  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+  SELECT row_number() OVER () AS r, doc_id, text, regexp_extract_all(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 sh AS (
   SELECT DISTINCT r, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 3], ' ') END AS s
@@ -194,12 +194,19 @@ links AS (SELECT x, y FROM pairs JOIN node a ON a.r = x JOIN node b ON b.r = y W
 ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
 reach(x, y) AS (SELECT r, r FROM node UNION SELECT reach.x, ways.y FROM reach JOIN ways ON reach.y = ways.x),
 ids AS (SELECT n.r, node.r AS node, doc_id FROM n JOIN node ON n.k = node.k JOIN d ON d.r = n.r),
-least AS (SELECT reach.x AS node, min(doc_id) AS c FROM reach JOIN ids ON ids.node = reach.y GROUP BY reach.x)
-SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, CASE WHEN n.n IS NULL THEN d.doc_id ELSE least.c END AS component_id
-FROM d LEFT JOIN n ON n.r = d.r LEFT JOIN ids ON ids.r = d.r LEFT JOIN least ON least.node = ids.node""")
+least AS (SELECT reach.x AS node, min(doc_id) AS c FROM reach JOIN ids ON ids.node = reach.y GROUP BY reach.x),
+copies AS (
+  SELECT node, count(*) AS c FROM (SELECT DISTINCT node, d.doc_id, text FROM ids JOIN d ON d.r = ids.r) GROUP BY node),
+degree AS (
+  SELECT c.node, any_value(c.c) - 1 + coalesce(sum(o.c), 0) AS n_links
+  FROM copies c LEFT JOIN ways ON ways.x = c.node LEFT JOIN copies o ON o.node = ways.y GROUP BY c.node)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, CASE WHEN n.n IS NULL THEN d.doc_id ELSE least.c END AS component_id,
+  coalesce(degree.n_links, 0)::BIGINT AS n_links
+FROM d LEFT JOIN n ON n.r = d.r LEFT JOIN ids ON ids.r = d.r LEFT JOIN least ON least.node = ids.node
+LEFT JOIN degree ON degree.node = ids.node""")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = parity_join.near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=85)
-    return out.select("doc_id", "n_shingles", "component_id")
+    return out.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 @register("op13_phrase_collocations", r"""
