@@ -74,6 +74,31 @@ def test_repeats_of_edge_rows(spark, edge_rows, keep):
     check_repeats(spark, [(i, t) for i, t, *_ in edge_rows], 200, keep, 64)
 
 
+@pytest.mark.parametrize("length", [5, 8, 19])
+def test_factor_lengths(length):
+    """Suffix order, common prefixes and longest previous factors against all pairs, zero and high bytes included."""
+    rng = np.random.default_rng(length)
+    data = rng.choice(np.array([0, 1, 255], dtype=np.uint8), 300)
+    data[200:240] = data[20:60]
+    at = np.flatnonzero(rng.random(len(data) - length + 1) < .8)
+    group = rng.integers(-1, 2, len(at))
+    order, common = suffix_order = suffix_dedup.suffix_order(data, at, group, length)
+    text = [data[p:p + length].tobytes() for p in at.tolist()]
+    assert order.tolist() == sorted(range(len(at)), key=lambda k: (group[k], text[k], k))
+
+    def shared(x, y):
+        if group[x] != group[y]:
+            return 0
+        return next((i for i in range(length) if text[x][i] != text[y][i]), length)
+
+    assert common.tolist() == [0] + [shared(x, y) for x, y in zip(order[:-1].tolist(), order[1:].tolist())]
+    factors = suffix_dedup.previous_factors(*suffix_order)
+    assert factors.tolist() == [max((shared(k, j) for j in range(k)), default=0) for k in order.tolist()]
+    none = np.zeros(0, dtype=np.int64)
+    assert [len(x) for x in suffix_dedup.suffix_order(data, none, none, length)] == [0, 0]
+    assert len(suffix_dedup.previous_factors(none, none)) == 0
+
+
 def test_strip_repeats_keeps_columns(spark, edge_docs, no_docs):
     out = suffix_dedup.strip_repeats(edge_docs)
     assert out.columns == edge_docs.columns and out.count() == edge_docs.count()

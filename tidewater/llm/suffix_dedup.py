@@ -5,11 +5,12 @@ starts elsewhere: ``keep="first"`` asks for an earlier start (the longest
 previous factor is long enough), so the first copy stays; ``keep="none"`` asks
 for an earlier or a later one, so every copy goes.
 
-For this threshold only suffixes that agree in their first ``length`` bytes
-matter.  The suffix array is therefore built in classes: suffixes of equal
-prefix, in order of position.  In a class, the previous smaller position in
-suffix order is the left neighbour and the longest previous factor is long
-enough if there is one; likewise the next one to the right.
+For this threshold only suffixes that share a gram at the same place can
+match, so the suffix array is built gram by gram: suffixes in the order of their
+first ``length`` bytes, ties by position, with the common prefix of neighbours.
+The longest previous factor of a suffix is what it shares with the previous or
+the next smaller position in that order; the longest factor anywhere is what it
+shares with a neighbour.
 
 Sorting every suffix of a corpus would move each byte ``length`` times, so the
 classes are found from anchors.  Each ``length``-byte window owns the anchor at
@@ -20,13 +21,13 @@ anchors at equal places.  One row per anchor is about one per 70 bytes.
    semi join).
 2. Anchors that agree in their whole context, that is in all windows they own,
    are settled together; one of them stands for all in the next step.
-3. Where a gram has several contexts, the representatives' windows are sorted
-   in suffix order, class by class, and neighbours decide each window.  Grams
-   with very many contexts are spread by window instead, with min and max
-   position per window class.
+3. Where a gram has several contexts, the representatives' suffixes are sorted
+   by their bytes and factor lengths decide each window.  Grams with very many
+   contexts are spread by window instead: of equal windows, that of min position
+   has no earlier match and all others have one.
 
-Prefix classes are told apart by 128 bits of hash.  Texts are shuffled twice,
-for the contexts of representatives and for the result.
+Contexts, and windows that are spread, are told apart by 128 bits of hash.  Texts
+are shuffled twice, for the contexts of representatives and for the result.
 
 Defined cases: null texts are empty, texts shorter than ``length`` keep
 everything; matches never cross documents; positions are ordered by (doc_id,
@@ -141,40 +142,86 @@ def contexts(docs: DataFrame, reps: DataFrame, length: int) -> DataFrame:
     return d.select("doc_id", "th", "text", "anchors").mapInArrow(run, CONTEXT)
 
 
-def windows(b: pa.RecordBatch, length: int) -> tuple[np.ndarray, ...]:
-    """(row, name, start in the text) of every window of the contexts in a
-    batch; equal names: equal windows."""
+def places(b: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """The bytes of the contexts in a batch and, of every window: row, place in these bytes, start in the text."""
     data, bounds = text_buffer(b.column("context"))
     n = b.column("n").to_numpy(zero_copy_only=False).astype(np.int64)
     first = (b.column("a").to_numpy() - b.column("back").to_numpy()).astype(np.int64)
     row = np.repeat(np.arange(len(n)), n)
     k = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    return data, row, bounds[row] + k, first[row] + k
+
+
+def windows(b: pa.RecordBatch, length: int) -> tuple[np.ndarray, ...]:
+    """(row, name, start in the text) of every window of the contexts in a
+    batch; equal names: equal windows."""
+    data, row, at, start = places(b)
     p, down = prefix(grams8(data))
-    at = bounds[row] + k
-    return row, range_hash(p, down, at, at + length), first[row] + k
+    return row, range_hash(p, down, at, at + length), start
+
+
+def suffix_order(data: np.ndarray, at: np.ndarray, group: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes at ``at`` by group and first ``length`` bytes, ties in the
+    order given, and the common prefix of each with the one before it (at most
+    ``length``, 0 at the head of a group).  Eight bytes a round, ties only."""
+    word = np.concatenate([data, np.zeros(8, dtype=np.uint8)]).astype(U)
+    for step in (1, 2, 4):
+        word = (word[:-step] << U(8 * step)) | word[step:]
+    order = np.argsort(group, kind="stable")
+    head = np.ones(len(order), dtype=bool)
+    head[1:] = group[order][1:] != group[order][:-1]
+    common = np.where(head, 0, length)
+    for k in range(0, length, 8):
+        tied = ~head
+        tied[:-1] |= ~head[1:]
+        slot = np.flatnonzero(tied)
+        if not len(slot):
+            break
+        take = min(8, length - k)
+        key = word[at[order[slot]] + k] >> U(8 * (8 - take))
+        run = np.cumsum(head[slot])
+        by = np.lexsort((key, run))
+        order[slot], key = order[slot][by], key[by]
+        differ = np.flatnonzero((key[1:] != key[:-1]) & (run[1:] == run[:-1]))
+        odd, to = key[differ + 1] ^ key[differ], slot[differ + 1]
+        common[to] = k + take - sum((odd >> U(8 * j) > 0).astype(np.int64) for j in range(take))
+        head[to] = True
+    return order, common
+
+
+def previous_factors(position: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Longest previous factor of each suffix, in suffix order: the larger of
+    its common prefixes with the previous and the next smaller position."""
+    out = np.zeros(len(position), dtype=np.int64)
+    open_at: list[tuple[int, int, int]] = []  # (place, position, shared with the previous smaller position)
+    for i, (p, shared) in enumerate(zip([*position.tolist(), -1], [*common.tolist(), 0])):
+        while open_at and open_at[-1][1] > p:
+            k, _, before = open_at.pop()
+            out[k] = max(before, shared)
+            shared = min(before, shared)
+        open_at.append((i, p, shared))
+    return out
 
 
 def neighbours(b: pa.RecordBatch, length: int, first: bool) -> Iterator[tuple]:
-    """(row, start, end) of the windows of unsettled anchors that have a left
-    neighbour (``first``) or any neighbour in their suffix class.  ``b`` has whole grams."""
-    row, name, start = windows(b, length)
+    """(row, start, end) of the windows of unsettled anchors whose longest
+    previous factor (``first``), or longest factor anywhere, has ``length``
+    bytes.  ``b`` has whole grams."""
+    data, row, at, start = places(b)
     ids = b.column("doc_id")
     null = ids.is_null().to_numpy(zero_copy_only=False)
     doc = ids.fill_null(0).to_numpy()
     hk, th = b.column("hk").to_numpy(), b.column("th").to_numpy()
-    order = np.lexsort((start, th[row], doc[row], null[row], name, hk[row]))
-    r, s, w = row[order], start[order], name[order]
-    same = (w[1:] == w[:-1]) & (hk[r][1:] == hk[r][:-1])
-    place = (s[1:] != s[:-1]) | (th[r][1:] != th[r][:-1]) | (doc[r][1:] != doc[r][:-1]) | (null[r][1:] != null[r][:-1])
-    # the class of a window and, in it, the number of its distinct position
-    cls = np.concatenate([[0], np.cumsum(~same)]).astype(np.int64)
-    pos = np.concatenate([[0], np.cumsum(~same | place)]).astype(np.int64)
-    low, high = np.full(cls[-1] + 1, len(pos)), np.zeros(cls[-1] + 1, dtype=np.int64)
-    np.minimum.at(low, cls, pos)
-    np.maximum.at(high, cls, pos)
-    hit = (pos > low[cls]) | (False if first else pos < high[cls])
-    hit &= ~b.column("settled").to_numpy(zero_copy_only=False)[r]
-    r, s = r[hit], s[hit]
+    # from here on the place in these arrays is the order of positions; repeated rows give a position twice
+    by = np.lexsort((start, th[row], doc[row], null[row]))
+    row, at, start = row[by], at[by], start[by]
+    same = [x[row][1:] == x[row][:-1] for x in (th, doc, null)]
+    fresh = np.concatenate([[True], ~(same[0] & same[1] & same[2] & (start[1:] == start[:-1]))])
+    row, at, start = row[fresh], at[fresh], start[fresh]
+    order, common = suffix_order(data, at, hk[row], length)
+    factor = previous_factors(order, common) if first else np.maximum(common, np.append(common[1:], 0))
+    hit = (factor >= length) & ~b.column("settled").to_numpy(zero_copy_only=False)[row[order]]
+    r, s = row[order][hit], start[order][hit]
     order = np.lexsort((s, r))
     r, s = r[order], s[order]
     cut = np.concatenate([[True], (r[1:] != r[:-1]) | (s[1:] != s[:-1] + 1)]) if len(r) else np.zeros(0, dtype=bool)
