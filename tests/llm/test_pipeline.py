@@ -22,7 +22,7 @@ def test_stages(spark):
             want = {x[0]: t for x, t in plain_quality([(r.doc_id, r.text, r.source) for r in rows]) if t is not None}
             assert any(len(want[r.doc_id]) < len(r.text) for r in rows if r.doc_id in want)  # lines do go
         elif name == "near_duplicates":
-            least = {i: c for i, _, c in plain_components([(r.doc_id, r.text) for r in rows], 5, 80)}
+            least = {i: c for i, _, c, _ in plain_components([(r.doc_id, r.text) for r in rows], 5, 80)}
             want = {r.doc_id: r.text for r in rows if least[r.doc_id] == r.doc_id}
         elif name == "repeated_passages":
             flags = plain_repeats([(r.doc_id, r.text) for r in rows], 200, "first")
@@ -61,7 +61,7 @@ def test_edges(spark, edge_docs, no_docs):
             want = plain_stage(name, rows)
             if name == "near_duplicates":
                 # one row of every component; the ids of the smallest stay
-                least = {i: c for i, _, c in plain_components([r[:2] for r in rows], 5, 80) if i is not None}
+                least = {i: c for i, _, c, _ in plain_components([r[:2] for r in rows], 5, 80) if i is not None}
                 assert len(got) == sum(got.values()) and set(got) <= {r[:2] for r in rows}
                 assert {least[i] for i, _ in got if i is not None} == set(least.values())
             elif name == "source_mixture":
