@@ -1,7 +1,8 @@
 """What one task holds follows the input, whatever the session's shuffle partitions are."""
 import re
 
-from tidewater.operators.joins import input_bytes
+from tidewater.functions import keywords as KW
+from tidewater.operators.joins import BROADCAST_CONF, input_bytes
 from tidewater.plans import fixtures as FX
 
 SF = "/root/testdata/sf0.001"
@@ -18,3 +19,18 @@ def test_bus_rows_are_dealt_by_the_size_of_the_table(spark, monkeypatch):
     assert n > 2 * 8  # shuffle partitions of the test session
     assert "RepartitionByExpression [l_suppkey" in plan(FX.bus_raw(spark, SF))
     assert re.search(rf"RepartitionByExpression \[l_suppkey.*\], {n}", plan(FX.bus_raw(spark, SF)))
+
+
+def test_grams_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(KW, "GRAMS_EACH", 4)
+    spark.conf.set(BROADCAST_CONF, "0")
+    try:
+        df = spark.createDataFrame([(1, "人民公交站"), (2, "公交公司人民"), (3, None)], "id int, t string")
+        d = spark.createDataFrame([("人民",), ("公交公司",), ("人民",)], "word string")
+        got = KW.split_words(df, "t", keep=("id",), dictionary=d)
+        # 11 places, words of 2 and 4 ideographs
+        assert plan(got).count(", 6\n") >= 4 and "], 6" in plan(got)
+        assert sorted(map(tuple, got.collect())) == sorted(
+            [(1, "人民"), (1, "公"), (1, "交"), (1, "站"), (2, "公交公司"), (2, "人民")])
+    finally:
+        spark.conf.unset(BROADCAST_CONF)
