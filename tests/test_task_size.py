@@ -1,8 +1,16 @@
 """What one task holds follows the input, whatever the session's shuffle partitions are."""
 import re
 
+from pyspark.sql import functions as F
+
 from tidewater.functions import keywords as KW
 from tidewater.operators.joins import BROADCAST_CONF, input_bytes
+from pyspark.sql import DataFrameWriter
+from tidewater.operators import aggregates as A
+from tidewater.operators.measures import PRODUCT_AMOUNTS, PRODUCT_COUNTS
+from tidewater.operators.routing import route
+from tidewater.sources import sinks as K
+from tidewater.sources.changes import drop_deletes, normalize_changes
 from tidewater.plans import fixtures as FX
 
 SF = "/root/testdata/sf0.001"
@@ -34,3 +42,23 @@ def test_grams_are_dealt_by_their_number(spark, monkeypatch):
             [(1, "人民"), (1, "公"), (1, "交"), (1, "站"), (2, "公交公司"), (2, "人民")])
     finally:
         spark.conf.unset(BROADCAST_CONF)
+
+
+def test_product_stats_shuffle_once_by_the_size_of_the_input(spark, monkeypatch, tmp_dir):
+    monkeypatch.setattr(A, "DEALT_BYTES", 500)
+    zero = [F.lit(0).cast("long").alias(c) for c in PRODUCT_COUNTS] + [
+        F.lit(1).cast("decimal(18,2)").alias(c) for c in PRODUCT_AMOUNTS]
+    (spark.range(5000).select((F.col("id") % 50).alias("sku_id"), (F.col("id") * 7919).alias("ts"), *zero,
+                              F.when(F.col("id") % 2 == 0, F.col("id") % 20).alias("order_id"),
+                              F.lit(None).cast("long").alias("paid_order_id"),
+                              F.lit(None).cast("long").alias("refund_order_id")).write.parquet(tmp_dir))
+    df = spark.read.parquet(tmp_dir)
+    got = A.product_stats(df, "10 seconds")
+    n = -(-input_bytes(df) // 500)
+    assert n > 2 * 8
+    physical = got._jdf.queryExecution().executedPlan().toString()
+    assert physical.count("Exchange") == 1 and f"sku_id#" in physical and f", {n}), REPARTITION_BY_NUM" in physical
+    want = df.groupBy(F.window(F.timestamp_millis("ts"), "10 seconds").alias("w"), "sku_id").agg(
+        F.countDistinct("order_id").alias("order_ct"), F.sum("order_amount").cast("decimal(18,2)").alias("order_amount"))
+    want = want.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("stt"), "sku_id", "order_ct", "order_amount")
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))

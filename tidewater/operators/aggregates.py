@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import input_partitions
 from .measures import PRODUCT_AMOUNTS, PRODUCT_COUNTS, VISITOR_KEYS, VISITOR_MEASURES
 
 TEXT_TS = "yyyy-MM-dd HH:mm:ss"
@@ -58,6 +59,8 @@ def visitor_stats(measures: DataFrame, size: str = "10 seconds", ts: str = "ts",
     return agg.select(*window_text(), *VISITOR_KEYS, *VISITOR_MEASURES)
 
 
+#: Input bytes (of every scan) whose measure rows one task aggregates.
+DEALT_BYTES = 16 << 20
 ID_KINDS = (("order_id", "order_ct"), ("paid_order_id", "paid_order_ct"),
             ("refund_order_id", "refund_order_ct"))
 
@@ -70,8 +73,11 @@ def product_stats(measures: DataFrame, size: str = "10 seconds", ts: str = "ts",
     A two-level aggregate, on streams too.  Each measure row is tagged with its
     (id kind, id) – rows carry at most one id; measures ride on the first
     tag only – level 1 groups by (window, sku, kind, id), level 2 counts the
-    level-1 groups per kind.  Both levels combine map-side and no row is
-    expanded (three COUNT DISTINCTs would make Catalyst copy every row 4x).
+    level-1 groups per kind.  No row is expanded (three COUNT DISTINCTs would
+    make Catalyst copy every row 4x).  In batch the rows are dealt once by
+    (window, sku), which serves both levels: nearly every row is a group of its
+    own, so that combining before a shuffle only fills memory.  On streams each
+    level has its own state and shuffle.
     ``approx`` counts ids by HyperLogLog++ sketches in one level.
     """
     w = F.window(_time(ts, event_col), size).alias("window")
@@ -84,8 +90,11 @@ def product_stats(measures: DataFrame, size: str = "10 seconds", ts: str = "ts",
         tags = F.filter(F.array(*[F.when(F.col(i).isNotNull(),
                                          F.struct(F.lit(k + 1).alias("kind"), F.col(i).cast("long").alias("id")))
                                   for k, (i, _) in enumerate(ID_KINDS)]), lambda x: x.isNotNull())
-        tagged = (measures.select(w, "sku_id", *PRODUCT_COUNTS, *PRODUCT_AMOUNTS,
-                                  F.posexplode_outer(tags).alias("_pos", "_tag"))
+        d = measures.select(w, "sku_id", *PRODUCT_COUNTS, *PRODUCT_AMOUNTS, *[i for i, _ in ID_KINDS])
+        if not measures.isStreaming:
+            d = d.repartition(input_partitions(measures, DEALT_BYTES), "window", "sku_id")
+        tagged = (d.select("window", "sku_id", *PRODUCT_COUNTS, *PRODUCT_AMOUNTS,
+                           F.posexplode_outer(tags).alias("_pos", "_tag"))
                           .withColumn("_kind", F.coalesce(F.col("_tag.kind"), F.lit(0)))
                           .withColumn("_id", F.col("_tag.id")))
         first = F.col("_pos").isNull() | (F.col("_pos") == 0)
