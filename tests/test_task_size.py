@@ -62,3 +62,21 @@ def test_product_stats_shuffle_once_by_the_size_of_the_input(spark, monkeypatch,
         F.countDistinct("order_id").alias("order_ct"), F.sum("order_amount").cast("decimal(18,2)").alias("order_amount"))
     want = want.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("stt"), "sku_id", "order_ct", "order_amount")
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_a_configuration_of_unknown_size_is_broadcast(spark):
+    changes = drop_deletes(normalize_changes(FX.shop_changes(spark, SF, ("order_info", "base_province"))))
+    routed = route(changes, FX.shop_process(spark, SF, ("order_info", "base_province")))
+    physical = routed._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in physical and "SortMergeJoin" not in physical
+
+
+def test_topics_are_written_without_a_sort(spark, monkeypatch, tmp_dir):
+    seen, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (seen.append(spark.conf.get(K.OPEN_CONF)), write(self, *a, **k))[1])
+    before = spark.conf.get(K.OPEN_CONF)
+    rows = spark.range(40).select(F.concat(F.lit("t"), F.col("id") % 20).alias("sink_table"), F.col("id").cast("string").alias("value"))
+    K.write_routed(rows.coalesce(1), tmp_dir)  # more topics than are kept open
+    assert seen == [str(K.OPEN_TOPICS)] and spark.conf.get(K.OPEN_CONF) == before
+    back = spark.read.parquet(tmp_dir).select("sink_table", "value")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))

@@ -12,11 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import broadcast_if_small
+from .joins import UNKNOWN_BYTES, broadcast_if_small, estimated_bytes
 
 SINK_FACT = "kafka"   # fixed values: the reference's sink type names
 SINK_DIM = "hbase"
 SINK_OLAP = "clickhouse"
+CONFIG_ROW_BYTES = 4096   # allowed for a configuration row
 
 
 def keep_columns(row_map: Column, sink_columns: Column) -> Column:
@@ -37,6 +38,14 @@ def kept_columns() -> Column:
     return F.when(F.col("sink_type") == SINK_DIM, F.concat(listed, F.array(F.coalesce("sink_pk", F.lit("id"))))).otherwise(listed)
 
 
+def config_bytes(config: DataFrame) -> int | None:
+    """Size of a configuration; where the plan cannot tell (rows handed over by
+    the driver), its rows are counted.  Taken for large, it would be joined by
+    shuffling all changes to the few tasks of its (table, operation) keys."""
+    size = estimated_bytes(config)
+    return size if config.isStreaming or (size is not None and size < UNKNOWN_BYTES) else config.count() * CONFIG_ROW_BYTES
+
+
 def route(changes: DataFrame, config: DataFrame, read_as_insert: bool = False) -> DataFrame:
     """Attach ``sink_type`` / ``sink_table`` from the (table, type) config
     row and whitelist the columns of ``after``.  Dimension rows keep their key column (``sink_pk``, else
@@ -47,7 +56,7 @@ def route(changes: DataFrame, config: DataFrame, read_as_insert: bool = False) -
         else F.col("type")
     cfg = config.select(F.col("source_table").alias("_tw_src"), F.col("operate_type").alias("_tw_op"),
                         "sink_type", "sink_table", "sink_columns", "sink_pk", kept_columns().alias("_tw_cols"))
-    cfg = broadcast_if_small(cfg)
+    cfg = broadcast_if_small(cfg, size_bytes=config_bytes(cfg))
     d = changes.withColumn("_tw_type", typ)
     j = d.join(cfg, (F.col("table_name") == F.col("_tw_src")) & (F.col("_tw_type") == F.col("_tw_op")), "inner")
     return (j.withColumn("after", keep_listed(F.col("after"), F.col("_tw_cols")))
@@ -92,7 +101,7 @@ def route_as_of(changes: DataFrame, versions: DataFrame, seq: str = "seq", wait:
     start = F.when(F.col("first"), F.lit(None)).otherwise(F.col("from_seq")) if wait else F.col("from_seq")
     v = versions.select(F.col("source_table").alias("_tw_src"), F.col("operate_type").alias("_tw_op"), *ROUTE_COLS,
                         start.alias("_tw_from"), F.col("to_seq").alias("_tw_to"), kept_columns().alias("_tw_cols"))
-    v = broadcast_if_small(v)
+    v = broadcast_if_small(v, size_bytes=config_bytes(v))
     on = ((F.col("table_name") == F.col("_tw_src")) & (F.col("_tw_type") == F.col("_tw_op"))
           & (F.col("_tw_from").isNull() | (F.col(seq) >= F.col("_tw_from")))
           & (F.col("_tw_to").isNull() | (F.col(seq) < F.col("_tw_to"))))
